@@ -35,10 +35,10 @@ def envelope_schema(row: str | T.StructType) -> T.StructType:
         .add("after", image)
         .add("source", _struct(SOURCE_DDL))
         .add("transaction", _struct(TRANSACTION_DDL))
-        .add("op", "string")
-        .add("ts_ms", "bigint")
-        .add("ts_us", "bigint")
-        .add("ts_ns", "bigint")
+        .add("op", T.StringType())
+        .add("ts_ms", T.LongType())
+        .add("ts_us", T.LongType())
+        .add("ts_ns", T.LongType())
     )
     return T.StructType().add("payload", payload)
 

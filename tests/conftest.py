@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         "tests", "local[8]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
+        spark__ui__showConsoleProgress="false",
         spark__driver__bindAddress="127.0.0.1",
         spark__driver__host="127.0.0.1",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("work")),

@@ -47,6 +47,7 @@ def main():
     sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
     only = sys.argv[1:]
     spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="16g",
+                          spark__ui__showConsoleProgress="false",
                           spark__driver__bindAddress="127.0.0.1", spark__driver__host="127.0.0.1")
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(sf), e.oracle_sql(), 0
