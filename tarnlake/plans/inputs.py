@@ -74,14 +74,14 @@ LINE_UNIQUE = f"""(select * exclude (rn) from (select *, row_number() over (
 # --- part suppliers: the pairs seen in line items ------------------------------------
 
 def partsupp(lineitem: DataFrame) -> DataFrame:
-    unit = F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2)
+    unit = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100
     return lineitem.groupBy(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")).agg(
         F.sum("l_quantity").cast("int").alias("ps_availqty"), F.min(unit).alias("ps_supplycost")
     )
 
 
 PARTSUPP = """(select l_partkey as ps_partkey, l_suppkey as ps_suppkey,
-  cast(sum(l_quantity) as int) as ps_availqty, min(round(l_extendedprice / l_quantity, 2)) as ps_supplycost
+  cast(sum(l_quantity) as int) as ps_availqty, min(floor(l_extendedprice * 100 / l_quantity) / 100) as ps_supplycost
   from lineitem group by 1, 2)"""
 
 
