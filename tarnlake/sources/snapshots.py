@@ -10,24 +10,39 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.utils import AnalysisException
 
-_COMMIT = "version long, committed_at timestamp_ntz, operation string, num_rows long"
+_COMMIT = "version long, committed_at timestamp_ntz, operation string, num_rows long, note string"
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
     """Commits of a table, one row each."""
-    return spark.read.schema(_COMMIT).json(f"{path}/_commits")
+    return spark.read.schema(_COMMIT).json(f"{path}/_commits", pathGlobFilter="*.json")
 
 
-def _latest(spark: SparkSession, path: str) -> int:
-    return history(spark, path).agg(F.max("version")).first()[0]
+def _last(spark: SparkSession, path: str) -> Row | None:
+    try:
+        return history(spark, path).orderBy(F.desc("version")).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def write(df: DataFrame, path: str, operation: str, committed_at: datetime, first: bool = False) -> int:
-    """Write a new version and commit it; returns its number."""
+def exists(spark: SparkSession, path: str) -> bool:
+    return _last(spark, path) is not None
+
+
+def last_note(spark: SparkSession, path: str) -> str:
+    return _last(spark, path)["note"]
+
+
+def write(df: DataFrame, path: str, operation: str, committed_at: datetime, note: str = "") -> int:
+    """Write a new version and commit it; returns its number. One writer per table at a time."""
     spark = df.sparkSession
-    version = 0 if first else _latest(spark, path) + 1
+    last = _last(spark, path)
+    version = 0 if last is None else last["version"] + 1
     target = f"{path}/version={version}"
     df.write.mode("overwrite").parquet(target)
     commit = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("num_rows")).select(
@@ -35,6 +50,7 @@ def write(df: DataFrame, path: str, operation: str, committed_at: datetime, firs
         F.lit(str(committed_at)).cast("timestamp_ntz").alias("committed_at"),
         F.lit(operation).alias("operation"),
         "num_rows",
+        F.lit(note).alias("note"),
     )
     commit.coalesce(1).write.mode("append").json(f"{path}/_commits")
     return version
@@ -42,4 +58,4 @@ def write(df: DataFrame, path: str, operation: str, committed_at: datetime, firs
 
 def read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """A version of the table, the newest by default."""
-    return spark.read.parquet(f"{path}/version={_latest(spark, path) if version is None else version}")
+    return spark.read.parquet(f"{path}/version={_last(spark, path)['version'] if version is None else version}")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tarnlake.operators import cdc
 from tarnlake.operators.latest import latest_by
+from tarnlake.sources import snapshots
 
 TRIGGER = "15 seconds"
 MAX_OFFSETS = 5000
@@ -79,24 +81,39 @@ def console(stream: DataFrame, checkpoint: str, every: str = TRIGGER) -> Streami
 def upsert(path: str, keys: Sequence[str], sequence_by: str) -> Callable[[DataFrame, int], None]:
     """Batch writer that keeps a current-state table in step with the stream.
 
-    State lives in one directory per batch: batch n reads the newest directory below
-    n and writes n, so a replayed batch recomputes the same state from the same
-    input.
+    A batch leaves only its own net changes (newest row per key), so its cost follows
+    the batch and not the table; `current_state` lays them over the last folded base
+    and `fold` moves them into a new one.
     """
-    def state_dir(batch_id: int) -> str:
-        return f"{path}/batch={batch_id}"
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = cdc.to_state(latest_by(batch, list(keys), [sequence_by]))
-        if batch_id > 0:
-            before = spark.read.parquet(state_dir(batch_id - 1))
-            state = cdc.apply_changes(before, batch, keys, sequence_by)
-        state.write.mode("overwrite").parquet(state_dir(batch_id))
+        net = latest_by(batch, list(keys), [sequence_by])
+        net.write.mode("overwrite").parquet(f"{path}/delta/batch_id={batch_id}")
 
     return write
 
 
+def current_state(spark: SparkSession, path: str, keys: Sequence[str], sequence_by: str) -> DataFrame:
+    """State after all batches written so far.
+
+    Changes act by sequence number, so batches that arrive in any order, or are met again
+    after a fold, lead to the same rows.
+    """
+    delta = spark.read.parquet(f"{path}/delta")
+    base_path = f"{path}/base"
+    if not snapshots.exists(spark, base_path):
+        return cdc.to_state(latest_by(delta, list(keys), [sequence_by]).drop("batch_id"))
+    base, upto = snapshots.read(spark, base_path), int(snapshots.last_note(spark, base_path))
+    later = delta.filter(F.col("batch_id") > upto).drop("batch_id")
+    return cdc.apply_changes(base, later, keys, sequence_by)
+
+
+def fold(spark: SparkSession, path: str, keys: Sequence[str], sequence_by: str, at: datetime) -> int:
+    """Write the current state as a new base; later reads skip the batches in it."""
+    upto = spark.read.parquet(f"{path}/delta").agg(F.max("batch_id")).first()[0]
+    state = current_state(spark, path, keys, sequence_by)
+    return snapshots.write(state, f"{path}/base", "fold", at, note=str(upto))
+
+
 def drain(query: StreamingQuery, timeout: int = 600) -> None:
     """Wait for a stream that stops by itself; stop it when the time is up."""
     if not query.awaitTermination(timeout):
