@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tarnlake.operators.runs import carry_forward
+from tarnlake.operators.runs import carry_forward, split
 
 _EV, _VER, _AT, _ORDER = "__event", "__version", "__at", "__order"
 
@@ -19,7 +19,7 @@ def point_in_time_join(
     start: str,
     end: str,
     take: Sequence[str],
-    bucket=None,
+    bucket: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Left join on key and `start <= event_ts < end`, in one sort per key and no pair expansion.
 
@@ -42,10 +42,9 @@ def point_in_time_join(
         # at equal times a version comes before the events it applies to
         .withColumn(_ORDER, F.struct(F.col(_AT), F.col(_EV).isNotNull()))
     )
-    met = carry_forward(
-        line, keys, _ORDER, F.col(_VER).isNotNull(), [f"{_VER}.*"], "__met",
-        None if bucket is None else bucket(F.col(_AT)),
-    ).filter(F.col(_EV).isNotNull())
+    line = split(line, None if bucket is None else bucket(F.col(_AT)))
+    met = carry_forward(line, keys, _ORDER, F.col(_VER).isNotNull(), [f"{_VER}.*"], "__met")
+    met = met.filter(F.col(_EV).isNotNull())
     valid = F.col(_AT) < F.col(f"__met.{end}")
     return met.select(
         f"{_EV}.*", *[F.when(valid, F.col(f"__met.{c}")).alias(c) for c in take]

@@ -46,9 +46,12 @@ def lookback_window(df: DataFrame, column: str, start: datetime, end: datetime,
 
 
 def since_last(df: DataFrame, column: str, target: DataFrame, target_column: str) -> DataFrame:
-    """Rows at or after the newest value already in the target (all rows when it is empty)."""
-    last = target.agg(F.max(target_column)).scalar()
-    return df.filter(last.isNull() | (F.col(column) >= last))
+    """Rows at or after the newest value already in the target (all rows when it is empty).
+
+    That one value is fetched first, so the scan gets a literal to prune files by.
+    """
+    last = target.agg(F.max(target_column)).first()[0]
+    return df if last is None else df.filter(F.col(column) >= F.lit(str(last)).cast(df.schema[column].dataType))
 
 
 def affected_keys(feed: DataFrame, keys: Sequence[str]) -> DataFrame:

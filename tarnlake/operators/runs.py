@@ -1,102 +1,107 @@
 """Looking along the rows of a key, when one key may hold much of the table.
 
-A window over the key alone puts every row of a key in one task. Here the caller
-names a `bucket`: a column that never decreases along the order and bounds how many rows
-of one key share a bucket - `sequence_bucket` for unique integer sequences (a group
-then holds at most `width` rows, whatever the key) or a time slice. Rows are sorted
-within (key, bucket); only one edge row per (key, bucket) travels between buckets.
+A window over the key alone puts every row of a key in one task. `split` adds a
+bucket: a value that never decreases along the order and bounds how many rows of a key share it -
+a slice of a unique integer sequence (then at most `width` rows, whatever the key)
+or of time. The functions below sort within (key, bucket) and let only one edge row per
+(key, bucket) travel between buckets. Without `split` they use the plain window,
+which is one shuffle and fine while no key outgrows a task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 BUCKET_WIDTH = 1 << 22
-_B, _EDGE = "__bucket", "__edge"
+BUCKET, _EDGE, _IS_EDGE = "__bucket", "__edge", "__is_edge"
+
+
+def split(df: DataFrame, bucket: Column | None) -> DataFrame:
+    """Mark the rows with their bucket; `unsplit` removes the mark."""
+    return df if bucket is None else df.withColumn(BUCKET, bucket)
+
+
+def unsplit(df: DataFrame) -> DataFrame:
+    return df.drop(BUCKET)
 
 
 def sequence_bucket(sequence: Column | str, width: int = BUCKET_WIDTH) -> Column:
-    """Bucket of a unique integer sequence number: at most `width` rows per key and bucket."""
+    """Bucket of a unique integer sequence: at most `width` rows per key and bucket."""
     column = F.col(sequence) if isinstance(sequence, str) else sequence
     return F.floor(column / F.lit(width))
 
 
-def _edges(rows: DataFrame, keys: Sequence[str], payload: Column, order: Column, last: bool) -> DataFrame:
-    pick = F.max_by if last else F.min_by
-    return rows.groupBy(*keys, _B).agg(pick(payload, order).alias(_EDGE))
+def day_bucket(ts: Column | str) -> Column:
+    return F.date_trunc("day", ts)
 
 
-def previous(
-    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], name: str, bucket: Column | None = None
-) -> DataFrame:
-    """Add struct `name` holding `columns` of the row before (NULL struct on the first row)."""
-    return _neighbour(df, keys, order, columns, name, bucket, back=True)
+def _window(df: DataFrame, keys: Sequence[str], by: Column) -> WindowSpec:
+    return Window.partitionBy(*keys, *([BUCKET] if BUCKET in df.columns else [])).orderBy(by)
 
 
-def following(
-    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], name: str, bucket: Column | None = None
-) -> DataFrame:
-    """Add struct `name` holding `columns` of the row after (NULL struct on the last row)."""
-    return _neighbour(df, keys, order, columns, name, bucket, back=False)
+def _with_edges(inner: DataFrame, keys: Sequence[str], is_edge: Column, value: Column, across: Column) -> DataFrame:
+    """Join each (key, bucket) with `across`, evaluated over the edge rows of its key.
 
+    The edge rows come out of the same sorted shuffle as the rows themselves, so
+    the only further exchanges move one small row per (key, bucket).
+    """
+    edges = (
+        inner.withColumn(_IS_EDGE, is_edge).filter(_IS_EDGE)
+        .select(*keys, BUCKET, value.alias(_EDGE)).withColumn(_EDGE, across)
+    )
+    return inner.join(edges, [*keys, BUCKET], "left")
 
-def _neighbour(df, keys, order, columns, name, bucket, back):
-    keys, payload = list(keys), F.struct(*columns)
-    step = F.lag if back else F.lead
-    if bucket is None:
-        return df.withColumn(name, step(payload).over(Window.partitionBy(*keys).orderBy(order)))
-    rows = df.withColumn(_B, bucket)
-    inner = rows.withColumn(name, step(payload).over(Window.partitionBy(*keys, _B).orderBy(order)))
-    edges = _edges(rows, keys, payload, F.col(order), last=back)
-    edges = edges.withColumn(_EDGE, step(_EDGE).over(Window.partitionBy(*keys).orderBy(_B)))
-    joined = inner.join(edges, [*keys, _B], "left")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.col(_EDGE))).select(*df.columns, name)
+
+def _neighbour(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence, name: str, back: bool) -> DataFrame:
+    step, other = (F.lag, F.lead) if back else (F.lead, F.lag)
+    payload, w = F.struct(*columns), _window(df, keys, F.col(order).asc())
+    inner = df.withColumn(name, step(payload).over(w))
+    if BUCKET not in df.columns:
+        return inner
+    across = step(_EDGE).over(Window.partitionBy(*keys).orderBy(BUCKET))
+    joined = _with_edges(inner, keys, other(F.lit(1)).over(w).isNull(), payload, across)
+    return joined.select(*df.columns, F.coalesce(F.col(name), F.col(_EDGE)).alias(name))
+
+
+def previous(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence, name: str) -> DataFrame:
+    """Add struct `name` holding `columns` of the row before (NULL struct on the first row)."""
+    return _neighbour(df, keys, order, columns, name, back=True)
+
+
+def following(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence, name: str) -> DataFrame:
+    """Add struct `name` holding `columns` of the row after (NULL struct on the last row)."""
+    return _neighbour(df, keys, order, columns, name, back=False)
 
 
 def carry_forward(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    mark: Column,
-    columns: Sequence[str],
-    name: str,
-    bucket: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order: str, mark: Column, columns: Sequence[str], name: str
 ) -> DataFrame:
     """Add struct `name`: `columns` of the nearest marked row at or before this one.
 
     `order` is one column that totally orders the rows of a key (a struct where
     ties need breaking).
     """
-    keys = list(keys)
-    marked = F.when(mark, F.struct(*columns))
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(name, F.last(marked, ignorenulls=True).over(w))
-    rows = df.withColumn(_B, bucket)
-    w = Window.partitionBy(*keys, _B).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = rows.withColumn(name, F.last(marked, ignorenulls=True).over(w))
-    edges = _edges(rows.filter(mark), keys, F.struct(*columns), F.col(order), last=True)
-    slots = rows.select(*keys, _B).distinct().join(edges, [*keys, _B], "left")
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.withColumn(_EDGE, F.last(_EDGE, ignorenulls=True).over(before))
-    joined = inner.join(slots, [*keys, _B], "left")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.col(_EDGE))).select(*df.columns, name)
-
-
-def numbered(
-    df: DataFrame, keys: Sequence[str], order: str, name: str, descending: bool = False, bucket: Column | None = None
-) -> DataFrame:
+    w = _window(df, keys, F.col(order).asc())
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = df.withColumn(name, F.last(F.when(mark, F.struct(*columns)), ignorenulls=True).over(so_far))
+    if BUCKET not in df.columns:
+        return inner
+    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    across = F.last(_EDGE, ignorenulls=True).over(before)
+    joined = _with_edges(inner, keys, F.lead(F.lit(1)).over(w).isNull(), F.col(name), across)
+    return joined.select(*df.columns, F.coalesce(F.col(name), F.col(_EDGE)).alias(name))
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: str, name: str, descending: bool = False) -> DataFrame:
     """Add `name`: position 1, 2, ... of the row among the rows of its key."""
-    keys = list(keys)
-    by = F.col(order).desc() if descending else F.col(order).asc()
-    if bucket is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(by)))
-    rows = df.withColumn(_B, bucket)
-    inner = rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys, _B).orderBy(by)))
-    across = F.col(_B).desc() if descending else F.col(_B).asc()
-    before = Window.partitionBy(*keys).orderBy(across).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(*keys, _B).count().withColumn(_EDGE, F.coalesce(F.sum("count").over(before), F.lit(0)))
-    joined = inner.join(sizes.drop("count"), [*keys, _B], "left")
-    return joined.withColumn(name, F.col(name) + F.col(_EDGE)).select(*df.columns, name)
+    w = _window(df, keys, F.col(order).desc() if descending else F.col(order).asc())
+    inner = df.withColumn(name, F.row_number().over(w).cast("long"))
+    if BUCKET not in df.columns:
+        return inner
+    slots = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
+    before = Window.partitionBy(*keys).orderBy(slots).rowsBetween(Window.unboundedPreceding, -1)
+    across = F.coalesce(F.sum(_EDGE).over(before), F.lit(0))
+    joined = _with_edges(inner, keys, F.lead(F.lit(1)).over(w).isNull(), F.col(name), across)
+    return joined.select(*df.columns, (F.col(name) + F.col(_EDGE)).alias(name))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnlake.functions import differs
 from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply
-from tarnlake.operators.runs import following, numbered, previous
+from tarnlake.operators.runs import following, numbered, previous, split, unsplit
 
 ACTIVE, START, END = "record_active_flag", "record_start_date", "record_end_date"
 OPEN_END = "9999-12-31 00:00:00"
@@ -161,15 +161,15 @@ def history(
     splits hot keys (see `runs`).
     """
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
-    marked = log.withColumn("__gone", gone)
-    seen = previous(marked, keys, sequence, [*tracked, "__gone"], "__prev", bucket)
+    marked = split(log.withColumn("__gone", gone), bucket)
+    seen = previous(marked, keys, sequence, [*tracked, "__gone"], "__prev")
     changed = reduce(
         lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"__prev.{c}")) for c in tracked], F.lit(False)
     )
     first = F.col("__prev").isNull() | F.col("__prev.__gone")
-    points = seen.filter((F.col("__gone") & ~F.coalesce(F.col("__prev.__gone"), F.lit(True))) | (~F.col("__gone") & (first | changed)))
-    points = points.drop("__prev")
-    closed = following(points, keys, sequence, [F.col(event_ts).alias("__at")], "__next", bucket)
+    closes = F.col("__gone") & ~F.coalesce(F.col("__prev.__gone"), F.lit(True))
+    points = seen.filter(closes | (~F.col("__gone") & (first | changed))).drop("__prev")
+    closed = following(points, keys, sequence, [F.col(event_ts).alias("__at")], "__next")
     kind = log.schema[event_ts].dataType
     return closed.filter(~F.col("__gone")).select(
         *log.columns,
@@ -180,7 +180,7 @@ def history(
 
 
 def rebuild_touched(
-    dim: DataFrame, log: DataFrame, touched: DataFrame, keys: Sequence[str], rebuilt: DataFrame
+    dim: DataFrame, touched: DataFrame, keys: Sequence[str], rebuilt: DataFrame
 ) -> DataFrame:
     """Replace all versions of the touched keys by rebuilt ones (late or out-of-order changes)."""
     keys = list(keys)
@@ -191,7 +191,7 @@ def rebuild_touched(
 
 def rank_versions(df: DataFrame, keys: Sequence[str], sequence: str, bucket: Column | None = None) -> DataFrame:
     """Versions numbered newest first; number 1 is active."""
-    ranked = numbered(df, keys, sequence, "version_rank", descending=True, bucket=bucket)
+    ranked = unsplit(numbered(split(df, bucket), keys, sequence, "version_rank", descending=True))
     return ranked.withColumn(ACTIVE, F.col("version_rank") == 1)
 
 

@@ -72,8 +72,13 @@ def state_of(log: DataFrame) -> DataFrame:
     return cdc.to_state(latest_by(log, ["id"], ["lsn"]))
 
 
+def base_state(t: Tables) -> DataFrame:
+    """The current-state table as the base log left it."""
+    return t.layer("state_base", lambda: state_of(base_changes(t.events)))
+
+
 def _applied(t: Tables) -> DataFrame:
-    return cdc.apply_changes(state_of(base_changes(t.events)), new_changes(t.events), ["id"], "lsn")
+    return cdc.apply_changes(base_state(t), new_changes(t.events), ["id"], "lsn")
 
 
 _SIGNED_UP = "2024-01-02 00:00:00"
@@ -82,7 +87,9 @@ _SIGNED_UP = "2024-01-02 00:00:00"
 def _early_target(t: Tables) -> DataFrame:
     """Users that signed up in the first day."""
     log = change_log(t.events)
-    return state_of(log.filter((F.col("op") == "c") & (F.col("event_ts") < ts(_SIGNED_UP))))
+    return t.layer("state_early", lambda: state_of(
+        log.filter((F.col("op") == "c") & (F.col("event_ts") < ts(_SIGNED_UP)))
+    ))
 
 
 def _first_batch(t: Tables) -> DataFrame:
@@ -107,6 +114,11 @@ def _upsert(t: Tables) -> DataFrame:
 
 
 def feed(t: Tables) -> DataFrame:
+    """The feed as a stored table."""
+    return t.layer("customer_feed", lambda: build_feed(t))
+
+
+def build_feed(t: Tables) -> DataFrame:
     """Change feed of the customer table: version 0 is the load, version 1 the later snapshot."""
     first = t.customer.select(*CUSTOMER_FIELDS)
     load = first.select(
@@ -164,8 +176,9 @@ QUERIES = {
     "delete_where": lambda t: delete_where(t.customer, "c_acctbal < 0 or c_mktsegment = 'FURNITURE'"),
     "lookback_window": lambda t: incremental.lookback_window(change_log(t.events), "event_ts", *_WINDOW),
     "incremental_since_max": lambda t: incremental.since_last(
-        change_log(t.events), "event_ts", state_of(base_changes(t.events)), "event_ts"
+        change_log(t.events), "event_ts", base_state(t), "event_ts"
     ),
+    "cdf_diff": build_feed,
     "cdf_range": lambda t: changefeed.read_range(feed(t), from_version=1),
     "cdf_postimages": lambda t: changefeed.post_images(feed(t)),
     "cdf_bounds": lambda t: changefeed.bounds(feed(t)),
@@ -221,6 +234,7 @@ ORACLE = {
   and event_ts < timestamp '2024-01-21 00:00:00'""",
     "incremental_since_max": f"""select * from {CHANGE_LOG}
   where event_ts >= (select max(event_ts) from {BASE_CHANGES})""",
+    "cdf_diff": f"select * from {_FEED}",
     "cdf_range": f"select * from {_FEED} where _commit_version >= 1",
     "cdf_postimages": f"select * from {_FEED} where _change_type <> 'update_preimage'",
     "cdf_bounds": f"""select min(_commit_timestamp) as first_commit_ts, max(_commit_timestamp) as last_commit_ts,

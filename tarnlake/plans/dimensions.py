@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tarnlake.functions import row_hash
 from tarnlake.operators import asof, calendar, cdc, maintain, scd2, surrogate
 from tarnlake.operators.quality import complete, contained_in, unique, write_audit_publish
-from tarnlake.operators.runs import sequence_bucket
+from tarnlake.operators.runs import day_bucket, sequence_bucket
 from tarnlake.plans.inputs import (
     BASE_CHANGES, CHANGE_LOG, CHANGE_TS, CUSTOMER_FIELDS, CUSTOMER_NEXT, LOAD_TS, NEW_CHANGES, PARTSUPP, Tables,
     base_changes, change_log, customer_changes, customer_next, new_changes, partsupp, ts,
@@ -18,6 +18,11 @@ TRACKED = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 def existing(t: Tables) -> DataFrame:
+    """The customer dimension as its first load left it."""
+    return t.layer("dim_existing", lambda: first_load(t))
+
+
+def first_load(t: Tables) -> DataFrame:
     """Customer dimension after its first load, with surrogate keys in key order."""
     rows = t.customer.select(*CUSTOMER_FIELDS)
     numbered = surrogate.assign(rows, "sk_custkey", ["c_custkey"], bucket=sequence_bucket("c_custkey"))
@@ -54,9 +59,9 @@ def _full_history(log: DataFrame) -> DataFrame:
 
 def _event_time(t: Tables) -> DataFrame:
     """Versions built from the base log, then each id's newest later event as one change batch."""
-    dim = state_history(base_changes(t.events)).select("id", "state", scd2.ACTIVE, scd2.START, scd2.END).withColumn(
-        "record_commit_timestamp", F.col(scd2.START)
-    )
+    dim = t.layer("state_versions_base", lambda: state_history(base_changes(t.events)).select(
+        "id", "state", scd2.ACTIVE, scd2.START, scd2.END, F.col(scd2.START).alias("record_commit_timestamp")
+    ))
     changes = cdc.latest_changes(new_changes(t.events).filter(F.col("op") != "d"), ["id"], ["lsn"])
     return scd2.apply_changes(
         dim, changes.withColumn("committed", ts("2024-02-01 00:00:00")), ["id"], ["state"], "event_ts", "committed"
@@ -68,21 +73,26 @@ def _event_batch(t: Tables) -> DataFrame:
     log, batch = base_changes(t.events), new_changes(t.events)
     touched = batch.select("id").distinct()
     full = log.join(touched, ["id"], "left_semi").unionByName(batch)
-    return scd2.rebuild_touched(_full_history(log), full, touched, ["id"], _full_history(full))
+    return scd2.rebuild_touched(_versions_base(t), touched, ["id"], _full_history(full))
+
+
+def _versions_base(t: Tables) -> DataFrame:
+    return t.layer("versions_base", lambda: _full_history(base_changes(t.events)))
 
 
 def _bridge_versions(t: Tables) -> DataFrame:
     """Part-supplier bridge: offers known before 2000, then all offers, on a composite key."""
-    old = scd2.as_dimension(partsupp(t.lineitem.filter(F.col("l_shipdate") < ts("2000-01-01 00:00:00"))), ts(LOAD_TS))
+    early = t.lineitem.filter(F.col("l_shipdate") < ts("2000-01-01 00:00:00"))
+    old = t.layer("partsupp_early", lambda: scd2.as_dimension(partsupp(early), ts(LOAD_TS)))
     return scd2.apply_snapshot(
-        old, partsupp(t.lineitem), ["ps_partkey", "ps_suppkey"], ["ps_availqty", "ps_supplycost"], ts(CHANGE_TS)
+        old, t.partsupp, ["ps_partkey", "ps_suppkey"], ["ps_availqty", "ps_supplycost"], ts(CHANGE_TS)
     )
 
 
 def _surrogates(t: Tables) -> DataFrame:
     fresh = _next(t).join(t.customer, ["c_custkey"], "left_anti").select("c_custkey", "c_name")
     return surrogate.assign(
-        fresh, "sk_custkey", ["c_custkey"], existing(t).select("sk_custkey"), sequence_bucket("c_custkey")
+        fresh, "sk_custkey", ["c_custkey"], existing(t), sequence_bucket("c_custkey")
     )
 
 
@@ -93,15 +103,19 @@ def _hash_changed(t: Tables) -> DataFrame:
 
 
 def _published(t: Tables) -> DataFrame:
-    stage = scd2.apply_changes(
+    return scd2.publish(t.layer("dim_stage", lambda: _stage(t)), existing(t), "sk_custkey")
+
+
+def _stage(t: Tables) -> DataFrame:
+    """Stage dimension after the change batch, its new versions numbered after the old ones."""
+    applied = t.layer("dim_applied", lambda: scd2.apply_changes(
         existing(t), customer_changes(t.customer, t.supplier), ["c_custkey"], TRACKED, "event_ts"
-    )
+    ))
     fresh = surrogate.assign(
-        stage.filter(F.col("sk_custkey").isNull()).drop("sk_custkey"), "sk_custkey", ["c_custkey"],
-        existing(t).select("sk_custkey"), sequence_bucket("c_custkey"),
+        applied.filter(F.col("sk_custkey").isNull()).drop("sk_custkey"), "sk_custkey", ["c_custkey"],
+        existing(t), sequence_bucket("c_custkey"),
     )
-    stage = stage.filter(F.col("sk_custkey").isNotNull()).unionByName(fresh)
-    return scd2.publish(stage, existing(t), "sk_custkey")
+    return applied.filter(F.col("sk_custkey").isNotNull()).unionByName(fresh)
 
 
 def _wap_order_dim(t: Tables) -> DataFrame:
@@ -129,7 +143,7 @@ def _evolved(t: Tables) -> DataFrame:
 
 
 def _pit(t: Tables, join=asof.point_in_time_join, **how) -> DataFrame:
-    versions = state_history(change_log(t.events)).select(
+    versions = _state_dim(t).select(
         F.col("id").alias("user_id"), F.col("state").alias("version_state"), F.col("lsn").alias("version_lsn"),
         scd2.START, scd2.END,
     )
@@ -137,19 +151,23 @@ def _pit(t: Tables, join=asof.point_in_time_join, **how) -> DataFrame:
     return join(events, versions, ["user_id"], "ts", scd2.START, scd2.END, ["version_state", "version_lsn"], **how)
 
 
-def day(column):
-    return F.date_trunc("day", column)
+def _state_dim(t: Tables) -> DataFrame:
+    """All versions of each id's state, with surrogate keys."""
+    return t.layer("dim_state", lambda: surrogate.assign(
+        state_history(change_log(t.events)), "state_sk", ["lsn"], bucket=sequence_bucket("lsn")
+    ))
 
 
-def _pinned(t: Tables) -> DataFrame:
-    dim = surrogate.assign(
-        state_history(change_log(t.events)), "state_sk", ["lsn"], bucket=sequence_bucket("lsn")
-    ).select("state_sk", "id", "state", scd2.ACTIVE, scd2.START, scd2.END)
-    facts = asof.point_in_time_join(
-        t.events.select("event_id", F.col("user_id").alias("id"), "ts"), dim, ["id"], "ts", scd2.START, scd2.END,
-        ["state_sk"], bucket=day,
+def _facts(t: Tables) -> DataFrame:
+    """Events pinned to the version valid when they happened."""
+    return asof.point_in_time_join(
+        t.events.select("event_id", F.col("user_id").alias("id"), "ts"), _state_dim(t), ["id"], "ts",
+        scd2.START, scd2.END, ["state_sk"], bucket=day_bucket,
     ).drop("id")
-    return asof.pinned_and_latest(facts, dim, "state_sk", "id", "state")
+
+
+def _pinned(t: Tables) -> DataFrame:
+    return asof.pinned_and_latest(t.layer("fact_events", lambda: _facts(t)), _state_dim(t), "state_sk", "id", "state")
 
 
 QUERIES = {
@@ -166,8 +184,9 @@ QUERIES = {
         change_log(t.events).select("id", "lsn", "state"), ["id"], "lsn", sequence_bucket("lsn")
     ),
     "anti_unseen_versions": lambda t: scd2.unseen_versions(
-        new_changes(t.events), _full_history(base_changes(t.events)), ["id"], ["state", "amount"]
+        new_changes(t.events), _versions_base(t), ["id"], ["state", "amount"]
     ),
+    "dim_first_load": first_load,
     "surrogate_keys": _surrogates,
     "row_hash_changed": _hash_changed,
     "evolve_columns": _evolved,
@@ -178,7 +197,7 @@ QUERIES = {
     "wap_order_dim": _wap_order_dim,
     "null_start_rows": _null_start,
     "date_dim": lambda t: calendar.calendar_of(t.orders, "o_orderdate"),
-    "pit_join_left": lambda t: _pit(t, bucket=day),
+    "pit_join_left": lambda t: _pit(t, bucket=day_bucket),
     "pit_join_interval": lambda t: _pit(t, asof.interval_join),
     "pit_pinned_vs_latest": _pinned,
 }
@@ -256,6 +275,8 @@ ORACLE = {
     "anti_unseen_versions": f"""select * from {NEW_CHANGES} e where not exists (select 1
   from {_BASE_FULL} d where not gone and d.id = e.id and d.state is not distinct from e.state
     and d.amount is not distinct from e.amount)""",
+    "dim_first_load": f"""select {_FIELDS}, sk_custkey, true as record_active_flag,
+  timestamp '{LOAD_TS}' as record_start_date, {_OPEN} as record_end_date from {_SK}""",
     "surrogate_keys": f"""select c_custkey, c_name, (select count(*) from customer)
   + row_number() over (order by c_custkey) as sk_custkey from {_FRESH}""",
     "row_hash_changed": f"select c_custkey from {_KEYS_CHANGED}",

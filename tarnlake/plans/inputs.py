@@ -6,9 +6,15 @@ and always covers the whole table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarnlake.operators.latest import dedup
+from tarnlake.session import work_path
+from tarnlake.sinks.files import write_table
+
+_LAYERS: dict[tuple[str, str, str], str] = {}
 
 SPLIT_TS = "2024-01-16 00:00:00"   # change events before it are the base, the rest the increment
 
@@ -25,6 +31,32 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Derived table of this directory (a raw view, a dimension, a fact, a feed).
+
+        Layers are stored tables: written to the shared folder when a session first needs
+        them, read from there by every query on top. Only inputs are kept this way; what a
+        query computes from them runs on every call.
+        """
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        if key not in _LAYERS:
+            path = work_path(self.spark, name)
+            write_table(build(), path)
+            _LAYERS[key] = path
+        return self.spark.read.parquet(_LAYERS[key])
+
+    @property
+    def line_unique(self) -> DataFrame:
+        return self.layer("line_unique", lambda: line_unique(self.lineitem))
+
+    @property
+    def partsupp(self) -> DataFrame:
+        return self.layer("partsupp", lambda: partsupp(self.lineitem))
+
+    @property
+    def sales(self) -> DataFrame:
+        return self.layer("sales", lambda: sales(self.line_unique, self.orders))
+
 
 def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
@@ -162,8 +194,7 @@ SALES_KEY = ["order_id", "line_id"]
 SALES_LOAD_TS, SALES_CHANGE_TS = "2001-06-01 00:00:00", "2001-12-01 00:00:00"
 
 
-def sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    lines = line_unique(lineitem)
+def sales(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_id"),
         F.col("l_partkey").alias("product_id"), F.col("o_orderdate").cast("date").alias("order_date"),

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from tarnlake.functions import exact_sum, money, ntz
 from tarnlake.operators import changefeed, incremental
 from tarnlake.plans.inputs import (
-    LINE_UNIQUE, SALES, SALES_AFTER, SALES_BEFORE, SALES_CHANGE_TS, SALES_KEY, SALES_LOAD_TS, Tables, line_unique,
-    sales, sales_after, sales_before, ts,
+    LINE_UNIQUE, SALES, SALES_AFTER, SALES_BEFORE, SALES_CHANGE_TS, SALES_KEY, SALES_LOAD_TS, Tables, sales_after,
+    sales_before, ts,
 )
 
 KEYS = ["product_id", "order_date"]
@@ -46,27 +46,31 @@ def _out(df: DataFrame) -> DataFrame:
     )
 
 
-def _feed(before: DataFrame, after: DataFrame) -> DataFrame:
-    return changefeed.diff(before, after, SALES_KEY, 1, ts(SALES_CHANGE_TS))
+def _feed(t: Tables) -> DataFrame:
+    """Change feed of the sales table between its two states."""
+    return t.layer("sales_feed", lambda: changefeed.diff(
+        sales_before(t.sales), sales_after(t.sales), SALES_KEY, 1, ts(SALES_CHANGE_TS)
+    ))
+
+
+def _current(t: Tables) -> DataFrame:
+    """The daily aggregate as last written."""
+    return t.layer("daily_sales", lambda: daily(sales_before(t.sales), ts(SALES_LOAD_TS)))
 
 
 def _recomputed(t: Tables) -> DataFrame:
-    rows = sales(t.lineitem, t.orders)
-    before, after = sales_before(rows), sales_after(rows)
-    current = daily(before, ts(SALES_LOAD_TS)).drop("n_rows")
-    return _out(incremental.recompute_affected(current, after, _feed(before, after), KEYS, "qty"))
+    current = _current(t).drop("n_rows")
+    return _out(incremental.recompute_affected(current, sales_after(t.sales), _feed(t), KEYS, "qty"))
 
 
 def _from_deltas(t: Tables) -> DataFrame:
-    rows = sales(t.lineitem, t.orders)
-    before, after = sales_before(rows), sales_after(rows)
-    return _out(incremental.apply_deltas(daily(before, ts(SALES_LOAD_TS)), _feed(before, after), KEYS, "qty"))
+    return _out(incremental.apply_deltas(_current(t), _feed(t), KEYS, "qty"))
 
 
 QUERIES = {
-    "daily_product_sales": lambda t: _out(daily(sales_before(sales(t.lineitem, t.orders)), ts(SALES_LOAD_TS))),
-    "weekly_product_sales": lambda t: weekly(sales(t.lineitem, t.orders)).orderBy("product_id", "week_date"),
-    "customer_revenue": lambda t: customer_revenue(line_unique(t.lineitem), t.orders),
+    "daily_product_sales": lambda t: _out(daily(sales_before(t.sales), ts(SALES_LOAD_TS))),
+    "weekly_product_sales": lambda t: weekly(t.sales).orderBy("product_id", "week_date"),
+    "customer_revenue": lambda t: customer_revenue(t.line_unique, t.orders),
     "incr_daily_agg": _recomputed,
     "incr_daily_agg_deltas": _from_deltas,
 }

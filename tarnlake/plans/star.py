@@ -14,7 +14,7 @@ from tarnlake.operators import scd2, surrogate
 from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply
 from tarnlake.operators.runs import sequence_bucket
 from tarnlake.plans.inputs import (
-    LINE_EXT, LINE_UNIQUE, LOAD_TS, PARTSUPP, Tables, line_ext, line_unique, partsupp, ts,
+    LINE_EXT, LINE_UNIQUE, LOAD_TS, PARTSUPP, Tables, line_ext, ts,
 )
 from tarnlake.plans.tpch import REVENUE_SQL, pricing_sql, pricing_summary, revenue
 
@@ -43,7 +43,7 @@ def order_model(t: Tables) -> DataFrame:
 
 def part_supplier_model(t: Tables) -> DataFrame:
     return surrogate.assign(
-        partsupp(t.lineitem), "part_supplier_key", ["ps_partkey", "ps_suppkey"], bucket=sequence_bucket("ps_partkey")
+        t.partsupp, "part_supplier_key", ["ps_partkey", "ps_suppkey"], bucket=sequence_bucket("ps_partkey")
     )
 
 
@@ -64,11 +64,12 @@ def _dim(model: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def dims(t: Tables) -> dict[str, DataFrame]:
+    """The dimensions as stored tables."""
     return {
-        "customer": _dim(customer_model(t), "c_custkey", "sk_custkey"),
-        "order": _dim(order_model(t), "o_orderkey", "sk_orderkey"),
-        "part": _dim(t.part, "p_partkey", "sk_partkey"),
-        "supplier": _dim(supplier_model(t), "s_suppkey", "sk_suppkey"),
+        "customer": t.layer("dim_customer", lambda: _dim(customer_model(t), "c_custkey", "sk_custkey")),
+        "order": t.layer("dim_order", lambda: _dim(order_model(t), "o_orderkey", "sk_orderkey")),
+        "part": t.layer("dim_part", lambda: _dim(t.part, "p_partkey", "sk_partkey")),
+        "supplier": t.layer("dim_supplier", lambda: _dim(supplier_model(t), "s_suppkey", "sk_suppkey")),
     }
 
 
@@ -118,27 +119,26 @@ def fact_line_item(
     )
 
 
-def _bridges(t: Tables, d: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    return (
-        bridge_order_customer(t.orders, d["order"], d["customer"]),
-        bridge_part_supp(partsupp(t.lineitem), d["part"], d["supplier"]),
-    )
+def _order_customer(t: Tables) -> DataFrame:
+    d = dims(t)
+    return bridge_order_customer(t.orders, d["order"], d["customer"])
 
 
-def fact(t: Tables) -> DataFrame:
+def _part_supp(t: Tables) -> DataFrame:
     d = dims(t)
-    return fact_line_item(line_ext(line_unique(t.lineitem)), d, *_bridges(t, d))
+    return bridge_part_supp(t.partsupp, d["part"], d["supplier"])
 
 
-def order_lines(t: Tables) -> DataFrame:
-    """The part of the fact the analytical queries use: lines, order attributes, customer key."""
-    d = dims(t)
-    order_customer = bridge_order_customer(t.orders, d["order"], d["customer"])
-    lines = line_ext(line_unique(t.lineitem))
-    by_order = scd2.current(d["order"]).select("o_orderkey", "sk_orderkey", *_ORDER_SIDE).join(
-        order_customer.select("o_orderkey", "sk_custkey"), "o_orderkey"
+def build_fact(t: Tables) -> DataFrame:
+    return fact_line_item(
+        line_ext(t.line_unique), dims(t), t.layer("bridge_order_customer", lambda: _order_customer(t)),
+        t.layer("bridge_part_supp", lambda: _part_supp(t)),
     )
-    return lines.join(by_order, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def fact(t: Tables) -> DataFrame:
+    """The fact as a stored table."""
+    return t.layer("fact_line_item", lambda: build_fact(t))
 
 
 def upsert_session(fact: DataFrame, rows: DataFrame, session_id: str) -> DataFrame:
@@ -159,7 +159,7 @@ def _session_rows(lines: DataFrame) -> DataFrame:
 
 def _upserted(t: Tables) -> DataFrame:
     """Session A wrote all lines; its rerun sees corrected quantities and only lines shipped from 1998 on."""
-    lines = _session_rows(line_unique(t.lineitem))
+    lines = _session_rows(t.line_unique)
     empty = lines.limit(0).select(
         "*", F.lit(None).cast("long").alias("record_track_hash"), F.lit(None).cast("string").alias("session_id")
     )
@@ -205,7 +205,7 @@ def _within(column: str, first: str, last: str) -> Column:
 
 
 def _q3(t: Tables) -> DataFrame:
-    placed = order_lines(t).filter(
+    placed = fact(t).filter(
         (F.col("o_orderdate") < ts("1995-03-15 00:00:00")) & (F.col("l_shipdate") > ts("1995-03-15 00:00:00"))
     )
     return (
@@ -218,7 +218,7 @@ def _q3(t: Tables) -> DataFrame:
 def _q4(t: Tables) -> DataFrame:
     """Commit date before ship date, over 90 days (the raw query: before receipt, over a quarter)."""
     return (
-        order_lines(t)
+        fact(t)
         .filter(_within("o_orderdate", "1996-07-01", "1996-09-29") & (F.col("l_commitdate") < F.col("l_shipdate")))
         .groupBy("o_orderpriority").agg(F.count_distinct("l_orderkey").alias("order_count"))
         .sort("o_orderpriority")
@@ -227,7 +227,7 @@ def _q4(t: Tables) -> DataFrame:
 
 def _q5(t: Tables) -> DataFrame:
     """Revenue by customer nation over 365 days; the supplier's nation does not matter here."""
-    placed = order_lines(t).filter(_within("o_orderdate", "1996-01-01", "1996-12-31"))
+    placed = fact(t).filter(_within("o_orderdate", "1996-01-01", "1996-12-31"))
     return (
         _of_customers(t, placed, "r_region", "ASIA")
         .groupBy("n_nation").agg(exact_sum(revenue()).alias("revenue")).sort(F.desc("revenue"))
@@ -237,7 +237,7 @@ def _q5(t: Tables) -> DataFrame:
 def _q2(t: Tables) -> DataFrame:
     d = dims(t)
     return cheapest_offers(
-        partsupp(t.lineitem), scd2.current(d["supplier"]), scd2.current(d["part"]), "EUROPE", 15, "%ARD"
+        t.partsupp, scd2.current(d["supplier"]), scd2.current(d["part"]), "EUROPE", 15, "%ARD"
     )
 
 
@@ -247,11 +247,11 @@ QUERIES = {
     "model_order_dim": order_model,
     "model_part_supplier_fact": part_supplier_model,
     "model_line_item_fact": line_item_model,
-    "bridge_order_customer": lambda t: _bridges(t, dims(t))[0],
-    "bridge_part_supp": lambda t: _bridges(t, dims(t))[1],
-    "fact_line_item": fact,
+    "bridge_order_customer": _order_customer,
+    "bridge_part_supp": _part_supp,
+    "fact_line_item": build_fact,
     "fact_upsert_session": _upserted,
-    "tpch_q1_star": lambda t: pricing_summary(order_lines(t), days=3),
+    "tpch_q1_star": lambda t: pricing_summary(fact(t), days=3),
     "tpch_q2_star": _q2,
     "tpch_q3_star": _q3,
     "tpch_q4_star": _q4,

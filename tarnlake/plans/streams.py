@@ -16,18 +16,18 @@ from tarnlake.streaming import events as streams
 _FIELDS = ["id", "state", "amount", "modified"]
 
 
-def _land(t: Tables, rows: DataFrame) -> str:
-    path = work_path(t.spark, "landing")
-    event_stream(rows).select(F.to_json(F.struct("value")).alias("line")).write.text(path)
+def _land(t: Tables, rows: DataFrame, path: str | None = None) -> str:
+    path = path or work_path(t.spark, "landing")
+    event_stream(rows).select(F.to_json(F.struct("value")).alias("line")).write.mode("append").text(path)
     return path
 
 
-def _stream(t: Tables, path: str, max_files: int = 1000) -> DataFrame:
-    return cdc.parse_events(streams.read_files(t.spark, path, max_files), ROW_DDL)
+def _stream(t: Tables, path: str) -> DataFrame:
+    return cdc.parse_events(streams.read_files(t.spark, path), ROW_DDL)
 
 
-def _changes(t: Tables, path: str, max_files: int) -> DataFrame:
-    rows = cdc.normalize(cdc.flatten(_stream(t, path, max_files)), _FIELDS)
+def _changes(t: Tables, path: str) -> DataFrame:
+    rows = cdc.normalize(cdc.flatten(_stream(t, path)), _FIELDS)
     return rows.withColumn("amount", decode_decimal(F.col("amount"), 2).cast("double")).select(
         "id", "state", "amount", "op", "lsn", "event_ts"
     )
@@ -42,7 +42,7 @@ def _ingested(t: Tables, write_twice: bool = False) -> DataFrame:
         if write_twice:  # the replay a restart causes when the batch was not committed
             once(batch, batch_id)
 
-    flat = cdc.flatten(_stream(t, _land(t, t.events), 2))
+    flat = cdc.flatten(_stream(t, _land(t, t.events)))
     streams.drain(streams.start(flat, replayed, checkpoint, every=None))
     return streams.read_log(t.spark, log).select(
         "before__id", "after__id", "after__state", "source__lsn", "source__ts_ms", "op"
@@ -57,20 +57,16 @@ def _json_sink(t: Tables) -> DataFrame:
 
 
 def _upserted(t: Tables) -> DataFrame:
-    """Events land in two drops; the state is folded between them."""
-    state = work_path(t.spark, "state")
-    for kinds in (["signup", "error", "view"], ["click", "purchase"]):
-        changes = _changes(t, _land(t, t.events.filter(F.col("event_type").isin(kinds))), 4)
-        target = state if kinds[0] == "signup" else f"{state}"
-        offset = 0 if kinds[0] == "signup" else 1_000_000
-        write = streams.upsert(target, ["id"], "lsn")
-        query = streams.start(
-            changes, lambda batch, i, write=write, offset=offset: write(batch, i + offset),
-            work_path(t.spark, "checkpoint"), every=None,
-        )
-        streams.drain(query)
-        if offset == 0:
-            streams.fold(t.spark, state, ["id"], "lsn", datetime(2024, 2, 1))
+    """Events land in two drops, out of order; the state is folded between them."""
+    landing, state, checkpoint = (work_path(t.spark, n) for n in ("landing", "state", "checkpoint"))
+
+    def drop(kinds: list[str]) -> None:
+        _land(t, t.events.filter(F.col("event_type").isin(kinds)), landing)
+        streams.drain(streams.start(_changes(t, landing), streams.upsert(state, ["id"], "lsn"), checkpoint, every=None))
+
+    drop(["signup", "error", "view"])
+    streams.fold(t.spark, state, ["id"], "lsn", datetime(2024, 2, 1))
+    drop(["click", "purchase"])
     return streams.current_state(t.spark, state, ["id"], "lsn")
 
 

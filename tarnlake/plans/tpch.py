@@ -13,7 +13,7 @@ from dateutil.relativedelta import relativedelta
 from pyspark.sql import DataFrame, functions as F
 
 from tarnlake.functions import average, exact_sum, money, rate
-from tarnlake.plans.inputs import LINE_EXT, PARTSUPP, Tables, line_ext, partsupp, ts
+from tarnlake.plans.inputs import LINE_EXT, PARTSUPP, Tables, line_ext, ts
 
 
 def _day(text: str):
@@ -172,7 +172,7 @@ def ship_modes(
 # --- registered queries ---------------------------------------------------------------
 
 def _q2(t: Tables) -> DataFrame:
-    return minimum_cost_supplier(t.part, t.supplier, partsupp(t.lineitem), t.nation, t.region, kind="%ARD")
+    return minimum_cost_supplier(t.part, t.supplier, t.partsupp, t.nation, t.region, kind="%ARD")
 
 
 def _q5(t: Tables) -> DataFrame:
