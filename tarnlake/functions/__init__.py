@@ -1,7 +1,7 @@
 """Column functions: money, time, hashing and wire-format decoding."""
 
 from tarnlake.functions.hashing import differs, row_hash
-from tarnlake.functions.money import average, exact_sum, money, rate
+from tarnlake.functions.money import average, exact_sum, exact_total, hundredths, money
 from tarnlake.functions.time import (
     epoch_micros,
     epoch_millis,
@@ -13,7 +13,7 @@ from tarnlake.functions.time import (
 from tarnlake.functions.wire import decode_decimal, encode_decimal, path_safe
 
 __all__ = [
-    "average", "decode_decimal", "differs", "encode_decimal", "epoch_micros",
-    "epoch_millis", "exact_sum", "from_epoch_days", "from_epoch_micros",
-    "from_epoch_millis", "money", "ntz", "path_safe", "rate", "row_hash",
+    "average", "decode_decimal", "differs", "encode_decimal", "epoch_micros", "epoch_millis", "exact_sum",
+    "exact_total", "from_epoch_days", "from_epoch_micros", "from_epoch_millis", "hundredths", "money", "ntz",
+    "path_safe", "row_hash",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tarnlake.functions import exact_sum, money, ntz
+from tarnlake.functions import exact_sum, exact_total, hundredths, ntz
 from tarnlake.operators import changefeed, incremental
 from tarnlake.plans.inputs import (
     LINE_UNIQUE, SALES, SALES_AFTER, SALES_BEFORE, SALES_CHANGE_TS, SALES_KEY, SALES_LOAD_TS, Tables, sales_after,
@@ -16,7 +16,7 @@ KEYS = ["product_id", "order_date"]
 
 def daily(rows: DataFrame, committed) -> DataFrame:
     return rows.groupBy(*KEYS).agg(
-        F.sum("qty").cast("decimal(25,2)").alias("sold_qty"),
+        exact_total(hundredths("qty"), 2).cast("decimal(25,2)").alias("sold_qty"),
         F.count(F.lit(1)).alias("n_rows"),
         F.max(committed).alias("record_commit_timestamp"),
     )
@@ -26,17 +26,17 @@ def weekly(rows: DataFrame) -> DataFrame:
     """Sold quantity by product, week (Monday) and the order's latest state."""
     return rows.groupBy(
         "product_id", ntz(F.date_trunc("week", "order_date")).alias("week_date"), "order_state"
-    ).agg(exact_sum("qty").alias("sold_qty"))
+    ).agg(exact_sum(hundredths("qty")).alias("sold_qty"))
 
 
 def customer_revenue(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Revenue (quantity x unit price) by customer and order day."""
-    unit = (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).cast("decimal(15,2)")
-    per_order = lines.groupBy("l_orderkey").agg(F.sum(money("l_quantity") * unit).alias("amount"))
+    unit = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity"))
+    per_order = lines.groupBy("l_orderkey").agg(F.sum(hundredths("l_quantity") * unit).alias("amount"))
     return (
         orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy(F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("order_date"))
-        .agg(exact_sum("amount").alias("revenue"))
+        .agg(exact_sum(F.col("amount"), 4).alias("revenue"))
     )
 
 

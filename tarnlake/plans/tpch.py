@@ -12,7 +12,7 @@ from datetime import date
 from dateutil.relativedelta import relativedelta
 from pyspark.sql import DataFrame, functions as F
 
-from tarnlake.functions import average, exact_sum, money, rate
+from tarnlake.functions import average, exact_sum, hundredths
 from tarnlake.plans.inputs import LINE_EXT, PARTSUPP, Tables, line_ext, ts
 
 
@@ -21,7 +21,8 @@ def _day(text: str):
 
 
 def revenue():
-    return money("l_extendedprice") * (1 - rate("l_discount"))
+    """Discounted price of a line in units of 10^-4."""
+    return hundredths("l_extendedprice") * (100 - hundredths("l_discount"))
 
 
 def pricing_summary(lineitem: DataFrame, cutoff: str = "1998-12-01", days: int = 90) -> DataFrame:
@@ -31,13 +32,13 @@ def pricing_summary(lineitem: DataFrame, cutoff: str = "1998-12-01", days: int =
         lineitem.filter(F.col("l_shipdate") <= _day(last))
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
-            exact_sum(money("l_quantity")).alias("sum_qty"),
-            exact_sum(money("l_extendedprice")).alias("sum_base_price"),
-            exact_sum(discounted).alias("sum_disc_price"),
-            exact_sum(discounted * (1 + rate("l_tax"))).alias("sum_charge"),
-            average(money("l_quantity")).alias("avg_qty"),
-            average(money("l_extendedprice")).alias("avg_price"),
-            average(rate("l_discount")).alias("avg_disc"),
+            exact_sum(hundredths("l_quantity")).alias("sum_qty"),
+            exact_sum(hundredths("l_extendedprice")).alias("sum_base_price"),
+            exact_sum(discounted, 4).alias("sum_disc_price"),
+            exact_sum(discounted * (100 + hundredths("l_tax")), 6).alias("sum_charge"),
+            average(hundredths("l_quantity")).alias("avg_qty"),
+            average(hundredths("l_extendedprice")).alias("avg_price"),
+            average(hundredths("l_discount")).alias("avg_disc"),
             F.count(F.lit(1)).alias("count_order"),
         )
         .sort("l_returnflag", "l_linestatus")
@@ -70,7 +71,7 @@ def shipping_priority(
 ) -> DataFrame:
     sums = (
         lineitem.filter(F.col("l_shipdate") > _day(day))
-        .groupBy("l_orderkey").agg(exact_sum(revenue()).alias("revenue"))
+        .groupBy("l_orderkey").agg(exact_sum(revenue(), 4).alias("revenue"))
     )
     buyers = customer.filter(F.col("c_mktsegment") == segment).select("c_custkey")
     placed = orders.filter(F.col("o_orderdate") < _day(day)).join(
@@ -131,20 +132,24 @@ def local_supplier_volume(
             supplier.select("s_suppkey", "s_nationkey"),
             (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("c_nationkey") == F.col("s_nationkey")),
         )
-        .groupBy("n_name").agg(exact_sum("amount").alias("revenue"))
+        .groupBy("n_name").agg(exact_sum(F.col("amount"), 4).alias("revenue"))
         .sort(F.desc("revenue"))
     )
 
 
 def revenue_change(
-    lineitem: DataFrame, first: str = "1994-01-01", low: str = "0.05", high: str = "0.07", quantity: int = 24
+    lineitem: DataFrame, first: str = "1994-01-01", low: int = 5, high: int = 7, quantity: int = 24
 ) -> DataFrame:
-    """Revenue a discount band gave away; the band is compared in decimals."""
+    """Revenue a band of discounts (in whole percent) gave away.
+
+    The band is widened by half a percent on each side, which selects the same two-decimal
+    rates without comparing doubles for equality, and is a range the scan can prune by.
+    """
+    band = (F.col("l_discount") >= (low - 0.5) / 100) & (F.col("l_discount") < (high + 0.5) / 100)
+    given_away = hundredths("l_extendedprice") * hundredths("l_discount")
     return lineitem.filter(
-        _in_months(first, 12)("l_shipdate")
-        & rate("l_discount").between(F.lit(low).cast("decimal(4,2)"), F.lit(high).cast("decimal(4,2)"))
-        & (F.col("l_quantity") < quantity)
-    ).agg(exact_sum(money("l_extendedprice") * rate("l_discount")).alias("revenue"))
+        _in_months(first, 12)("l_shipdate") & band & (F.col("l_quantity") < quantity)
+    ).agg(exact_sum(given_away, 4).alias("revenue"))
 
 
 def ship_modes(
