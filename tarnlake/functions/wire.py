@@ -6,38 +6,52 @@ from pyspark.sql import Column, functions as F
 
 _LIMB_HEX = 8                 # hex digits per limb: 32 bits
 _LIMBS = 4                    # 16 bytes in all
-_MAX_BYTES = 15               # wider unscaled values do not fit decimal(38,0)
+_LONG_HEX = 14                # up to 7 bytes go through a long
+_MAX_HEX = 30                 # wider unscaled values do not fit decimal(38,0)
+_DIGITS = 40
 
 
-def decode_decimal(encoded: Column, scale: Column | int, target: str = "decimal(15,2)") -> Column:
-    """Base64 of a big-endian two's-complement unscaled integer -> decimal.
+def _unsigned(digits: Column) -> Column:
+    return F.conv(digits, 16, 10)
 
-    The scale may differ from row to row; the target type is fixed, digits beyond
-    it are rounded half up. NULL, empty, over-wide (> 15 bytes) and out-of-range
-    values give NULL.
-    """
-    digits = F.hex(F.unbase64(encoded))
-    negative = F.conv(F.substring(digits, 1, 1), 16, 10).cast("int") >= 8
+
+def _wide(digits: Column, negative: Column) -> Column:
+    """Two's complement of up to 15 bytes, limb by limb."""
     width = _LIMB_HEX * _LIMBS
     padded = F.when(negative, F.lpad(digits, width, "F")).otherwise(F.lpad(digits, width, "0"))
     total = F.lit(0).cast("decimal(38,0)")
     for i in range(_LIMBS):
-        limb = F.conv(F.substring(padded, 1 + i * _LIMB_HEX, _LIMB_HEX), 16, 10).cast("decimal(38,0)")
+        limb = _unsigned(F.substring(padded, 1 + i * _LIMB_HEX, _LIMB_HEX)).cast("decimal(38,0)")
         if i == 0:
             limb = F.when(negative, limb - F.lit(1 << 32)).otherwise(limb).cast("decimal(38,0)")
         weight = F.lit(str(1 << (32 * (_LIMBS - 1 - i)))).cast("decimal(38,0)")
         total = F.try_add(total, F.try_multiply(limb, weight)).cast("decimal(38,0)")
+    return total
+
+
+def decode_decimal(encoded: Column, scale: Column | int, target: str = "decimal(15,2)") -> Column:
+    """Base64 of a big-endian two's-complement unscaled integer -> decimal.
+
+    The scale may differ from row to row; the target type is fixed, digits beyond
+    it are rounded half up. NULL, empty, over-wide (> 15 bytes) and out-of-range
+    values give NULL.
+    """
+    digits = F.hex(F.unbase64(encoded))
+    size = F.length(digits)
+    negative = F.substring(digits, 1, 1) >= "8"
+    short = _unsigned(digits).cast("long")
+    short = F.when(negative, short - F.pow(F.lit(2.0), size * 4).cast("long")).otherwise(short)
+    # the sign is taken off as text: negating a decimal rounds beyond 34 digits
+    signed = F.when(size <= _LONG_HEX, short.cast("string")).otherwise(_wide(digits, negative).cast("string"))
+    whole = F.ltrim(signed, F.lit("-"))
     scale = F.lit(scale) if isinstance(scale, int) else scale
-    text = F.lpad(F.abs(total).cast("string"), 40, "0")
-    cut = F.lit(40) - scale
+    text = F.lpad(whole, _DIGITS, "0")
+    cut = F.lit(_DIGITS) - scale
     point = F.concat(
         F.when(negative, F.lit("-")).otherwise(F.lit("")),
-        F.substring(text, F.lit(1), cut),
-        F.lit("."),
-        F.substring(text, cut + F.lit(1), F.lit(40)),
+        F.substring(text, F.lit(1), cut), F.lit("."), F.substring(text, cut + F.lit(1), F.lit(_DIGITS)),
     )
-    usable = (F.length(digits) > 0) & (F.length(digits) <= 2 * _MAX_BYTES)
-    return F.when(usable, point).try_cast(target)
+    return F.when((size > 0) & (size <= _MAX_HEX), point).try_cast(target)
 
 
 def encode_decimal(amount: Column, scale: int = 2) -> Column:

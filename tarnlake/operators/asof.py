@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tarnlake.operators.runs import carry_forward, split
+from tarnlake.functions import epoch_micros
+from tarnlake.operators.runs import ROWS_PER_TASK, carry_forward, split
 
 _EV, _VER, _AT, _ORDER = "__event", "__version", "__at", "__order"
+FEW_VERSIONS = 64
 
 
 def point_in_time_join(
@@ -19,14 +21,13 @@ def point_in_time_join(
     start: str,
     end: str,
     take: Sequence[str],
-    bucket: Callable[[Column], Column] | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join on key and `start <= event_ts < end`, in one sort per key and no pair expansion.
 
     Versions of a key must not overlap. Both inputs are laid on one time line and
     each event looks back at the newest version; the cost does not depend on the
-    number of versions per key. `bucket` maps a time column to a slice (see
-    `runs`) and splits hot keys over many tasks.
+    number of versions per key. Keys too large for a task are cut along time (see `runs`).
     """
     keys = list(keys)
     carried = list(dict.fromkeys([*take, end]))
@@ -42,7 +43,7 @@ def point_in_time_join(
         # at equal times a version comes before the events it applies to
         .withColumn(_ORDER, F.struct(F.col(_AT), F.col(_EV).isNotNull()))
     )
-    line = split(line, None if bucket is None else bucket(F.col(_AT)))
+    line = split(line, keys, epoch_micros(_AT), rows_per_task)
     met = carry_forward(line, keys, _ORDER, F.col(_VER).isNotNull(), [f"{_VER}.*"], "__met")
     met = met.filter(F.col(_EV).isNotNull())
     valid = F.col(_AT) < F.col(f"__met.{end}")
@@ -59,18 +60,28 @@ def interval_join(
     start: str,
     end: str,
     take: Sequence[str],
+    few: int = FEW_VERSIONS,
 ) -> DataFrame:
-    """The same join as an equi-join with a range residual.
+    """The same join as an equi-join with a range residual, for keys of few versions.
 
-    Better while the versions fit a broadcast (the events are then not shuffled);
-    work grows with the number of versions per key.
+    While the versions fit a broadcast the events are not shuffled at all. An event is
+    held against at most `few` versions; the events of keys that have more (at most
+    versions / few keys, which bounds that broadcast) take the time line instead.
     """
-    cond: Column = (F.col(f"e.{event_ts}") >= F.col(f"v.{start}")) & (F.col(f"e.{event_ts}") < F.col(f"v.{end}"))
+    keys = list(keys)
+    many = F.broadcast(versions.groupBy(*keys).count().filter(F.col("count") > few).select(*keys))
+    inside: Column = (F.col(f"e.{event_ts}") >= F.col(f"v.{start}")) & (F.col(f"e.{event_ts}") < F.col(f"v.{end}"))
     for k in keys:
-        cond = (F.col(f"e.{k}") == F.col(f"v.{k}")) & cond
-    return events.alias("e").join(versions.alias("v"), cond, "left").select(
-        "e.*", *[F.col(f"v.{c}") for c in take]
+        inside = (F.col(f"e.{k}") == F.col(f"v.{k}")) & inside
+    light = events.join(many, keys, "left_anti").select(*events.columns).alias("e")
+    versions_light = versions.join(many, keys, "left_anti").alias("v")
+    met = light.join(versions_light, inside, "left").select("e.*", *[F.col(f"v.{c}") for c in take])
+    heavy = point_in_time_join(
+        events.join(many, keys, "left_semi").select(*events.columns),
+        versions.join(many, keys, "left_semi").select(*versions.columns),
+        keys, event_ts, start, end, take,
     )
+    return met.unionByName(heavy)
 
 
 def pinned_and_latest(

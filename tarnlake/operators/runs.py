@@ -1,11 +1,10 @@
 """Looking along the rows of a key, when one key may hold much of the table.
 
-A window over the key alone puts every row of a key in one task. `split` adds a
-bucket: a value that never decreases along the order and bounds how many rows of a key share it -
-a slice of a unique integer sequence (then at most `width` rows, whatever the key)
-or of time. The functions below sort within (key, bucket) and let only one edge row per
-(key, bucket) travel between buckets. Without `split` they use the plain window,
-which is one shuffle and fine while no key outgrows a task.
+A window over the key alone puts every row of a key in one task. `split` finds the keys
+that are too large for that and cuts their rows into slices along the order; the
+functions below then sort within (key, slice) and let only one edge row per slice
+travel between slices. Other keys stay in one piece, and on data without a large
+key all that is added is the count of rows per key.
 """
 
 from __future__ import annotations
@@ -14,53 +13,61 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-BUCKET_WIDTH = 1 << 22
-BUCKET, _EDGE, _IS_EDGE = "__bucket", "__edge", "__is_edge"
+ROWS_PER_TASK = 1 << 23
+_OVERSAMPLE = 4               # slices are planned this much smaller, for uneven arrival
+SLICE, _HOT, _EDGE, _IS_EDGE = "__slice", "__hot", "__edge", "__is_edge"
 
 
-def split(df: DataFrame, bucket: Column | None) -> DataFrame:
-    """Mark the rows with their bucket; `unsplit` removes the mark."""
-    return df if bucket is None else df.withColumn(BUCKET, bucket)
+def split(df: DataFrame, keys: Sequence[str], along: Column, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Mark rows with a slice number that never decreases along the order.
 
-
-def unsplit(df: DataFrame) -> DataFrame:
-    return df.drop(BUCKET)
-
-
-def sequence_bucket(sequence: Column | str, width: int = BUCKET_WIDTH) -> Column:
-    """Bucket of a unique integer sequence: at most `width` rows per key and bucket."""
-    column = F.col(sequence) if isinstance(sequence, str) else sequence
-    return F.floor(column / F.lit(width))
+    `along` is the order as an integer (a sequence number, epoch microseconds). A key
+    of more than `rows_per_task` rows is cut into equal stretches of its own span, as
+    many as its row count asks for. `unsplit` removes the marks.
+    """
+    keys = list(keys)
+    pieces = F.ceil(F.col("__n") * F.lit(_OVERSAMPLE) / F.lit(rows_per_task))
+    # At most (rows of the table / rows_per_task) keys pass the filter: that bounds the broadcast.
+    large = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(along).alias("__lo"), F.max(along).alias("__hi"))
+        .filter(F.col("__n") > rows_per_task)
+        .select(*keys, "__lo", F.ceil((F.col("__hi") - F.col("__lo") + 1) / pieces).alias("__step"))
+    )
+    marked = df.join(F.broadcast(large), keys, "left")
+    number = F.floor((along - F.col("__lo")) / F.col("__step"))
+    return marked.select(
+        *df.columns, F.coalesce(number, F.lit(0)).alias(SLICE), F.col("__lo").isNotNull().alias(_HOT)
+    )
 
 
-def day_bucket(ts: Column | str) -> Column:
-    return F.date_trunc("day", ts)
+def unsplit(df: DataFrame) -> DataFrame:
+    return df.drop(SLICE, _HOT)
 
 
 def _window(df: DataFrame, keys: Sequence[str], by: Column) -> WindowSpec:
-    return Window.partitionBy(*keys, *([BUCKET] if BUCKET in df.columns else [])).orderBy(by)
+    return Window.partitionBy(*keys, *([SLICE] if SLICE in df.columns else [])).orderBy(by)
 
 
 def _with_edges(inner: DataFrame, keys: Sequence[str], is_edge: Column, value: Column, across: Column) -> DataFrame:
-    """Join each (key, bucket) with `across`, evaluated over the edge rows of its key.
+    """Join each (key, slice) of a large key with `across`, evaluated over the edge rows of its key.
 
     The edge rows come out of the same sorted shuffle as the rows themselves, so
-    the only further exchanges move one small row per (key, bucket).
+    the only further exchanges move one small row per slice.
     """
     edges = (
-        inner.withColumn(_IS_EDGE, is_edge).filter(_IS_EDGE)
-        .select(*keys, BUCKET, value.alias(_EDGE)).withColumn(_EDGE, across)
+        inner.withColumn(_IS_EDGE, is_edge).filter(F.col(_HOT) & F.col(_IS_EDGE))
+        .select(*keys, SLICE, value.alias(_EDGE)).withColumn(_EDGE, across)
     )
-    return inner.join(edges, [*keys, BUCKET], "left")
+    return inner.join(edges, [*keys, SLICE], "left")
 
 
 def _neighbour(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence, name: str, back: bool) -> DataFrame:
     step, other = (F.lag, F.lead) if back else (F.lead, F.lag)
     payload, w = F.struct(*columns), _window(df, keys, F.col(order).asc())
     inner = df.withColumn(name, step(payload).over(w))
-    if BUCKET not in df.columns:
+    if SLICE not in df.columns:
         return inner
-    across = step(_EDGE).over(Window.partitionBy(*keys).orderBy(BUCKET))
+    across = step(_EDGE).over(Window.partitionBy(*keys).orderBy(SLICE))
     joined = _with_edges(inner, keys, other(F.lit(1)).over(w).isNull(), payload, across)
     return joined.select(*df.columns, F.coalesce(F.col(name), F.col(_EDGE)).alias(name))
 
@@ -86,9 +93,9 @@ def carry_forward(
     w = _window(df, keys, F.col(order).asc())
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = df.withColumn(name, F.last(F.when(mark, F.struct(*columns)), ignorenulls=True).over(so_far))
-    if BUCKET not in df.columns:
+    if SLICE not in df.columns:
         return inner
-    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     across = F.last(_EDGE, ignorenulls=True).over(before)
     joined = _with_edges(inner, keys, F.lead(F.lit(1)).over(w).isNull(), F.col(name), across)
     return joined.select(*df.columns, F.coalesce(F.col(name), F.col(_EDGE)).alias(name))
@@ -98,10 +105,10 @@ def numbered(df: DataFrame, keys: Sequence[str], order: str, name: str, descendi
     """Add `name`: position 1, 2, ... of the row among the rows of its key."""
     w = _window(df, keys, F.col(order).desc() if descending else F.col(order).asc())
     inner = df.withColumn(name, F.row_number().over(w).cast("long"))
-    if BUCKET not in df.columns:
+    if SLICE not in df.columns:
         return inner
-    slots = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
+    slots = F.col(SLICE).desc() if descending else F.col(SLICE).asc()
     before = Window.partitionBy(*keys).orderBy(slots).rowsBetween(Window.unboundedPreceding, -1)
     across = F.coalesce(F.sum(_EDGE).over(before), F.lit(0))
     joined = _with_edges(inner, keys, F.lead(F.lit(1)).over(w).isNull(), F.col(name), across)
-    return joined.select(*df.columns, (F.col(name) + F.col(_EDGE)).alias(name))
+    return joined.select(*df.columns, (F.col(name) + F.coalesce(F.col(_EDGE), F.lit(0))).alias(name))

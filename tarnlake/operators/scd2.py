@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnlake.functions import differs
 from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply
-from tarnlake.operators.runs import following, numbered, previous, split, unsplit
+from tarnlake.operators.runs import ROWS_PER_TASK, following, numbered, previous, split, unsplit
 
 ACTIVE, START, END = "record_active_flag", "record_start_date", "record_end_date"
 OPEN_END = "9999-12-31 00:00:00"
@@ -152,16 +152,16 @@ def history(
     tracked: Sequence[str],
     event_ts: str,
     deleted: Column | None = None,
-    bucket: Column | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """All versions of every key from a change log, ordered by `sequence`.
+    """All versions of every key from a change log, ordered by an integer `sequence`.
 
     A row opens a version when it is the first of its key, differs from the row
-    before it, or follows a delete; the next opening or delete closes it. `bucket`
-    splits hot keys (see `runs`).
+    before it, or follows a delete; the next opening or delete closes it. Keys too
+    large for a task are cut along the sequence (see `runs`).
     """
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
-    marked = split(log.withColumn("__gone", gone), bucket)
+    marked = split(log.withColumn("__gone", gone), keys, F.col(sequence), rows_per_task)
     seen = previous(marked, keys, sequence, [*tracked, "__gone"], "__prev")
     changed = reduce(
         lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"__prev.{c}")) for c in tracked], F.lit(False)
@@ -189,9 +189,12 @@ def rebuild_touched(
     )
 
 
-def rank_versions(df: DataFrame, keys: Sequence[str], sequence: str, bucket: Column | None = None) -> DataFrame:
+def rank_versions(
+    df: DataFrame, keys: Sequence[str], sequence: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Versions numbered newest first; number 1 is active."""
-    ranked = unsplit(numbered(split(df, bucket), keys, sequence, "version_rank", descending=True))
+    cut = split(df, keys, F.col(sequence), rows_per_task)
+    ranked = unsplit(numbered(cut, keys, sequence, "version_rank", descending=True))
     return ranked.withColumn(ACTIVE, F.col("version_rank") == 1)
 
 

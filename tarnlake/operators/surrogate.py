@@ -4,35 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-_B, _BEFORE = "__slot", "__before"
-
-
-def assign(
-    df: DataFrame,
-    name: str,
-    order: Sequence[str],
-    after: DataFrame | None = None,
-    bucket: Column | None = None,
-    buckets: int = 4096,
-) -> DataFrame:
-    """Number rows `max(after.name) + 1 ..` densely and stably.
-
-    Rows are numbered within buckets; the running total of bucket sizes (one row per
-    bucket) shifts each bucket to its place. The default bucket is a hash of the order
-    columns: dense and reproducible, but not in key order. A `bucket` that never
-    decreases along the order (`sequence_bucket` of an integer key) makes the
-    numbers follow the order. The order columns must identify a row.
+from pyspark.sql import DataFrame, Window, functions as F
+
+from tarnlake.session import staged
+
+_ROW_BITS = 33                # layout of monotonically_increasing_id: partition above, row below
+_ID, _PART, _ROW, _BEFORE = "__id", "__part", "__row", "__before"
+
+
+def assign(df: DataFrame, name: str, order: Sequence[str], after: DataFrame | None = None) -> DataFrame:
+    """Number rows `max(after.name) + 1 ..` densely, following `order`.
+
+    Rows are range-partitioned and sorted on the order columns (which must identify a
+    row, so no value of one of them can overload a partition) and written with their
+    place within the partition. The written table fixes those places, whatever is
+    recomputed later; a running total of partition sizes turns them into numbers.
     """
-    slot = F.pmod(F.xxhash64(*order), F.lit(buckets)) if bucket is None else bucket
-    slotted = df.withColumn(_B, slot)
-    sizes = slotted.groupBy(_B).count()
-    # one row per bucket: the only ordering that spans them all
-    running = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(_B, F.coalesce(F.sum("count").over(running), F.lit(0)).alias(_BEFORE))
-    numbered = slotted.withColumn(name, F.row_number().over(Window.partitionBy(_B).orderBy(*order)).cast("long"))
-    position = F.col(name) + F.col(_BEFORE)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged(ranged.withColumn(_ID, F.monotonically_increasing_id()), name).select(
+        *df.columns,
+        F.shiftright(_ID, _ROW_BITS).alias(_PART),
+        F.col(_ID).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(_ROW),
+    )
+    # one row per partition: the only window that spans them all
+    running = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(_PART).agg((F.max(_ROW) + 1).alias("__size"))
+    starts = sizes.select(_PART, F.coalesce(F.sum("__size").over(running), F.lit(0)).alias(_BEFORE))
+    position = F.col(_ROW) + F.col(_BEFORE) + 1
     if after is not None:
         position = position + after.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
-    return numbered.join(starts, _B).select(*df.columns, position.cast("long").alias(name))
+    # as many rows as the range partitioning has partitions
+    return placed.join(F.broadcast(starts), _PART).select(*df.columns, position.cast("long").alias(name))

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from tarnlake.functions import row_hash
 from tarnlake.operators import asof, calendar, cdc, maintain, scd2, surrogate
 from tarnlake.operators.quality import complete, contained_in, unique, write_audit_publish
-from tarnlake.operators.runs import day_bucket, sequence_bucket
 from tarnlake.plans.inputs import (
     BASE_CHANGES, CHANGE_LOG, CHANGE_TS, CUSTOMER_FIELDS, CUSTOMER_NEXT, LOAD_TS, NEW_CHANGES, PARTSUPP, Tables,
     base_changes, change_log, customer_changes, customer_next, new_changes, partsupp, ts,
@@ -25,7 +24,7 @@ def existing(t: Tables) -> DataFrame:
 def first_load(t: Tables) -> DataFrame:
     """Customer dimension after its first load, with surrogate keys in key order."""
     rows = t.customer.select(*CUSTOMER_FIELDS)
-    numbered = surrogate.assign(rows, "sk_custkey", ["c_custkey"], bucket=sequence_bucket("c_custkey"))
+    numbered = surrogate.assign(rows, "sk_custkey", ["c_custkey"])
     return scd2.as_dimension(numbered, ts(LOAD_TS))
 
 
@@ -44,16 +43,16 @@ def _applied_batch(t: Tables) -> DataFrame:
 
 
 def state_history(log: DataFrame) -> DataFrame:
-    """Versions of `state` per id, deletes ignored; hot ids split by sequence bucket."""
+    """Versions of `state` per id, deletes ignored."""
     return scd2.history(
-        log.filter(F.col("op") != "d"), ["id"], "lsn", ["state"], "event_ts", bucket=sequence_bucket("lsn")
+        log.filter(F.col("op") != "d"), ["id"], "lsn", ["state"], "event_ts"
     )
 
 
 def _full_history(log: DataFrame) -> DataFrame:
     """Versions of (state, amount) per id; a delete closes the version before it."""
     return scd2.history(
-        log, ["id"], "lsn", ["state", "amount"], "event_ts", F.col("op") == "d", sequence_bucket("lsn")
+        log, ["id"], "lsn", ["state", "amount"], "event_ts", F.col("op") == "d"
     )
 
 
@@ -92,7 +91,7 @@ def _bridge_versions(t: Tables) -> DataFrame:
 def _surrogates(t: Tables) -> DataFrame:
     fresh = _next(t).join(t.customer, ["c_custkey"], "left_anti").select("c_custkey", "c_name")
     return surrogate.assign(
-        fresh, "sk_custkey", ["c_custkey"], existing(t), sequence_bucket("c_custkey")
+        fresh, "sk_custkey", ["c_custkey"], existing(t)
     )
 
 
@@ -113,7 +112,7 @@ def _stage(t: Tables) -> DataFrame:
     ))
     fresh = surrogate.assign(
         applied.filter(F.col("sk_custkey").isNull()).drop("sk_custkey"), "sk_custkey", ["c_custkey"],
-        existing(t), sequence_bucket("c_custkey"),
+        existing(t),
     )
     return applied.filter(F.col("sk_custkey").isNotNull()).unionByName(fresh)
 
@@ -142,19 +141,19 @@ def _evolved(t: Tables) -> DataFrame:
     return maintain.drop_columns(wider, "c_mktsegment")
 
 
-def _pit(t: Tables, join=asof.point_in_time_join, **how) -> DataFrame:
+def _pit(t: Tables, join=asof.point_in_time_join) -> DataFrame:
     versions = _state_dim(t).select(
         F.col("id").alias("user_id"), F.col("state").alias("version_state"), F.col("lsn").alias("version_lsn"),
         scd2.START, scd2.END,
     )
     events = t.events.select("event_id", "user_id", "ts", "event_type")
-    return join(events, versions, ["user_id"], "ts", scd2.START, scd2.END, ["version_state", "version_lsn"], **how)
+    return join(events, versions, ["user_id"], "ts", scd2.START, scd2.END, ["version_state", "version_lsn"])
 
 
 def _state_dim(t: Tables) -> DataFrame:
     """All versions of each id's state, with surrogate keys."""
     return t.layer("dim_state", lambda: surrogate.assign(
-        state_history(change_log(t.events)), "state_sk", ["lsn"], bucket=sequence_bucket("lsn")
+        state_history(change_log(t.events)), "state_sk", ["lsn"]
     ))
 
 
@@ -162,7 +161,7 @@ def _facts(t: Tables) -> DataFrame:
     """Events pinned to the version valid when they happened."""
     return asof.point_in_time_join(
         t.events.select("event_id", F.col("user_id").alias("id"), "ts"), _state_dim(t), ["id"], "ts",
-        scd2.START, scd2.END, ["state_sk"], bucket=day_bucket,
+        scd2.START, scd2.END, ["state_sk"],
     ).drop("id")
 
 
@@ -181,7 +180,7 @@ QUERIES = {
     "scd2_apply_events": _event_batch,
     "scd2_history": lambda t: _full_history(change_log(t.events)),
     "scd2_rank_versions": lambda t: scd2.rank_versions(
-        change_log(t.events).select("id", "lsn", "state"), ["id"], "lsn", sequence_bucket("lsn")
+        change_log(t.events).select("id", "lsn", "state"), ["id"], "lsn"
     ),
     "anti_unseen_versions": lambda t: scd2.unseen_versions(
         new_changes(t.events), _versions_base(t), ["id"], ["state", "amount"]
@@ -197,7 +196,7 @@ QUERIES = {
     "wap_order_dim": _wap_order_dim,
     "null_start_rows": _null_start,
     "date_dim": lambda t: calendar.calendar_of(t.orders, "o_orderdate"),
-    "pit_join_left": lambda t: _pit(t, bucket=day_bucket),
+    "pit_join_left": lambda t: _pit(t),
     "pit_join_interval": lambda t: _pit(t, asof.interval_join),
     "pit_pinned_vs_latest": _pinned,
 }

@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tarnlake.operators.latest import dedup
 from tarnlake.session import work_path
 from tarnlake.sinks.files import write_table
 
 _LAYERS: dict[tuple[str, str, str], str] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 SPLIT_TS = "2024-01-16 00:00:00"   # change events before it are the base, the rest the increment
 
@@ -29,7 +31,13 @@ class Tables:
         return f"{self.dir}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self._read(self.path(name))
+
+    def _read(self, path: str) -> DataFrame:
+        """Scan with a known schema: footers are looked at once per table and not per query."""
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Derived table of this directory (a raw view, a dimension, a fact, a feed).
@@ -41,9 +49,9 @@ class Tables:
         key = (self.spark.sparkContext.applicationId, self.dir, name)
         if key not in _LAYERS:
             path = work_path(self.spark, name)
-            write_table(build(), path)
+            write_table(build(), path, even=False)
             _LAYERS[key] = path
-        return self.spark.read.parquet(_LAYERS[key])
+        return self._read(_LAYERS[key])
 
     @property
     def line_unique(self) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tarnlake.functions import exact_sum, row_hash
 from tarnlake.operators import scd2, surrogate
 from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply
-from tarnlake.operators.runs import sequence_bucket
 from tarnlake.plans.inputs import (
     LINE_EXT, LINE_UNIQUE, LOAD_TS, PARTSUPP, Tables, line_ext, ts,
 )
@@ -43,7 +42,7 @@ def order_model(t: Tables) -> DataFrame:
 
 def part_supplier_model(t: Tables) -> DataFrame:
     return surrogate.assign(
-        t.partsupp, "part_supplier_key", ["ps_partkey", "ps_suppkey"], bucket=sequence_bucket("ps_partkey")
+        t.partsupp, "part_supplier_key", ["ps_partkey", "ps_suppkey"]
     )
 
 
@@ -54,13 +53,13 @@ _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedpric
 def line_item_model(t: Tables) -> DataFrame:
     owners = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     lines = t.lineitem.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "left").drop("o_orderkey")
-    return surrogate.assign(lines, "line_order_key", _LINE, bucket=sequence_bucket("l_orderkey"))
+    return surrogate.assign(lines, "line_order_key", _LINE)
 
 
 # --- dimensions and bridges ------------------------------------------------------------
 
 def _dim(model: DataFrame, key: str, name: str) -> DataFrame:
-    return scd2.as_dimension(surrogate.assign(model, name, [key], bucket=sequence_bucket(key)), ts(LOAD_TS))
+    return scd2.as_dimension(surrogate.assign(model, name, [key]), ts(LOAD_TS))
 
 
 def dims(t: Tables) -> dict[str, DataFrame]:

@@ -61,6 +61,13 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a written table in the shared folder: lineage ends there, columns stay prunable."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through reliable storage, so lost executors cost no recomputation."""
     spark = df.sparkSession

@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tarnlake.operators.maintain import balanced
 
 
-def write_table(df: DataFrame, path: str, partitions: int | None = None, codec: str = "snappy") -> None:
-    """Full overwrite. AQE sizes the files unless a fixed count is asked for."""
-    shaped = df.repartition(partitions) if partitions else balanced(df)
+def write_table(
+    df: DataFrame, path: str, partitions: int | None = None, codec: str = "snappy", even: bool = True
+) -> None:
+    """Full overwrite, in a fixed number of files or (`even`) in files AQE sizes.
+
+    Both cost a shuffle; rows that are well spread already are written as they are
+    with `even=False`.
+    """
+    shaped = df.repartition(partitions) if partitions else balanced(df) if even else df
     shaped.write.mode("overwrite").option("compression", codec).parquet(path)
 
 
