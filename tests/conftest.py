@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="10000",
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
         spark__driver__bindAddress="127.0.0.1",

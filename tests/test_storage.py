@@ -1,0 +1,107 @@
+"""Scans, sinks, snapshots, table definition and maintenance."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tarnlake import session
+from tarnlake.operators import calendar, maintain
+from tarnlake.sinks import files as sinks
+from tarnlake.sources import files, snapshots
+
+
+def test_delimited_scan_names_types_and_filler(spark, tmp_path):
+    for i, lines in enumerate((["1|AFRICA|x|", "2|ASIA||"], ["3|EUROPE|y|"])):
+        (tmp_path / f"region.tbl.{i}").write_text("\n".join(lines) + "\n")
+    df = files.read_delimited(spark, str(tmp_path / "region.tbl.*"), files.layout("region"))
+    assert df.columns == ["r_regionkey", "r_name", "r_comment"]
+    assert df.schema["r_regionkey"].dataType.simpleString() == "int"
+    typed = files.read_delimited(spark, str(tmp_path / "region.tbl.*"), schema="k bigint, n string, c string")
+    assert sorted(r["k"] for r in typed.collect()) == [1, 2, 3]
+
+
+def test_layouts_cover_the_source_tables():
+    assert {t: len(files.layout(t)) for t in files.LAYOUTS} == {
+        "nation": 4, "region": 3, "supplier": 7, "customer": 8, "part": 9, "partsupp": 5, "orders": 9, "lineitem": 16,
+    }
+
+
+def test_fixed_file_count_and_codec(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(100), path, partitions=5)
+    assert spark.read.parquet(path).select(F.col("_metadata.file_name").alias("f")).distinct().count() == 5
+    assert len(list((tmp_path / "t").glob("*.snappy.parquet"))) == 5
+
+
+def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string"), path, ["p"])
+    sinks.write_partitions(spark.createDataFrame([(3, "b")], "v int, p string"), path, ["p"])
+    assert sorted(tuple(r) for r in files.read_table(spark, path).collect()) == [(1, "a"), (3, "b")]
+
+
+def test_append_evolves(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.append_table(spark.createDataFrame([(1,)], "a int"), path)
+    sinks.append_table(spark.createDataFrame([(2, "x")], "a int, b string"), path)
+    assert sorted(tuple(r) for r in files.read_evolving(spark, path).select("a", "b").collect()) == [(1, None), (2, "x")]
+
+
+def test_snapshots(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert not snapshots.exists(spark, path)
+    assert snapshots.write(spark.range(3), path, "load", datetime(2024, 1, 1)) == 0
+    assert snapshots.write(snapshots.read(spark, path).filter("id > 0"), path, "delete", datetime(2024, 1, 2)) == 1
+    assert snapshots.read(spark, path).count() == 2 and snapshots.read(spark, path, 0).count() == 3
+    commits = [tuple(r) for r in snapshots.history(spark, path).orderBy("version").collect()]
+    assert commits == [(0, datetime(2024, 1, 1), "load", 3, ""), (1, datetime(2024, 1, 2), "delete", 2, "")]
+    spark.range(9).write.parquet(f"{path}/version=2")    # a write that died before its commit
+    assert snapshots.read(spark, path).count() == 2
+
+
+def test_catalog_tables(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tarn LOCATION '{tmp_path}/db'")
+    try:
+        sinks.save_as(spark.range(4).withColumn("v", F.lit(1)), "tarn.t")
+        spark.sql("INSERT INTO tarn.t SELECT id + 10, 2 FROM range(2)")
+        maintain.analyze(spark, "tarn.t", ["id"])
+        assert spark.table("tarn.t").count() == 6
+        assert [r["tableName"] for r in files.tables(spark, "tarn").collect()] == ["t"]
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS tarn CASCADE")
+
+
+def test_columns_come_and_go(spark):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    assert maintain.add_column(df, "c", F.lit(1), after="a").columns == ["a", "c", "b"]
+    assert maintain.add_column(df, "c", F.lit(1), first=True).columns == ["c", "a", "b"]
+    assert maintain.rename_columns(maintain.drop_columns(df, "b"), {"a": "z"}).columns == ["z"]
+    assert tuple(maintain.conform(df, "b string, a bigint, d date").first()) == ("x", 1, None)
+    with pytest.raises(ValueError, match="not in the table"):
+        maintain.conform(df, "a int")
+    assert maintain.empty_table(spark, "a int").isEmpty()
+
+
+def test_clustering_narrows_file_ranges(spark, tmp_path):
+    path = str(tmp_path / "t")
+    shuffled = spark.range(10_000).withColumn("k", F.col("id") * 7919 % 10_000)
+    maintain.clustered(shuffled, "k", partitions=4).write.parquet(path)
+    spans = spark.read.parquet(path).groupBy("_metadata.file_name").agg((F.max("k") - F.min("k")).alias("span"))
+    assert spans.agg(F.max("span")).first()[0] < 5000
+
+
+def test_calendar(spark):
+    df = calendar.calendar(spark)
+    assert df.count() == 11_323
+    row = df.filter(F.col("sk_datekey") == date(2020, 2, 29)).first()
+    assert tuple(row) == (date(2020, 2, 29), 2020, 2, "February", 7, "Saturday", "Sat", 9, 1, 20200229)
+
+
+def test_job_parameters_and_work_paths(spark):
+    spark.conf.set("spark.app.table_name", "orders")
+    assert session.job_parameter(spark, "table_name") == "orders"
+    assert session.job_parameter(spark, "missing", "x") == "x"
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert session.work_path(spark, "t").startswith(root)
+    assert session.checkpointed(spark.range(3)).count() == 3
