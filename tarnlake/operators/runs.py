@@ -2,7 +2,7 @@
 
 A window over the key alone puts every row of a key in one task. `split` finds the keys
 that are too large for that and cuts their rows into slices along the order; the
-functions below then sort within (key, slice) and let only one edge row per slice
+functions below then sort within (key, slice) and let only one value per slice
 travel between slices. Other keys stay in one piece, and on data without a large
 key all that is added is the count of rows per key.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 ROWS_PER_TASK = 1 << 23
 _OVERSAMPLE = 4               # slices are planned this much smaller, for uneven arrival
-SLICE, _HOT, _EDGE, _IS_EDGE = "__slice", "__hot", "__edge", "__is_edge"
+SLICE, _HOT, _EDGE = "__slice", "__hot", "__edge"
 
 
 def split(df: DataFrame, keys: Sequence[str], along: Column, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -48,27 +48,25 @@ def _window(df: DataFrame, keys: Sequence[str], by: Column) -> WindowSpec:
     return Window.partitionBy(*keys, *([SLICE] if SLICE in df.columns else [])).orderBy(by)
 
 
-def _with_edges(inner: DataFrame, keys: Sequence[str], is_edge: Column, value: Column, across: Column) -> DataFrame:
-    """Join each (key, slice) of a large key with `across`, evaluated over the edge rows of its key.
+def _with_edges(inner: DataFrame, rows: DataFrame, keys: Sequence[str], value: Column, across: Column) -> DataFrame:
+    """Join each slice of a large key with `across`, evaluated over one `value` per slice of its key.
 
-    The edge rows come out of the same sorted shuffle as the rows themselves, so
-    the only further exchanges move one small row per slice.
+    The values are aggregated from the large keys' rows alone, on the map side first,
+    and there are at most as many as slices: that bounds the broadcast, and the
+    rows themselves are shuffled once.
     """
-    edges = (
-        inner.withColumn(_IS_EDGE, is_edge).filter(F.col(_HOT) & F.col(_IS_EDGE))
-        .select(*keys, SLICE, value.alias(_EDGE)).withColumn(_EDGE, across)
-    )
-    return inner.join(edges, [*keys, SLICE], "left")
+    edges = rows.filter(_HOT).groupBy(*keys, SLICE).agg(value.alias(_EDGE)).withColumn(_EDGE, across)
+    return inner.join(F.broadcast(edges), [*keys, SLICE], "left")
 
 
 def _neighbour(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence, name: str, back: bool) -> DataFrame:
-    step, other = (F.lag, F.lead) if back else (F.lead, F.lag)
-    payload, w = F.struct(*columns), _window(df, keys, F.col(order).asc())
-    inner = df.withColumn(name, step(payload).over(w))
+    step, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
+    payload = F.struct(*columns)
+    inner = df.withColumn(name, step(payload).over(_window(df, keys, F.col(order).asc())))
     if SLICE not in df.columns:
         return inner
     across = step(_EDGE).over(Window.partitionBy(*keys).orderBy(SLICE))
-    joined = _with_edges(inner, keys, other(F.lit(1)).over(w).isNull(), payload, across)
+    joined = _with_edges(inner, df, keys, edge(payload, F.col(order)), across)
     return joined.select(*df.columns, F.coalesce(F.col(name), F.col(_EDGE)).alias(name))
 
 
@@ -90,14 +88,14 @@ def carry_forward(
     `order` is one column that totally orders the rows of a key (a struct where
     ties need breaking).
     """
-    w = _window(df, keys, F.col(order).asc())
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = df.withColumn(name, F.last(F.when(mark, F.struct(*columns)), ignorenulls=True).over(so_far))
+    payload = F.struct(*columns)
+    so_far = _window(df, keys, F.col(order).asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = df.withColumn(name, F.last(F.when(mark, payload), ignorenulls=True).over(so_far))
     if SLICE not in df.columns:
         return inner
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    across = F.last(_EDGE, ignorenulls=True).over(before)
-    joined = _with_edges(inner, keys, F.lead(F.lit(1)).over(w).isNull(), F.col(name), across)
+    last_marked = F.max_by(payload, F.when(mark, F.col(order)))
+    joined = _with_edges(inner, df, keys, last_marked, F.last(_EDGE, ignorenulls=True).over(before))
     return joined.select(*df.columns, F.coalesce(F.col(name), F.col(_EDGE)).alias(name))
 
 
@@ -109,6 +107,5 @@ def numbered(df: DataFrame, keys: Sequence[str], order: str, name: str, descendi
         return inner
     slots = F.col(SLICE).desc() if descending else F.col(SLICE).asc()
     before = Window.partitionBy(*keys).orderBy(slots).rowsBetween(Window.unboundedPreceding, -1)
-    across = F.coalesce(F.sum(_EDGE).over(before), F.lit(0))
-    joined = _with_edges(inner, keys, F.lead(F.lit(1)).over(w).isNull(), F.col(name), across)
+    joined = _with_edges(inner, df, keys, F.count(F.lit(1)), F.sum(_EDGE).over(before))
     return joined.select(*df.columns, (F.col(name) + F.coalesce(F.col(_EDGE), F.lit(0))).alias(name))
