@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tarnlake.operators.latest import latest_by
-from tarnlake.operators.merge import Insert, Update, merge_apply, unmatched
+from tarnlake.operators.merge import Insert, Update, by_key, merge_apply, unmatched
 
 # Operation codes and the envelope's field names and types are the wire format.
 OPS = ["c", "r", "u", "d"]
@@ -121,15 +121,17 @@ def apply_changes(
         matched=[Update(kept, when=newer & (F.col("source.op") == "d")), Update(values, when=newer)],
         not_matched=[Insert(values)],
         unique_source=True,
+        stage=True,
     )
 
 
 def out_of_order(changes: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Updates and deletes whose key neither the target nor an insert of the batch brings in."""
     inserted = changes.filter(F.col("op").isin("c", "r")).select(*keys).distinct()
-    late = changes.filter(F.col("op").isin("u", "d"))
+    late, loose = by_key(changes.filter(F.col("op").isin("u", "d")), keys)
     # the batch's own inserts first: what is left for the target to answer is small
-    return unmatched(late.join(inserted, list(keys), "left_anti").select(*changes.columns), target, keys)
+    missing = late.join(inserted, list(keys), "left_anti").select(*changes.columns)
+    return unmatched(missing, target, keys).unionByName(loose)
 
 
 def with_retry(changes: DataFrame, quarantined: DataFrame) -> DataFrame:

@@ -96,6 +96,7 @@ def recompute_affected(
             values={c: F.col(f"source.{c}") for c in (*keys, total, "record_commit_timestamp")},
         )],
         unique_source=True,
+        stage=True,
     )
 
 
@@ -150,4 +151,5 @@ def apply_deltas(
             },
         )],
         unique_source=True,
+        stage=True,
     )

@@ -17,6 +17,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarnlake.session import staged
+
 _COUNT, _ACTION = "__source_rows", "__action"
 
 
@@ -52,12 +54,22 @@ def _all_set(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a full key, and rows with a NULL in it.
+
+    The latter match nothing, and would all meet in one task of a join: let them pass around it.
+    """
+    return df.filter(_all_set(keys)), df.filter(~_all_set(keys))
+
+
 def unmatched(source: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Source rows whose key is not in the target (NULL keys match nothing)."""
+    """Source rows whose key is not in the target.
+
+    The target gives only its key column, and of that only the keys the source has.
+    """
     on = list(on)
-    keyed = source.filter(_all_set(on))
-    hits = target.select(*on).join(keyed.select(*on).distinct(), on, "left_semi").distinct()
-    return keyed.join(hits, on, "left_anti").select(*source.columns)
+    hits = target.select(*on).join(source.select(*on).distinct(), on, "left_semi").distinct()
+    return source.join(hits, on, "left_anti").select(*source.columns)
 
 
 def _fill(values: Mapping[str, Column], target: DataFrame) -> list[Column]:
@@ -73,36 +85,41 @@ def merge_apply(
     matched: Sequence[Update | Delete] = (),
     not_matched: Sequence[Insert] = (),
     unique_source: bool = False,
+    stage: bool = False,
 ) -> DataFrame:
     """Result of merging `source` into `target` on equal keys.
 
     Clauses refer to columns as `target.x` and `source.x`; the first clause whose
     condition holds wins. Several source rows for one target row raise. Set
-    `unique_source` when the source has one row per key (saves its grouping).
+    `unique_source` when the source has one row per key (saves its grouping), and
+    `stage` when it is the outcome of a computation: it is then written once rather
+    than computed for each of the two joins.
     """
     on = list(on)
+    if stage:
+        source = staged(source, "merge-source")
     present = F.col(f"source.{_COUNT}").isNotNull()
     if unique_source:
-        keyed = source.filter(_all_set(on)).withColumn(_COUNT, F.lit(1).cast("long"))
+        keyed = source.withColumn(_COUNT, F.lit(1))
     else:
         others = [c for c in source.columns if c not in on]
-        keyed = source.filter(_all_set(on)).groupBy(*on).agg(
+        keyed = by_key(source, on)[0].groupBy(*on).agg(
             F.count(F.lit(1)).alias(_COUNT), *[F.first(c).alias(c) for c in others]
         )
-    pairs = target.alias("target").join(
-        keyed.alias("source"), reduce(lambda a, b: a & b, [F.col(f"target.{k}") == F.col(f"source.{k}") for k in on]), "left"
-    )
-    action = F.when(
-        present & (F.col(f"source.{_COUNT}") > 1),
-        F.raise_error(F.lit("merge: several source rows match one target row")).cast("int"),
-    )
+    same_key = reduce(lambda a, b: a & b, [F.col(f"target.{k}") == F.col(f"source.{k}") for k in on])
+    pairs = target.alias("target").join(keyed.alias("source"), same_key, "left")
+    action = F.when(~present, F.lit(-1))
+    if not unique_source:
+        action = action.when(
+            F.col(f"source.{_COUNT}") > 1,
+            F.raise_error(F.lit("merge: several source rows match one target row")).cast("int"),
+        )
     for i, clause in enumerate(matched):
-        holds = present if clause.when is None else present & F.coalesce(clause.when, F.lit(False))
-        action = action.when(holds, F.lit(i))
+        action = action.when(F.lit(True) if clause.when is None else F.coalesce(clause.when, F.lit(False)), F.lit(i))
     deletes = [i for i, clause in enumerate(matched) if isinstance(clause, Delete)]
-    staged = pairs.withColumn(_ACTION, action.otherwise(F.lit(-1)))
+    decided = pairs.withColumn(_ACTION, action.otherwise(F.lit(-1)))
     if deletes:
-        staged = staged.filter(~F.col(_ACTION).isin(deletes))
+        decided = decided.filter(~F.col(_ACTION).isin(deletes))
     columns = []
     for f in target.schema.fields:
         value = F.col(f"target.`{f.name}`")
@@ -112,10 +129,16 @@ def merge_apply(
                 step = (F.col(_ACTION) == i, clause.set[f.name].cast(f.dataType))
                 chosen = F.when(*step) if chosen is None else chosen.when(*step)
         columns.append((value if chosen is None else chosen.otherwise(value)).alias(f.name))
-    # The action column stays in the plan until here, so the ambiguity error cannot be pruned.
-    result = staged.filter(F.col(_ACTION) >= -1).select(*columns)
+    if not unique_source:  # a filter on the action keeps the ambiguity error from being pruned away
+        decided = decided.filter(F.col(_ACTION) >= -1)
+    result = decided.select(*columns)
     if not_matched:
-        fresh = unmatched(source, target, on).unionByName(source.filter(~_all_set(on))).alias("source")
+        if unique_source:
+            fresh = unmatched(source, target, on)
+        else:
+            full, loose = by_key(source, on)
+            fresh = unmatched(full, target, on).unionByName(loose)
+        fresh = fresh.alias("source")
         taken = F.lit(False)
         for clause in not_matched:
             holds = F.lit(True) if clause.when is None else F.coalesce(clause.when, F.lit(False))

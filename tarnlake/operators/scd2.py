@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tarnlake.functions import differs
 from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply
 from tarnlake.operators.runs import ROWS_PER_TASK, following, numbered, previous, split, unsplit
+from tarnlake.session import staged
 
 ACTIVE, START, END = "record_active_flag", "record_start_date", "record_end_date"
 OPEN_END = "9999-12-31 00:00:00"
@@ -107,8 +108,9 @@ def apply_changes(
 ) -> DataFrame:
     """Apply a batch of changes (one row per key) with event-time bounds.
 
-    The dimension is only left-joined with the changed keys, so a batch small
-    enough to broadcast leaves it unshuffled. A key without an active version is
+    The rows that open a version are worked out from the touched keys and written once; the
+    dimension is then only left-joined with them, so a batch small enough to broadcast leaves it
+    unshuffled. A key without an active version is
     inserted, including one that returns after deletion. A change that is not newer
     than the active version's start is ignored, which makes a replay a no-op; late
     changes go through `rebuild_touched`.
@@ -120,9 +122,9 @@ def apply_changes(
     pairs = changes.alias("s").join(hits.alias("d"), _match("s", "d", keys), "left")
     fresh = F.col(f"d.{ACTIVE}").isNull()
     newer = F.col(f"s.{event_ts}").cast(kind) > F.col(f"d.{START}")
-    opening = pairs.filter(fresh | (newer & differs("s", "d", tracked))).select(
+    opening = staged(pairs.filter(fresh | (newer & differs("s", "d", tracked))).select(
         "s.*", (~fresh).alias("__closes")
-    )
+    ), "scd2-opening")
     closing = opening.filter("__closes").select(
         *keys, F.col(event_ts).cast(kind).alias("__end"),
         *([F.col(commit_ts).alias("__commit")] if commit_ts else []),

@@ -148,7 +148,7 @@ def upsert_session(fact: DataFrame, rows: DataFrame, session_id: str) -> DataFra
     return merge_apply(
         fact, source, ["l_orderkey", "l_linenumber", "session_id"],
         matched=[Update(all_columns(source), when=changed)], not_matched=[Insert(all_columns(source))],
-        unique_source=True,
+        unique_source=True, stage=True,
     )
 
 
