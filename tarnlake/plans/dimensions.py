@@ -42,14 +42,14 @@ def _applied_batch(t: Tables) -> DataFrame:
     return scd2.apply_changes(existing(t).drop("sk_custkey"), changes, ["c_custkey"], TRACKED, "event_ts")
 
 
-def state_history(log: DataFrame) -> DataFrame:
+def state_versions(log: DataFrame) -> DataFrame:
     """Versions of `state` per id, deletes ignored."""
     return scd2.history(
         log.filter(F.col("op") != "d"), ["id"], "lsn", ["state"], "event_ts"
     )
 
 
-def _full_history(log: DataFrame) -> DataFrame:
+def _full_versions(log: DataFrame) -> DataFrame:
     """Versions of (state, amount) per id; a delete closes the version before it."""
     return scd2.history(
         log, ["id"], "lsn", ["state", "amount"], "event_ts", F.col("op") == "d"
@@ -58,7 +58,7 @@ def _full_history(log: DataFrame) -> DataFrame:
 
 def _event_time(t: Tables) -> DataFrame:
     """Versions built from the base log, then each id's newest later event as one change batch."""
-    dim = t.layer("state_versions_base", lambda: state_history(base_changes(t.events)).select(
+    dim = t.layer("state_versions_base", lambda: state_versions(base_changes(t.events)).select(
         "id", "state", scd2.ACTIVE, scd2.START, scd2.END, F.col(scd2.START).alias("record_commit_timestamp")
     ))
     changes = cdc.latest_changes(new_changes(t.events).filter(F.col("op") != "d"), ["id"], ["lsn"])
@@ -72,11 +72,11 @@ def _event_batch(t: Tables) -> DataFrame:
     log, batch = base_changes(t.events), new_changes(t.events)
     touched = batch.select("id").distinct()
     full = log.join(touched, ["id"], "left_semi").unionByName(batch)
-    return scd2.rebuild_touched(_versions_base(t), touched, ["id"], _full_history(full))
+    return scd2.rebuild_touched(_versions_base(t), touched, ["id"], _full_versions(full))
 
 
 def _versions_base(t: Tables) -> DataFrame:
-    return t.layer("versions_base", lambda: _full_history(base_changes(t.events)))
+    return t.layer("versions_base", lambda: _full_versions(base_changes(t.events)))
 
 
 def _bridge_versions(t: Tables) -> DataFrame:
@@ -153,7 +153,7 @@ def _pit(t: Tables, join=asof.point_in_time_join) -> DataFrame:
 def _state_dim(t: Tables) -> DataFrame:
     """All versions of each id's state, with surrogate keys."""
     return t.layer("dim_state", lambda: surrogate.assign(
-        state_history(change_log(t.events)), "state_sk", ["lsn"]
+        state_versions(change_log(t.events)), "state_sk", ["lsn"]
     ))
 
 
@@ -178,7 +178,7 @@ QUERIES = {
     "scd2_apply_event_time": _event_time,
     "scd2_apply_composite": _bridge_versions,
     "scd2_apply_events": _event_batch,
-    "scd2_history": lambda t: _full_history(change_log(t.events)),
+    "scd2_history": lambda t: _full_versions(change_log(t.events)),
     "scd2_rank_versions": lambda t: scd2.rank_versions(
         change_log(t.events).select("id", "lsn", "state"), ["id"], "lsn"
     ),
@@ -219,7 +219,7 @@ def _dim(extra: str = "", extra_new: str = "", source: str = "customer") -> str:
     from (select * from {_KEYS_CHANGED} union all select * from {_FRESH}))"""
 
 
-def _history(log: str, tracked: list[str], deletes: bool) -> str:
+def history_sql(log: str, tracked: list[str], deletes: bool) -> str:
     gone = "op = 'd'" if deletes else "false"
     same = " and ".join(f"lag({c}) over w is not distinct from {c}" for c in tracked)
     source = log if deletes else f"(select * from {log} where op <> 'd')"
@@ -232,10 +232,10 @@ def _history(log: str, tracked: list[str], deletes: bool) -> str:
   window v as (partition by id order by lsn))"""
 
 
-_FULL = _history(CHANGE_LOG, ["state", "amount"], True)
-_STATES = _history(CHANGE_LOG, ["state"], False)
-_BASE_STATES = _history(BASE_CHANGES, ["state"], False)
-_BASE_FULL = _history(BASE_CHANGES, ["state", "amount"], True)
+_FULL = history_sql(CHANGE_LOG, ["state", "amount"], True)
+_STATES = history_sql(CHANGE_LOG, ["state"], False)
+_BASE_STATES = history_sql(BASE_CHANGES, ["state"], False)
+_BASE_FULL = history_sql(BASE_CHANGES, ["state", "amount"], True)
 _LAST = f"""(select * from (select *, row_number() over (partition by id order by lsn desc) as rn
     from {NEW_CHANGES} where op <> 'd') where rn = 1)"""
 _OLD_OFFERS = PARTSUPP.replace("from lineitem", "from lineitem where l_shipdate < timestamp '2000-01-01 00:00:00'")
