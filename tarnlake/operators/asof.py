@@ -64,12 +64,12 @@ def interval_join(
 ) -> DataFrame:
     """The same join as an equi-join with a range residual, for keys of few versions.
 
-    While the versions fit a broadcast the events are not shuffled at all. An event is
-    held against at most `few` versions; the events of keys that have more (at most
-    versions / few keys, which bounds that broadcast) take the time line instead.
+    While the versions fit a broadcast (Spark measures that) the events are not shuffled at
+    all. An event is held against at most `few` versions; the events of keys that have more
+    take the time line instead.
     """
     keys = list(keys)
-    many = F.broadcast(versions.groupBy(*keys).count().filter(F.col("count") > few).select(*keys))
+    many = versions.groupBy(*keys).count().filter(F.col("count") > few).select(*keys)
     inside: Column = (F.col(f"e.{event_ts}") >= F.col(f"v.{start}")) & (F.col(f"e.{event_ts}") < F.col(f"v.{end}"))
     for k in keys:
         inside = (F.col(f"e.{k}") == F.col(f"v.{k}")) & inside

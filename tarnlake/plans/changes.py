@@ -6,12 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from tarnlake.functions import decode_decimal, encode_decimal, epoch_micros, epoch_millis, from_epoch_micros, from_epoch_millis
+from tarnlake.functions import (
+    decode_decimal, encode_decimal, epoch_micros, epoch_millis, from_epoch_micros, from_epoch_millis,
+)
 from tarnlake.operators import cdc, changefeed, incremental
 from tarnlake.operators.latest import dedup, latest_by
 from tarnlake.operators.merge import Insert, Update, all_columns, delete_where, merge_apply
 from tarnlake.plans.inputs import (
-    BASE_CHANGES, CHANGE_LOG, CHANGE_TS, CUSTOMER_FIELDS, CUSTOMER_NEXT, LOAD_TS, NEW_CHANGES, SPLIT_TS, Tables,
+    BASE_CHANGES, CHANGE_LOG, CHANGE_TS, CUSTOMER_FIELDS, CUSTOMER_NEXT, LOAD_TS, NEW_CHANGES, Tables,
     base_changes, change_log, customer_next, new_changes, ts,
 )
 
@@ -103,8 +105,8 @@ def _quarantine(t: Tables) -> DataFrame:
 
 def _upsert(t: Tables) -> DataFrame:
     """Suppliers and customers share an account table: plain upsert by key."""
-    accounts = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("bal"))
-    incoming = t.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("bal"))
+    accounts = t.customer.select("c_custkey", "c_name", "c_acctbal").toDF("k", "name", "bal")
+    incoming = t.supplier.select("s_suppkey", "s_name", "s_acctbal").toDF("k", "name", "bal")
     incoming = incoming.unionByName(incoming.withColumn("k", -1 - F.col("k")))
     return merge_apply(
         accounts, incoming, ["k"],
@@ -192,7 +194,8 @@ QUERIES = {
     "decode_decimal": _decoded,
 }
 
-_LATEST = "select * exclude (rn) from (select *, row_number() over (partition by id order by lsn desc) as rn from {}) where rn = 1"
+_LATEST = """select * exclude (rn) from (select *,
+    row_number() over (partition by id order by lsn desc) as rn from {}) where rn = 1"""
 _STATE = "select * exclude (op), case when op = 'd' then event_ts end as delete_ts from ({})"
 _EARLY = f"(select distinct id from {CHANGE_LOG} where op = 'c' and event_ts < timestamp '{_SIGNED_UP}')"
 _OOO = f"select * from {CHANGE_LOG} where op in ('u', 'd') and id not in (select id from {_EARLY})"
@@ -242,8 +245,9 @@ ORACLE = {
     "cdf_net_changes": f"""select * exclude (rn) from (select *, row_number() over (partition by c_custkey
   order by _commit_version desc) as rn from {_FEED} where _change_type <> 'update_preimage') where rn = 1""",
     "cdf_replay": f"select * from {CUSTOMER_NEXT}",
-    "incremental_bounds": f"""select cast(null as bigint) as start_version, timestamp '{LOAD_TS}' as start_ts,
-  timestamp '2024-01-15 00:00:00' as end_ts from {_FEED} limit 1""",
+    "incremental_bounds": f"""select cast(null as bigint) as start_version,
+  greatest(min(_commit_timestamp), timestamp '{LOAD_TS}') as start_ts,
+  least(max(_commit_timestamp), timestamp '2024-01-15 00:00:00') as end_ts from {_FEED}""",
     "epoch_to_ts": """select event_id, epoch_us(ts) // 1000 as ms, epoch_us(ts) as us,
   make_timestamp(epoch_us(ts) // 1000 * 1000) as ts_of_ms, ts as ts_of_us from events""",
     "json_props": """select event_id, cast(json_extract_string(props, '$.k') as bigint) as k_parsed,

@@ -9,7 +9,7 @@ from tarnlake.operators import asof, calendar, cdc, maintain, scd2, surrogate
 from tarnlake.operators.quality import complete, contained_in, unique, write_audit_publish
 from tarnlake.plans.inputs import (
     BASE_CHANGES, CHANGE_LOG, CHANGE_TS, CUSTOMER_FIELDS, CUSTOMER_NEXT, LOAD_TS, NEW_CHANGES, PARTSUPP, Tables,
-    base_changes, change_log, customer_changes, customer_next, new_changes, partsupp, ts,
+    base_changes, change_log, customer_changes, customer_next, end_as_text, new_changes, partsupp, ts,
 )
 from tarnlake.sources.files import null_rows
 
@@ -203,20 +203,26 @@ QUERIES = {
 
 _OPEN = f"timestamp '{scd2.OPEN_END}'"
 _FIELDS = ", ".join(CUSTOMER_FIELDS)
-_N_FIELDS = ", ".join(f"n.{c}" for c in CUSTOMER_FIELDS)
 _CHANGED = " or ".join(f"c.{x} is distinct from n.{x}" for x in TRACKED)
 _KEYS_CHANGED = f"(select n.* from {CUSTOMER_NEXT} n join customer c using (c_custkey) where {_CHANGED})"
 _FRESH = f"(select * from {CUSTOMER_NEXT} where c_custkey not in (select c_custkey from customer))"
 _SK = "(select *, row_number() over (order by c_custkey) as sk_custkey from customer)"
 
 
-def _dim(extra: str = "", extra_new: str = "", source: str = "customer") -> str:
+def _kept(source: str, extra: str = "") -> str:
+    """Versions of the first load, closed where the customer changed."""
     changed = f"c_custkey in (select c_custkey from {_KEYS_CHANGED})"
-    return f"""(select {_FIELDS}{extra}, not ({changed}) as record_active_flag,
+    return f"""select {_FIELDS}{extra}, not ({changed}) as record_active_flag,
     timestamp '{LOAD_TS}' as record_start_date,
-    case when {changed} then timestamp '{CHANGE_TS}' else {_OPEN} end as record_end_date from {source}
-  union all select {_FIELDS}{extra_new}, true, timestamp '{CHANGE_TS}', {_OPEN}
-    from (select * from {_KEYS_CHANGED} union all select * from {_FRESH}))"""
+    case when {changed} then timestamp '{CHANGE_TS}' else {_OPEN} end as record_end_date from {source}"""
+
+
+_OPENED = f"(select * from {_KEYS_CHANGED} union all select * from {_FRESH})"
+_DIM = f"""({_kept('customer')}
+  union all select {_FIELDS}, true, timestamp '{CHANGE_TS}', {_OPEN} from {_OPENED})"""
+_DIM_SK = f"""({_kept(_SK, ', sk_custkey')}
+  union all select {_FIELDS}, (select count(*) from customer) + row_number() over (order by c_custkey), true,
+    timestamp '{CHANGE_TS}', {_OPEN} from {_OPENED})"""
 
 
 def history_sql(log: str, tracked: list[str], deletes: bool) -> str:
@@ -246,12 +252,12 @@ _PIT = f"""select event_id, user_id, ts, event_type, v.state as version_state, v
 _STATE_SK = f"(select *, row_number() over (order by lsn) as state_sk from {_STATES} where not gone)"
 
 ORACLE = {
-    "scd2_current": f"select * from {_dim()} where record_active_flag",
+    "scd2_current": f"select * from {_DIM} where record_active_flag",
     "scd2_changed_keys": f"select * from {_KEYS_CHANGED}",
     "scd2_staged_rows": f"""select *, 'insert' as merge_action from {_FRESH}
   union all select *, unnest(['close', 'insert']) from {_KEYS_CHANGED}""",
-    "scd2_apply": f"select * from {_dim()}",
-    "scd2_apply_batch": f"select * from {_dim()}",
+    "scd2_apply": f"select * from {_DIM}",
+    "scd2_apply_batch": f"select * from {_DIM}",
     "scd2_apply_event_time": f"""with dim as (select * from {_BASE_STATES}), late as (select n.*, d.id is null as fresh
       from {_LAST} n left join (select * from dim where record_active_flag) d on d.id = n.id
       where d.id is null or (n.event_ts > d.record_start_date and n.state <> d.state))
@@ -283,6 +289,7 @@ ORACLE = {
   c_nationkey, c_acctbal from customer""",
     "conform_schema": """select c_custkey, c_name, cast(null as varchar) as c_address,
   cast(c_acctbal as decimal(15,2)) as c_acctbal, cast(c_nationkey as bigint) as c_nationkey from customer""",
+    "publish_dim": f"select * from {_DIM_SK}",
     "wap_order_dim": f"""select o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
   true as record_active_flag, timestamp '{LOAD_TS}' as record_start_date, {_OPEN} as record_end_date from orders""",
     "null_start_rows": f"""select c_custkey, c_name, cast(null as timestamp) as record_start_date from {_FRESH}
@@ -300,8 +307,7 @@ ORACLE = {
   select f.event_id, f.ts, f.state_sk, d.id, d.state as state_pinned, l.state_sk as state_sk_latest,
     l.state as state_latest from f join dim d using (state_sk) join dim l on l.id = d.id and l.record_active_flag""",
 }
-_changed_sk = f"""(select n.c_custkey, row_number() over (order by n.c_custkey) as r from
-  (select c_custkey from {_KEYS_CHANGED} union all select c_custkey from {_FRESH}) n)"""
-ORACLE["publish_dim"] = f"""select {_FIELDS}, sk_custkey, record_active_flag, record_start_date, record_end_date
-  from {_dim(', sk_custkey', f''', (select count(*) from customer)
-      + (select r from {_changed_sk} k where k.c_custkey = x.c_custkey)''', _SK).replace(f"select * from {_FRESH})", f"select * from {_FRESH}) x")}"""
+
+for _name in ("scd2_current", "scd2_apply", "scd2_apply_batch", "scd2_apply_event_time", "scd2_apply_composite",
+              "scd2_apply_events", "scd2_history", "dim_first_load", "publish_dim", "wap_order_dim"):
+    QUERIES[_name], ORACLE[_name] = end_as_text(QUERIES[_name], ORACLE[_name])

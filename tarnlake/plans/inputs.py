@@ -70,6 +70,19 @@ def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
+def end_as_text(query: Callable, sql: str) -> tuple[Callable, str]:
+    """Query and SQL whose `record_end_date` is shown as text.
+
+    The open end, 9999-12-31, lies outside the range of nanosecond clients such as pandas.
+    """
+    text = F.date_format(F.col("record_end_date").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    shown = "strftime(record_end_date, '%Y-%m-%d %H:%M:%S.%f') as record_end_date"
+    return (
+        lambda t: query(t).withColumn("record_end_date", text),
+        f"select * exclude (record_end_date), {shown} from ({sql})",
+    )
+
+
 # --- line items with commit / receipt dates and ship mode -----------------------------
 
 _MODES = ["MAIL", "SHIP", "AIR", "RAIL", "TRUCK", "FOB"]
