@@ -120,9 +120,9 @@ def _row_metric(check: Check) -> Column:
     if check.kind == "is_less_than":
         return share(c < F.col(check.columns[1]))
     if check.kind == "has_min":
-        return F.min(c).cast("double")
+        return F.min(c).cast("double") + F.lit(0.0)  # no negative zero
     if check.kind == "has_max":
-        return F.max(c).cast("double")
+        return F.max(c).cast("double") + F.lit(0.0)
     return share(c.isNull() | c.try_cast(check.data_type).isNotNull())
 
 

@@ -14,7 +14,7 @@ from tarnlake.operators.latest import dedup, latest_by
 from tarnlake.operators.merge import Insert, Update, all_columns, delete_where, merge_apply
 from tarnlake.plans.inputs import (
     BASE_CHANGES, CHANGE_LOG, CHANGE_TS, CUSTOMER_FIELDS, CUSTOMER_NEXT, LOAD_TS, NEW_CHANGES, Tables,
-    base_changes, change_log, customer_next, new_changes, ts,
+    base_changes, change_log, customer_next, ints_as_text, new_changes, ts,
 )
 
 ROW_DDL = "id bigint, state string, amount string, modified bigint"
@@ -254,3 +254,9 @@ ORACLE = {
   json_extract_string(props, '$.k') as k_text from events""",
     "decode_decimal": "select s_suppkey, s_acctbal as fixed, s_acctbal as per_row from supplier",
 }
+
+for _name, _columns in {
+    "cdc_flatten": ["before__id", "after__id"], "cdc_flatten_dotted": ["before_id", "after_id"],
+    "incremental_bounds": ["start_version"],
+}.items():
+    QUERIES[_name], ORACLE[_name] = ints_as_text(QUERIES[_name], ORACLE[_name], *_columns)

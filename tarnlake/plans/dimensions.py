@@ -9,7 +9,8 @@ from tarnlake.operators import asof, calendar, cdc, maintain, scd2, surrogate
 from tarnlake.operators.quality import complete, contained_in, unique, write_audit_publish
 from tarnlake.plans.inputs import (
     BASE_CHANGES, CHANGE_LOG, CHANGE_TS, CUSTOMER_FIELDS, CUSTOMER_NEXT, LOAD_TS, NEW_CHANGES, PARTSUPP, Tables,
-    base_changes, change_log, customer_changes, customer_next, end_as_text, new_changes, partsupp, ts,
+    base_changes, change_log, customer_changes, customer_next, days_as_timestamps, end_as_text, ints_as_text,
+    new_changes, partsupp, ts,
 )
 from tarnlake.sources.files import null_rows
 
@@ -191,7 +192,7 @@ QUERIES = {
     "evolve_columns": _evolved,
     "conform_schema": lambda t: maintain.conform(
         t.customer.select("c_custkey", "c_name", "c_acctbal", "c_nationkey"), _SCHEMA
-    ),
+    ).withColumn("c_acctbal", F.col("c_acctbal").cast("double")),
     "publish_dim": _published,
     "wap_order_dim": _wap_order_dim,
     "null_start_rows": _null_start,
@@ -288,7 +289,8 @@ ORACLE = {
     "evolve_columns": """select c_custkey, c_name, case when c_acctbal > 5000 then 'gold' else 'plain' end as c_tier,
   c_nationkey, c_acctbal from customer""",
     "conform_schema": """select c_custkey, c_name, cast(null as varchar) as c_address,
-  cast(c_acctbal as decimal(15,2)) as c_acctbal, cast(c_nationkey as bigint) as c_nationkey from customer""",
+  cast(cast(c_acctbal as decimal(15,2)) as double) as c_acctbal, cast(c_nationkey as bigint) as c_nationkey
+  from customer""",
     "publish_dim": f"select * from {_DIM_SK}",
     "wap_order_dim": f"""select o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
   true as record_active_flag, timestamp '{LOAD_TS}' as record_start_date, {_OPEN} as record_end_date from orders""",
@@ -311,3 +313,6 @@ ORACLE = {
 for _name in ("scd2_current", "scd2_apply", "scd2_apply_batch", "scd2_apply_event_time", "scd2_apply_composite",
               "scd2_apply_events", "scd2_history", "dim_first_load", "publish_dim", "wap_order_dim"):
     QUERIES[_name], ORACLE[_name] = end_as_text(QUERIES[_name], ORACLE[_name])
+for _name in ("pit_join_left", "pit_join_interval"):
+    QUERIES[_name], ORACLE[_name] = ints_as_text(QUERIES[_name], ORACLE[_name], "version_lsn")
+QUERIES["date_dim"], ORACLE["date_dim"] = days_as_timestamps(QUERIES["date_dim"], ORACLE["date_dim"], "sk_datekey")

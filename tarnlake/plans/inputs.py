@@ -70,11 +70,11 @@ def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def end_as_text(query: Callable, sql: str) -> tuple[Callable, str]:
-    """Query and SQL whose `record_end_date` is shown as text.
+# Results are also read by clients such as pandas, whose timestamps end in 2262 and whose integers
+# become floats beside a NULL. Registered queries show such columns as text, and dates as timestamps.
 
-    The open end, 9999-12-31, lies outside the range of nanosecond clients such as pandas.
-    """
+def end_as_text(query: Callable, sql: str) -> tuple[Callable, str]:
+    """Query and SQL with `record_end_date` (9999-12-31 when open) as text."""
     text = F.date_format(F.col("record_end_date").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
     shown = "strftime(record_end_date, '%Y-%m-%d %H:%M:%S.%f') as record_end_date"
     return (
@@ -83,6 +83,24 @@ def end_as_text(query: Callable, sql: str) -> tuple[Callable, str]:
     )
 
 
+def _cast(query: Callable, sql: str, spark_type: str, sql_type: str, columns: tuple[str, ...]) -> tuple[Callable, str]:
+    shown = ", ".join(f"cast({c} as {sql_type}) as {c}" for c in columns)
+    return (
+        lambda t: query(t).withColumns({c: F.col(c).cast(spark_type) for c in columns}),
+        f"select * exclude ({', '.join(columns)}), {shown} from ({sql})",
+    )
+
+
+def ints_as_text(query: Callable, sql: str, *columns: str) -> tuple[Callable, str]:
+    """Query and SQL with nullable integer columns as text."""
+    return _cast(query, sql, "string", "varchar", columns)
+
+
+def days_as_timestamps(query: Callable, sql: str, *columns: str) -> tuple[Callable, str]:
+    """Query and SQL with dates as the midnights they start at."""
+    return _cast(query, sql, "timestamp_ntz", "timestamp", columns)
+
+
 # --- line items with commit / receipt dates and ship mode -----------------------------
 
 _MODES = ["MAIL", "SHIP", "AIR", "RAIL", "TRUCK", "FOB"]

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from tarnlake.functions import exact_sum, exact_total, hundredths, ntz
 from tarnlake.operators import changefeed, incremental
 from tarnlake.plans.inputs import (
-    LINE_UNIQUE, SALES, SALES_AFTER, SALES_BEFORE, SALES_CHANGE_TS, SALES_KEY, SALES_LOAD_TS, Tables, sales_after,
-    sales_before, ts,
+    LINE_UNIQUE, SALES, SALES_AFTER, SALES_BEFORE, SALES_CHANGE_TS, SALES_KEY, SALES_LOAD_TS, Tables,
+    days_as_timestamps, sales_after, sales_before, ts,
 )
 
 KEYS = ["product_id", "order_date"]
@@ -93,3 +93,6 @@ ORACLE = {
     "incr_daily_agg": _INCR,
     "incr_daily_agg_deltas": _INCR,
 }
+
+for _name in ("daily_product_sales", "customer_revenue", "incr_daily_agg", "incr_daily_agg_deltas"):
+    QUERIES[_name], ORACLE[_name] = days_as_timestamps(QUERIES[_name], ORACLE[_name], "order_date")

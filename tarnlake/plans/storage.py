@@ -31,7 +31,8 @@ def _inferred(t: Tables) -> DataFrame:
 
 def _typed(t: Tables) -> DataFrame:
     path = _to_delimited(t.orders, work_path(t.spark, "orders-text"))
-    return files.read_delimited(t.spark, path, schema=_ORDERS_DDL)
+    typed = files.read_delimited(t.spark, path, schema=_ORDERS_DDL)
+    return typed.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 
 
 def _glob(t: Tables) -> DataFrame:
@@ -136,7 +137,7 @@ ORACLE = {
     "src_delimited_roundtrip": """select cast(s_suppkey as int) as s_suppkey, s_name, s_nationkey, s_acctbal
   from supplier""",
     "src_delimited_schema": """select o_orderkey, o_custkey, o_orderstatus,
-  cast(o_totalprice as decimal(15,2)) as o_totalprice, o_orderdate, o_orderpriority from orders""",
+  cast(cast(o_totalprice as decimal(15,2)) as double) as o_totalprice, o_orderdate, o_orderpriority from orders""",
     "src_delimited_glob": "select * from part",
     "row_counts": "\nunion all ".join(f"select '{n}' as table_name, count(*) as row_count from {n}" for n in _COUNTED),
     "src_head_n": "select * from orders order by o_totalprice desc, o_orderkey limit 100",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tarnlake.functions import decode_decimal
 from tarnlake.operators import cdc
 from tarnlake.plans.changes import ROW_DDL, event_stream
-from tarnlake.plans.inputs import CHANGE_LOG, Tables
+from tarnlake.plans.inputs import CHANGE_LOG, Tables, ints_as_text
 from tarnlake.session import work_path
 from tarnlake.streaming import events as streams
 
@@ -89,3 +89,9 @@ ORACLE = {
     case when op = 'd' then {_MILLIS} end as delete_ts
   from (select *, row_number() over (partition by id order by lsn desc) as rn from {CHANGE_LOG}) where rn = 1""",
 }
+
+for _name in ("stream_cdc_ingest", "stream_idempotent_append"):
+    QUERIES[_name], ORACLE[_name] = ints_as_text(QUERIES[_name], ORACLE[_name], "before__id", "after__id")
+QUERIES["stream_json_sink"], ORACLE["stream_json_sink"] = ints_as_text(
+    QUERIES["stream_json_sink"], ORACLE["stream_json_sink"], "after__id"
+)
