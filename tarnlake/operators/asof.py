@@ -27,7 +27,8 @@ def point_in_time_join(
 
     Versions of a key must not overlap. Both inputs are laid on one time line and
     each event looks back at the newest version; the cost does not depend on the
-    number of versions per key. Keys too large for a task are cut along time (see `runs`).
+    number of versions per key. Keys too large for a task are cut along time (see `runs`),
+    which reads the inputs more than once: hand in tables, or `staged` results.
     """
     keys = list(keys)
     carried = list(dict.fromkeys([*take, end]))

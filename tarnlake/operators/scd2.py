@@ -160,7 +160,8 @@ def history(
 
     A row opens a version when it is the first of its key, differs from the row
     before it, or follows a delete; the next opening or delete closes it. Keys too
-    large for a task are cut along the sequence (see `runs`).
+    large for a task are cut along the sequence (see `runs`), which reads the log more than
+    once: hand in a table, or a `staged` result.
     """
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     marked = split(log.withColumn("__gone", gone), keys, F.col(sequence), rows_per_task)

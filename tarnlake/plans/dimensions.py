@@ -12,6 +12,7 @@ from tarnlake.plans.inputs import (
     base_changes, change_log, customer_changes, customer_next, days_as_timestamps, end_as_text, ints_as_text,
     new_changes, partsupp, ts,
 )
+from tarnlake.session import staged
 from tarnlake.sources.files import null_rows
 
 TRACKED = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -72,7 +73,7 @@ def _event_batch(t: Tables) -> DataFrame:
     """A mixed batch of inserts, updates and deletes: touched ids are rebuilt from the retained log."""
     log, batch = base_changes(t.events), new_changes(t.events)
     touched = batch.select("id").distinct()
-    full = log.join(touched, ["id"], "left_semi").unionByName(batch)
+    full = staged(log.join(touched, ["id"], "left_semi").unionByName(batch), "touched-log")
     return scd2.rebuild_touched(_versions_base(t), touched, ["id"], _full_versions(full))
 
 

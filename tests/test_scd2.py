@@ -114,7 +114,8 @@ def test_point_in_time_equals_nested_loops(spark, rows_per_task):
     rnd = random.Random(5)
     rows = random_log(rnd, 300)
     versions = [(k, v, a, e) for k, v, a, _, e in brute_history(rows)]
-    events = [(i, rnd.randint(0, 14), datetime(2024, 1, 1) + timedelta(seconds=rnd.randint(-50, 900_000))) for i in range(400)]
+    t0 = datetime(2024, 1, 1)
+    events = [(i, rnd.randint(0, 14), t0 + timedelta(seconds=rnd.randint(-50, 900_000))) for i in range(400)]
     events += [(1000 + i, k, a) for i, (k, _, a, _) in enumerate(versions)] + [(9999, 3, None)]
     want = sorted(
         (i, k, t, next((v for vk, v, a, e in versions if t and vk == k and a <= t < e), None)) if t else (i, k, t, None)
@@ -184,7 +185,8 @@ def test_surrogate_keys_are_dense_and_follow_the_order(spark):
     first = surrogate.assign(df, "sk", ["hot", "x"])
     rows = sorted((r["hot"], r["x"], r["sk"]) for r in first.collect())
     assert [r[2] for r in rows] == list(range(1, 1001))
-    more = surrogate.assign(spark.range(5).select(F.lit(9).alias("hot"), (F.col("id")).alias("x")), "sk", ["hot", "x"], first)
+    fresh = spark.range(5).select(F.lit(9).alias("hot"), F.col("id").alias("x"))
+    more = surrogate.assign(fresh, "sk", ["hot", "x"], first)
     assert sorted(r["sk"] for r in more.collect()) == list(range(1001, 1006))
 
 
