@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tarnlake.operators.latest import dedup
@@ -75,10 +75,12 @@ def ts(text: str):
 
 def end_as_text(query: Callable, sql: str) -> tuple[Callable, str]:
     """Query and SQL with `record_end_date` (9999-12-31 when open) as text."""
-    text = F.date_format(F.col("record_end_date").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    def text() -> Column:
+        return F.date_format(F.col("record_end_date").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
     shown = "strftime(record_end_date, '%Y-%m-%d %H:%M:%S.%f') as record_end_date"
     return (
-        lambda t: query(t).withColumn("record_end_date", text),
+        lambda t: query(t).withColumn("record_end_date", text()),
         f"select * exclude (record_end_date), {shown} from ({sql})",
     )
 
