@@ -140,15 +140,18 @@ def fact(t: Tables) -> DataFrame:
     return t.layer("fact_line_item", lambda: build_fact(t))
 
 
-def upsert_session(fact: DataFrame, rows: DataFrame, session_id: str) -> DataFrame:
-    """Write a session's rows: a rerun of the session replaces what it wrote before."""
+def upsert_session(fact: DataFrame, rows: DataFrame, session_id: str, stage: bool = False) -> DataFrame:
+    """Write a session's rows: a rerun of the session replaces what it wrote before.
+
+    `stage` them when they come out of joins rather than a table.
+    """
     tracked = [c for c in rows.columns if c not in ("l_orderkey", "l_linenumber")]
     source = rows.withColumn("record_track_hash", row_hash(tracked)).withColumn("session_id", F.lit(session_id))
     changed = F.col("source.record_track_hash") != F.col("target.record_track_hash")
     return merge_apply(
         fact, source, ["l_orderkey", "l_linenumber", "session_id"],
         matched=[Update(all_columns(source), when=changed)], not_matched=[Insert(all_columns(source))],
-        unique_source=True, stage=True,
+        unique_source=True, stage=stage,
     )
 
 
