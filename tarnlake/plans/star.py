@@ -16,6 +16,7 @@ from tarnlake.plans.inputs import (
     LINE_EXT, LINE_UNIQUE, LOAD_TS, PARTSUPP, Tables, line_ext, ts,
 )
 from tarnlake.plans.tpch import REVENUE_SQL, pricing_sql, pricing_summary, revenue
+from tarnlake.session import staged
 
 
 # --- models ---------------------------------------------------------------------------
@@ -170,7 +171,8 @@ def _upserted(t: Tables) -> DataFrame:
         "l_quantity", F.col("l_quantity") + 1
     )
     other = lines.filter(F.col("l_shipdate") >= ts("2001-01-01 00:00:00"))
-    return upsert_session(upsert_session(first, rerun, "A"), other, "B").drop("record_track_hash")
+    second = staged(upsert_session(first, rerun, "A"), "fact-session-a-rerun")  # each upsert writes its table
+    return upsert_session(second, other, "B").drop("record_track_hash")
 
 
 # --- queries on the star ----------------------------------------------------------------
