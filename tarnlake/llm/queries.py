@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import rules, simhash
+from tarnlake.llm import lines, rules, simhash
 from tarnlake.llm.common import table
 
 
@@ -51,5 +51,28 @@ def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
 
 
-QUERIES = {"op4_quality_rules": op4_quality_rules, "op8_simhash_golay": op8_simhash_golay}
-ORACLE = {"op4_quality_rules": OP4_SQL}
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines whose key is in at least 10 documents."""
+    kept = lines.drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[ 	-]+', ''), '[ 	-]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, cast(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS bigint) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+QUERIES = {"op4_quality_rules": op4_quality_rules, "op8_simhash_golay": op8_simhash_golay,
+           "op9_line_runs": op9_line_runs}
+ORACLE = {"op4_quality_rules": OP4_SQL, "op9_line_runs": OP9_SQL}
