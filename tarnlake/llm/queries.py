@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import lines, rules, simhash
+from tarnlake.llm import lines, mixing, rules, simhash
 from tarnlake.llm.common import table
 
 
@@ -46,6 +46,69 @@ FROM b
 """
 
 
+# One large crawl, a few curated sources, the rest plain web.
+MIX_DOMAIN = "CASE WHEN source = 'src0' THEN 'crawl' WHEN source IN ('src1', 'src2', 'src3') THEN 'curated' ELSE 'web' END"
+MIX_WEIGHTS = {
+    ("crawl",): 2, ("curated",): 4, ("web",): 4,
+    ("crawl", "en"): 4, ("crawl", "de"): 2, ("web", "en"): 3, ("web", "es"): 2,
+    ("curated", "en", "src1"): 3, ("web", "de", "src4"): 5,
+}
+MIX = {"budget_share": "0.6", "seed": 7, "max_epochs": 2}
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a mix of 60 % of all tokens, with the number of epochs each is in."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, F.expr(MIX_DOMAIN), MIX_WEIGHTS, **MIX).select(
+        "doc_id", "domain", "lang", "source", "n_tokens", "copies")
+
+
+def _weights_sql() -> str:
+    rows = [(*path, *[None] * (3 - len(path)), w) for path, w in MIX_WEIGHTS.items()]
+    return ", ".join("(" + ", ".join("NULL" if v is None else repr(v) for v in row) + ")" for row in rows)
+
+
+def _split_sql(parent: list[str], level: str, depth: int) -> str:
+    """The budgets of one level of the tree, from those of the level above."""
+    keys, name = ", ".join(parent), f"a{depth}"
+    return f"""
+n{depth} AS (SELECT {keys}, {level}, sum(capacity) AS capacity, max(CASE WHEN capacity > 0 THEN w{depth} ELSE 0 END)::hugeint AS weight
+  FROM leaf GROUP BY ALL),
+o{depth} AS (SELECT n{depth}.*, budget, sum(capacity) OVER up AS filled, sum(weight) OVER fam - sum(weight) OVER up AS later
+  FROM n{depth} JOIN a{depth - 1} USING ({keys}) WHERE weight > 0
+  WINDOW fam AS (PARTITION BY {keys}), up AS (PARTITION BY {keys} ORDER BY capacity::double / weight::double, {level} ROWS UNBOUNDED PRECEDING)),
+f{depth} AS (SELECT *, weight * (budget - filled) >= capacity * later AS is_full FROM o{depth}),
+{name} AS (SELECT {keys}, {level}, CASE WHEN is_full THEN capacity ELSE
+    (budget - coalesce(sum(CASE WHEN is_full THEN capacity END) OVER fam, 0))::hugeint * weight
+      // (sum(CASE WHEN NOT is_full THEN weight END) OVER fam)::hugeint END::hugeint AS budget
+  FROM f{depth} WINDOW fam AS (PARTITION BY {keys}))"""
+
+
+OP5_SQL = rf"""
+WITH e AS (
+  SELECT doc_id, {MIX_DOMAIN} AS domain, lang, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n_tokens
+  FROM documents),
+w AS (SELECT * FROM (VALUES {_weights_sql()}) t(d, l, s, w)),
+leaf AS (
+  SELECT 1 AS root, g.*, coalesce(a.w, 1) AS w1, coalesce(b.w, 1) AS w2, coalesce(c.w, 1) AS w3,
+    (tokens * {MIX["max_epochs"]})::hugeint AS capacity
+  FROM (SELECT domain, lang, source, sum(n_tokens)::hugeint AS tokens FROM e GROUP BY ALL) g
+  LEFT JOIN w a ON a.d = domain AND a.l IS NULL
+  LEFT JOIN w b ON b.d = domain AND b.l = lang AND b.s IS NULL
+  LEFT JOIN w c ON c.d = domain AND c.l = lang AND c.s = source),
+a0 AS (SELECT 1 AS root, least(sum(capacity), sum(tokens)::hugeint * 3 // 5)::hugeint AS budget FROM leaf),
+{_split_sql(["root"], "domain", 1)}, {_split_sql(["root", "domain"], "lang", 2)}, {_split_sql(["root", "domain", "lang"], "source", 3)},
+p AS (SELECT domain, lang, source, budget // tokens AS f, budget % tokens AS rest
+  FROM leaf JOIN a3 USING (domain, lang, source) WHERE budget > 0 AND tokens > 0),
+h AS (SELECT e.*, f, rest, ('0x' || substr(md5('{MIX["seed"]}:' || (f + 1)::varchar || ':' || doc_id::varchar), 1, 15))::bigint AS place
+  FROM e JOIN p USING (domain, lang, source)),
+c AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM h)
+SELECT doc_id, domain, lang, source, n_tokens::bigint AS n_tokens, (f + CASE WHEN start < rest THEN 1 ELSE 0 END)::bigint AS copies
+FROM c WHERE f > 0 OR start < rest
+"""
+
+
 def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: shingles of 3 words, at most 2 differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
@@ -63,7 +126,9 @@ WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
 k AS (
-  SELECT *, translate(regexp_replace(regexp_replace(line, '^[ 	-]+', ''), '[ 	-]+$', ''),
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[ 	-
+]+', ''), '[ 	-
+]+$', ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
 f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
 m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f USING (key))
@@ -73,6 +138,6 @@ FROM m GROUP BY doc_id
 """
 
 
-QUERIES = {"op4_quality_rules": op4_quality_rules, "op8_simhash_golay": op8_simhash_golay,
+QUERIES = {"op4_quality_rules": op4_quality_rules, "op5_mix_sources": op5_mix_sources, "op8_simhash_golay": op8_simhash_golay,
            "op9_line_runs": op9_line_runs}
-ORACLE = {"op4_quality_rules": OP4_SQL, "op9_line_runs": OP9_SQL}
+ORACLE = {"op4_quality_rules": OP4_SQL, "op5_mix_sources": OP5_SQL, "op9_line_runs": OP9_SQL}
