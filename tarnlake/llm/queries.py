@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import lines, mixing, rules, simhash
+from tarnlake.llm import lines, mixing, rules, simhash, tiling
 from tarnlake.llm.common import table
 
 
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items: tiles of at least 5 words covering at least 0.8 of an item."""
+    docs = table(spark, sf_dir, "documents")
+    return tiling.verdicts(docs, tiling.hits(docs, table(spark, sf_dir, "benchmark"), min_match=5, coverage=0.8))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of the quality rules over all documents, with the verdict of policy v1."""
     entries = rules.ledger(rules.measure(table(spark, sf_dir, "documents")))
@@ -86,7 +92,8 @@ f{depth} AS (SELECT *, weight * (budget - filled) >= capacity * later AS is_full
 
 OP5_SQL = rf"""
 WITH e AS (
-  SELECT doc_id, {MIX_DOMAIN} AS domain, lang, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n_tokens
+  SELECT doc_id, {MIX_DOMAIN} AS domain, lang, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n_tokens
   FROM documents),
 w AS (SELECT * FROM (VALUES {_weights_sql()}) t(d, l, s, w)),
 leaf AS (
@@ -138,6 +145,6 @@ FROM m GROUP BY doc_id
 """
 
 
-QUERIES = {"op4_quality_rules": op4_quality_rules, "op5_mix_sources": op5_mix_sources, "op8_simhash_golay": op8_simhash_golay,
+QUERIES = {"op2_string_tiling": op2_string_tiling, "op4_quality_rules": op4_quality_rules, "op5_mix_sources": op5_mix_sources, "op8_simhash_golay": op8_simhash_golay,
            "op9_line_runs": op9_line_runs}
 ORACLE = {"op4_quality_rules": OP4_SQL, "op5_mix_sources": OP5_SQL, "op9_line_runs": OP9_SQL}

@@ -16,6 +16,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tarnlake.llm import tokens
 from tarnlake.llm.common import arrow_map
@@ -48,10 +49,15 @@ def _dup_lines(text: str | None) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measurer(keep_text: bool):
+    return lambda batches: _measure(batches, keep_text)
+
+
+def _measure(batches: Iterator[pa.RecordBatch], keep_text: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in tokens.chunks(batch):
-            w = tokens.words(part.column(1))
+            text = part.column(part.schema.get_field_index("text"))
+            w = tokens.words(text)
             solid = ~tokens.BLANK[w.data] & ((w.data & 0xC0) != 0x80)
             grams = tokens.gram_hashes(tokens.word_hashes(w), WINDOW) if len(w.starts) else np.zeros(0, np.uint64)
             doc = w.doc
@@ -63,18 +69,30 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             twice[order[1:][same]] = True
             twice[order[:-1][same]] = True
             repeated = tokens.covered(full[twice], WINDOW, len(w.starts))
-            lines = np.array([_dup_lines(t) for t in part.column(1).to_pylist()], dtype=np.int64).reshape(-1, 2)
+            lines = np.array([_dup_lines(t) for t in text.to_pylist()], dtype=np.int64).reshape(-1, 2)
             columns = [w.counts, w.per_doc(solid, w.bounds), w.per_doc(_SYMBOL[w.data], w.bounds), lines[:, 0],
                        lines[:, 1], w.per_doc(repeated)]
+            kept = [(part.column(i), f) for i, f in enumerate(part.schema) if keep_text or f.name != "text"]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(pa.array(c.astype(np.int64)) for c in columns)], ["doc_id", *MEASURES])
+                [*(c for c, _ in kept), *(pa.array(c.astype(np.int64)) for c in columns)],
+                [*(f.name for _, f in kept), *MEASURES])
+
+
+def measure(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """One row per document, its `keep` columns and the measurements the rules need, from one pass over the whole text.
+
+    A kept column named like a measurement is refused. Keeping `text` saves joining the verdict back.
+    """
+    if set(keep) & set(MEASURES):
+        raise ValueError("kept columns are named like measurements")
+    rows = docs.select(*(F.col(f"`{c}`") for c in keep)) if "text" in keep else docs.select(
+        *(F.col(f"`{c}`") for c in keep), "text")
+    return arrow_map(rows, _measurer("text" in keep), _schema(docs, keep))
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """One row per document with the measurements the rules need, from one pass over the whole text."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, " + ", ".join(f"{name} long" for name in MEASURES)
-    return arrow_map(docs.select("doc_id", "text"), _measure, schema)
+def _schema(docs: DataFrame, keep: Sequence[str]) -> StructType:
+    counts = [StructField(name, LongType()) for name in MEASURES]
+    return StructType([StructField(c, docs.schema[c].dataType) for c in keep] + counts)
 
 
 def ledger(measured: DataFrame, rules: Mapping[str, Column | str] = RULES) -> DataFrame:

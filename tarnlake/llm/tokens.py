@@ -71,10 +71,10 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         at = to
 
 
-def words(texts: pa.Array) -> Words:
-    """Word positions of every text of the array."""
+def words(texts: pa.Array, blank: np.ndarray = BLANK) -> Words:
+    """Word positions of every text of the array; `blank` tells for each byte value whether it separates words."""
     data, bounds = buffers(texts)
-    solid = ~BLANK[data]
+    solid = ~blank[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True                                   # a document's end ends a word
     before = np.concatenate(([False], solid[:-1])) & ~edge[:-1] if len(data) else solid
