@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,14 +17,30 @@ __all__ = ["WORD", "arrow_map", "row_key", "staged", "table", "work_path"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 _BATCH_ROWS = "512"
+_PACKAGE = Path(__file__).resolve().parent.parent
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package's code to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    code = Path(tempfile.mkdtemp(prefix="code-")) / "tarnlake-code.zip"
+    with zipfile.ZipFile(code, "w") as archive:
+        for file in sorted(_PACKAGE.rglob("*.py")):
+            archive.write(file, file.relative_to(_PACKAGE.parent))
+    sc.addPyFile(str(code))
+    _SHIPPED.add(sc.applicationId)
+
+
 def arrow_map(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """`mapInArrow` with batches of few rows, so that long texts do not fill a worker's memory."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _BATCH_ROWS)
     return df.mapInArrow(f, schema)
 

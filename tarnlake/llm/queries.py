@@ -4,10 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import lines, mixing, rules, simhash, tiling
+from tarnlake.llm import lines, mixing, rules, simhash, tiling, warc
 from tarnlake.llm.common import table
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record per page, written and read back through the index."""
+    pages = table(spark, sf_dir, "pages")
+    folder, index = warc.write_archives(pages, min_bytes=0)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_records(folder, index, with_payload=False).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY x) AS first FROM p)
+SELECT page_id, cast(strlen(h) AS bigint) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + cast(((('0x' || substr(x, 1 + 5 * (k // 4), 5))::bigint >> (5 * (3 - k % 4))) & 31) AS int), 1) FOR k IN range(0, 32)], '')
+    AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
 def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items: tiles of at least 5 words covering at least 0.8 of an item."""
     docs = table(spark, sf_dir, "documents")
@@ -145,6 +168,6 @@ FROM m GROUP BY doc_id
 """
 
 
-QUERIES = {"op2_string_tiling": op2_string_tiling, "op4_quality_rules": op4_quality_rules, "op5_mix_sources": op5_mix_sources, "op8_simhash_golay": op8_simhash_golay,
+QUERIES = {"op1_warc_index": op1_warc_index, "op2_string_tiling": op2_string_tiling, "op4_quality_rules": op4_quality_rules, "op5_mix_sources": op5_mix_sources, "op8_simhash_golay": op8_simhash_golay,
            "op9_line_runs": op9_line_runs}
-ORACLE = {"op4_quality_rules": OP4_SQL, "op5_mix_sources": OP5_SQL, "op9_line_runs": OP9_SQL}
+ORACLE = {"op1_warc_index": OP1_SQL, "op4_quality_rules": OP4_SQL, "op5_mix_sources": OP5_SQL, "op9_line_runs": OP9_SQL}
