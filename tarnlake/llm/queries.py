@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import lines, mixing, rules, simhash, tiling, warc
+from tarnlake.llm import lines, mixing, pii, rules, simhash, tiling, warc
 from tarnlake.llm.common import table
 
 
@@ -139,6 +139,14 @@ FROM c WHERE f > 0 OR start < rest
 """
 
 
+def op7_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: counts and digest of the plain spans, and all spans with the disguised ones."""
+    base = pii.base_spans(F.col("spans"))
+    return pii.detect(table(spark, sf_dir, "documents")).select(
+        "doc_id", *(pii.count(base, kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: shingles of 3 words, at most 2 differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
@@ -168,6 +176,13 @@ FROM m GROUP BY doc_id
 """
 
 
-QUERIES = {"op1_warc_index": op1_warc_index, "op2_string_tiling": op2_string_tiling, "op4_quality_rules": op4_quality_rules, "op5_mix_sources": op5_mix_sources, "op8_simhash_golay": op8_simhash_golay,
-           "op9_line_runs": op9_line_runs}
+QUERIES = {
+    "op1_warc_index": op1_warc_index,
+    "op2_string_tiling": op2_string_tiling,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_mix_sources": op5_mix_sources,
+    "op7_pii_offsets": op7_pii_offsets,
+    "op8_simhash_golay": op8_simhash_golay,
+    "op9_line_runs": op9_line_runs,
+}
 ORACLE = {"op1_warc_index": OP1_SQL, "op4_quality_rules": OP4_SQL, "op5_mix_sources": OP5_SQL, "op9_line_runs": OP9_SQL}
