@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import lines, mixing, pii, rules, simhash, tiling, warc
+from tarnlake.llm import langid, lines, mixing, pii, rules, simhash, tiling, warc
 from tarnlake.llm.common import table
 
 
@@ -37,6 +37,14 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.verdicts(docs, tiling.hits(docs, table(spark, sf_dir, "benchmark"), min_match=5, coverage=0.8))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents, learnt from those whose crc32(doc_id) mod 3 is not 1."""
+    held_out = F.expr("coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1, false)")
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~held_out).select("doc_id", "text", F.col("lang").alias("label")))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of the quality rules over all documents, with the verdict of policy v1."""
     entries = rules.ledger(rules.measure(table(spark, sf_dir, "documents")))
@@ -179,6 +187,7 @@ FROM m GROUP BY doc_id
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op2_string_tiling": op2_string_tiling,
+    "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op5_mix_sources": op5_mix_sources,
     "op7_pii_offsets": op7_pii_offsets,
