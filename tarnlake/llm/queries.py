@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import langid, lines, mixing, pii, rules, simhash, tiling, warc
+from tarnlake.llm import chat, langid, lines, mixing, pii, rules, simhash, tiling, warc
 from tarnlake.llm.common import table
 
 
@@ -184,6 +184,80 @@ FROM m GROUP BY doc_id
 """
 
 
+TOOLS = {
+    "search": {"query": ("string", True), "limit": ("integer", False)},
+    "sum": {"terms": ("array", True)},
+    "fetch": {"page": ("integer", True)},
+}
+# Tool messages that the conversations imply, as text that both engines evaluate: an assistant's turn makes a call that needs the
+# result of its call before, the user's next turn carries the result. Lengths decide tool and faults.
+_TOOL = "CASE n % 4 WHEN 0 THEN 'search' WHEN 1 THEN 'sum' WHEN 2 THEN 'fetch' ELSE 'lookup' END"
+_ARGUMENTS = """CASE WHEN n % 13 = 0 THEN concat('{"page": ', n, ',')
+  WHEN n % 4 = 0 THEN concat('{"query": "q', n, '", "limit": ', CASE WHEN n % 7 = 0 THEN '"many"' ELSE cast(n % 20 AS varchar(9)) END, ' }')
+  WHEN n % 4 = 1 THEN concat('{ "terms": [', n, ', 2.5], "b": {"z": null, "a": true}', ' }')
+  ELSE concat('{"page":', CASE WHEN n % 11 = 0 THEN 'null' ELSE cast(n AS varchar(9)) END, '}') END"""
+
+
+def _tool_messages(conversations: DataFrame) -> DataFrame:
+    """The messages of the conversations, and the tool messages they imply."""
+    sized = conversations.withColumn("n", F.coalesce(F.char_length("text"), F.lit(0)))
+    nothing = F.lit(None).cast("string")
+    plain = sized.select(
+        "conv_id", "turn", "role", "text", nothing.alias("call_id"), nothing.alias("tool"), nothing.alias("arguments"),
+        F.array().cast("array<string>").alias("needs"))
+    calls = sized.filter("role = 'assistant'").select(
+        "conv_id", "turn", F.lit("tool_call").alias("role"), nothing.alias("text"), F.concat(F.lit("call-"), "turn").alias("call_id"),
+        F.expr(_TOOL).alias("tool"), F.expr(_ARGUMENTS).alias("arguments"),
+        F.array(F.concat(F.lit("call-"), (F.col("turn") - 2).cast("string"))).alias("needs"))
+    results = sized.filter("role = 'user' AND n % 5 <> 0").select(
+        "conv_id", "turn", F.lit("tool_result").alias("role"), F.concat(F.lit("result of "), F.col("n").cast("string")).alias("text"),
+        F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("call_id"), nothing.alias("tool"),
+        nothing.alias("arguments"), F.array().cast("array<string>").alias("needs"))
+    return plain.unionAll(calls).unionAll(results)
+
+
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with the tool messages they imply: linked, ordered, validated, as canonical JSON."""
+    linked = chat.link(_tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+    return linked.withColumn("errors", F.array_join(F.coalesce("errors", F.array().cast("array<string>")), ";"))
+
+
+OP10_SQL = f"""
+WITH RECURSIVE s AS (SELECT *, coalesce(length(text), 0) AS n FROM conversations),
+calls AS (SELECT conv_id, turn, 'call-' || turn AS call_id, {_TOOL} AS tool, {_ARGUMENTS} AS a, n FROM s WHERE role = 'assistant'),
+results AS (SELECT conv_id, turn, 'call-' || (turn - 1) AS call_id, 'result of ' || n AS t FROM s WHERE role = 'user' AND n % 5 <> 0),
+placed AS (
+  SELECT conv_id, turn, turn AS slot, 0 AS level, greatest(turn, coalesce((
+    SELECT min(r.turn) FROM results r WHERE r.conv_id = c.conv_id AND r.call_id = c.call_id), turn)) AS until
+  FROM calls c WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+  UNION ALL
+  SELECT c.conv_id, c.turn, greatest(c.turn, p.until), p.level + 1, greatest(c.turn, p.until, coalesce((
+    SELECT min(r.turn) FROM results r WHERE r.conv_id = c.conv_id AND r.call_id = c.call_id), c.turn))
+  FROM placed p JOIN calls c ON c.conv_id = p.conv_id AND c.turn = p.turn + 2),
+checked AS (
+  SELECT c.*, CASE WHEN tool = 'lookup' THEN 'unknown tool' WHEN n % 13 = 0 THEN 'no JSON object'
+    WHEN tool = 'search' AND n % 7 = 0 THEN 'type of limit' WHEN tool = 'sum' THEN 'unknown field b'
+    WHEN tool = 'fetch' AND n % 11 = 0 THEN 'missing page' ELSE '' END AS errors,
+    CASE WHEN n % 13 = 0 THEN to_json(a)::varchar ELSE
+      CASE n % 4 WHEN 0 THEN '{{"limit":' || CASE WHEN n % 7 = 0 THEN '"many"' ELSE (n % 20)::varchar END || ',"query":"q' || n || '"}}'
+      WHEN 1 THEN '{{"b":{{"a":true,"z":null}},"terms":[' || n || ',2.5]}}' ELSE a END END AS canon
+  FROM calls c)
+SELECT conv_id, turn::bigint AS slot, 0::bigint AS level, turn::bigint AS turn, role, NULL::varchar AS call_id, 'ok' AS status, '' AS errors,
+  '{{"role":' || to_json(role)::varchar || coalesce(',"text":' || to_json(text)::varchar, '') || '}}' AS json FROM s
+UNION ALL
+SELECT c.conv_id, p.slot::bigint, p.level::bigint, c.turn::bigint, 'tool_call', c.call_id,
+  CASE WHEN c.errors <> '' THEN 'invalid'
+    WHEN NOT EXISTS (SELECT 1 FROM results r WHERE r.conv_id = c.conv_id AND r.call_id = c.call_id) THEN 'no result' ELSE 'ok' END,
+  c.errors, '{{"arguments":' || canon || ',"call_id":"' || c.call_id || '","role":"tool_call","tool":"' || tool || '"}}'
+FROM checked c JOIN placed p ON p.conv_id = c.conv_id AND p.turn = c.turn
+UNION ALL
+SELECT r.conv_id, greatest(r.turn, coalesce(p.slot, r.turn))::bigint, coalesce(p.level, 0)::bigint, r.turn::bigint, 'tool_result', r.call_id,
+  CASE WHEN p.turn IS NULL THEN 'no call' ELSE 'ok' END, '',
+  '{{"call_id":"' || r.call_id || '","role":"tool_result","text":"' || t || '"}}'
+FROM results r LEFT JOIN placed p ON p.conv_id = r.conv_id AND p.turn = r.turn - 1
+"""
+
+
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op2_string_tiling": op2_string_tiling,
@@ -193,5 +267,12 @@ QUERIES = {
     "op7_pii_offsets": op7_pii_offsets,
     "op8_simhash_golay": op8_simhash_golay,
     "op9_line_runs": op9_line_runs,
+    "op10_tool_calls": op10_tool_calls,
+}
+ORACLE = {
+    "op1_warc_index": OP1_SQL,
+    "op4_quality_rules": OP4_SQL,
+    "op5_mix_sources": OP5_SQL,
+    "op9_line_runs": OP9_SQL,
+    "op10_tool_calls": OP10_SQL,
 }
-ORACLE = {"op1_warc_index": OP1_SQL, "op4_quality_rules": OP4_SQL, "op5_mix_sources": OP5_SQL, "op9_line_runs": OP9_SQL}
