@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import chat, langid, lines, mixing, pii, rules, simhash, tiling, warc
+from tarnlake.llm import chat, langid, lines, mixing, pii, repeats, rules, simhash, tiling, warc
 from tarnlake.llm.common import table
 
 
@@ -147,6 +147,29 @@ FROM c WHERE f > 0 OR start < rest
 """
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 50 words that a document with a smaller id has too."""
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"), min_words=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+r AS (SELECT doc_id, i FROM s QUALIFY min(doc_id) OVER (PARTITION BY h) < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM r, (SELECT unnest(range(0, 50)) AS k)),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+m AS (SELECT words.*, gone.i IS NOT NULL AS dropped FROM words LEFT JOIN gone USING (doc_id, i)),
+k AS (
+  SELECT doc_id, cast(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS bigint) AS n,
+    string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT dropped) AS t FROM m GROUP BY doc_id)
+SELECT d.doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
 def op7_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents: counts and digest of the plain spans, and all spans with the disguised ones."""
     base = pii.base_spans(F.col("spans"))
@@ -264,6 +287,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op5_mix_sources": op5_mix_sources,
+    "op6_repeated_passages": op6_repeated_passages,
     "op7_pii_offsets": op7_pii_offsets,
     "op8_simhash_golay": op8_simhash_golay,
     "op9_line_runs": op9_line_runs,
@@ -273,6 +297,7 @@ ORACLE = {
     "op1_warc_index": OP1_SQL,
     "op4_quality_rules": OP4_SQL,
     "op5_mix_sources": OP5_SQL,
+    "op6_repeated_passages": OP6_SQL,
     "op9_line_runs": OP9_SQL,
     "op10_tool_calls": OP10_SQL,
 }
