@@ -12,7 +12,7 @@ def components(links: DataFrame, label: str = "component") -> DataFrame:
 
     Each round hooks every node's larger neighbours, then its smaller ones, to its smallest
     neighbour; the rounds needed grow with the logarithm of the longest chain. A minimum per node is
-    combined before the shuffle, so a node with very many links is no burden, and the join that
+    combined before the shuffle and stored, so a node with very many links is no burden, and the join that
     follows is one Spark can split. Rounds are written to the shared folder: nothing is collected but
     one checksum per round, and a lost executor costs at most one round. Self links and repeated
     links are allowed; nulls link nothing; an empty table gives an empty result.
@@ -35,13 +35,13 @@ def components(links: DataFrame, label: str = "component") -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "stars-least")
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(edges.groupBy("u").agg(F.min("v").alias("m")), "stars-least")
     joined = edges.join(least, "u")
     hooked = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hooked.unionAll(least.select("u", F.col("m").alias("v"))).distinct()

@@ -106,13 +106,13 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     Null URLs have no header. Other columns are not read. An empty table gives an empty index.
 
     Rows meet by digest to learn the first id of their payload. A payload that very many pages share makes a
-    large group; it is aggregated before the shuffle, and the join is one that Spark splits.
+    large group; it is aggregated before the shuffle, and as the ids are a stored table, the join is one that Spark splits.
     """
     folder = folder or work_path(pages.sparkSession, "warc")
     html = F.coalesce("html", F.lit(""))
     keyed = pages.select(
         F.col("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("sha"))
-    firsts = keyed.groupBy("sha").agg(F.min("page_id").alias("first_id"))
+    firsts = staged(keyed.groupBy("sha").agg(F.min("page_id").alias("first_id")), "warc-firsts")
     is_response = F.col("page_id").eqNullSafe(F.col("first_id")) | (F.octet_length("html") < min_bytes)
     rows = keyed.join(firsts, "sha").select(
         F.col("page_id").cast("string").alias("page_id"), "url", "html", F.col("first_id").cast("string").alias("first_id"),
