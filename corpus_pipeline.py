@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarnlake.llm import lines, mixing, rules, simhash, tiling
-from tarnlake.llm.common import table, work_path
+from tarnlake.llm.common import staged, table
 from tarnlake.llm.queries import MIX, MIX_DOMAIN, MIX_WEIGHTS
 from tarnlake.session import tune
 
@@ -61,7 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents; each stage's rows are written and read again."""
     docs = table(tune(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        path = work_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -92,8 +92,8 @@ def link(messages: DataFrame, tools: Mapping[str, Schema]) -> DataFrame:
     """Every message with its place, status and canonical JSON: (conv_id, slot, level, turn, role, call_id, status, errors, json).
 
     Sorting a conversation by (slot, level, turn, role, call_id) gives its formatted order; where nothing forces a message later,
-    `slot` is its turn. Status of a call: ok, invalid (see `errors`), no result, cycle, duplicate id; of a result: ok, no call, duplicate
-    result; of others: ok. Of calls or results that share an id the earliest counts; rows equal in everything are all
+    `slot` is its turn. Status of a call: ok, invalid (see `errors`), no result, cycle, duplicate id, no id; of a result: ok, no call,
+    duplicate result, no id; of others: ok. Of calls or results that share an id the earliest counts; rows equal in everything are all
     the earliest. Calls and results without an id, or conversations without one, link to nothing. Null texts are left out
     of the JSON. Other columns of the input are not read; an empty table gives no rows.
     """
@@ -115,7 +115,7 @@ def link(messages: DataFrame, tools: Mapping[str, Schema]) -> DataFrame:
     is_call, is_result = F.col("role") == "tool_call", F.col("role") == "tool_result"
     marked = marked.withColumn("errors", F.when(is_call, argument_errors(tools, F.col("tool"), F.col("arguments"))))
     status = (
-        F.when(is_call & F.col("call_id").isNull(), "no id")
+        F.when((is_call | is_result) & (F.col("call_id").isNull() | F.col("conv_id").isNull()), "no id")
         .when(is_call & (F.col("call") != own), "duplicate id")
         .when(is_call & F.col("slot").isNull(), "cycle")
         .when(is_call & (F.size("errors") > 0), "invalid")
