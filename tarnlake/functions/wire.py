@@ -4,54 +4,63 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_LIMB_HEX = 8                 # hex digits per limb: 32 bits
-_LIMBS = 4                    # 16 bytes in all
 _LONG_HEX = 14                # up to 7 bytes go through a long
-_MAX_HEX = 30                 # wider unscaled values do not fit decimal(38,0)
-_DIGITS = 40
+_CHUNK_HEX = 7                # hex digits taken at a time from wider values: 28 bits
+_LIMB = 1_000_000_000         # decimal limb of wider values
+_FRACTION = 38                # fraction digits kept: no decimal type holds more
 
 
-def _unsigned(digits: Column) -> Column:
-    return F.conv(digits, 16, 10)
+def _wide(digits: Column, negative: Column) -> Column:
+    """Decimal digits of the magnitude of a two's-complement number of any width.
 
+    Chunks of 28 bits are taken up from the left: the limbs so far are multiplied by 2^28 and the chunk is the carry into
+    the lowest. A negative number is inverted, and one is added with its last chunk.
+    """
+    flipped = F.when(negative, F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(digits)
+    width = F.ceil(F.length(digits) / _CHUNK_HEX) * _CHUNK_HEX
+    padded = F.lpad(flipped, width.cast("int"), "0")
+    count = (width / _CHUNK_HEX).cast("int")
 
-def _wide(digits: Column, negative: Column) -> Column:
-    """Two's complement of up to 15 bytes, limb by limb."""
-    width = _LIMB_HEX * _LIMBS
-    padded = F.when(negative, F.lpad(digits, width, "F")).otherwise(F.lpad(digits, width, "0"))
-    total = F.lit(0).cast("decimal(38,0)")
-    for i in range(_LIMBS):
-        limb = _unsigned(F.substring(padded, 1 + i * _LIMB_HEX, _LIMB_HEX)).cast("decimal(38,0)")
-        if i == 0:
-            limb = F.when(negative, limb - F.lit(1 << 32)).otherwise(limb).cast("decimal(38,0)")
-        weight = F.lit(str(1 << (32 * (_LIMBS - 1 - i)))).cast("decimal(38,0)")
-        total = F.try_add(total, F.try_multiply(limb, weight)).cast("decimal(38,0)")
-    return total
+    def chunk(i: Column) -> Column:
+        value = F.conv(F.substring(padded, (i - 1) * _CHUNK_HEX + 1, F.lit(_CHUNK_HEX)), 16, 10).cast("long")
+        return value + F.when(negative & (i == count), 1).otherwise(0)
+
+    def take_up(limbs: Column, value: Column) -> Column:
+        def step(state: Column, limb: Column) -> Column:
+            total = limb * F.lit(1 << 28) + state["carry"]
+            return F.struct(F.concat(state["limbs"], F.array((total % _LIMB).cast("long"))).alias("limbs"),
+                            F.call_function("div", total, F.lit(_LIMB)).cast("long").alias("carry"))
+
+        start = F.struct(F.array().cast("array<bigint>").alias("limbs"), value.alias("carry"))
+        return F.aggregate(limbs, start, step, lambda s: F.concat(s["limbs"], F.array(s["carry"])))
+
+    limbs = F.aggregate(F.transform(F.sequence(F.lit(1), count), chunk), F.array(F.lit(0).cast("long")), take_up)
+    return F.array_join(F.transform(F.reverse(limbs), lambda limb: F.lpad(limb.cast("string"), 9, "0")), "")
 
 
 def decode_decimal(encoded: Column, scale: Column | int, target: str = "decimal(15,2)") -> Column:
     """Base64 of a big-endian two's-complement unscaled integer -> decimal.
 
-    The scale may differ from row to row; the target type is fixed, digits beyond
-    it are rounded half up. NULL, empty, over-wide (> 15 bytes) and out-of-range
-    values give NULL.
+    The integer may have any width and the scale any value, negative ones included, and may differ from row to
+    row; the target type is fixed, digits beyond it are rounded half up. NULL and empty values give NULL, one that does not fit
+    the target raises.
     """
     digits = F.hex(F.unbase64(encoded))
     size = F.length(digits)
     negative = F.substring(digits, 1, 1) >= "8"
-    short = _unsigned(digits).cast("long")
-    short = F.when(negative, short - F.pow(F.lit(2.0), size * 4).cast("long")).otherwise(short)
-    # the sign is taken off as text: negating a decimal rounds beyond 34 digits
-    signed = F.when(size <= _LONG_HEX, short.cast("string")).otherwise(_wide(digits, negative).cast("string"))
-    whole = F.ltrim(signed, F.lit("-"))
-    scale = F.lit(scale) if isinstance(scale, int) else scale
-    text = F.lpad(whole, _DIGITS, "0")
-    cut = F.lit(_DIGITS) - scale
-    point = F.concat(
-        F.when(negative, F.lit("-")).otherwise(F.lit("")),
-        F.substring(text, F.lit(1), cut), F.lit("."), F.substring(text, cut + F.lit(1), F.lit(_DIGITS)),
-    )
-    return F.when((size > 0) & (size <= _MAX_HEX), point).try_cast(target)
+    short = F.conv(digits, 16, 10).cast("long")
+    short = F.when(negative, F.pow(F.lit(2.0), size * 4).cast("long") - short).otherwise(short)
+    whole = F.ltrim(F.when(size <= _LONG_HEX, short.cast("string")).otherwise(_wide(digits, negative)), F.lit("0"))
+    scale = (F.lit(scale) if isinstance(scale, int) else scale).cast("int")
+    shifted = F.concat(whole, F.repeat(F.lit("0"), F.when(F.length(whole) > 0, F.greatest(-scale, F.lit(0))).otherwise(0)))
+    places = F.greatest(scale, F.lit(0))
+    text = F.lpad(shifted, F.greatest(F.length(shifted), places + 1), "0")
+    cut = F.length(text) - places
+    number = F.concat(
+        F.when(negative, F.lit("-")).otherwise(F.lit("")), F.substring(text, F.lit(1), cut), F.lit("."),
+        F.substring(text, cut + 1, F.least(places, F.lit(_FRACTION))))
+    misfit = F.raise_error(F.concat(F.lit(f"value does not fit {target}: "), number)).cast(target)
+    return F.when((size > 0) & scale.isNotNull(), F.coalesce(number.try_cast(target), misfit))
 
 
 def encode_decimal(amount: Column, scale: int = 2) -> Column:

@@ -151,6 +151,17 @@ def _json_props(t: Tables) -> DataFrame:
     )
 
 
+# name, scale written, bytes of sign in front, and how much smaller the scale read is
+_WIRE_FORMS = [("bytes16", 2, 8, 0), ("bytes40", 2, 32, 0), ("scale_minus2", 0, 0, 2), ("scale45", 2, 12, -43)]
+
+
+def _widened(encoded: Column, extra: int) -> Column:
+    """The same number with more sign bytes in front."""
+    digits = F.hex(F.unbase64(encoded))
+    sign = F.when(F.substring(digits, 1, 1) >= "8", "FF").otherwise("00")
+    return F.base64(F.unhex(F.concat(F.repeat(sign, extra), digits)))
+
+
 def _decoded(t: Tables) -> DataFrame:
     """Balances through the wire encoding and back, with a fixed and with a per-row scale."""
     bal = F.col("s_acctbal").cast("decimal(15,2)")
@@ -160,6 +171,8 @@ def _decoded(t: Tables) -> DataFrame:
         "s_suppkey",
         decode_decimal(encode_decimal(bal), 2).cast("double").alias("fixed"),
         decode_decimal(per_row, scale).cast("double").alias("per_row"),
+        *(decode_decimal(_widened(encode_decimal(bal, own), extra), own - shift).cast("double").alias(name)
+          for name, own, extra, shift in _WIRE_FORMS),
     )
 
 
@@ -252,7 +265,8 @@ ORACLE = {
   make_timestamp(epoch_us(ts) // 1000 * 1000) as ts_of_ms, ts as ts_of_us from events""",
     "json_props": """select event_id, cast(json_extract_string(props, '$.k') as bigint) as k_parsed,
   json_extract_string(props, '$.k') as k_text from events""",
-    "decode_decimal": "select s_suppkey, s_acctbal as fixed, s_acctbal as per_row from supplier",
+    "decode_decimal": """select s_suppkey, s_acctbal as fixed, s_acctbal as per_row, s_acctbal as bytes16, s_acctbal as bytes40,
+  cast(round(cast(s_acctbal as decimal(15,2)), 0) * 100 as double) as scale_minus2, 0.0::double as scale45 from supplier""",
 }
 
 for _name, _columns in {

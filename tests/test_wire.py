@@ -20,7 +20,11 @@ def wire(n, size=None):
     (wire(10**15 - 1), 2, "9999999999999.99"), (wire(-(10**15 - 1)), 2, "-9999999999999.99"),
     (wire(12345, 8), 2, "123.45"), (wire(-12345, 12), 2, "-123.45"),
     (wire(15 * 10**16), 16, "15.00"), (wire(123456), 4, "12.35"), (wire(-123455), 4, "-12.35"), (wire(7), 0, "7.00"),
-    (wire(10**15), 2, None), (wire(1, 16), 2, None), ("", 2, None), (None, 2, None),
+    (wire(1, 16), 2, "0.01"), (wire(12345, 16), 2, "123.45"), (wire(-12345, 40), 2, "-123.45"), (wire(-1, 17), 0, "-1.00"),
+    (wire(1234567), 45, "0.00"), (wire(12), -2, "1200.00"), (wire(-12), -2, "-1200.00"), (wire(0, 20), -5, "0.00"),
+    (wire(1234 * 10**28 + 10**28 // 2), 30, "12.35"), (wire(-(1234 * 10**28 + 10**28 // 2), 16), 30, "-12.35"), (wire(123450, 16), 3, "123.45"),
+    (wire(7 * 10**60), 60, "7.00"), (wire(-(2**200)), 60, "-1.61"), (wire(2**56), 15, "72.06"), (wire(-(2**63), 8), 17, "-92.23"),
+    ("", 2, None), (None, 2, None),
 ])
 def test_decode(spark, text, scale, want):
     df = spark.createDataFrame([(text, scale)], "t string, s int")
@@ -29,8 +33,15 @@ def test_decode(spark, text, scale, want):
     assert tuple(got) == (expected, expected)
 
 
+@pytest.mark.parametrize("text, scale", [(wire(10**15), 2), (wire(-(10**40)), 2), (wire(99), -20)])
+def test_values_that_do_not_fit_raise(spark, text, scale):
+    df = spark.createDataFrame([(text, scale)], "t string, s int")
+    with pytest.raises(Exception, match="does not fit"):
+        df.select(decode_decimal(F.col("t"), F.col("s"))).collect()
+
+
 def test_wide_values_round_trip_exactly(spark):
-    values = [10**n + d for n in (17, 18, 20, 25, 30, 34) for d in (-1, 0, 1)]
+    values = [10**n + d for n in (16, 17, 18, 20, 25, 30, 34, 37) for d in (-1, 0, 1)] + [2**n for n in range(50, 120, 7)]
     values += [-v for v in values]
     df = spark.createDataFrame([(wire(v), str(v)) for v in values], "t string, want string")
     out = df.select(decode_decimal(F.col("t"), 0, "decimal(38,0)").cast("string").alias("got"), "want").collect()
