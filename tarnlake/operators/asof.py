@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnlake.functions import epoch_micros
+from tarnlake.operators.merge import by_key
 from tarnlake.operators.runs import ROWS_PER_TASK, carry_forward, split
+from tarnlake.session import staged
 
 _EV, _VER, _AT, _ORDER = "__event", "__version", "__at", "__order"
 FEW_VERSIONS = 64
@@ -25,15 +27,18 @@ def point_in_time_join(
 ) -> DataFrame:
     """Left join on key and `start <= event_ts < end`, in one sort per key and no pair expansion.
 
-    Versions of a key must not overlap. Both inputs are laid on one time line and
-    each event looks back at the newest version; the cost does not depend on the
-    number of versions per key. Keys too large for a task are cut along time (see `runs`),
-    which reads the inputs more than once: hand in tables, or `staged` results.
+    Versions of a key must not overlap; those that hold at no time (start not before end) are passed over. Both
+    inputs are laid on one time line and each event looks back at the newest version; the cost does not depend on the
+    number of versions per key. Events without a full key meet nothing and pass around the join. Keys
+    too large for a task are cut along time (see `runs`), which reads the inputs more than once: hand in tables, or
+    `staged` results.
     """
     keys = list(keys)
     carried = list(dict.fromkeys([*take, end]))
+    versions = _lasting(by_key(versions, keys)[0], start, end)
+    keyed, loose = by_key(events, keys)
     line = (
-        events.select(
+        keyed.select(
             *keys, F.col(event_ts).alias(_AT), F.struct(*events.columns).alias(_EV), F.lit(None).alias(_VER)
         )
         .unionByName(
@@ -42,15 +47,22 @@ def point_in_time_join(
             )
         )
         # at equal times a version comes before the events it applies to
-        .withColumn(_ORDER, F.struct(F.col(_AT), F.col(_EV).isNotNull()))
+        .withColumn(_ORDER, F.struct(F.col(_AT), F.col(_EV).isNotNull(), F.col(f"{_VER}.{end}")))
     )
     line = split(line, keys, epoch_micros(_AT), rows_per_task)
     met = carry_forward(line, keys, _ORDER, F.col(_VER).isNotNull(), [f"{_VER}.*"], "__met")
     met = met.filter(F.col(_EV).isNotNull())
     valid = F.col(_AT) < F.col(f"__met.{end}")
-    return met.select(
-        f"{_EV}.*", *[F.when(valid, F.col(f"__met.{c}")).alias(c) for c in take]
-    )
+    met = met.select(f"{_EV}.*", *[F.when(valid, F.col(f"__met.{c}")).alias(c) for c in take])
+    return met.unionByName(loose.select("*", *_nothing(versions, take)))
+
+
+def _lasting(versions: DataFrame, start: str, end: str) -> DataFrame:
+    return versions.filter(F.col(start) < F.col(end))
+
+
+def _nothing(versions: DataFrame, take: Sequence[str]) -> list[Column]:
+    return [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in take]
 
 
 def interval_join(
@@ -63,22 +75,29 @@ def interval_join(
     take: Sequence[str],
     few: int = FEW_VERSIONS,
 ) -> DataFrame:
-    """The same join as an equi-join with a range residual, for keys of few versions.
+    """The same join, with the same result, as an equi-join with a range residual for keys of few versions.
 
     While the versions fit a broadcast (Spark measures that) the events are not shuffled at
     all. An event is held against at most `few` versions; the events of keys that have more
-    take the time line instead.
+    take the time line instead. Which keys those are is found and stored when this is called; usually there are none.
     """
     keys = list(keys)
-    many = versions.groupBy(*keys).count().filter(F.col("count") > few).select(*keys)
+    versions = _lasting(by_key(versions, keys)[0], start, end)
+    many = staged(versions.groupBy(*keys).count().filter(F.col("count") > few).select(*keys), "many-versions")
     inside: Column = (F.col(f"e.{event_ts}") >= F.col(f"v.{start}")) & (F.col(f"e.{event_ts}") < F.col(f"v.{end}"))
     for k in keys:
         inside = (F.col(f"e.{k}") == F.col(f"v.{k}")) & inside
-    light = events.join(many, keys, "left_anti").select(*events.columns).alias("e")
-    versions_light = versions.join(many, keys, "left_anti").alias("v")
-    met = light.join(versions_light, inside, "left").select("e.*", *[F.col(f"v.{c}") for c in take])
+    keyed, loose = by_key(events, keys)
+    loose = loose.select("*", *_nothing(versions, take))
+    alone = many.isEmpty()
+    light = keyed if alone else keyed.join(many, keys, "left_anti").select(*events.columns)
+    few_versions = versions if alone else versions.join(many, keys, "left_anti").select(*versions.columns)
+    met = light.alias("e").join(few_versions.alias("v"), inside, "left").select("e.*", *[F.col(f"v.{c}") for c in take])
+    met = met.unionByName(loose)
+    if alone:
+        return met
     heavy = point_in_time_join(
-        events.join(many, keys, "left_semi").select(*events.columns),
+        keyed.join(many, keys, "left_semi").select(*events.columns),
         versions.join(many, keys, "left_semi").select(*versions.columns),
         keys, event_ts, start, end, take,
     )

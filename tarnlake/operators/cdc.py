@@ -97,22 +97,23 @@ def apply_changes(
     target: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
-    sequence_by: str,
+    sequence_by: str | Sequence[str],
     event_ts: str = "event_ts",
     except_columns: Sequence[str] = ("op",),
 ) -> DataFrame:
     """Upsert change rows into a current-state table (one row per key, soft deletes).
 
-    Only a change with a higher sequence than the stored row acts, deletes
+    Only a change with a higher sequence than the stored row acts (`sequence_by` may list tie-breakers), deletes
     included, so replays and stale events do nothing. A delete leaves a tombstone: `delete_ts`
     is set, the sequence advances, values the event does not carry are kept. A newer
     non-delete clears `delete_ts`.
     """
-    newest = latest_changes(changes, keys, [sequence_by])
+    sequence = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
+    newest = latest_changes(changes, keys, sequence)
     source = newest.withColumn("delete_ts", F.when(F.col("op") == "d", F.col(event_ts)))
     fields = [c for c in target.columns if c in source.columns and c not in except_columns]
     values = {c: F.col(f"source.`{c}`") for c in fields}
-    newer = F.col(f"source.{sequence_by}") > F.col(f"target.{sequence_by}")
+    newer = F.struct(*[F.col(f"source.{c}") for c in sequence]) > F.struct(*[F.col(f"target.{c}") for c in sequence])
     kept = {c: F.coalesce(F.col(f"source.`{c}`"), F.col(f"target.`{c}`")) for c in fields}
     return merge_apply(
         target,

@@ -18,6 +18,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarnlake.session import staged
+
 SUCCESS, FAILURE = "Success", "Failure"
 RESULT_COLUMNS = ["check_name", "constraint_name", "metric", "status"]
 
@@ -234,6 +236,11 @@ def key_distribution(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_audit_publish(built: DataFrame, checks: Sequence[Check], publish, name: str = "quality"):
-    """Publish `built` only if every check passes; returns what `publish(built)` returns."""
-    gate(run_checks(built, checks, name))
-    return publish(built)
+    """Write `built` once to the shared folder, check that table, and publish it only if every check passes.
+
+    The rows that are checked are the rows that are published, whatever the input does meanwhile. Returns
+    what `publish(table)` returns.
+    """
+    written = staged(built, f"audit-{name}")
+    gate(run_checks(written, checks, name))
+    return publish(written)

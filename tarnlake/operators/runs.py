@@ -3,40 +3,59 @@
 A window over the key alone puts every row of a key in one task. `split` finds the keys
 that are too large for that and cuts their rows into slices along the order; the
 functions below then sort within (key, slice) and let only one value per slice
-travel between slices. Other keys stay in one piece, and on data without a large
-key all that is added is the count of rows per key.
+travel between slices. Where no key is too large, which is the usual case, the table comes back as it is and
+is read by one plain window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tarnlake.session import staged
+
 ROWS_PER_TASK = 1 << 23
-_OVERSAMPLE = 4               # slices are planned this much smaller, for uneven arrival
+_OVERSAMPLE = 4               # slices are planned this much smaller, for cuts that are approximate
+_CUTS = 1024                  # places at which the order of a large key can be cut
 SLICE, _HOT, _EDGE = "__slice", "__hot", "__edge"
 
 
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys])
+
+
 def split(df: DataFrame, keys: Sequence[str], along: Column, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Mark rows with a slice number that never decreases along the order.
+    """Mark rows with a slice number that never decreases along the order; `df` itself where no key is too large.
 
-    `along` is the order as an integer (a sequence number, epoch microseconds). A key
-    of more than `rows_per_task` rows is cut into equal stretches of its own span, as
-    many as its row count asks for. `unsplit` removes the marks.
+    `along` is the order as an integer (a sequence number, epoch microseconds). A key, NULL or not,
+    of more than `rows_per_task` rows is cut at quantiles of its order, into as many slices as its row count asks
+    for, so bursts make no large slice; only rows of equal order stay together. `unsplit` removes the marks. The
+    sizes of the keys are counted and stored when this is called.
     """
     keys = list(keys)
-    pieces = F.ceil(F.col("__n") * F.lit(_OVERSAMPLE) / F.lit(rows_per_task))
-    # At most (rows of the table / rows_per_task) keys pass the filter: that bounds the broadcast.
-    large = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(along).alias("__lo"), F.max(along).alias("__hi"))
-        .filter(F.col("__n") > rows_per_task)
-        .select(*keys, "__lo", F.ceil((F.col("__hi") - F.col("__lo") + 1) / pieces).alias("__step"))
+    rows = df.select(*keys, along.cast("long").alias("__along"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_task)
+    large = staged(sizes, "large-keys")
+    if large.isEmpty():
+        return df
+    places = F.array(*(F.lit(i / _CUTS) for i in range(1, _CUTS)))
+    cuts = (
+        rows.alias("r").join(large.alias("l"), _same("r", "l", keys))
+        .groupBy(*[F.col(f"r.`{k}`").alias(k) for k in keys])
+        .agg(F.max("l.__n").alias("__n"), F.percentile_approx("r.__along", places, 100 * _CUTS).alias("__all"))
     )
-    marked = df.join(F.broadcast(large), keys, "left")
-    number = F.floor((along - F.col("__lo")) / F.col("__step"))
+    pieces = F.least(F.lit(_CUTS), F.ceil(F.col("__n") * _OVERSAMPLE / rows_per_task)).cast("int")
+    wanted = F.transform(F.sequence(F.lit(1), F.greatest(pieces - 1, F.lit(1))),
+                         lambda i: F.element_at("__all", (i * F.lit(_CUTS) / pieces).cast("int")))
+    large = staged(cuts.select(*keys, F.array_distinct(wanted).alias("__cuts")), "large-key-cuts")
+    marked = df.withColumn("__along", along.cast("long")).alias("r").join(large.alias("l"), _same("r", "l", keys), "left")
+    number = F.expr("size(filter(l.__cuts, c -> c < r.__along))").cast("long")
     return marked.select(
-        *df.columns, F.coalesce(number, F.lit(0)).alias(SLICE), F.col("__lo").isNotNull().alias(_HOT)
+        *[F.col(f"r.`{c}`") for c in df.columns],
+        F.when(F.col("l.__cuts").isNotNull(), F.coalesce(number, F.lit(0))).otherwise(F.lit(0)).alias(SLICE),
+        F.col("l.__cuts").isNotNull().alias(_HOT),
     )
 
 
@@ -44,6 +63,10 @@ def unsplit(df: DataFrame) -> DataFrame:
     return df.drop(SLICE, _HOT)
 
 
+def is_split(df: DataFrame) -> bool:
+    return SLICE in df.columns
+
+
 def _window(df: DataFrame, keys: Sequence[str], by: Column) -> WindowSpec:
     return Window.partitionBy(*keys, *([SLICE] if SLICE in df.columns else [])).orderBy(by)
 
@@ -51,12 +74,13 @@ def _window(df: DataFrame, keys: Sequence[str], by: Column) -> WindowSpec:
 def _with_edges(inner: DataFrame, rows: DataFrame, keys: Sequence[str], value: Column, across: Column) -> DataFrame:
     """Join each slice of a large key with `across`, evaluated over one `value` per slice of its key.
 
-    The values are aggregated from the large keys' rows alone, on the map side first,
-    and there are at most as many as slices: that bounds the broadcast, and the
-    rows themselves are shuffled once.
+    The values are aggregated from the large keys' rows alone, on the map side first; there are as many as slices,
+    and they are stored, so Spark knows their size.
     """
     edges = rows.filter(_HOT).groupBy(*keys, SLICE).agg(value.alias(_EDGE)).withColumn(_EDGE, across)
-    return inner.join(F.broadcast(edges), [*keys, SLICE], "left")
+    edges = staged(edges, "slice-edges")
+    joined = inner.alias("r").join(edges.alias("l"), _same("r", "l", [*keys, SLICE]), "left")
+    return joined.select(*[F.col(f"r.`{c}`") for c in inner.columns], F.col(f"l.{_EDGE}").alias(_EDGE))
 
 
 def _neighbour(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence, name: str, back: bool) -> DataFrame:

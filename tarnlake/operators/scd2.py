@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnlake.functions import differs
-from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply
-from tarnlake.operators.runs import ROWS_PER_TASK, following, numbered, previous, split, unsplit
+from tarnlake.operators.merge import Insert, Update, all_columns, by_key, merge_apply
+from tarnlake.operators.runs import ROWS_PER_TASK, following, is_split, numbered, previous, split, unsplit
 from tarnlake.session import staged
 
 ACTIVE, START, END = "record_active_flag", "record_start_date", "record_end_date"
@@ -65,7 +65,7 @@ def staged_rows(
 def apply_snapshot(
     dim: DataFrame, source: DataFrame, keys: Sequence[str], tracked: Sequence[str], as_of: Column
 ) -> DataFrame:
-    """Apply a full source snapshot (one row per key) as of one moment.
+    """Apply a full source snapshot (one row per key, else it raises) as of one moment.
 
     Active rows and source meet once, in a full outer join, and each pair unfolds
     into the one or two rows it leaves behind, so both sides shuffle once. History rows
@@ -73,6 +73,7 @@ def apply_snapshot(
     """
     kind = dim.schema[START].dataType
     keys = list(keys)
+    _one_per_key(source, keys)
     names = dim.columns
     bounds = {ACTIVE, START, END}
     d, s = current(dim).alias("d"), source.alias("s")
@@ -97,6 +98,13 @@ def apply_snapshot(
     return dim.filter(~F.col(ACTIVE)).unionByName(applied)
 
 
+def _one_per_key(source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when several rows share a key: which of them holds would be arbitrary. Looked up when this is called."""
+    repeated = by_key(source, keys)[0].groupBy(*keys).count().filter("count > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"several rows for one key ({', '.join(keys)}): reduce them by a sequence first")
+
+
 def apply_changes(
     dim: DataFrame,
     changes: DataFrame,
@@ -106,24 +114,33 @@ def apply_changes(
     commit_ts: str | None = None,
     commit_column: str = "record_commit_timestamp",
 ) -> DataFrame:
-    """Apply a batch of changes (one row per key) with event-time bounds.
+    """Apply a batch of changes (one row per key, else it raises) with event-time bounds.
 
-    The rows that open a version are worked out from the touched keys and written once; the
+    The rows that open a version are worked out from the touched keys and written when this is called; the
     dimension is then only left-joined with them, so a batch small enough to broadcast leaves it
     unshuffled. A key without an active version is
-    inserted, including one that returns after deletion. A change that is not newer
-    than the active version's start is ignored, which makes a replay a no-op; late
-    changes go through `rebuild_touched`.
+    inserted, including one that returns after deletion, but not by a change from before its last end. A change that is not
+    newer than the active version's start is ignored, which makes a replay a no-op; late
+    changes go through `rebuild_touched`. An empty batch leaves the dimension as it is.
     """
     keys = list(keys)
     kind = dim.schema[START].dataType
-    active = current(dim).select(*keys, *[c for c in tracked if c not in keys], ACTIVE, START)
-    hits = active.join(changes.select(*keys).distinct(), keys, "left_semi")
-    pairs = changes.alias("s").join(hits.alias("d"), _match("s", "d", keys), "left")
-    fresh = F.col(f"d.{ACTIVE}").isNull()
+    if changes.isEmpty():
+        return dim
+    _one_per_key(changes, keys)
+    touched = dim.select(*keys, *[c for c in tracked if c not in keys], ACTIVE, START, END).join(
+        changes.select(*keys).distinct(), keys, "left_semi")
+    ends = touched.filter(~F.col(ACTIVE)).groupBy(*keys).agg(F.max(END).alias("__last_end"))
+    pairs = (
+        changes.alias("s").join(current(touched).drop(END).alias("d"), _match("s", "d", keys), "left")
+        .join(ends.alias("c"), _match("s", "c", keys), "left")
+    )
+    stale = F.coalesce(F.col(f"s.{event_ts}").cast(kind) < F.col("c.__last_end"), F.lit(False))
+    known = F.col(f"d.{ACTIVE}").isNotNull()
+    fresh = ~known & ~stale
     newer = F.col(f"s.{event_ts}").cast(kind) > F.col(f"d.{START}")
     opening = staged(pairs.filter(fresh | (newer & differs("s", "d", tracked))).select(
-        "s.*", (~fresh).alias("__closes")
+        "s.*", known.alias("__closes")
     ), "scd2-opening")
     closing = opening.filter("__closes").select(
         *keys, F.col(event_ts).cast(kind).alias("__end"),
@@ -159,9 +176,9 @@ def history(
     """All versions of every key from a change log, ordered by an integer `sequence`.
 
     A row opens a version when it is the first of its key, differs from the row
-    before it, or follows a delete; the next opening or delete closes it. Keys too
-    large for a task are cut along the sequence (see `runs`), which reads the log more than
-    once: hand in a table, or a `staged` result.
+    before it, or follows a delete; the next opening or delete closes it. Where no key is too large for a task,
+    two windows over one shuffle and sort do it. Otherwise large keys are cut along the sequence (see `runs`) and the openings
+    are stored between the two looks; sizes of keys are counted first, so hand in a table, or a `staged` result.
     """
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     marked = split(log.withColumn("__gone", gone), keys, F.col(sequence), rows_per_task)
@@ -172,6 +189,8 @@ def history(
     first = F.col("__prev").isNull() | F.col("__prev.__gone")
     closes = F.col("__gone") & ~F.coalesce(F.col("__prev.__gone"), F.lit(True))
     points = seen.filter(closes | (~F.col("__gone") & (first | changed))).drop("__prev")
+    if is_split(marked):
+        points = staged(points, "history-points")
     closed = following(points, keys, sequence, [F.col(event_ts).alias("__at")], "__next")
     kind = log.schema[event_ts].dataType
     return closed.filter(~F.col("__gone")).select(

@@ -12,16 +12,17 @@ _ROW_BITS = 33                # layout of monotonically_increasing_id: partition
 _ID, _PART, _ROW, _BEFORE = "__id", "__part", "__row", "__before"
 
 
-def assign(df: DataFrame, name: str, order: Sequence[str], after: DataFrame | None = None) -> DataFrame:
-    """Number rows `max(after.name) + 1 ..` densely, following `order`.
+def assign(df: DataFrame, name: str, order: Sequence[str] | None = None, after: DataFrame | None = None) -> DataFrame:
+    """Number rows `max(after.name) + 1 ..` densely, in the order of the columns if they are given.
 
-    Rows are range-partitioned and sorted on the order columns (which must identify a
-    row, so no value of one of them can overload a partition) and written with their
-    place within the partition. The written table fixes those places, whatever is
-    recomputed later; a running total of partition sizes turns them into numbers.
+    Without an order rows are numbered as they lie: nothing is sorted or moved. With one they are range-partitioned and
+    sorted on the order columns (which must identify a row, so no value of one of them can overload a partition). Either way
+    they are written, when this is called, with their place within the partition. The written table fixes those places,
+    whatever is recomputed later; a running total of partition sizes turns them into numbers.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = staged(ranged.withColumn(_ID, F.monotonically_increasing_id()), name).select(
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged(df.withColumn(_ID, F.monotonically_increasing_id()), name).select(
         *df.columns,
         F.shiftright(_ID, _ROW_BITS).alias(_PART),
         F.col(_ID).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(_ROW),
@@ -29,9 +30,8 @@ def assign(df: DataFrame, name: str, order: Sequence[str], after: DataFrame | No
     # one row per partition: the only window that spans them all
     running = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy(_PART).agg((F.max(_ROW) + 1).alias("__size"))
-    starts = sizes.select(_PART, F.coalesce(F.sum("__size").over(running), F.lit(0)).alias(_BEFORE))
+    starts = staged(sizes.select(_PART, F.coalesce(F.sum("__size").over(running), F.lit(0)).alias(_BEFORE)), "partition-starts")
     position = F.col(_ROW) + F.col(_BEFORE) + 1
     if after is not None:
         position = position + after.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
-    # as many rows as the range partitioning has partitions
-    return placed.join(F.broadcast(starts), _PART).select(*df.columns, position.cast("long").alias(name))
+    return placed.join(starts, _PART).select(*df.columns, position.cast("long").alias(name))

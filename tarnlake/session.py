@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,16 +51,46 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="tarnlake-")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+_SCOPES: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """Fresh path below the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """Fresh path below the shared folder. It belongs to the innermost `staging` block, if there is one."""
+    path = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a work path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Owner of what is staged inside the block: it is deleted when the block ends.
+
+    Results that read staged tables must be written before that, to a path made outside. Without a block staged tables stay until
+    the shared folder is cleaned.
+    """
+    mine: list[str] = []
+    _SCOPES.append(mine)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(mine)
+        for path in mine:
+            remove(spark, path)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -66,11 +98,3 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage, so lost executors cost no recomputation."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint()

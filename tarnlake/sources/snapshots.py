@@ -8,11 +8,15 @@ is being read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tarnlake.operators import changefeed
+
 _COMMIT = "version long, committed_at timestamp_ntz, operation string, num_rows long, note string"
 
 
@@ -21,7 +25,8 @@ def history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_COMMIT).json(f"{path}/_commits", pathGlobFilter="*.json")
 
 
-def _last(spark: SparkSession, path: str) -> Row | None:
+def last(spark: SparkSession, path: str) -> Row | None:
+    """The newest commit (version, time, operation, rows, note), or None."""
     try:
         return history(spark, path).orderBy(F.desc("version")).first()
     except AnalysisException as missing:
@@ -31,18 +36,14 @@ def _last(spark: SparkSession, path: str) -> Row | None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return _last(spark, path) is not None
-
-
-def last_note(spark: SparkSession, path: str) -> str:
-    return _last(spark, path)["note"]
+    return last(spark, path) is not None
 
 
 def write(df: DataFrame, path: str, operation: str, committed_at: datetime, note: str = "") -> int:
     """Write a new version and commit it; returns its number. One writer per table at a time."""
     spark = df.sparkSession
-    last = _last(spark, path)
-    version = 0 if last is None else last["version"] + 1
+    newest = last(spark, path)
+    version = 0 if newest is None else newest["version"] + 1
     target = f"{path}/version={version}"
     df.write.mode("overwrite").parquet(target)
     commit = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("num_rows")).select(
@@ -58,4 +59,25 @@ def write(df: DataFrame, path: str, operation: str, committed_at: datetime, note
 
 def read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """A version of the table, the newest by default."""
-    return spark.read.parquet(f"{path}/version={_last(spark, path)['version'] if version is None else version}")
+    return spark.read.parquet(f"{path}/version={last(spark, path)['version'] if version is None else version}")
+
+
+def changes(
+    spark: SparkSession, path: str, keys: Sequence[str], from_version: int = 0, to_version: int | None = None
+) -> DataFrame:
+    """Change feed of a table: what its versions from `from_version` to `to_version` (the newest) changed.
+
+    Rows carry pre- and post-images, the version and its commit time; the first version of a table is all inserts. Each
+    version is compared with the one before it, so the cost follows the versions asked for.
+    """
+    commits = {r["version"]: r["committed_at"] for r in history(spark, path).collect()}      # one row per version
+    newest = max(commits) if to_version is None else to_version
+    feeds = []
+    for version in range(from_version, newest + 1):
+        new = read(spark, path, version)
+        old = read(spark, path, version - 1) if version else new.limit(0)
+        feeds.append(changefeed.diff(old, new, keys, version, F.lit(str(commits[version]))))
+    if not feeds:
+        schema = changefeed.diff(read(spark, path), read(spark, path), keys, 0, F.lit(None)).schema
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, feeds)

@@ -10,30 +10,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tarnlake.operators import cdc
 from tarnlake.operators.latest import latest_by
+from tarnlake.session import remove
 from tarnlake.sources import snapshots
 
 TRIGGER = "15 seconds"
-MAX_OFFSETS = 5000
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """Broker topic as a stream of `value` bytes; needs the broker package on the classpath.
 
-    `options` pass through (TLS material, `failOnDataLoss`, ...).
+    `options` pass through (TLS material, `failOnDataLoss`, `maxOffsetsPerTrigger`, ...). A micro-batch takes all there is unless
+    a limit is given.
     """
-    given = {
-        "kafka.bootstrap.servers": servers, "subscribe": topic,
-        "startingOffsets": "earliest", "maxOffsetsPerTrigger": str(MAX_OFFSETS), **(options or {}),
-    }
+    given = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", **(options or {})}
     return spark.readStream.format("kafka").options(**given).load().select("value")
 
 
-def read_files(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """The same stream from JSON lines `{"value": "..."}` landing in a folder."""
-    return (
-        spark.readStream.format("json").schema("value string")
-        .option("maxFilesPerTrigger", max_files).load(path)
-    )
+def read_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The same stream from JSON lines `{"value": "..."}` landing in a folder, `max_files` per micro-batch if given."""
+    reader = spark.readStream.format("json").schema("value string")
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).load(path)
 
 
 def start(
@@ -78,44 +74,86 @@ def console(stream: DataFrame, checkpoint: str, every: str = TRIGGER) -> Streami
     )
 
 
-def upsert(path: str, keys: Sequence[str], sequence_by: str) -> Callable[[DataFrame, int], None]:
+def _order(sequence_by: str | Sequence[str]) -> list[str]:
+    return [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
+
+
+def upsert(path: str, keys: Sequence[str], sequence_by: str | Sequence[str]) -> Callable[[DataFrame, int], None]:
     """Batch writer that keeps a current-state table in step with the stream.
 
-    A batch leaves only its own net changes (newest row per key), so its cost follows
+    A batch leaves only its own net changes (newest row per key; `sequence_by` may list tie-breakers), so its cost follows
     the batch and not the table; `current_state` lays them over the last folded base
     and `fold` moves them into a new one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        net = latest_by(batch, list(keys), [sequence_by])
+        net = latest_by(batch, list(keys), _order(sequence_by))
         net.write.mode("overwrite").parquet(f"{path}/delta/batch_id={batch_id}")
 
     return write
 
 
-def current_state(spark: SparkSession, path: str, keys: Sequence[str], sequence_by: str) -> DataFrame:
+def _deltas(spark: SparkSession, path: str, after: int) -> DataFrame | None:
+    """Net changes of the batches after one, or None where there are none. Only their folders are read."""
+    later = sorted(i for i in _batches(spark, path) if i > after)
+    return spark.read.option("basePath", f"{path}/delta").parquet(
+        *(f"{path}/delta/batch_id={i}" for i in later)).drop("batch_id") if later else None
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the batches with a complete folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/delta")
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return []
+    folders = [f.getPath() for f in system.listStatus(where) if f.getPath().getName().startswith("batch_id=")]
+    done = [f for f in folders if system.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return [int(f.getName().split("=")[1]) for f in done]
+
+
+def current_state(spark: SparkSession, path: str, keys: Sequence[str], sequence_by: str | Sequence[str]) -> DataFrame:
     """State after all batches written so far.
 
-    Changes act by sequence number, so batches that arrive in any order, or are met again
-    after a fold, lead to the same rows.
+    Changes act by sequence, so batches that arrive in any order, or are met again
+    after a fold, lead to the same rows. The base and the last batch it holds come from one commit, so a fold that
+    commits meanwhile changes nothing.
     """
-    delta = spark.read.parquet(f"{path}/delta")
-    base_path = f"{path}/base"
-    if not snapshots.exists(spark, base_path):
-        return cdc.to_state(latest_by(delta, list(keys), [sequence_by]).drop("batch_id"))
-    base, upto = snapshots.read(spark, base_path), int(snapshots.last_note(spark, base_path))
-    later = delta.filter(F.col("batch_id") > upto).drop("batch_id")
-    return cdc.apply_changes(base, later, keys, sequence_by)
+    return _state(spark, path, keys, sequence_by)[0]
 
 
-def fold(spark: SparkSession, path: str, keys: Sequence[str], sequence_by: str, at: datetime) -> int:
-    """Write the current state as a new base; later reads skip the batches in it."""
-    upto = spark.read.parquet(f"{path}/delta").agg(F.max("batch_id")).first()[0]
-    state = current_state(spark, path, keys, sequence_by)
-    return snapshots.write(state, f"{path}/base", "fold", at, note=str(upto))
+def _state(spark: SparkSession, path: str, keys: Sequence[str], sequence_by: str | Sequence[str]) -> tuple[DataFrame, int]:
+    commit = snapshots.last(spark, f"{path}/base")
+    upto = -1 if commit is None else int(commit["note"])
+    batches = _batches(spark, path)
+    later = _deltas(spark, path, upto)
+    newest = max([upto, *batches])
+    if commit is None:
+        if later is None:
+            raise ValueError(f"no batch has been written to {path}")
+        return cdc.to_state(latest_by(later, list(keys), _order(sequence_by))), newest
+    base = snapshots.read(spark, f"{path}/base", commit["version"])
+    return (base if later is None else cdc.apply_changes(base, later, keys, sequence_by)), newest
 
 
-def drain(query: StreamingQuery, timeout: int = 600) -> None:
-    """Wait for a stream that stops by itself; stop it when the time is up."""
-    if not query.awaitTermination(timeout):
+def fold(spark: SparkSession, path: str, keys: Sequence[str], sequence_by: str | Sequence[str], at: datetime) -> int:
+    """Write the current state as a new base; later reads skip the batches in it.
+
+    Folders of batches that the base before this one held already are removed: whoever reads that base now
+    does not look at them.
+    """
+    before = snapshots.last(spark, f"{path}/base")
+    state, upto = _state(spark, path, keys, sequence_by)
+    version = snapshots.write(state, f"{path}/base", "fold", at, note=str(upto))
+    if before is not None:
+        for i in _batches(spark, path):
+            if i <= int(before["note"]):
+                remove(spark, f"{path}/delta/batch_id={i}")
+    return version
+
+
+def drain(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for a stream that stops by itself; where a time limit is given, stop it when the time is up."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("stream did not finish in time")

@@ -195,3 +195,72 @@ def test_carry_forward_reaches_over_empty_slices(spark):
     df = spark.createDataFrame(rows, "k int, i long, m string")
     out = carry_forward(split(df, ["k"], F.col("i"), 4), ["k"], "i", F.col("m").isNotNull(), ["m"], "c")
     assert {r["i"]: r["c"] and r["c"]["m"] for r in out.collect()} == {i: "m" if i >= 3 else None for i in range(100)}
+
+
+VER = "k int, v string, s timestamp_ntz, e timestamp_ntz"
+
+
+@pytest.mark.parametrize("few", [0, 64])
+@pytest.mark.parametrize("rows_per_task", [1, 1 << 23])
+def test_versions_of_no_length_and_null_keys_in_point_in_time_joins(spark, few, rows_per_task):
+    """A version that ends when it starts holds at no time, wherever it is stored; events without a key meet nothing."""
+    d = [datetime(2024, 1, n) for n in range(1, 10)]
+    versions = [(1, "a", d[0], d[1]), (1, "c", d[1], OPEN), (1, "b", d[1], d[1]), (2, "x", d[2], d[3]), (2, "y", d[3], d[3]),
+                (2, "z", d[5], OPEN), (None, "n", d[0], OPEN), (3, "w", None, OPEN)]
+    events = [(i, k, t) for i, (k, t) in enumerate([(1, d[0]), (1, d[1]), (1, d[2]), (2, d[2]), (2, d[3]), (2, d[5]), (None, d[3]),
+                                                    (3, d[3]), (1, None), (4, d[4])] * 3)]
+    want = ["a", "c", "c", "x", None, "z", None, None, None, None] * 3
+    for order in (versions, versions[::-1]):
+        ev, ver = spark.createDataFrame(events, "i int, k int, t timestamp_ntz"), spark.createDataFrame(order, VER)
+        for out in (asof.point_in_time_join(ev, ver, ["k"], "t", "s", "e", ["v"], rows_per_task),
+                    asof.interval_join(ev, ver, ["k"], "t", "s", "e", ["v"], few)):
+            assert [r["v"] for r in sorted(out.collect(), key=lambda r: r["i"])] == want
+
+
+def test_bursts_and_null_keys_are_cut_evenly(spark):
+    crowded = spark.range(30_000).select(
+        F.when(F.col("id") < 29_000, F.col("id")).otherwise(F.col("id") * 1_000_000).alias("at"), F.lit(1).alias("k"))
+    nameless = spark.range(30_000).select(F.col("id").alias("at"), F.lit(None).cast("int").alias("k"))
+    sizes = split(crowded.unionByName(nameless), ["k"], F.col("at"), 1000).groupBy("k", "__slice").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 1000
+    assert sizes.agg(F.sum("count")).first()[0] == 60_000
+
+
+def test_tables_without_large_keys_come_back_as_they_are(spark):
+    log = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    assert split(log, ["k"], F.col("id"), 100) is log
+
+
+def test_history_and_point_in_time_read_their_input_once_without_large_keys(spark, tmp_path):
+    spark.createDataFrame(random_log(random.Random(1)), LOG).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    plan = scd2.history(log, ["id"], "lsn", ["v"], "at", F.col("op") == "d")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_stale_change_does_not_revive_a_closed_key(spark):
+    t = datetime(2024, 1, 1)
+    closed = [(1, "a", False, t, t + timedelta(days=4))]
+    dim = spark.createDataFrame(closed, DIM)
+    stale = spark.createDataFrame([(1, "b", t + timedelta(days=2))], "id int, v string, at timestamp_ntz")
+    assert [tuple(r) for r in scd2.apply_changes(dim, stale, ["id"], ["v"], "at").collect()] == closed
+    on_time = spark.createDataFrame([(1, "b", t + timedelta(days=4))], "id int, v string, at timestamp_ntz")
+    assert scd2.apply_changes(dim, on_time, ["id"], ["v"], "at").filter(scd2.ACTIVE).count() == 1
+
+
+def test_several_rows_for_one_key_are_refused_and_none_change_nothing(spark):
+    t = datetime(2024, 1, 1)
+    dim = spark.createDataFrame([(1, "a", True, t, OPEN)], DIM)
+    twice = spark.createDataFrame([(1, "b", t + timedelta(days=2)), (1, "c", t + timedelta(days=3))], "id int, v string, at timestamp_ntz")
+    with pytest.raises(ValueError, match="several rows"):
+        scd2.apply_changes(dim, twice, ["id"], ["v"], "at")
+    with pytest.raises(ValueError, match="several rows"):
+        scd2.apply_snapshot(dim, twice.drop("at"), ["id"], ["v"], F.lit(str(t)))
+    assert scd2.apply_changes(dim, twice.limit(0), ["id"], ["v"], "at") is dim
+
+
+def test_surrogate_keys_without_an_order_are_dense_and_move_nothing(spark):
+    df = spark.range(1000, numPartitions=7).filter("id % 3 = 0")
+    out = surrogate.assign(df, "sk")
+    assert sorted(r["sk"] for r in out.collect()) == list(range(1, out.count() + 1))
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,6 @@
 """Scans, sinks, snapshots, table definition and maintenance."""
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -104,4 +105,15 @@ def test_job_parameters_and_work_paths(spark):
     assert session.job_parameter(spark, "missing", "x") == "x"
     root = spark.conf.get("spark.checkpoint.dir")
     assert session.work_path(spark, "t").startswith(root)
-    assert session.checkpointed(spark.range(3)).count() == 3
+
+
+def test_staged_tables_go_when_their_owner_is_done(spark):
+    with session.staging(spark):
+        kept = session.work_path(spark, "kept")
+        with session.staging(spark):
+            rows = session.staged(spark.range(5), "inner")
+            rows.write.parquet(kept)
+            inner = rows.inputFiles()[0].removeprefix("file:")
+        assert not os.path.exists(os.path.dirname(inner))
+        assert spark.read.parquet(kept).count() == 5
+    assert not os.path.exists(kept.removeprefix("file:"))

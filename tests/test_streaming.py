@@ -69,3 +69,35 @@ def test_json_sink_appends_once(spark, sf_dir, tmp_path):
     for _ in range(2):
         streams.drain(streams.append_json(flat(spark, landing).select("source__lsn", "op"), out, checkpoint))
     assert spark.read.json(out).count() == t.events.count()
+
+
+def test_a_state_read_during_a_fold_is_complete(spark, tmp_path, monkeypatch):
+    """A fold that commits while a state is being put together must not hide batches from it."""
+    state = str(tmp_path / "state")
+    write = streams.upsert(state, ["id"], ["lsn", "part"])
+
+    def batch(number, rows):
+        write(spark.createDataFrame([(*r, "u", datetime(2024, 1, 1)) for r in rows],
+                                    "id int, state string, lsn long, part int, op string, event_ts timestamp_ntz"), number)
+
+    batch(0, [(1, "a", 1, 0), (2, "a", 1, 0)])
+    streams.fold(spark, state, ["id"], ["lsn", "part"], datetime(2024, 2, 1))
+    batch(1, [(1, "b", 2, 0), (1, "c", 2, 1), (3, "a", 2, 0)])
+    batch(2, [(2, "b", 3, 0)])
+    real, folded = streams.snapshots.last, []
+
+    def last_then_fold(*args):
+        found = real(*args)
+        if not folded:
+            folded.append(True)
+            streams.fold(spark, state, ["id"], ["lsn", "part"], datetime(2024, 2, 2))
+        return found
+
+    monkeypatch.setattr(streams.snapshots, "last", last_then_fold)
+    got = streams.current_state(spark, state, ["id"], ["lsn", "part"])
+    assert folded and sorted((r["id"], r["state"]) for r in got.collect()) == [(1, "c"), (2, "b"), (3, "a")]
+    monkeypatch.undo()
+    streams.fold(spark, state, ["id"], ["lsn", "part"], datetime(2024, 2, 3))
+    assert not [f for f in os.listdir(f"{state}/delta") if f.startswith("batch_id=")]
+    got = streams.current_state(spark, state, ["id"], ["lsn", "part"])
+    assert sorted((r["id"], r["state"]) for r in got.collect()) == [(1, "c"), (2, "b"), (3, "a")]
