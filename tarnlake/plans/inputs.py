@@ -7,16 +7,16 @@ and always covers the whole table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from tarnlake.operators.latest import dedup
 from tarnlake.session import work_path
 from tarnlake.sinks.files import write_table
 
-_LAYERS: dict[tuple[str, str, str], str] = {}
-_SCHEMAS: dict[str, StructType] = {}
+_LAYERS: dict[tuple[str, str, str, str], str] = {}
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 SPLIT_TS = "2024-01-16 00:00:00"   # change events before it are the base, the rest the increment
 
@@ -34,10 +34,18 @@ class Tables:
         return self._read(self.path(name))
 
     def _read(self, path: str) -> DataFrame:
-        """Scan with a known schema: footers are looked at once per table and not per query."""
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        """Scan with a known schema: footers are looked at once per state of the tables and not per query."""
+        known = (path, self.state)
+        if known not in _SCHEMAS:
+            _SCHEMAS[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[known]).parquet(path)
+
+    @cached_property
+    def state(self) -> str:
+        """Names, sizes and times of the tables: what was derived from another state is not used again."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.dir)
+        found = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(where)
+        return " ".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in found))
 
     def layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Derived table of this directory (a raw view, a dimension, a fact, a feed).
@@ -46,7 +54,7 @@ class Tables:
         them, read from there by every query on top. Only inputs are kept this way; what a
         query computes from them runs on every call.
         """
-        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        key = (self.spark.sparkContext.applicationId, self.dir, self.state, name)
         if key not in _LAYERS:
             path = work_path(self.spark, name)
             write_table(build(), path, even=False)
@@ -54,8 +62,8 @@ class Tables:
         return self._read(_LAYERS[key])
 
     @property
-    def line_unique(self) -> DataFrame:
-        return self.layer("line_unique", lambda: line_unique(self.lineitem))
+    def line_numbered(self) -> DataFrame:
+        return self.layer("line_numbered", lambda: line_numbered(self.lineitem))
 
     @property
     def partsupp(self) -> DataFrame:
@@ -63,7 +71,7 @@ class Tables:
 
     @property
     def sales(self) -> DataFrame:
-        return self.layer("sales", lambda: sales(self.line_unique, self.orders))
+        return self.layer("sales", lambda: sales(self.line_numbered, self.orders))
 
 
 def ts(text: str):
@@ -130,18 +138,21 @@ LINE_EXT = """(select l.*,
   from lineitem l)"""
 
 
-# --- one row per (order, line) --------------------------------------------------------
+# --- line items under a unique line number ---------------------------------------------
+# The source repeats (order, line) for different sales. The lines of an order are numbered afresh, so
+# every sale stays and (order, line) identifies it.
 
-_LINE_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate",
+_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate",
                "l_returnflag", "l_linestatus"]
 
 
-def line_unique(lineitem: DataFrame) -> DataFrame:
-    return dedup(lineitem, ["l_orderkey", "l_linenumber"], _LINE_ORDER)
+def line_numbered(lineitem: DataFrame) -> DataFrame:
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER))
+    return lineitem.withColumn("l_linenumber", number.cast(lineitem.schema["l_linenumber"].dataType))
 
 
-LINE_UNIQUE = f"""(select * exclude (rn) from (select *, row_number() over (
-  partition by l_orderkey, l_linenumber order by {', '.join(_LINE_ORDER)}) as rn from lineitem) where rn = 1)"""
+LINE_NUMBERED = f"""(select * replace (cast(row_number() over (
+  partition by l_orderkey order by {', '.join(_LINE_ORDER)}) as int) as l_linenumber) from lineitem)"""
 
 
 # --- part suppliers: the pairs seen in line items ------------------------------------
@@ -248,7 +259,7 @@ def sales(lines: DataFrame, orders: DataFrame) -> DataFrame:
 SALES = f"""(select l_orderkey as order_id, l_linenumber as line_id, l_partkey as product_id,
   cast(o_orderdate as date) as order_date, cast(l_quantity as decimal(15,2)) as qty, l_shipdate as ship_ts,
   l_returnflag as return_flag, o_orderstatus as order_state
-  from {LINE_UNIQUE} l join orders on l_orderkey = o_orderkey)"""
+  from {LINE_NUMBERED} l join orders on l_orderkey = o_orderkey)"""
 
 _SALES_FIELDS = "order_id, line_id, product_id, order_date, qty"
 

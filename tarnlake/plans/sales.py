@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tarnlake.functions import exact_sum, exact_total, hundredths, ntz
 from tarnlake.operators import changefeed, incremental
 from tarnlake.plans.inputs import (
-    LINE_UNIQUE, SALES, SALES_AFTER, SALES_BEFORE, SALES_CHANGE_TS, SALES_KEY, SALES_LOAD_TS, Tables,
+    LINE_NUMBERED, SALES, SALES_AFTER, SALES_BEFORE, SALES_CHANGE_TS, SALES_KEY, SALES_LOAD_TS, Tables,
     days_as_timestamps, sales_after, sales_before, ts,
 )
 
@@ -68,9 +68,9 @@ def _from_deltas(t: Tables) -> DataFrame:
 
 
 QUERIES = {
-    "daily_product_sales": lambda t: _out(daily(sales_before(t.sales), ts(SALES_LOAD_TS))),
+    "daily_product_sales": lambda t: _out(daily(t.sales, ts(SALES_LOAD_TS))),
     "weekly_product_sales": lambda t: weekly(t.sales).orderBy("product_id", "week_date"),
-    "customer_revenue": lambda t: customer_revenue(t.line_unique, t.orders),
+    "customer_revenue": lambda t: customer_revenue(t.line_numbered, t.orders),
     "incr_daily_agg": _recomputed,
     "incr_daily_agg_deltas": _from_deltas,
 }
@@ -84,12 +84,12 @@ _INCR = f"""select n.product_id, n.order_date, n.sold_qty,
     on o.product_id = n.product_id and o.order_date = n.order_date"""
 ORACLE = {
     "daily_product_sales": f"""select *, timestamp '{SALES_LOAD_TS}' as record_commit_timestamp
-  from ({_DAILY.format(SALES_BEFORE)})""",
+  from ({_DAILY.format(SALES)})""",
     "weekly_product_sales": f"""select product_id, cast(date_trunc('week', order_date) as timestamp) as week_date,
   order_state, cast(sum(qty) as double) as sold_qty from {SALES} group by 1, 2, 3 order by 1, 2""",
     "customer_revenue": f"""select o_custkey as customer_id, cast(o_orderdate as date) as order_date,
   cast(sum(cast(l_quantity as decimal(15,2)) * cast(floor(l_extendedprice * 100 / l_quantity) / 100 as decimal(15,2)))
-    as double) as revenue from {LINE_UNIQUE} l join orders on l_orderkey = o_orderkey group by 1, 2""",
+    as double) as revenue from {LINE_NUMBERED} l join orders on l_orderkey = o_orderkey group by 1, 2""",
     "incr_daily_agg": _INCR,
     "incr_daily_agg_deltas": _INCR,
 }

@@ -13,7 +13,7 @@ from tarnlake.functions import exact_sum, row_hash
 from tarnlake.operators import scd2, surrogate
 from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply
 from tarnlake.plans.inputs import (
-    LINE_EXT, LINE_UNIQUE, LOAD_TS, PARTSUPP, Tables, line_ext, ts,
+    LINE_EXT, LINE_NUMBERED, LOAD_TS, PARTSUPP, Tables, line_ext, ts,
 )
 from tarnlake.plans.tpch import REVENUE_SQL, pricing_sql, pricing_summary, revenue
 from tarnlake.session import staged
@@ -54,7 +54,16 @@ _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedpric
 def line_item_model(t: Tables) -> DataFrame:
     owners = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     lines = t.lineitem.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "left").drop("o_orderkey")
-    return surrogate.assign(lines, "line_order_key", _LINE)
+    return surrogate.assign(lines, "line_order_key")
+
+
+def _line_item_checked(t: Tables) -> DataFrame:
+    """The model with a verdict on its key, whose values follow no order: each of 1 .. rows occurs once."""
+    model = staged(line_item_model(t), "line-item-model")
+    key = F.col("line_order_key")
+    n = F.count(F.lit(1))
+    dense = model.agg(((F.min(key) == 1) & (F.max(key) == n) & (F.count_distinct(key) == n)).alias("ok")).scalar()
+    return model.select(*_LINE, "c_custkey", dense.alias("key_is_dense"))
 
 
 # --- dimensions and bridges ------------------------------------------------------------
@@ -131,7 +140,7 @@ def _part_supp(t: Tables) -> DataFrame:
 
 def build_fact(t: Tables) -> DataFrame:
     return fact_line_item(
-        line_ext(t.line_unique), dims(t), t.layer("bridge_order_customer", lambda: _order_customer(t)),
+        line_ext(t.line_numbered), dims(t), t.layer("bridge_order_customer", lambda: _order_customer(t)),
         t.layer("bridge_part_supp", lambda: _part_supp(t)),
     )
 
@@ -162,7 +171,7 @@ def _session_rows(lines: DataFrame) -> DataFrame:
 
 def _upserted(t: Tables) -> DataFrame:
     """Session A wrote all lines; its rerun sees corrected quantities and only lines shipped from 1998 on."""
-    lines = _session_rows(t.line_unique)
+    lines = _session_rows(t.line_numbered)
     first = t.layer("fact_session_a", lambda: lines.select(
         "*", row_hash(["l_partkey", "l_quantity", "l_shipdate"]).alias("record_track_hash"),
         F.lit("A").alias("session_id"),
@@ -250,7 +259,7 @@ QUERIES = {
     "model_supplier_dim": supplier_model,
     "model_order_dim": order_model,
     "model_part_supplier_fact": part_supplier_model,
-    "model_line_item_fact": line_item_model,
+    "model_line_item_fact": _line_item_checked,
     "bridge_order_customer": _order_customer,
     "bridge_part_supp": _part_supp,
     "fact_line_item": build_fact,
@@ -269,8 +278,8 @@ def _ranked(table: str, key: str, name: str) -> str:
 
 _SK_C, _SK_O = _ranked("customer", "c_custkey", "sk_custkey"), _ranked("orders", "o_orderkey", "sk_orderkey")
 _SK_P, _SK_S = _ranked("part", "p_partkey", "sk_partkey"), _ranked("supplier", "s_suppkey", "sk_suppkey")
-_UNIQUE_EXT = LINE_EXT.replace("from lineitem l", f"from {LINE_UNIQUE} l")
-_ORDER_LINES = f"{_UNIQUE_EXT} l join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey"
+_NUMBERED_EXT = LINE_EXT.replace("from lineitem l", f"from {LINE_NUMBERED} l")
+_ORDER_LINES = f"{_NUMBERED_EXT} l join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey"
 
 
 def _placed(entity: str, prefix: str) -> str:
@@ -285,23 +294,23 @@ ORACLE = {
     "model_order_dim": "select * exclude (o_custkey) from orders",
     "model_part_supplier_fact": f"""select *, row_number() over (order by ps_partkey, ps_suppkey) as part_supplier_key
   from {PARTSUPP}""",
-    "model_line_item_fact": f"""select l.*, o_custkey as c_custkey, row_number() over (order by {', '.join(_LINE)})
-  as line_order_key from lineitem l left join orders on l_orderkey = o_orderkey""",
+    "model_line_item_fact": f"""select {', '.join(_LINE)}, o_custkey as c_custkey, true as key_is_dense
+  from lineitem left join orders on l_orderkey = o_orderkey""",
     "bridge_order_customer": f"""select sk_orderkey, sk_custkey, o_orderkey, c_custkey from orders
   join {_SK_O} using (o_orderkey) join {_SK_C} on c_custkey = o_custkey""",
     "bridge_part_supp": f"""select sk_partkey, sk_suppkey, p_partkey, s_suppkey, ps_availqty, ps_supplycost
   from {PARTSUPP} join {_SK_P} on p_partkey = ps_partkey join {_SK_S} on s_suppkey = ps_suppkey""",
     "fact_line_item": f"""select sk_orderkey, sk_partkey, sk_suppkey, sk_custkey, l_orderkey, l_linenumber,
   {', '.join(_ORDER_SIDE)}, ps_supplycost, ps_availqty, {', '.join(_MEASURES)}
-  from {_UNIQUE_EXT} l join orders o on l_orderkey = o.o_orderkey join {_SK_O} so on so.o_orderkey = o.o_orderkey
+  from {_NUMBERED_EXT} l join orders o on l_orderkey = o.o_orderkey join {_SK_O} so on so.o_orderkey = o.o_orderkey
   join {_SK_C} on c_custkey = o_custkey join {_SK_P} on p_partkey = l_partkey join {_SK_S} on s_suppkey = l_suppkey
   join {PARTSUPP} on ps_partkey = l_partkey and ps_suppkey = l_suppkey""",
     "fact_upsert_session": f"""select l_orderkey, l_linenumber, l_partkey,
     case when l_shipdate >= {_RERUN} then l_quantity + 1 else l_quantity end as l_quantity, l_shipdate,
-    'A' as session_id from {LINE_UNIQUE}
-  union all select l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate, 'B' from {LINE_UNIQUE}
+    'A' as session_id from {LINE_NUMBERED}
+  union all select l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate, 'B' from {LINE_NUMBERED}
     where l_shipdate >= timestamp '2001-01-01 00:00:00'""",
-    "tpch_q1_star": pricing_sql(LINE_UNIQUE, "1998-11-28"),
+    "tpch_q1_star": pricing_sql(LINE_NUMBERED, "1998-11-28"),
     "tpch_q2_star": f"""with offers as (select * from {PARTSUPP}), low as (select ps_partkey,
     min(ps_supplycost) as min_supply_cost from offers join part on p_partkey = ps_partkey
     join supplier on s_suppkey = ps_suppkey join nation on s_nationkey = n_nationkey

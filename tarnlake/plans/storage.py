@@ -88,7 +88,7 @@ def _history(t: Tables) -> DataFrame:
 
 
 def _compacted(t: Tables) -> DataFrame:
-    """Files before and after compaction, with the rows they hold."""
+    """Rows before and after compaction, and whether there are fewer files than before."""
     small, large = work_path(t.spark, "events-small"), work_path(t.spark, "events-large")
     sinks.write_table(t.events, small, partitions=64)
     sinks.compact(t.spark, small, large)
@@ -98,7 +98,9 @@ def _compacted(t: Tables) -> DataFrame:
             F.lit(name).alias("state"), F.count(F.lit(1)).alias("files"), F.sum("count").alias("n_rows")
         )
 
-    return count(small, "before").unionByName(count(large, "after"))
+    before = count(small, "before")
+    fewer = F.col("files") < before.select("files").scalar()
+    return before.unionByName(count(large, "after")).select("state", "n_rows", fewer.alias("fewer_files"))
 
 
 def _clustered(t: Tables) -> DataFrame:
@@ -134,6 +136,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "compact_table": """select 'before' as state, count(*) as n_rows, false as fewer_files from events
+  union all select 'after', count(*), true from events""",
     "src_delimited_roundtrip": """select cast(s_suppkey as int) as s_suppkey, s_name, s_nationkey, s_acctbal
   from supplier""",
     "src_delimited_schema": """select o_orderkey, o_custkey, o_orderstatus,
