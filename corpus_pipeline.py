@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarnlake.llm import lines, mixing, rules, simhash, tiling
-from tarnlake.llm.common import staged, table
+from tarnlake.llm.common import table, work_path
 from tarnlake.llm.queries import MIX, MIX_DOMAIN, MIX_WEIGHTS
-from tarnlake.session import tune
+from tarnlake.session import staging, tune
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -31,9 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    groups = simhash.near_duplicates(docs, words_per_shingle=3, max_bits=2)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(COLUMNS)
+    return simhash.keep_one(docs, words_per_shingle=3, max_bits=2).select(COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +59,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents; each stage's rows are written and read again."""
     docs = table(tune(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = work_path(spark, f"pipeline-{name}")
+        with staging(spark):                     # what a stage stored for itself goes when its rows are written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tarnlake.llm import tokens
-from tarnlake.llm.common import arrow_map, staged
+from tarnlake.llm.common import arrow_map, row_key, staged
 from tarnlake.llm.components import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))     # (first bit, bits)
@@ -77,19 +77,20 @@ def _fingerprinter(size: int, seed: int):
                     ends = at[np.minimum(np.arange(lo, last + 1) + size, hi)] - 1
                     votes = _votes(_hashes(data, at[lo:last + 1], ends, seed))
                     prints[d] = np.packbits(2 * votes > last + 1 - lo, bitorder="little").view("<u8")[0]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(2), pa.array(prints.view(np.int64))], ["doc_id", "text_key", "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp long) for every document, from its whole text.
+    """(doc_id, text_key, fp long) for every document, from its whole text.
 
     A-Z are lower-cased, shingles count as often as they occur, a text shorter than a shingle is one
     shingle, and a null or empty text has fingerprint zero.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", "text"), _fingerprinter(words_per_shingle, seed),
-                     f"doc_id {id_type}, fp long")
+    return arrow_map(docs.select("doc_id", "text", row_key()[1]), _fingerprinter(words_per_shingle, seed),
+                     f"doc_id {id_type}, text_key long, fp long")
 
 
 @cache
@@ -170,24 +171,49 @@ def _by_centres(prints: DataFrame, max_bits: int) -> DataFrame:
     return centres.join(least, "centre").filter("fp <> x").select("x", F.col("fp").alias("y")).distinct()
 
 
+def grouped(docs: DataFrame, words_per_shingle: int, max_bits: int, seed: int, busy: int) -> tuple[DataFrame, DataFrame]:
+    """Stored tables of the documents (doc_id, text_key, fp) and of the different fingerprints (fp, least_id, part), `part`
+    being the smallest fingerprint of its component. Copies are one fingerprint from the start, so a group of
+    copies of any size costs one row in the search.
+    """
+    rows = staged(fingerprints(docs, words_per_shingle, seed), "simhash-prints")
+    prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
+    found = staged(links(prints, max_bits, busy), "simhash-links")
+    parts = components(found.select(F.col("x").alias("a"), F.col("y").alias("b")), "simhash")
+    placed = prints.join(parts, prints["fp"] == parts["node"], "left").select(
+        "fp", "least_id", F.coalesce("component", "fp").alias("part"))
+    return rows, staged(placed, "simhash-parts")
+
+
 def near_duplicates(
     docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2, seed: int = 42, busy: int = BUSY
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) per document; near duplicates share a component, its smallest doc_id.
 
-    Copies are one fingerprint from the start, so a group of copies of any size costs one row in the
-    search. Null and empty texts have fingerprint zero and are linked like any other. Rows with a null
+    Null and empty texts have fingerprint zero and are linked like any other. Rows with a null
     doc_id take part and get the smallest non-null id of their component, if it has one. Repeated rows give
     repeated results. Other columns are not read.
     """
-    rows = staged(fingerprints(docs, words_per_shingle, seed), "simhash-prints")
-    prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
-    found = staged(links(prints, max_bits, busy), "simhash-links")
-    parts = components(found.select(F.col("x").alias("a"), F.col("y").alias("b")), "simhash")
-    placed = prints.join(parts, prints["fp"] == parts["node"], "left").select(
-        "fp", "least_id", F.coalesce("component", "fp").alias("part"))
-    placed = staged(placed, "simhash-parts")
+    rows, placed = grouped(docs, words_per_shingle, max_bits, seed, busy)
     named = placed.groupBy("part").agg(F.min("least_id").alias("component_id"))
     ids = placed.join(named, "part").select("fp", "component_id")
     return rows.join(ids, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(
+    docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2, seed: int = 42, busy: int = BUSY
+) -> DataFrame:
+    """The documents, with all their columns, that stay when one of each component does: that of the smallest id.
+
+    A document without an id stays only where no other of its component has one; of several texts under the
+    staying id, one stays. Rows that repeat an id and a text are one document.
+    """
+    rows, placed = grouped(docs, words_per_shingle, max_bits, seed, busy)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
+    per_print = staged(rows.groupBy("fp").agg(first.alias("first")), "simhash-first")
+    per_part = per_print.join(placed, "fp").groupBy("part").agg(F.min("first").alias("first"))
+    kept = per_part.select(F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key"))
+    keyed = docs.withColumn("__own", row_key()[1])
+    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key"))
+    return keyed.join(kept, on, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

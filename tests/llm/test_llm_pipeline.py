@@ -3,9 +3,10 @@ import pytest
 import corpus_pipeline as pipeline
 from test_llm_lines import brute as brute_lines
 from test_llm_rules import brute as brute_measures
-from test_llm_simhash import expected as brute_groups
+from test_llm_simhash import spread
 from test_llm_tiling import brute_tiles, words
-from tarnlake.llm import rules
+from tarnlake.llm import rules, simhash
+from tarnlake.session import staged
 
 
 def by_id(df):
@@ -37,23 +38,29 @@ def test_stages_are_those_of_brute_force(spark, sf_dir, edge_docs, source):
     stages = dict(pipeline.STAGES)
     rows = [tuple(r) for r in docs.select(pipeline.COLUMNS).collect()]
 
-    out = pipeline.staged(stages["quality_rules"](spark, docs, sf_dir), "test")
+    out = staged(stages["quality_rules"](spark, docs, sf_dir), "test")
     rows = [r for r in rows if good(r[1])]
     assert by_id(out) == sorted(rows, key=str) and rows
 
     after = brute_lines([(k, r[1]) for k, r in enumerate(rows)], 10)
     cut = {k: text for k, text, _, _ in after}
-    out = pipeline.staged(stages["line_dedup"](spark, out, sf_dir), "test")
+    out = staged(stages["line_dedup"](spark, out, sf_dir), "test")
     rows = [(r[0], cut[k], r[2], r[3], len(cut[k])) for k, r in enumerate(rows)]
     assert by_id(out) == sorted(rows, key=str)
 
-    groups = brute_groups([r[:2] for r in rows])
-    kept = {i for i, _, c in groups if i == c and i is not None}
-    out = pipeline.staged(stages["simhash_near_dedup"](spark, out, sf_dir), "test")
-    assert {r["doc_id"] for r in out.collect()} == kept
+    groups = {}
+    label = spread(simhash.simhash(r[1]) for r in rows)
+    for r in rows:
+        groups.setdefault(label[simhash.simhash(r[1])], []).append(r)
+    out = staged(stages["simhash_near_dedup"](spark, out, sf_dir), "test")
     rows = [tuple(r) for r in out.select(pipeline.COLUMNS).collect()]
+    for group in groups.values():
+        least = min((r[0] is None, r[0] or 0) for r in group)
+        stays = {r for r in rows if r in group}
+        assert len({r[:2] for r in stays}) == 1 and all((r[0] is None, r[0] or 0) == least for r in stays)
+    assert len({r[:2] for r in rows}) == len(groups)
 
-    out = pipeline.staged(stages["decontaminate"](spark, out, sf_dir), "test")
+    out = staged(stages["decontaminate"](spark, out, sf_dir), "test")
     rows = [r for r in rows if not contaminated(r[1], items)]
     assert by_id(out) == sorted(rows, key=str)
 
