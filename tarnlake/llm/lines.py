@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tarnlake.llm.common import row_key, work_path
+from tarnlake.llm.common import row_key, staged, work_path
 
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -102,7 +102,8 @@ class LineRuns:
 
     def at_least(self, n_docs: int) -> DataFrame:
         """(h1, h2) of keys found in that many documents so far."""
-        return self.counts().filter(F.col("n_docs") >= n_docs).select("h1", "h2")
+        found = self.counts().filter(F.col("n_docs") >= n_docs).select("h1", "h2")
+        return staged(found, "line-common")       # as a table of its own it can be joined with skewed lines
 
     def drop_known(self, batch: DataFrame, min_docs: int = 1) -> DataFrame:
         """The batch without the lines that at least `min_docs` earlier documents hold; then the batch is added.
