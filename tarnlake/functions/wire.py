@@ -48,19 +48,26 @@ def decode_decimal(encoded: Column, scale: Column | int, target: str = "decimal(
     digits = F.hex(F.unbase64(encoded))
     size = F.length(digits)
     negative = F.substring(digits, 1, 1) >= "8"
-    short = F.conv(digits, 16, 10).cast("long")
-    short = F.when(negative, F.pow(F.lit(2.0), size * 4).cast("long") - short).otherwise(short)
-    whole = F.ltrim(F.when(size <= _LONG_HEX, short.cast("string")).otherwise(_wide(digits, negative)), F.lit("0"))
     scale = (F.lit(scale) if isinstance(scale, int) else scale).cast("int")
-    shifted = F.concat(whole, F.repeat(F.lit("0"), F.when(F.length(whole) > 0, F.greatest(-scale, F.lit(0))).otherwise(0)))
+    short = F.conv(digits, 16, 10).cast("long")
+    short = F.when(negative, F.pow(F.lit(2.0), size * 4).cast("long") - short).otherwise(short).cast("string")
+    # bound by a one-element array, so that the long arithmetic is in the expression once
+    wide = F.element_at(F.transform(F.array(_wide(digits, negative)), lambda whole: _point(whole, negative, scale)), 1)
+    number = F.when(size <= _LONG_HEX, _point(short, negative, scale)).otherwise(wide)
+    misfit = F.raise_error(F.concat(F.lit(f"value does not fit {target}: "), encoded)).cast(target)
+    return F.when((size > 0) & scale.isNotNull(), F.coalesce(number.try_cast(target), misfit))
+
+
+def _point(magnitude: Column, negative: Column, scale: Column) -> Column:
+    """Decimal number as text from the digits of its magnitude."""
+    whole = F.ltrim(magnitude, F.lit("0"))
+    shifted = F.concat(whole, F.when((F.length(whole) > 0) & (scale < 0), F.repeat(F.lit("0"), -scale)).otherwise(""))
     places = F.greatest(scale, F.lit(0))
     text = F.lpad(shifted, F.greatest(F.length(shifted), places + 1), "0")
     cut = F.length(text) - places
-    number = F.concat(
+    return F.concat(
         F.when(negative, F.lit("-")).otherwise(F.lit("")), F.substring(text, F.lit(1), cut), F.lit("."),
         F.substring(text, cut + 1, F.least(places, F.lit(_FRACTION))))
-    misfit = F.raise_error(F.concat(F.lit(f"value does not fit {target}: "), number)).cast(target)
-    return F.when((size > 0) & scale.isNotNull(), F.coalesce(number.try_cast(target), misfit))
 
 
 def encode_decimal(amount: Column, scale: int = 2) -> Column:
