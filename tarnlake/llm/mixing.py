@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tarnlake.llm.common import WORD, staged
 
 LEVELS = ("domain", "lang", "source")
-ROWS_PER_SLICE = 1 << 16
+ROWS_PER_SLICE = 1 << 12
 HASH_BITS = 60
 _WIDE = "decimal(38,0)"
 
@@ -55,17 +55,18 @@ def _leaves(entries: DataFrame, weights: Mapping[tuple, int], max_epochs: int) -
 
 def allocate(leaves: DataFrame, budget: Column) -> DataFrame:
     """Add `budget` (tokens) to each leaf. `budget` is an expression over `tokens`, the sum of all tokens."""
-    alloc = leaves.agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens")).select(
-        F.lit(1).alias("root"), F.least("capacity", budget.cast(_WIDE)).alias("budget"))
-    path: list[str] = ["root"]
+    whole = leaves.agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens")).select(
+        F.least("capacity", budget.cast(_WIDE)).alias("budget"))
+    path, alloc = ["root"], None
     leaves = leaves.withColumn("root", F.lit(1))
     for level in LEVELS:
         nodes = leaves.groupBy(*path, level).agg(
             F.sum("capacity").cast(_WIDE).alias("capacity"),
             F.max(F.when(F.col("capacity") > 0, F.col(f"w_{level}")).otherwise(0)).cast(_WIDE).alias("weight"))
-        alloc = _split(nodes.join(alloc, path), path, level)
+        funded = nodes.withColumn("budget", whole.scalar()) if alloc is None else nodes.join(alloc, path)
+        alloc = _split(funded, path, level)
         path.append(level)
-    return leaves.join(alloc, path).drop("root")
+    return leaves.join(alloc, [*LEVELS]).drop("root")
 
 
 def _split(nodes: DataFrame, parent: Sequence[str], level: str) -> DataFrame:
