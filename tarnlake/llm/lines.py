@@ -149,10 +149,21 @@ def drop_lines(docs: DataFrame, dropped: DataFrame, min_chars: int = 1) -> DataF
     )
 
 
+def _is_scan(docs: DataFrame) -> bool:
+    """Whether the rows are those of files, with no more done than choosing columns."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() == "Project":
+        items = plan.projectList()
+        if any(items.apply(i).getClass().getSimpleName() != "AttributeReference" for i in range(items.size())):
+            return False
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def batches(docs: DataFrame, n: int) -> list[DataFrame]:
     """Cut a scan of files into at most `n` batches by file; anything else is one batch."""
-    files = sorted(docs.inputFiles())
-    if n < 2 or len(files) < 2:
+    files = sorted(docs.inputFiles()) if n > 1 and _is_scan(docs) else []
+    if len(files) < 2:
         return [docs]
     size = -(-len(files) // n)
     groups = [files[i:i + size] for i in range(0, len(files), size)]

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarnlake.llm import lines
 
@@ -33,6 +34,17 @@ def test_edge_rows(edge_docs, texts, min_docs, min_chars, n_batches):
     assert "source" in out.columns and out.columns.count("n_dropped") == 1
 
 
+def test_batches_hold_what_was_asked_for(edge_docs, texts):
+    """Files are read by themselves only where the rows are those of the files."""
+    assert len(lines.batches(edge_docs, 3)) > 1 and len(lines.batches(edge_docs.select("text", "doc_id"), 3)) > 1
+    few = edge_docs.filter("doc_id < 105")
+    other = edge_docs.withColumn("text", F.upper("text"))
+    assert len(lines.batches(few, 3)) == len(lines.batches(other, 3)) == 1
+    assert result(lines.drop_common_lines(few, 4, 1, 3)) == brute([r for r in texts if r[0] is not None and r[0] < 105], 4)
+    parts = lines.batches(edge_docs.select("doc_id", "text"), 3)
+    assert sorted((tuple(r) for p in parts for r in p.collect()), key=str) == sorted(texts, key=str)
+
+
 def test_many_lines_in_one_text(spark):
     rng = random.Random(5)
     rows = [(i, "\n".join(f"line {rng.randrange(300)}" for _ in range(n))) for i, n in enumerate([1000, 64, 65, 63, 128, 1])]
