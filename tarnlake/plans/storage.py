@@ -103,6 +103,13 @@ def _compacted(t: Tables) -> DataFrame:
     return before.unionByName(count(large, "after")).select("state", "n_rows", fewer.alias("fewer_files"))
 
 
+def _json(t: Tables) -> DataFrame:
+    """Customers as JSON lines, a folder per segment, read back."""
+    path = work_path(t.spark, "customers-json")
+    sinks.write_json(t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), path, ["c_mktsegment"])
+    return t.spark.read.schema("c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string").json(path)
+
+
 def _clustered(t: Tables) -> DataFrame:
     path = work_path(t.spark, "orders-clustered")
     maintain.clustered(t.orders, "o_custkey", "o_orderkey").write.parquet(path)
@@ -131,11 +138,13 @@ QUERIES = {
     "sink_schema_evolve": _schema_evolve,
     "table_history": _history,
     "compact_table": _compacted,
+    "sink_json_partitions": _json,
     "cluster_by_range": _clustered,
     "model_part_dim": _part_dim,
 }
 
 ORACLE = {
+    "sink_json_partitions": "select c_custkey, c_name, c_acctbal, c_mktsegment from customer",
     "compact_table": """select 'before' as state, count(*) as n_rows, false as fewer_files from events
   union all select 'after', count(*), true from events""",
     "src_delimited_roundtrip": """select cast(s_suppkey as int) as s_suppkey, s_name, s_nationkey, s_acctbal

@@ -6,26 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# Column order of the delimited source files. Each line ends with a
-# separator, so a reader sees one more, empty, column.
-LAYOUTS = {
-    "nation": "n_nationkey n_name n_regionkey n_comment",
-    "region": "r_regionkey r_name r_comment",
-    "supplier": "s_suppkey s_name s_address s_nationkey s_phone s_acctbal s_comment",
-    "customer": "c_custkey c_name c_address c_nationkey c_phone c_acctbal c_mktsegment c_comment",
-    "part": "p_partkey p_name p_mfgr p_brand p_type p_size p_container p_retailprice p_comment",
-    "partsupp": "ps_partkey ps_suppkey ps_availqty ps_supplycost ps_comment",
-    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority o_clerk o_shippriority "
-              "o_comment",
-    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag "
-                "l_linestatus l_shipdate l_commitdate l_receiptdate l_shipinstruct l_shipmode l_comment",
-}
-
-
-def layout(table: str) -> list[str]:
-    return LAYOUTS[table].split()
-
-
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],

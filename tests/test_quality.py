@@ -52,8 +52,9 @@ def test_publish_happens_only_when_checks_pass(df):
     with pytest.raises(dq.QualityError):
         dq.write_audit_publish(df, [dq.complete("k")], calls.append)
     assert calls == []
-    dq.write_audit_publish(df, [dq.uniqueness(["k", "s"])], calls.append)
+    dq.write_audit_publish(df.withColumn("r", F.rand()), [dq.uniqueness(["k", "s"])], calls.append)
     assert len(calls) == 1
+    assert calls[0].collect() == calls[0].collect() and calls[0].inputFiles()       # a written table: what was checked
 
 
 def test_configuration(df):
