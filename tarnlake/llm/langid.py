@@ -150,8 +150,9 @@ def train(labelled: DataFrame, families: Mapping[str, str] = FAMILIES, per_label
     labels = sorted(counts)
     if not labels:
         return Model([], {}, families)
-    shares = spark.createDataFrame([(k, min(1.0, per_label / n)) for k, n in counts.items()], "label string, share double")
-    chosen = usable.join(shares, "label").filter(F.expr("pmod(xxhash64(doc_id, 'sample'), 1000000) < share * 1000000"))
+    # one entry per language, so the sample is drawn where the rows lie
+    limits = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, round(min(1.0, per_label / n) * 1_000_000))))
+    chosen = usable.filter(F.expr("pmod(xxhash64(doc_id, 'sample'), 1000000)") < F.element_at(limits, F.col("label")))
     pick = F.expr("pmod(xxhash64(doc_id, 'pair'), 1000000)").alias("pick")
     vectors = staged(arrow_map(chosen.select("label", "text", pick), _vectorise, "label string, vector array<float>, pick long"), "langid-sample")
     model = Model(labels, {}, families)
