@@ -113,7 +113,7 @@ def _unroller(min_words: int):
                 w = tokens.words(part.column(2))
                 full = [tokens.gram_hashes(tokens.word_hashes(w, which), min_words) for which in (0, 1)]
                 doc, start, n, _ = _wanted(part, w)
-                at = np.repeat(start, n) + tokens._ramp(n.astype(np.int64))
+                at = np.repeat(start, n) + tokens.ramp(n.astype(np.int64))
                 doc = np.repeat(doc, n)
                 rows = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(

@@ -142,12 +142,12 @@ def squeezed(w: Words) -> tuple[bytes, np.ndarray]:
     lengths = w.ends - w.starts
     at = np.concatenate(([0], np.cumsum(lengths + 1)))
     out = np.full(int(at[-1]), 0x20, np.uint8)
-    source = np.repeat(w.starts, lengths) + _ramp(lengths)
-    out[np.repeat(at[:-1], lengths) + _ramp(lengths)] = w.data[source]
+    source = np.repeat(w.starts, lengths) + ramp(lengths)
+    out[np.repeat(at[:-1], lengths) + ramp(lengths)] = w.data[source]
     return out.tobytes(), at
 
 
-def _ramp(lengths: np.ndarray) -> np.ndarray:
+def ramp(lengths: np.ndarray) -> np.ndarray:
     """0..length-1 for each length, one after the other."""
     total = int(lengths.sum())
     return np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
