@@ -6,13 +6,15 @@ use; rows of role `tool_result` carry the id of their call; other roles are plai
 
 Calls and results are hash-joined by (conversation, id). Calls are ordered topologically in
 rounds: a call is placed once all calls it needs are, at the latest turn among its own and those of the results it
-needs. As many rounds run as the longest chain of needs is long; calls that are never placed are on a cycle, or need one.
+needs. Chains of calls with one need each are halved in every round, so the rounds grow with the logarithm of their length, and
+with the number of calls with several needs that follow on each other; calls that are never placed are on a cycle, or need one.
 No conversation is gathered anywhere, so one may hold any share of all rows. All of it is DataFrame code.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -59,33 +61,48 @@ def place(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, slot, level) of the calls that can be ordered.
 
     `calls` is a table of (conv_id, call_id, turn, result_turn, needs) with one row per id. Needs of calls that do not exist
-    bind nothing. `level` is the length of the chain of needs before a call, `slot` the turn it can stand at.
+    bind nothing. `level` is the length of the longest chain of needs before a call, `slot` the turn it can stand at.
+
+    Every call points at its needs. In each round pointers at placed calls are settled, and a pointer at a call with a single
+    need is moved on to what that call points at (its distance and latest turn go along), so chains halve with each round. A
+    round places at least one call as long as any can be placed.
     """
-    known = calls.select("conv_id", F.col("call_id").alias("need"), F.lit(True).alias("known"))
-    wants = calls.select("conv_id", "call_id", F.explode(F.array_distinct("needs")).alias("need")).join(known, ["conv_id", "need"])
-    wants = staged(wants.select("conv_id", "call_id", "need"), "chat-needs")
-    counts = wants.groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("n_needs"))
-    calls = staged(calls.join(counts, ["conv_id", "call_id"], "left").fillna(0, ["n_needs"]).drop("needs"), "chat-calls")
-    done = staged(calls.filter("n_needs = 0").select(
-        "conv_id", "call_id", F.col("turn").alias("slot"), F.lit(0).cast("long").alias("level"),
-        F.greatest("turn", "result_turn").alias("until")), "chat-placed")
-    parts = [done]
-    waiting = staged(wants.limit(0).withColumn("until", F.lit(0).cast("long")).withColumn("level", F.lit(0).cast("long")), "chat-met")
-    while not done.isEmpty():
-        met = wants.join(done.select("conv_id", F.col("call_id").alias("need"), "until", "level"), ["conv_id", "need"])
-        waiting = staged(waiting.unionByName(met), "chat-met")
-        ready = waiting.groupBy("conv_id", "call_id").agg(
-            F.count(F.lit(1)).alias("n"), F.max("until").alias("met_until"), (F.max("level") + 1).alias("level"))
-        fresh = calls.join(ready, ["conv_id", "call_id"]).filter("n = n_needs").select(
-            "conv_id", "call_id", F.greatest("turn", "met_until").alias("slot"), "level",
-            F.greatest("turn", "met_until", "result_turn").alias("until"))
-        done = staged(fresh, "chat-placed")
-        waiting = waiting.join(done.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
-        parts.append(done)
-    placed = parts[0]
-    for part in parts[1:]:
-        placed = placed.unionAll(part)
-    return placed.select("conv_id", "call_id", "slot", "level")
+    ids = ["conv_id", "call_id"]
+    known = calls.select("conv_id", F.col("call_id").alias("need"))
+    wants = calls.select(*ids, F.explode(F.array_distinct("needs")).alias("need")).join(known, ["conv_id", "need"])
+    counts = staged(wants.groupBy(*ids).agg(F.count(F.lit(1)).alias("n")), "chat-counts")
+    own = F.greatest("turn", "result_turn").alias("own")
+    calls = staged(calls.join(counts, ids, "left").select(*ids, "turn", own, F.coalesce("n", F.lit(0)).alias("n")), "chat-calls")
+    parts = [staged(calls.filter("n = 0").select(
+        *ids, F.col("turn").alias("slot"), F.lit(0).cast("long").alias("level"), F.col("own").alias("until")), "chat-placed")]
+    nothing = F.lit(None).cast("long")
+    pointers = staged(wants.join(calls, ids).select(
+        *ids, "turn", "own", "n", "need", F.lit(1).cast("long").alias("distance"), nothing.alias("latest"),
+        nothing.alias("level"), nothing.alias("until")), "chat-pointers")
+    while True:
+        placed = reduce(DataFrame.unionAll, parts).select(
+            "conv_id", F.col("call_id").alias("need"), F.col("level").alias("level_of"), F.col("until").alias("until_of"))
+        onward = pointers.filter("n = 1 AND need IS NOT NULL").select(
+            "conv_id", F.col("call_id").alias("need"), F.col("need").alias("next"), F.col("distance").alias("more"),
+            F.greatest("own", "latest").alias("later"))
+        moved = pointers.join(placed, ["conv_id", "need"], "left").join(onward, ["conv_id", "need"], "left")
+        met, jumps = F.col("level_of").isNotNull(), F.col("level_of").isNull() & F.col("next").isNotNull()
+        moved = staged(moved.select(
+            *ids, "turn", "own", "n", F.when(met, None).when(jumps, F.col("next")).otherwise(F.col("need")).alias("need"),
+            F.when(jumps, F.col("distance") + F.col("more")).otherwise(F.col("distance")).alias("distance"),
+            F.when(jumps, F.greatest("latest", "later")).otherwise(F.col("latest")).alias("latest"),
+            F.when(met, F.col("level_of") + F.col("distance")).otherwise(F.col("level")).alias("level"),
+            F.when(met, F.greatest("latest", "until_of")).otherwise(F.col("until")).alias("until")), "chat-pointers")
+        settled = moved.groupBy(*ids).agg(
+            F.count("need").alias("open"), F.max("turn").alias("turn"), F.max("own").alias("own"),
+            F.max("level").alias("level"), F.max("until").alias("until")).filter("open = 0")
+        fresh = staged(settled.select(
+            *ids, F.greatest("turn", "until").alias("slot"), "level", F.greatest("own", "until").alias("until")), "chat-placed")
+        if fresh.isEmpty():
+            break
+        parts.append(fresh)
+        pointers = moved.join(fresh.select(*ids), ids, "left_anti")
+    return reduce(DataFrame.unionAll, parts).select(*ids, "slot", "level")
 
 
 def link(messages: DataFrame, tools: Mapping[str, Schema]) -> DataFrame:

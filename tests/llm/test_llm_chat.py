@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -83,9 +84,30 @@ def test_calls_are_placed_after_what_they_need(spark):
 
 
 def test_a_long_chain(spark):
-    rows = [message(1, 20 - k, "tool_call", call_id=f"c{k}", tool="now", arguments="{}", needs=[f"c{k - 1}"]) for k in range(6)]
-    out = {r["call_id"]: (r["slot"], r["level"]) for r in linked(spark, rows)}
-    assert out == {f"c{k}": (20, k) for k in range(6)}
+    """Needs against the order of turns, results in between, in far fewer rounds than calls."""
+    n = 400
+    calls = {f"c{k}": (n - k if k % 5 else k, 2 * k if k % 3 == 0 else None, [f"c{k - 1}"]) for k in range(n)}
+    rows = [message(1, t, "tool_call", call_id=c, tool="now", arguments="{}", needs=need) for c, (t, _, need) in calls.items()]
+    rows += [message(1, r, "tool_result", "r", c) for c, (_, r, _) in calls.items() if r is not None]
+    out = {r["call_id"]: (r["slot"], r["level"]) for r in linked(spark, rows) if r["role"] == "tool_call"}
+    assert out == brute_places(calls)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_needs(spark, seed):
+    rng = random.Random(seed)
+    calls = {}
+    for k in range(120):
+        needs = [f"c{rng.randrange(max(1, k - 15), k + 1)}" for _ in range(rng.choice([0, 1, 1, 1, 1, 2, 3]))] if k > 1 else []
+        if rng.random() < 0.02:
+            needs.append(f"c{rng.randrange(120)}")
+        calls[f"c{k}"] = (rng.randrange(200), rng.choice([None, rng.randrange(200)]), needs)
+    rows = [message(1, t, "tool_call", call_id=c, tool="now", arguments="{}", needs=need) for c, (t, _, need) in calls.items()]
+    rows += [message(1, r, "tool_result", "r", c) for c, (_, r, _) in calls.items() if r is not None]
+    out = [r for r in linked(spark, rows) if r["role"] == "tool_call"]
+    want = brute_places(calls)
+    assert {r["call_id"]: (r["slot"], r["level"]) for r in out if r["status"] != "cycle"} == want
+    assert {r["call_id"] for r in out if r["status"] == "cycle"} == set(calls) - set(want)
 
 
 def test_json_is_canonical(spark):
