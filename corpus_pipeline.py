@@ -24,8 +24,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines found in at least 10 of them; `n_chars` is that of what is left."""
-    kept = lines.drop_common_lines(docs, min_docs=10, min_chars=1)
+    """Documents without the lines found in at least 10 of them; `n_chars` is that of what is left.
+
+    A document of such lines only is a copy or put together from copies. It stays as it is: which copy is kept is for near-dedup to say.
+    """
+    kept = lines.drop_common_lines(docs, min_docs=10, min_chars=1, spare_whole=True)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(COLUMNS)
 
 

@@ -117,7 +117,7 @@ class LineRuns:
         return self.spark.read.schema(result.schema).parquet(path)
 
 
-def drop_lines(docs: DataFrame, dropped: DataFrame, min_chars: int = 1) -> DataFrame:
+def drop_lines(docs: DataFrame, dropped: DataFrame, min_chars: int = 1, spare_whole: bool = False) -> DataFrame:
     """`docs` with all its columns, `text` without the lines whose key is in `dropped` (h1, h2; distinct), and two
     columns more: `n_lines` before and `n_dropped`.
 
@@ -125,7 +125,8 @@ def drop_lines(docs: DataFrame, dropped: DataFrame, min_chars: int = 1) -> DataF
     a word. Null texts stay null when they lose nothing (their one line is empty). Rows that
     repeat an id and a text are one key and treated alike; a null id is a key like any other. Extra columns pass
     through; one called `n_lines` or `n_dropped` is replaced. Joining on row keys leaves a row in one piece, so a
-    document must fit in memory, as it does when it is read.
+    document must fit in memory, as it does when it is read. With `spare_whole` a text that would be left without a word
+    loses nothing.
     """
     word = F.floor(F.col("pos") / 64).cast("int").alias("word")
     bit = F.expr("CASE WHEN hit IS NOT NULL THEN shiftleft(1L, pos % 64) ELSE 0L END")
@@ -138,8 +139,12 @@ def drop_lines(docs: DataFrame, dropped: DataFrame, min_chars: int = 1) -> DataF
     )
     keyed = docs.drop("n_lines", "n_dropped").withColumn("__own", row_key()[1])
     joined = keyed.join(marks, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left")
-    kept = F.expr("""array_join(filter(split(coalesce(text, ''), '\\n', -1),
-        (line, i) -> (shiftright(element_at(__bits, cast(i div 64 + 1 as int)), i % 64) & 1L) = 0), '\\n')""")
+    left = """filter(split(coalesce(text, ''), '\\n', -1),
+        (line, i) -> (shiftright(element_at(__bits, cast(i div 64 + 1 as int)), i % 64) & 1L) = 0)"""
+    kept = F.array_join(F.expr(left), "\n")
+    if spare_whole:
+        solid = F.exists(F.expr(left), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
+        joined = joined.withColumn("__bits", F.when(solid, F.col("__bits")))
     n_dropped = F.expr("aggregate(__bits, 0L, (n, b) -> n + bit_count(b))")
     return joined.select(
         *[F.when(F.col("__bits").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`")
@@ -170,9 +175,13 @@ def batches(docs: DataFrame, n: int) -> list[DataFrame]:
     return [docs.sparkSession.read.schema(docs.schema).parquet(*group) for group in groups]
 
 
-def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batches: int = 8) -> DataFrame:
-    """Index `docs` (a table) batch by batch, then drop the lines that at least `min_docs` of its documents hold."""
+def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batches: int = 8,
+                      spare_whole: bool = False) -> DataFrame:
+    """Index `docs` (a table) batch by batch, then drop the lines that at least `min_docs` of its documents hold.
+
+    `spare_whole`: as in `drop_lines`.
+    """
     runs = LineRuns(docs.sparkSession, min_chars=min_chars)
     for batch in batches(docs, n_batches):
         runs.add(batch.select("doc_id", "text"))
-    return drop_lines(docs, runs.at_least(min_docs), min_chars)
+    return drop_lines(docs, runs.at_least(min_docs), min_chars, spare_whole)

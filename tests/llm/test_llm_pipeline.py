@@ -80,3 +80,16 @@ def test_no_rows(spark, sf_dir, no_docs):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_a_text_with_many_copies_reaches_the_output_once(spark, sf_dir):
+    """Texts of common lines only keep them, so that near-dedup folds each group into one whole document."""
+    texts = ["\n".join(" ".join(f"{name}{line}{word}" for word in range(12)) for line in range(4)) + "\n\n" for name in ("ash", "birch")]
+    rows = [(10 * k + c, text, "en", "src0", len(text)) for k, text in enumerate(texts) for c in range(10)]
+    own = " ".join(f"own{word}" for word in range(12))
+    rows.append((99, texts[0] + own, "en", "src0", len(texts[0] + own)))
+    docs = staged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "test")
+    out = staged(dict(pipeline.STAGES)["line_dedup"](spark, docs, sf_dir), "test")
+    assert by_id(out) == sorted([*rows[:-1], (99, "\n" + own, "en", "src0", len(own) + 1)], key=str)
+    out = dict(pipeline.STAGES)["simhash_near_dedup"](spark, out, sf_dir)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {0: texts[0], 10: texts[1], 99: "\n" + own}
