@@ -49,15 +49,15 @@ def line_hashes(docs: DataFrame, min_chars: int = 1) -> DataFrame:
         "doc_id", "text_key", "pos", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
 
 
-def document_counts(docs: DataFrame, min_chars: int = 1) -> DataFrame:
-    """(h1, h2, n_docs): documents (rows) that hold each key, counted once per document.
+def document_counts(docs: DataFrame, min_chars: int = 1, by: Sequence[str] = ()) -> DataFrame:
+    """(h1, h2, n_docs): documents (rows) that hold each key, counted once per document, and apart for each value of the columns `by`.
 
     Distinct per document needs no shuffle, and counts are combined before theirs, so a line that
     is in every document costs one row per task.
     """
     keyed = F.array_distinct(F.transform(split_lines(F.col("text")), lambda line: key_hash(line_key(line), min_chars)))
-    lines = docs.select(F.explode(keyed).alias("h")).filter("h IS NOT NULL").select("h.h1", "h.h2")
-    return lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
+    lines = docs.select(*by, F.explode(keyed).alias("h")).filter("h IS NOT NULL").select(*by, "h.h1", "h.h2")
+    return lines.groupBy(*by, "h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 class LineRuns:
@@ -75,6 +75,16 @@ class LineRuns:
         """Add the counts of a batch as a run, and compact levels that are full."""
         self._push(0, document_counts(batch, self.min_chars))
 
+    def add_cut(self, docs: DataFrame, n: int) -> None:
+        """Add `docs` as `n` batches cut by a hash of the row key. The rows are read once, however many batches there are."""
+        path = work_path(self.spark, "line-batches")
+        batch = F.pmod(F.xxhash64(*row_key()), F.lit(n)).cast("int")
+        counts = document_counts(docs.select("text", batch.alias("batch")), self.min_chars, ["batch"])
+        counts.write.partitionBy("batch").parquet(path)
+        cut = self.spark.read.schema(f"{RUN_SCHEMA}, batch int").parquet(path)
+        for i in range(n):
+            self._push(0, cut.filter(F.col("batch") == i).drop("batch"))
+
     def _push(self, level: int, counts: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
@@ -177,11 +187,17 @@ def batches(docs: DataFrame, n: int) -> list[DataFrame]:
 
 def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batches: int = 8,
                       spare_whole: bool = False) -> DataFrame:
-    """Index `docs` (a table) batch by batch, then drop the lines that at least `min_docs` of its documents hold.
+    """Index `docs` (a table) in `n_batches` batches, then drop the lines that at least `min_docs` of its documents hold.
 
-    `spare_whole`: as in `drop_lines`.
+    Batches are groups of files where there are files for all of them, else they are cut by a hash of the row key.
+    The count is over all documents, so lines can be dropped only when all batches are in: one join with the summed runs takes the
+    place of the anti-join of each batch, which `LineRuns.drop_known` makes. `spare_whole`: as in `drop_lines`.
     """
     runs = LineRuns(docs.sparkSession, min_chars=min_chars)
-    for batch in batches(docs, n_batches):
-        runs.add(batch.select("doc_id", "text"))
+    parts = batches(docs, n_batches)
+    if len(parts) < n_batches:
+        runs.add_cut(docs.select("doc_id", "text"), n_batches)
+    else:
+        for batch in parts:
+            runs.add(batch.select("doc_id", "text"))
     return drop_lines(docs, runs.at_least(min_docs), min_chars, spare_whole)

@@ -61,6 +61,18 @@ def test_runs_are_compacted_by_level(spark):
     assert runs.at_least(7).count() == 1
 
 
+@pytest.mark.parametrize("computed", [False, True])
+def test_levels_do_not_depend_on_the_files(edge_docs, spark, texts, tmp_path, monkeypatch, computed):
+    """One file, or rows that are not those of files, are cut into as many batches as asked for, and levels are compacted."""
+    edge_docs.coalesce(1).write.parquet(str(tmp_path / "one"))
+    docs, pushed, push = spark.read.parquet(str(tmp_path / "one")), [], lines.LineRuns._push
+    docs = docs.withColumn("text", F.concat("text")) if computed else docs
+    assert len(docs.inputFiles()) == 1
+    monkeypatch.setattr(lines.LineRuns, "_push", lambda self, level, counts: (pushed.append(level), push(self, level, counts)) and None)
+    assert result(lines.drop_common_lines(docs, 10)) == brute(texts, 10)
+    assert pushed == [0, 0, 0, 0, 1, 0, 0, 0, 0, 1]
+
+
 def test_a_batch_loses_the_lines_of_earlier_ones(spark):
     runs = lines.LineRuns(spark, fanout=2)
     texts = ["a\nb", "b\nc\nc", "C\nd\n\n", None]
