@@ -22,6 +22,7 @@ from tarnlake.llm.common import staged
 
 COLUMNS = ["conv_id", "turn", "role", "text", "call_id", "tool", "arguments", "needs"]
 Schema = Mapping[str, tuple[str, bool]]
+_FAR = 1 << 61      # farther than any chain is long; the sum of two such distances is still a long
 _TYPES = {
     "integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "number": r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$", "string": "^STRING$",
     "boolean": "^BOOLEAN$", "array": "^ARRAY<", "object": "^OBJECT<",
@@ -65,7 +66,8 @@ def place(calls: DataFrame) -> DataFrame:
 
     Every call points at its needs. In each round pointers at placed calls are settled, and a pointer at a call with a single
     need is moved on to what that call points at (its distance and latest turn go along), so chains halve with each round. A
-    round places at least one call as long as any can be placed.
+    round places at least one call as long as any can be placed. Pointers on a cycle, or at one, move for as long as rounds go on:
+    their distance, which nothing reads, stops growing at `_FAR`.
     """
     ids = ["conv_id", "call_id"]
     known = calls.select("conv_id", F.col("call_id").alias("need"))
@@ -89,7 +91,7 @@ def place(calls: DataFrame) -> DataFrame:
         met, jumps = F.col("level_of").isNotNull(), F.col("level_of").isNull() & F.col("next").isNotNull()
         moved = staged(moved.select(
             *ids, "turn", "own", "n", F.when(met, None).when(jumps, F.col("next")).otherwise(F.col("need")).alias("need"),
-            F.when(jumps, F.col("distance") + F.col("more")).otherwise(F.col("distance")).alias("distance"),
+            F.when(jumps, F.least(F.col("distance") + F.col("more"), F.lit(_FAR))).otherwise(F.col("distance")).alias("distance"),
             F.when(jumps, F.greatest("latest", "later")).otherwise(F.col("latest")).alias("latest"),
             F.when(met, F.col("level_of") + F.col("distance")).otherwise(F.col("level")).alias("level"),
             F.when(met, F.greatest("latest", "until_of")).otherwise(F.col("until")).alias("until")), "chat-pointers")

@@ -110,6 +110,17 @@ def test_random_needs(spark, seed):
     assert {r["call_id"] for r in out if r["status"] == "cycle"} == set(calls) - set(want)
 
 
+def test_a_cycle_beside_many_rounds(spark):
+    """Calls on cycles, and those that need one, over more rounds than a long has bits."""
+    n = 70
+    calls = {f"c{k}": (k, None, [f"c{j}" for j in (k - 1, k - 2) if j >= 0]) for k in range(n)}
+    calls |= {"self": (1, None, ["self"]), "x": (1, None, ["y"]), "y": (1, None, ["z"]), "z": (1, None, ["x"]), "w": (1, None, ["c0", "x"])}
+    rows = [(1, c, t, r, needs) for c, (t, r, needs) in calls.items()]
+    schema = "conv_id long, call_id string, turn long, result_turn long, needs array<string>"
+    out = {r["call_id"]: (r["slot"], r["level"]) for r in chat.place(spark.createDataFrame(rows, schema)).collect()}
+    assert out == brute_places(calls) and len(out) == n
+
+
 def test_json_is_canonical(spark):
     text = 'quote " slash \\ / tab \t line \n umlaut ü 日本 \u0001'
     rows = [message(1, 0, "user", text), message(1, 1, "tool_call", call_id="a", tool="search",
