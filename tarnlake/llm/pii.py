@@ -4,8 +4,8 @@ Plain identifiers are found by fixed patterns. Disguised ones are found on a nor
 transducer writes: each of its characters remembers the stretch of the source it stands for, so a span found
 there is a span of the source. The transducer rewrites
 
-* look-alike characters (full-width and other compatibility forms, digits of any script, Greek and Cyrillic
-  letters that look Latin) and drops invisible ones;
+* look-alike characters (full-width and other compatibility forms, those of the space too, digits of any script, Greek and
+  Cyrillic letters that look Latin) and drops invisible ones;
 * at and dot disguises: [at], (dot), "name at host dot tld" and the like, in four languages;
 * runs of spelled digits, with "plus" and "dot" between them.
 
@@ -49,6 +49,7 @@ _LOOK_ALIKE = {
     "Υ": "Y", "Χ": "X", "ı": "i", "ɑ": "a", "ɡ": "g", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "․": ".", "。": ".",
 }
 _INVISIBLE = "­​‌‍⁠﻿"
+_BETWEEN = " \t\r\n,-\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"     # blanks, also in compatibility forms
 _DIGIT_WORDS = [
     "zero one two three four five six seven eight nine",
     "null eins zwei drei vier fünf sechs sieben acht neun",
@@ -119,16 +120,16 @@ def _identifiers(text: str) -> Iterator[tuple[str, int, int]]:
 
 @cache
 def _single() -> dict[str, str]:
-    """Characters rewritten one by one: compatibility forms of one ASCII character, decimal digits of
+    """Characters rewritten one by one: compatibility forms of one ASCII character (the space included), decimal digits of
     every script, look-alikes and invisible characters. None is special in a pattern."""
     table = {}
     for code in range(0x80, sys.maxunicode + 1):
         c = chr(code)
         if unicodedata.category(c) == "Nd":
             table[c] = str(unicodedata.decimal(c))
-        elif unicodedata.decomposition(c).startswith("<"):
+        elif form := unicodedata.decomposition(c):
             flat = unicodedata.normalize("NFKC", c)
-            if len(flat) == 1 and " " < flat < "\x7f":
+            if flat == " " or form.startswith("<") and len(flat) == 1 and " " < flat < "\x7f":
                 table[c] = flat
     return table | _LOOK_ALIKE | dict.fromkeys(_INVISIBLE, "")
 
@@ -221,7 +222,7 @@ def find(text: str | None) -> list[Span]:
             start, end = mapped.source(lo, hi)
             if mapped.text[lo:hi] != text[start:end]:
                 # A token's place may reach to the next one; what a span ends with is its own token only.
-                end = start + len(text[start:end].rstrip(" \t\r\n,-"))
+                end = start + len(text[start:end].rstrip(_BETWEEN))
                 before = bisect_left(taken[kind], (end,))
                 if not before or taken[kind][before - 1][1] <= start:
                     spans.append(Span(kind, start, end, False))

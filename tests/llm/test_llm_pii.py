@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,19 @@ def test_disguised_spans(text, kind, want):
     assert base(text) == brute(text)
 
 
+@pytest.mark.parametrize("blank", [c for c in map(chr, range(0x80, 0x3001)) if unicodedata.normalize("NFKC", c) == " "])
+def test_groups_set_apart_by_forms_of_the_space(blank):
+    """No-break, thin, figure and ideographic spaces count as plain ones, between plain and full-width digits."""
+    for text, kind, want in [
+            ("pay 4111 1111 1111 1111 now", "card", "4111 1111 1111 1111"), ("tel +49 170 1234567, ok", "phone", "+49 170 1234567"),
+            ("４１１１ １１１１ １１１１ １１１１", "card", "４１１１ １１１１ １１１１ １１１１"),
+            ("four one one one one one one one one one one one one one one one or", "card",
+             "four one one one one one one one one one one one one one one one")]:
+        text, want = text.replace(" ", blank), want.replace(" ", blank)
+        assert [(s.kind, text[s.start:s.end]) for s in pii.find(text) if not s.base] == [(kind, want)]
+        assert base(text) == brute(text)
+
+
 @pytest.mark.parametrize("text", [
     "look at this. dot by dot", "We met at noon and saw the dot at the end", "three four", "Größe und Länge – naïve café", "a (at) b", "",
     "jo@example.com is plain", "one two three go", "[at] (dot)",
