@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import chat, langid, lines, mixing, pii, repeats, rules, simhash, tiling, warc
+from tarnlake.llm import chat, codes, langid, lines, mixing, pii, repeats, rules, search, simhash, tiling, warc
 from tarnlake.llm.common import table
 
 
@@ -281,6 +281,73 @@ FROM results r LEFT JOIN placed p ON p.conv_id = r.conv_id AND p.turn = r.turn -
 """
 
 
+def op11_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+_TERMS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+s AS (SELECT count(*)::bigint AS n_docs, sum(len(w))::bigint AS length FROM d WHERE len(w) > 0),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w)::bigint AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+x AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::bigint AS weight
+  FROM p, s WHERE term IN (SELECT term FROM q) GROUP BY term),
+r AS (
+  SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // length))))::bigint AS score
+  FROM q JOIN x USING (term) JOIN p USING (term), s GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::int AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
+def op13_active_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings: 4 parts, 256 entries each, 4 rounds."""
+    state, books = codes.encode(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    return codes.codes(state, books).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256", "label")
+
+
+def _op13_sql(rounds: int = 4) -> str:
+    """Plain Lloyd rounds: every part against every entry each time."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, label, part, v, arg_min(entry, (far, entry)) AS entry, min(far)::bigint AS far
+  FROM (SELECT p.vec_id, p.label, p.part, p.v, c.entry,
+      list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, c.v) + list_inner_product(c.v, c.v) AS far
+    FROM p JOIN c{r} c USING (part)) GROUP BY vec_id, label, part, v)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.part, c.entry, coalesce(u.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT part, entry, list(floor_mean ORDER BY i)::double[] AS v FROM (
+      SELECT part, entry, i, (total - ((total % n) + n) % n) // n AS floor_mean FROM (
+        SELECT part, entry, i, sum(v[i]::bigint)::bigint AS total, count(*) AS n
+        FROM (SELECT part, entry, v, unnest(range(1, len(v) + 1)) AS i FROM a{r}) GROUP BY part, entry, i))
+    GROUP BY part, entry) u USING (part, entry))""")
+    last = f"c{rounds}"
+    return f"""
+WITH k AS (
+  SELECT vec_id, label, [floor(1024 * x)::bigint FOR x IN embedding] AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS MATERIALIZED (
+  SELECT vec_id, label, part, q[part * (len(q) // 4) + 1:(part + 1) * (len(q) // 4)]::double[] AS v
+  FROM k, (SELECT unnest(range(4)) AS part)),
+c0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v
+  FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 256)),
+{", ".join(steps)},
+h AS (SELECT sha256(string_agg(x, ',' ORDER BY part, entry)) AS codebooks_sha256
+  FROM (SELECT part, entry, array_to_string([x::bigint FOR x IN v], ',') AS x FROM {last})),
+e AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(far)::bigint AS error
+  FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::bigint AS label_error, codebooks_sha256, label FROM e, h
+"""
+
+
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op2_string_tiling": op2_string_tiling,
@@ -292,6 +359,8 @@ QUERIES = {
     "op8_simhash_golay": op8_simhash_golay,
     "op9_line_runs": op9_line_runs,
     "op10_tool_calls": op10_tool_calls,
+    "op11_mask_search": op11_mask_search,
+    "op13_active_codes": op13_active_codes,
 }
 ORACLE = {
     "op1_warc_index": OP1_SQL,
@@ -300,4 +369,6 @@ ORACLE = {
     "op6_repeated_passages": OP6_SQL,
     "op9_line_runs": OP9_SQL,
     "op10_tool_calls": OP10_SQL,
+    "op11_mask_search": OP11_SQL,
+    "op13_active_codes": _op13_sql(),
 }
