@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnlake.llm import chat, codes, langid, lines, mixing, pii, repeats, rules, search, simhash, tiling, warc
+from tarnlake.llm import chat, codes, langid, lines, mixing, pii, repeats, rules, search, simhash, tiling, toxicity, warc
 from tarnlake.llm.common import table
 
 
@@ -304,6 +304,16 @@ FROM r WHERE score > 0 QUALIFY rank <= 50
 """
 
 
+def op12_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels of those whose crc32(doc_id) mod 5 is not 0."""
+    held_out = F.expr("coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0, false)")
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    languages = langid.train(docs.filter(~held_out).select("doc_id", "text", F.col("lang").alias("label")), per_label=toxicity.LANGUAGE_SAMPLE)
+    return toxicity.score(docs, toxicity.train(docs, labels, languages)).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op13_active_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all embeddings: 4 parts, 256 entries each, 4 rounds."""
     state, books = codes.encode(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
@@ -360,6 +370,7 @@ QUERIES = {
     "op9_line_runs": op9_line_runs,
     "op10_tool_calls": op10_tool_calls,
     "op11_mask_search": op11_mask_search,
+    "op12_toxicity_cnn": op12_toxicity_cnn,
     "op13_active_codes": op13_active_codes,
 }
 ORACLE = {
