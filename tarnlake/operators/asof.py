@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -104,6 +105,52 @@ def interval_join(
     return met.unionByName(heavy)
 
 
+def _inside_spans(facts: DataFrame, spans: DataFrame, keys: Sequence[str], event_ts: str) -> DataFrame:
+    """Facts with `__again`: does the fact's time fall into what changed of its key (one span per key, else facts repeat)."""
+    same = reduce(lambda a, b: a & b, [F.col(f"f.`{k}`") == F.col(f"s.`{k}`") for k in keys])
+    at = F.col(f"f.{event_ts}")
+    again = F.coalesce((at >= F.col("s.span_start")) & (at < F.col("s.span_end")), F.lit(False))
+    return facts.alias("f").join(spans.alias("s"), same, "left").select("f.*", again.alias("__again"))
+
+
+def repinned(
+    facts: DataFrame,
+    spans: DataFrame,
+    versions: DataFrame,
+    keys: Sequence[str],
+    event_ts: str,
+    start: str,
+    end: str,
+    take: Sequence[str],
+) -> DataFrame:
+    """The facts whose version may have changed, pinned again: those whose time falls into the span of their key.
+
+    `spans` holds (keys, span_start, span_end), one row per key, as `scd2.changed_spans` gives them. The facts meet the spans, which Spark
+    broadcasts if they are small enough, and only the facts inside go through a point-in-time join, with the versions of the changed
+    keys. Those facts are written when this is called.
+    """
+    keys = list(keys)
+    inside = _inside_spans(facts, spans, keys, event_ts).filter("__again").select(*(f"`{c}`" for c in facts.columns if c not in take))
+    touched = versions.join(spans.select(*keys), keys, "left_semi").select(*versions.columns)
+    pinned = point_in_time_join(staged(inside, "facts-again"), touched, keys, event_ts, start, end, take)
+    return pinned.select(*(f"`{c}`" for c in facts.columns))
+
+
+def repin(
+    facts: DataFrame,
+    spans: DataFrame,
+    versions: DataFrame,
+    keys: Sequence[str],
+    event_ts: str,
+    start: str,
+    end: str,
+    take: Sequence[str],
+) -> DataFrame:
+    """All facts after a change of the dimension: those of changed spans pinned again, the others as they are."""
+    kept = _inside_spans(facts, spans, keys, event_ts).filter("NOT __again").drop("__again")
+    return kept.unionByName(repinned(facts, spans, versions, keys, event_ts, start, end, take))
+
+
 def pinned_and_latest(
     facts: DataFrame, dim: DataFrame, surrogate: str, natural: str, attribute: str
 ) -> DataFrame:

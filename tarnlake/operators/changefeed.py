@@ -8,32 +8,38 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnlake.operators.latest import latest_by
+from tarnlake.operators.merge import DELETE, INSERT, KEEP, KIND, POST, PRE
 
 TYPE, VERSION, COMMITTED = "_change_type", "_commit_version", "_commit_timestamp"
 POST_IMAGES = ["insert", "update_postimage", "delete"]
 
 
-def diff(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], version: int, committed: Column
-) -> DataFrame:
-    """Change rows that turn `old` into `new`, with pre- and post-images of updates."""
+def outcome(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What becomes of every row when `new` takes the place of `old`, in column `__kind`, as `merge_outcome` tells it."""
     names = new.columns
     o, n = old.select(*names).withColumn("__in", F.lit(True)).alias("o"), new.withColumn("__in", F.lit(True)).alias("n")
     on = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [F.col(f"o.`{c}`").eqNullSafe(F.col(f"n.`{c}`")) for c in names])
 
     def row(side: str, kind: str) -> Column:
-        return F.struct(*[F.col(f"{side}.`{c}`").alias(c) for c in names], F.lit(kind).alias(TYPE))
+        return F.struct(*[F.col(f"{side}.`{c}`").alias(c) for c in names], F.lit(kind).alias(KIND))
 
     rows = (
-        F.when(F.col("o.__in").isNull(), F.array(row("n", "insert")))
-        .when(F.col("n.__in").isNull(), F.array(row("o", "delete")))
-        .when(~same, F.array(row("o", "update_preimage"), row("n", "update_postimage")))
+        F.when(F.col("o.__in").isNull(), F.array(row("n", INSERT)))
+        .when(F.col("n.__in").isNull(), F.array(row("o", DELETE)))
+        .when(~same, F.array(row("o", PRE), row("n", POST)))
+        .otherwise(F.array(row("n", KEEP)))
     )
-    return (
-        o.join(n, on, "full")
-        .select(F.explode(rows).alias("r"))
-        .select("r.*", F.lit(version).cast("long").alias(VERSION), committed.cast("timestamp_ntz").alias(COMMITTED))
+    return o.join(n, on, "full").select(F.explode(rows).alias("r")).select("r.*")
+
+
+def diff(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], version: int, committed: Column
+) -> DataFrame:
+    """Change rows that turn `old` into `new`, with pre- and post-images of updates."""
+    return outcome(old, new, keys).filter(F.col(KIND) != KEEP).select(
+        *new.columns, F.col(KIND).alias(TYPE), F.lit(version).cast("long").alias(VERSION),
+        committed.cast("timestamp_ntz").alias(COMMITTED),
     )
 
 

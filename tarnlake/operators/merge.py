@@ -20,6 +20,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tarnlake.session import staged
 
 _COUNT, _ACTION = "__source_rows", "__action"
+# What became of a row, in the column KIND of `merge_outcome`; all but `keep` are change rows of a feed.
+KIND = "__kind"
+KEEP, INSERT, PRE, POST, DELETE = "keep", "insert", "update_preimage", "update_postimage", "delete"
 
 
 @dataclass(frozen=True)
@@ -78,23 +81,20 @@ def _fill(values: Mapping[str, Column], target: DataFrame) -> list[Column]:
     ]
 
 
-def merge_apply(
-    target: DataFrame,
-    source: DataFrame,
-    on: Sequence[str],
-    matched: Sequence[Update | Delete] = (),
-    not_matched: Sequence[Insert] = (),
-    unique_source: bool = False,
-    stage: bool = False,
-) -> DataFrame:
-    """Result of merging `source` into `target` on equal keys.
+@dataclass(frozen=True)
+class _Decided:
+    """Target rows beside their source rows with the clause that acts on each, the columns that leaves, and the rows inserted."""
 
-    Clauses refer to columns as `target.x` and `source.x`; the first clause whose
-    condition holds wins. Several source rows for one target row raise. Set
-    `unique_source` when the source has one row per key (saves its grouping), and
-    `stage` when it is the outcome of a computation: it is then written once rather
-    than computed for each of the two joins.
-    """
+    pairs: DataFrame
+    columns: list[Column]
+    deletes: list[int]
+    inserts: list[DataFrame]
+
+
+def _decide(
+    target: DataFrame, source: DataFrame, on: Sequence[str], matched: Sequence[Update | Delete], not_matched: Sequence[Insert],
+    unique_source: bool, stage: bool,
+) -> _Decided:
     on = list(on)
     if stage:
         source = staged(source, "merge-source")
@@ -118,8 +118,8 @@ def merge_apply(
         action = action.when(F.lit(True) if clause.when is None else F.coalesce(clause.when, F.lit(False)), F.lit(i))
     deletes = [i for i, clause in enumerate(matched) if isinstance(clause, Delete)]
     decided = pairs.withColumn(_ACTION, action.otherwise(F.lit(-1)))
-    if deletes:
-        decided = decided.filter(~F.col(_ACTION).isin(deletes))
+    if not unique_source:  # a filter on the action keeps the ambiguity error from being pruned away
+        decided = decided.filter(F.col(_ACTION) >= -1)
     columns = []
     for f in target.schema.fields:
         value = F.col(f"target.`{f.name}`")
@@ -129,9 +129,7 @@ def merge_apply(
                 step = (F.col(_ACTION) == i, clause.set[f.name].cast(f.dataType))
                 chosen = F.when(*step) if chosen is None else chosen.when(*step)
         columns.append((value if chosen is None else chosen.otherwise(value)).alias(f.name))
-    if not unique_source:  # a filter on the action keeps the ambiguity error from being pruned away
-        decided = decided.filter(F.col(_ACTION) >= -1)
-    result = decided.select(*columns)
+    inserts = []
     if not_matched:
         if unique_source:
             fresh = unmatched(source, target, on)
@@ -142,10 +140,61 @@ def merge_apply(
         taken = F.lit(False)
         for clause in not_matched:
             holds = F.lit(True) if clause.when is None else F.coalesce(clause.when, F.lit(False))
-            rows = fresh.filter(holds & ~taken).select(*_fill(clause.values, target))
-            result = result.unionByName(rows)
+            inserts.append(fresh.filter(holds & ~taken).select(*_fill(clause.values, target)))
             taken = taken | holds
-    return result
+    return _Decided(decided, columns, deletes, inserts)
+
+
+def merge_apply(
+    target: DataFrame,
+    source: DataFrame,
+    on: Sequence[str],
+    matched: Sequence[Update | Delete] = (),
+    not_matched: Sequence[Insert] = (),
+    unique_source: bool = False,
+    stage: bool = False,
+) -> DataFrame:
+    """Result of merging `source` into `target` on equal keys.
+
+    Clauses refer to columns as `target.x` and `source.x`; the first clause whose
+    condition holds wins. Several source rows for one target row raise. Set
+    `unique_source` when the source has one row per key (saves its grouping), and
+    `stage` when it is the outcome of a computation: it is then written once rather
+    than computed for each of the two joins.
+    """
+    d = _decide(target, source, on, matched, not_matched, unique_source, stage)
+    left = d.pairs.filter(~F.col(_ACTION).isin(d.deletes)) if d.deletes else d.pairs
+    return reduce(DataFrame.unionByName, d.inserts, left.select(*d.columns))
+
+
+def merge_outcome(
+    target: DataFrame,
+    source: DataFrame,
+    on: Sequence[str],
+    matched: Sequence[Update | Delete] = (),
+    not_matched: Sequence[Insert] = (),
+    unique_source: bool = False,
+    stage: bool = False,
+) -> DataFrame:
+    """The same merge with what became of each row, in column `__kind`.
+
+    Rows of kind `keep`, `update_postimage` and `insert` are the result; those of every kind but `keep` are what changed, with
+    pre-images of updated and images of deleted rows. An update that leaves every column as it was keeps the row.
+    """
+    d = _decide(target, source, on, matched, not_matched, unique_source, stage)
+    names = target.columns
+    old = [F.col(f"target.`{c}`").alias(c) for c in names]
+    same = reduce(lambda a, b: a & b, [o.eqNullSafe(n) for o, n in zip(old, d.columns)])
+
+    def row(columns: list[Column], kind: str) -> Column:
+        return F.struct(*columns, F.lit(kind).alias(KIND))
+
+    kinds = F.when(F.col(_ACTION) < 0, F.array(row(old, KEEP)))
+    if d.deletes:
+        kinds = kinds.when(F.col(_ACTION).isin(d.deletes), F.array(row(old, DELETE)))
+    kinds = kinds.when(same, F.array(row(old, KEEP))).otherwise(F.array(row(old, PRE), row(d.columns, POST)))
+    rows = d.pairs.select(F.explode(kinds).alias("r")).select("r.*")
+    return reduce(DataFrame.unionByName, [i.withColumn(KIND, F.lit(INSERT)) for i in d.inserts], rows)
 
 
 def delete_where(target: DataFrame, predicate: Column | str) -> DataFrame:

@@ -45,10 +45,8 @@ def _applied_batch(t: Tables) -> DataFrame:
 
 
 def state_versions(log: DataFrame) -> DataFrame:
-    """Versions of `state` per id, deletes ignored."""
-    return scd2.history(
-        log.filter(F.col("op") != "d"), ["id"], "lsn", ["state"], "event_ts"
-    )
+    """Versions of `state` per id; a delete closes the version before it."""
+    return scd2.history(log, ["id"], "lsn", ["state"], "event_ts", F.col("op") == "d")
 
 
 def _full_versions(log: DataFrame) -> DataFrame:
@@ -59,16 +57,48 @@ def _full_versions(log: DataFrame) -> DataFrame:
 
 
 def _event_time(t: Tables) -> DataFrame:
-    """Versions built from the base log, then each id's newest later event as one change batch."""
+    """Versions built from the base log, then each id's newest later event, deletes among them, as one change batch."""
     dim = t.layer("state_versions_base", lambda: state_versions(base_changes(t.events)).select(
         "id", "state", scd2.ACTIVE, scd2.START, scd2.END, F.col(scd2.START).alias("record_commit_timestamp")
     ))
-    changes = cdc.latest_changes(new_changes(t.events).filter(F.col("op") != "d"), ["id"], ["lsn"])
+    changes = cdc.latest_changes(new_changes(t.events), ["id"], ["lsn"])
     return scd2.apply_changes(
-        dim, changes.withColumn("committed", ts("2024-02-01 00:00:00")), ["id"], ["state"], "event_ts", "committed"
+        dim, changes.withColumn("committed", ts("2024-02-01 00:00:00")), ["id"], ["state"], "event_ts", "committed",
+        deleted=F.col("op") == "d",
     )
 
 
+def _arrived(t: Tables, *turns: int) -> DataFrame:
+    """The part of the log that arrives in some of three turns: every third event each."""
+    return change_log(t.events).filter((F.col("lsn") % 3).isin(*turns))
+
+
+_SPLICED = {"keys": ["id"], "sequence": "lsn", "event_ts": "event_ts"}
+
+
+def _splice(t: Tables) -> DataFrame:
+    """History of (state, amount) from three interleaved batches, the last third first."""
+    how = {**_SPLICED, "tracked": ["state", "amount"], "deleted": F.col("op") == "d"}
+    dim = staged(scd2.timeline(_arrived(t, 2), **how), "timeline")
+    for turn in (0, 1):
+        dim = staged(scd2.splice(dim, _arrived(t, turn), **how), "timeline")
+    return scd2.versions(dim).select("id", "lsn", "op", "state", "amount", scd2.ACTIVE, scd2.START, scd2.END)
+
+
+def _repinned(t: Tables) -> DataFrame:
+    """Events pinned to the versions known when two thirds of the log had come, then again where the last third changed them."""
+    how = {**_SPLICED, "tracked": ["state"], "deleted": F.col("op") == "d"}
+    old = t.layer("state_timeline", lambda: scd2.timeline(_arrived(t, 0, 1), **how))
+    facts = t.layer("fact_two_thirds", lambda: _pin(t, scd2.versions(old)))
+    late = _arrived(t, 2)
+    new = staged(scd2.splice(old, late, **how), "timeline")
+    touched = late.select("id").distinct()
+    spans = staged(scd2.changed_spans(*(
+        scd2.versions(dim.join(touched, "id", "left_semi")).select("id", "state", "lsn", scd2.START, scd2.END) for dim in (old, new)), ["id"]), "spans")
+    return asof.repin(facts, spans.withColumnRenamed("id", "user_id"), _named(scd2.versions(new)), ["user_id"], "ts", scd2.START, scd2.END,
+                      ["version_state", "version_lsn"])
+
+
 def _event_batch(t: Tables) -> DataFrame:
     """A mixed batch of inserts, updates and deletes: touched ids are rebuilt from the retained log."""
     log, batch = base_changes(t.events), new_changes(t.events)
@@ -143,13 +173,20 @@ def _evolved(t: Tables) -> DataFrame:
     return maintain.drop_columns(wider, "c_mktsegment")
 
 
-def _pit(t: Tables, join=asof.point_in_time_join) -> DataFrame:
-    versions = _state_dim(t).select(
+def _named(versions: DataFrame) -> DataFrame:
+    return versions.select(
         F.col("id").alias("user_id"), F.col("state").alias("version_state"), F.col("lsn").alias("version_lsn"),
         scd2.START, scd2.END,
     )
+
+
+def _pin(t: Tables, versions: DataFrame, join=asof.point_in_time_join) -> DataFrame:
     events = t.events.select("event_id", "user_id", "ts", "event_type")
-    return join(events, versions, ["user_id"], "ts", scd2.START, scd2.END, ["version_state", "version_lsn"])
+    return join(events, _named(versions), ["user_id"], "ts", scd2.START, scd2.END, ["version_state", "version_lsn"])
+
+
+def _pit(t: Tables, join=asof.point_in_time_join) -> DataFrame:
+    return _pin(t, _state_dim(t), join)
 
 
 def _state_dim(t: Tables) -> DataFrame:
@@ -179,6 +216,7 @@ QUERIES = {
     "scd2_apply_batch": _applied_batch,
     "scd2_apply_event_time": _event_time,
     "scd2_apply_composite": _bridge_versions,
+    "scd2_splice": _splice,
     "scd2_apply_events": _event_batch,
     "scd2_history": lambda t: _full_versions(change_log(t.events)),
     "scd2_rank_versions": lambda t: scd2.rank_versions(
@@ -201,6 +239,7 @@ QUERIES = {
     "pit_join_left": lambda t: _pit(t),
     "pit_join_interval": lambda t: _pit(t, asof.interval_join),
     "pit_pinned_vs_latest": _pinned,
+    "repin_facts": _repinned,
 }
 
 _OPEN = f"timestamp '{scd2.OPEN_END}'"
@@ -227,25 +266,24 @@ _DIM_SK = f"""({_kept(_SK, ', sk_custkey')}
     timestamp '{CHANGE_TS}', {_OPEN} from {_OPENED})"""
 
 
-def history_sql(log: str, tracked: list[str], deletes: bool) -> str:
-    gone = "op = 'd'" if deletes else "false"
+def history_sql(log: str, tracked: list[str]) -> str:
+    gone = "op = 'd'"
     same = " and ".join(f"lag({c}) over w is not distinct from {c}" for c in tracked)
-    source = log if deletes else f"(select * from {log} where op <> 'd')"
     return f"""(select * exclude (gone, was_gone, same_as_before, first_of_key),
     lead(event_ts) over v is null as record_active_flag, event_ts as record_start_date,
     coalesce(lead(event_ts) over v, {_OPEN}) as record_end_date, gone
   from (select *, {gone} as gone, lag({gone}) over w as was_gone, {same} as same_as_before,
-      lag(lsn) over w is null as first_of_key from {source} window w as (partition by id order by lsn))
+      lag(lsn) over w is null as first_of_key from {log} window w as (partition by id order by lsn))
   where (gone and not coalesce(was_gone, true)) or (not gone and (first_of_key or was_gone or not same_as_before))
   window v as (partition by id order by lsn))"""
 
 
-_FULL = history_sql(CHANGE_LOG, ["state", "amount"], True)
-_STATES = history_sql(CHANGE_LOG, ["state"], False)
-_BASE_STATES = history_sql(BASE_CHANGES, ["state"], False)
-_BASE_FULL = history_sql(BASE_CHANGES, ["state", "amount"], True)
+_FULL = history_sql(CHANGE_LOG, ["state", "amount"])
+_STATES = history_sql(CHANGE_LOG, ["state"])
+_BASE_STATES = history_sql(BASE_CHANGES, ["state"])
+_BASE_FULL = history_sql(BASE_CHANGES, ["state", "amount"])
 _LAST = f"""(select * from (select *, row_number() over (partition by id order by lsn desc) as rn
-    from {NEW_CHANGES} where op <> 'd') where rn = 1)"""
+    from {NEW_CHANGES}) where rn = 1)"""
 _OLD_OFFERS = PARTSUPP.replace("from lineitem", "from lineitem where l_shipdate < timestamp '2000-01-01 00:00:00'")
 _OFFER_SAME = "o.ps_availqty is not distinct from n.ps_availqty and o.ps_supplycost is not distinct from n.ps_supplycost"
 _PIT = f"""select event_id, user_id, ts, event_type, v.state as version_state, v.lsn as version_lsn
@@ -260,15 +298,19 @@ ORACLE = {
   union all select *, unnest(['close', 'insert']) from {_KEYS_CHANGED}""",
     "scd2_apply": f"select * from {_DIM}",
     "scd2_apply_batch": f"select * from {_DIM}",
-    "scd2_apply_event_time": f"""with dim as (select * from {_BASE_STATES}), late as (select n.*, d.id is null as fresh
-      from {_LAST} n left join (select * from dim where record_active_flag) d on d.id = n.id
-      where d.id is null or (n.event_ts > d.record_start_date and n.state <> d.state))
+    "scd2_apply_event_time": f"""with dim as (select * from {_BASE_STATES} where not gone), late as (
+    select n.*, d.id is not null as known from {_LAST} n left join (select * from dim where record_active_flag) d on d.id = n.id
+      left join (select id, max(record_end_date) as last_end from dim where not record_active_flag group by id) c on c.id = n.id
+      where (d.id is null and n.op <> 'd' and coalesce(n.event_ts >= c.last_end, true))
+        or (n.event_ts > d.record_start_date and (n.op = 'd' or n.state <> d.state)))
   select d.id, d.state, d.record_active_flag and c.id is null as record_active_flag, d.record_start_date,
     case when d.record_active_flag and c.id is not null then c.event_ts else d.record_end_date end as record_end_date,
     case when d.record_active_flag and c.id is not null then timestamp '2024-02-01 00:00:00'
       else d.record_start_date end as record_commit_timestamp
-  from dim d left join late c on c.id = d.id and not c.fresh
-  union all select id, state, true, event_ts, {_OPEN}, timestamp '2024-02-01 00:00:00' from late""",
+  from dim d left join late c on c.id = d.id and c.known
+  union all select id, state, true, event_ts, {_OPEN}, timestamp '2024-02-01 00:00:00' from late where op <> 'd'""",
+    "scd2_splice": f"""select id, lsn, op, state, amount, record_active_flag, record_start_date, record_end_date
+  from {_FULL} where not gone""",
     "scd2_apply_composite": f"""with o as (select * from {_OLD_OFFERS}), n as (select * from {PARTSUPP})
   select o.*, coalesce({_OFFER_SAME}, true) as record_active_flag, timestamp '{LOAD_TS}' as record_start_date,
     case when n.ps_partkey is null or ({_OFFER_SAME}) then {_OPEN} else timestamp '{CHANGE_TS}' end as record_end_date
@@ -304,6 +346,7 @@ ORACLE = {
   from (select unnest(generate_series(min(o_orderdate), max(o_orderdate), interval 1 day)) as d from orders)""",
     "pit_join_left": _PIT,
     "pit_join_interval": _PIT,
+    "repin_facts": _PIT,
     "pit_pinned_vs_latest": f"""with dim as (select * from {_STATE_SK}),
   f as (select event_id, ts, state_sk from events e join dim v
     on v.id = e.user_id and e.ts >= v.record_start_date and e.ts < v.record_end_date)
@@ -312,8 +355,8 @@ ORACLE = {
 }
 
 for _name in ("scd2_current", "scd2_apply", "scd2_apply_batch", "scd2_apply_event_time", "scd2_apply_composite",
-              "scd2_apply_events", "scd2_history", "dim_first_load", "publish_dim", "wap_order_dim"):
+              "scd2_splice", "scd2_apply_events", "scd2_history", "dim_first_load", "publish_dim", "wap_order_dim"):
     QUERIES[_name], ORACLE[_name] = end_as_text(QUERIES[_name], ORACLE[_name])
-for _name in ("pit_join_left", "pit_join_interval"):
+for _name in ("pit_join_left", "pit_join_interval", "repin_facts"):
     QUERIES[_name], ORACLE[_name] = ints_as_text(QUERIES[_name], ORACLE[_name], "version_lsn")
 QUERIES["date_dim"], ORACLE["date_dim"] = days_as_timestamps(QUERIES["date_dim"], ORACLE["date_dim"], "sk_datekey")

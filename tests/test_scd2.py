@@ -264,3 +264,86 @@ def test_surrogate_keys_without_an_order_are_dense_and_move_nothing(spark):
     out = surrogate.assign(df, "sk")
     assert sorted(r["sk"] for r in out.collect()) == list(range(1, out.count() + 1))
     assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+TIMELINE = {"keys": ["id"], "sequence": "lsn", "tracked": ["v"], "event_ts": "at"}
+
+
+def versions_of(dim):
+    return sorted(((r["id"], r["v"], r[scd2.START], r[scd2.ACTIVE], r[scd2.END]) for r in scd2.versions(dim).collect()), key=str)
+
+
+@pytest.mark.parametrize("seed, rows_per_task", [(0, 1 << 23), (1, 9)])
+def test_splicing_equals_the_history_of_the_whole_log_in_any_order(spark, seed, rows_per_task):
+    rnd = random.Random(seed)
+    rows = random_log(rnd, 200)
+    dealt = [[], [], [], []]
+    for r in rows:
+        dealt[rnd.randrange(4)].append(r)
+    rnd.shuffle(dealt)
+    seen, gone = [], F.col("op") == "d"
+    dim = scd2.timeline(spark.createDataFrame([], LOG), deleted=gone, **TIMELINE)
+    for batch in dealt:
+        rnd.shuffle(batch)
+        seen += batch
+        nameless = [(None, 1, "u", "x", datetime(2024, 1, 1))]
+        spliced = scd2.splice(dim, spark.createDataFrame(batch + nameless, LOG), deleted=gone, rows_per_task=rows_per_task, **TIMELINE)
+        dim = spark.createDataFrame([tuple(r) for r in spliced.collect()], spliced.schema)
+        assert versions_of(dim) == brute_history(seen)
+        assert dim.count() == len(seen)
+    again = scd2.splice(dim, spark.createDataFrame(dealt[0], LOG), deleted=gone, **TIMELINE)
+    assert sorted(map(str, again.collect())) == sorted(map(str, dim.collect()))
+
+
+def test_splicing_cuts_intervals_and_leaves_other_keys_alone(spark):
+    d = [datetime(2024, 1, n) for n in range(1, 10)]
+    dim = scd2.timeline(spark.createDataFrame([(1, 10, "u", "a", d[0]), (1, 50, "u", "c", d[5]), (2, 10, "u", "x", d[0])], LOG), **TIMELINE)
+    late = spark.createDataFrame([(1, 30, "u", "b", d[3]), (1, 40, "d", None, d[4])], LOG)
+    out = scd2.splice(dim, late, deleted=F.col("op") == "d", **TIMELINE)
+    assert versions_of(out) == [(1, "a", d[0], False, d[3]), (1, "b", d[3], False, d[4]), (1, "c", d[5], True, OPEN), (2, "x", d[0], True, OPEN)]
+    assert sorted(r["record_kind"] for r in out.collect()) == ["delete", "version", "version", "version", "version"]
+
+
+def test_a_repeated_value_still_ends_what_is_put_in_before_it(spark):
+    """a on day 1 and again on day 5 is one version; b of day 3 must end on day 5."""
+    d = [datetime(2024, 1, n) for n in range(1, 10)]
+    dim = scd2.timeline(spark.createDataFrame([(1, 10, "u", "a", d[0]), (1, 50, "u", "a", d[4])], LOG), **TIMELINE)
+    assert versions_of(dim) == [(1, "a", d[0], True, OPEN)]
+    out = scd2.splice(dim, spark.createDataFrame([(1, 30, "u", "b", d[2])], LOG), **TIMELINE)
+    assert versions_of(out) == [(1, "a", d[0], False, d[2]), (1, "a", d[4], True, OPEN), (1, "b", d[2], False, d[4])]
+
+
+def test_deletes_close_and_late_changes_are_given_back(spark):
+    t, day = datetime(2024, 1, 1), timedelta(days=1)
+    dim = spark.createDataFrame([(1, "a", True, t + 5 * day, OPEN), (2, "b", True, t, OPEN), (3, "c", False, t, t + 3 * day)], DIM)
+    changes = spark.createDataFrame([
+        (1, "x", t + 2 * day, False), (2, None, t + 4 * day, True), (3, "z", t + day, False), (4, None, t, True), (5, "n", t, False), (None, "y", t, False),
+    ], "id int, v string, at timestamp_ntz, gone boolean")
+    gone = F.col("gone")
+    out = scd2.apply_changes(dim, changes, ["id"], ["v"], "at", deleted=gone)
+    want = [(1, "a", True, t + 5 * day, OPEN), (2, "b", False, t, t + 4 * day), (3, "c", False, t, t + 3 * day), (5, "n", True, t, OPEN)]
+    assert sorted(map(tuple, out.collect())) == want
+    assert sorted(r["id"] for r in scd2.late_changes(dim, changes, ["id"], "at").collect()) == [1, 3]
+    again = scd2.apply_changes(spark.createDataFrame(want, DIM), changes, ["id"], ["v"], "at", deleted=gone)
+    assert sorted(map(tuple, again.collect())) == want
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_repinning_equals_a_full_point_in_time_join(spark, seed):
+    rnd = random.Random(20 + seed)
+    rows = random_log(rnd, 250)
+    rnd.shuffle(rows)
+    gone = F.col("op") == "d"
+    old = scd2.timeline(spark.createDataFrame(rows[:200], LOG), deleted=gone, **TIMELINE)
+    late = spark.createDataFrame([r for r in rows[200:] if r[0] % 2 == 0], LOG)
+    new = scd2.splice(old, late, deleted=gone, **TIMELINE)
+    events = spark.createDataFrame(
+        [(i, rnd.randint(0, 14), datetime(2024, 1, 1) + timedelta(seconds=rnd.randint(-50, 900_000))) for i in range(500)], "i int, id int, t timestamp_ntz")
+    how = (["id"], "t", scd2.START, scd2.END, ["v", "lsn"])
+    facts = asof.point_in_time_join(events, scd2.versions(old), *how)
+    spans = scd2.changed_spans(scd2.versions(old), scd2.versions(new), ["id"])
+    assert all(r["id"] % 2 == 0 for r in spans.collect())
+    got = asof.repin(facts, spans, scd2.versions(new), *how)
+    want = asof.point_in_time_join(events, scd2.versions(new), *how)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert asof.repinned(facts, spans, scd2.versions(new), *how).count() < 400

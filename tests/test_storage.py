@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnlake import session
-from tarnlake.operators import calendar, maintain
+from tarnlake.operators import calendar, changefeed, maintain
+from tarnlake.operators.merge import Delete, Insert, Update, all_columns
+from tarnlake.plans import increments
+from tarnlake.plans.inputs import Tables
 from tarnlake.sinks import files as sinks
 from tarnlake.sources import files, snapshots
 
@@ -111,3 +114,65 @@ def test_staged_tables_go_when_their_owner_is_done(spark):
         assert not os.path.exists(os.path.dirname(inner))
         assert spark.read.parquet(kept).count() == 5
     assert not os.path.exists(kept.removeprefix("file:"))
+
+
+PEOPLE = "id int, name string, version int"
+
+
+def people(spark, *rows):
+    return spark.createDataFrame(rows, PEOPLE)
+
+
+def feed_rows(df):
+    return sorted((r["_commit_version"], r["_change_type"], r["id"], r["name"]) for r in df.collect())
+
+
+def test_change_rows_are_written_with_the_commit(spark, tmp_path):
+    path = str(tmp_path / "t")
+    snapshots.write(people(spark, (1, "a", 0), (2, "b", 0), (3, "c", 0), (4, "d", 0)), path, "load", datetime(2024, 1, 1))
+    source = people(spark, (1, "A", 1), (2, None, 1), (3, "c", 0), (9, "n", 1))
+    snapshots.merge(
+        spark, path, source, ["id"], "merge", datetime(2024, 1, 2),
+        matched=[Delete(when=F.col("source.name").isNull()), Update({"name": F.col("source.name")})], not_matched=[Insert(all_columns(source))])
+    assert sorted(tuple(r)[:2] for r in snapshots.read(spark, path).collect()) == [(1, "A"), (3, "c"), (4, "d"), (9, "n")]
+    feed = snapshots.changes(spark, path, 1)
+    # row 3 was updated to what it was, and so not changed
+    assert feed_rows(feed) == [(1, "delete", 2, "b"), (1, "insert", 9, "n"), (1, "update_postimage", 1, "A"), (1, "update_preimage", 1, "a")]
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert "__kind" in plan.split("PartitionFilters: [")[1].split("]")[0]          # kept rows lie in a folder that is not read
+    assert len(feed_rows(snapshots.changes(spark, path))) == 8 and {r["_commit_timestamp"].day for r in snapshots.changes(spark, path).collect()} == {1, 2}
+    replayed = changefeed.replay(snapshots.read(spark, path, 0), feed, ["id"])
+    assert sorted(map(tuple, replayed.collect())) == sorted(map(tuple, snapshots.read(spark, path).collect()))
+
+
+def test_replacing_a_version_with_and_without_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    snapshots.write(people(spark, (1, "a", 0), (2, "b", 0)), path, "load", datetime(2024, 1, 1))
+    snapshots.write(people(spark, (1, "a", 0), (3, "c", 0)), path, "replace", datetime(2024, 1, 2), keys=["id"])
+    assert feed_rows(snapshots.changes(spark, path, 1)) == [(1, "delete", 2, "b"), (1, "insert", 3, "c")]
+    snapshots.write(people(spark), path, "empty", datetime(2024, 1, 3))
+    assert snapshots.read(spark, path).columns == ["id", "name", "version"] and snapshots.read(spark, path).count() == 0
+    with pytest.raises(ValueError, match="version 2"):
+        snapshots.changes(spark, path)
+    assert snapshots.changes(spark, path, 0, 1).count() == 4 and snapshots.changes(spark, path, 7).isEmpty()
+
+
+def test_bounds_come_from_the_commit_list(spark, tmp_path):
+    """Versions are found by time without looking at them: there are only commits here."""
+    path = str(tmp_path / "t")
+    for day in (1, 2, 5):
+        snapshots.write(people(spark, (day, "x", 0)), path, "load", datetime(2024, 1, day))
+    os.makedirs(tmp_path / "only")
+    os.symlink(tmp_path / "t" / "_commits", tmp_path / "only" / "_commits")
+    only = str(tmp_path / "only")
+    bounds = snapshots.feed_bounds(spark, only).first()
+    assert (bounds["first_version"], bounds["last_version"], bounds["last_commit_ts"]) == (0, 2, datetime(2024, 1, 5))
+    assert snapshots.versions_between(spark, only, datetime(2024, 1, 2), datetime(2024, 1, 5)) == [1, 2]
+    assert snapshots.versions_between(spark, only, to_ts=datetime(2024, 1, 4), after=0) == [1]
+    t = Tables(spark, "nowhere")
+    dim = str(tmp_path / "dim")
+    snapshots.write(people(spark), dim, "load", datetime(2024, 1, 5), note="2")
+    assert not increments.advance(t, dim, only, datetime(2024, 2, 1))
+    snapshots.write(people(spark), dim, "load", datetime(2024, 1, 6), note="1")
+    assert not increments.advance(t, dim, only, datetime(2024, 1, 4))
