@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tarnlake.operators.latest import latest_by
 from tarnlake.operators.merge import Insert, Update, by_key, merge_apply, unmatched
+from tarnlake.session import staged
 
 # Operation codes and the envelope's field names and types are the wire format.
 OPS = ["c", "r", "u", "d"]
@@ -135,6 +136,30 @@ def out_of_order(changes: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     return unmatched(missing, target, keys).unionByName(loose)
 
 
+def apply_with_quarantine(
+    target: DataFrame,
+    quarantined: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str | Sequence[str],
+    event_ts: str = "event_ts",
+) -> tuple[DataFrame, DataFrame]:
+    """Upsert a batch together with the events put aside earlier; returns the new state and what is put aside now.
+
+    An event whose key neither the state nor an insert among these events brings in waits; when the insert comes, the waiting events of its
+    key act with it by sequence, so whatever the batches were, the state is that of all events of the keys inserted so far. Events without a full key
+    wait for good. The events and the keys that have a base row are written when this is called.
+    """
+    keys = list(keys)
+    full, loose = by_key(staged(with_retry(changes, quarantined), "incoming-events"), keys)
+    inserted = full.filter(F.col("op").isin("c", "r")).select(*keys).distinct()
+    others = full.select(*keys).distinct().join(inserted, keys, "left_anti")
+    present = target.select(*keys).join(others, keys, "left_semi")
+    based = staged(inserted.unionByName(present.distinct()), "based-keys")
+    state = apply_changes(target, full.join(based, keys, "left_semi").select(*full.columns), keys, sequence_by, event_ts)
+    return state, full.join(based, keys, "left_anti").select(*full.columns).unionByName(loose)
+
+
 def with_retry(changes: DataFrame, quarantined: DataFrame) -> DataFrame:
     """Incoming events together with those put aside earlier."""
     return changes.unionByName(quarantined, allowMissingColumns=True)

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarnlake.operators.merge import Delete, Insert, Update, merge_apply
+from tarnlake.session import remove, staged
+from tarnlake.sinks.files import write_partitions
 
 LOOKBACK_DAYS = 3
+_PLAIN = " !$&()+,;<>@`|~"       # characters that folder names hold as they are, beside letters, digits and -._
 
 
 def bounds(feed_bounds: DataFrame, processed: DataFrame, interval_end: Column) -> DataFrame:
@@ -100,6 +105,39 @@ def recompute_affected(
     )
 
 
+def overwrite_affected(
+    spark: SparkSession,
+    path: str,
+    base: DataFrame,
+    feed: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    quantity: str,
+    total: str = "sold_qty",
+) -> list:
+    """Bring a stored aggregate up to date by rewriting only the partitions a feed touches; returns their values.
+
+    The aggregate lies below `path` in a folder per value of `partition`, a column that follows from the keys and that `base` and `feed` have
+    too. The touched values are found first (one per folder at most), only these partitions are read, and they alone are overwritten; what
+    is left without rows is removed. Of `base` only rows of touched partitions and keys are aggregated. Readers see partitions change one after the other.
+    """
+    feed = staged(feed.select(*keys, partition, "_commit_timestamp").distinct(), "touched-keys")
+    values = [r[0] for r in feed.select(partition).distinct().orderBy(partition).collect()]
+    if not values:
+        return []
+    here = reduce(lambda a, b: a | b, [F.col(partition).eqNullSafe(F.lit(v)) for v in values])
+    stored = spark.read.parquet(path)
+    current = staged(stored.filter(here), "touched-partitions")
+    after = staged(recompute_affected(current, base.filter(here), feed, [*keys, partition], quantity, total), "partitions-after")
+    write_partitions(after.select(*stored.columns), path, [partition])
+    left = {r[0] for r in after.select(partition).distinct().collect()}
+    for value in values:
+        if value not in left:
+            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe=_PLAIN)
+            remove(spark, f"{path}/{partition}={folder}")
+    return values
+
+
 def apply_deltas(
     current: DataFrame,
     feed: DataFrame,

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
+_RANK_BITS = 6
+
+
 def empty_table(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -49,6 +53,39 @@ def clustered(df: DataFrame, *keys: str, partitions: int | None = None) -> DataF
     return ranged.sortWithinPartitions(*keys)
 
 
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A value's place in the order of its column as a number; of text the first seven bytes count."""
+    kind, c = df.schema[name].dataType.typeName(), F.col(f"`{name}`")
+    if kind == "string":
+        return F.conv(F.hex(F.rpad(F.substring(c.cast("binary"), 1, 7), 7, F.lit(b"\x00"))), 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(c).cast("double")
+    return (F.unix_micros(c.cast("timestamp")) if kind.startswith("timestamp") else c).cast("double")
+
+
+def clustered_by_all(df: DataFrame, *columns: str, partitions: int | None = None, bits: int = _RANK_BITS) -> DataFrame:
+    """Range-partition and sort by several columns at once, so that a filter on any of them skips most files.
+
+    Each column's values are ranked among 2^`bits` ranges of about equal row counts, cut at approximate quantiles, and the ranks' bits are
+    interleaved, the first column's in front; rows are partitioned by ranges of that number, equal numbers by the columns
+    themselves, so that one frequent value does not make one large file. NULLs rank lowest. Reads its input twice; the quantiles are
+    looked up when this is called.
+    """
+    numbers = [_as_number(df, c) for c in columns]
+    places = F.array(*(F.lit(i / (1 << bits)) for i in range(1, 1 << bits)))
+    cuts = df.agg(*(F.percentile_approx(n, places, 100 << bits).alias(f"c{i}") for i, n in enumerate(numbers))).first()
+    code = F.lit(0).cast("long")
+    for i, n in enumerate(numbers):
+        below = [F.when(n > F.lit(float(v)), 1).otherwise(0) for v in sorted(set(cuts[i] or []))]
+        rank = reduce(Column.__add__, below, F.lit(0)).cast("long")
+        for b in range(bits):
+            code = code + F.shiftleft(F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("long")), b * len(columns) + len(columns) - 1 - i)
+    by = ["__code", *(f"`{c}`" for c in columns)]
+    coded = df.withColumn("__code", code)
+    ranged = coded.repartitionByRange(partitions, *by) if partitions else coded.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*by).drop("__code")
+
+
 def analyze(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> None:
     """Statistics for the cost-based optimizer."""
     what = f"FOR COLUMNS {', '.join(columns)}" if columns else "FOR ALL COLUMNS"

@@ -65,6 +65,13 @@ def by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     return df.filter(_all_set(keys)), df.filter(~_all_set(keys))
 
 
+def one_per_key(source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when several rows share a key: which of them holds would be arbitrary. Looked up when this is called."""
+    repeated = by_key(source, keys)[0].groupBy(*keys).count().filter("count > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"several rows for one key ({', '.join(keys)}): reduce them by a sequence first")
+
+
 def unmatched(source: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
     """Source rows whose key is not in the target.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnlake.functions import differs
 from tarnlake.operators.latest import latest_by
-from tarnlake.operators.merge import Insert, Update, all_columns, by_key, merge_apply
+from tarnlake.operators.merge import Insert, Update, all_columns, by_key, merge_apply, one_per_key
 from tarnlake.operators.runs import ROWS_PER_TASK, following, is_split, numbered, previous, split, unsplit
 from tarnlake.session import staged
 
@@ -71,11 +71,13 @@ def apply_snapshot(
 
     Active rows and source meet once, in a full outer join, and each pair unfolds
     into the one or two rows it leaves behind, so both sides shuffle once. History rows
-    pass by untouched. Keys missing from the source stay as they are.
+    pass by untouched. Keys missing from the source stay as they are. Source rows without a full key change nothing: no
+    version could be told to be theirs the next time.
     """
     kind = dim.schema[START].dataType
     keys = list(keys)
-    _one_per_key(source, keys)
+    one_per_key(source, keys)
+    source = by_key(source, keys)[0]
     names = dim.columns
     bounds = {ACTIVE, START, END}
     d, s = current(dim).alias("d"), source.alias("s")
@@ -100,13 +102,6 @@ def apply_snapshot(
     return dim.filter(~F.col(ACTIVE)).unionByName(applied)
 
 
-def _one_per_key(source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when several rows share a key: which of them holds would be arbitrary. Looked up when this is called."""
-    repeated = by_key(source, keys)[0].groupBy(*keys).count().filter("count > 1")
-    if not repeated.isEmpty():
-        raise ValueError(f"several rows for one key ({', '.join(keys)}): reduce them by a sequence first")
-
-
 def apply_changes(
     dim: DataFrame,
     changes: DataFrame,
@@ -130,7 +125,7 @@ def apply_changes(
     kind = dim.schema[START].dataType
     if changes.isEmpty():
         return dim
-    _one_per_key(changes, keys)
+    one_per_key(changes, keys)
     seen = _met(dim, changes, keys, tracked, event_ts, deleted)
     known, gone = F.col("__known"), F.col("__gone")
     opens = ~gone & ((~known & ~F.col("__late")) | (F.col("__newer") & F.col("__differs")))
@@ -342,7 +337,8 @@ def unseen_versions(events: DataFrame, dim: DataFrame, keys: Sequence[str], trac
 
 
 def publish(stage: DataFrame, warehouse: DataFrame, surrogate: str) -> DataFrame:
-    """Stage to warehouse by surrogate key: closed rows are closed there too, new ones inserted."""
+    """Stage to warehouse by surrogate key (one row per key, else it raises): closed rows are closed there too, new ones inserted."""
+    one_per_key(stage, [surrogate])
     return merge_apply(
         warehouse, stage, [surrogate],
         matched=[Update(

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tarnlake.operators.merge import by_key
 from tarnlake.session import staged
+from tarnlake.sinks import files as sinks
 
 _ROW_BITS = 33                # layout of monotonically_increasing_id: partition above, row below
 _ID, _PART, _ROW, _BEFORE = "__id", "__part", "__row", "__before"
@@ -35,3 +37,26 @@ def assign(df: DataFrame, name: str, order: Sequence[str] | None = None, after:
     if after is not None:
         position = position + after.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
     return placed.join(starts, _PART).select(*df.columns, position.cast("long").alias(name))
+
+
+def assign_stable(df: DataFrame, name: str, keys: Sequence[str], path: str, app: str = "keys") -> DataFrame:
+    """Number rows by their natural key from a map kept below `path`: a key keeps its number over all loads.
+
+    Keys the map does not hold get the next numbers, in key order, and are appended to it before any row carries them; so a load that
+    is repeated, or died half-way, finds the numbers it gave. Rows of equal key share a number; rows without a full key get
+    none. The map grows by its new keys alone. One load at a time.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    full, loose = by_key(df, keys)
+    wanted = staged(full.select(*keys).distinct(), "natural-keys")
+    known = sinks.read_batches(spark, path)
+    fresh = wanted if known is None else wanted.join(known.select(*keys), keys, "left_anti")
+    fresh = staged(fresh, "fresh-keys")
+    if not fresh.isEmpty():
+        numbered = assign(fresh, name, keys, None if known is None else known.select(name))
+        batches = sinks.finished_batches(spark, path)
+        sinks.append_batch(numbered, path, app, 1 + max((b["batch_id"] for b in batches), default=-1))
+        known = sinks.read_batches(spark, path)
+    held = wanted.select(*keys, F.lit(None).cast("long").alias(name)) if known is None else known.select(*keys, name)
+    given = full.join(held, keys).select(*(f"`{c}`" for c in df.columns), name)
+    return given.unionByName(loose.withColumn(name, F.lit(None).cast("long")))

@@ -14,8 +14,10 @@ from tarnlake.operators.latest import dedup, latest_by
 from tarnlake.operators.merge import Insert, Update, all_columns, delete_where, merge_apply
 from tarnlake.plans.inputs import (
     BASE_CHANGES, CHANGE_LOG, CHANGE_TS, CUSTOMER_FIELDS, CUSTOMER_NEXT, LOAD_TS, NEW_CHANGES, Tables,
-    base_changes, change_log, customer_next, ints_as_text, new_changes, ts,
+    base_changes, change_log, customer_next, days_as_timestamps, ints_as_text, new_changes, ts,
 )
+from tarnlake.session import work_path
+from tarnlake.streaming import quarantine
 
 ROW_DDL = "id bigint, state string, amount string, modified bigint"
 
@@ -103,6 +105,22 @@ def _quarantine(t: Tables) -> DataFrame:
     return cdc.out_of_order(_first_batch(t), _early_target(t), ["id"])
 
 
+_PER_DAY = ["id", "day"]
+
+
+def _quarantined(t: Tables) -> DataFrame:
+    """State per user and day after three batches, the newest third of the events first, beside the events that still wait for
+    a sign-up or view of their user and day."""
+    path = work_path(t.spark, "state-with-quarantine")
+    log = change_log(t.events).withColumn("day", F.col("event_ts").cast("date"))
+    write = quarantine.upsert(path, _PER_DAY, "lsn", lambda: datetime(2024, 2, 1))
+    for number, third in enumerate((2, 0, 1)):
+        write(log.filter(F.col("lsn") % 3 == third), number)
+    columns = ["id", "day", "lsn", "state", "amount"]
+    state = quarantine.current(t.spark, path).select(*columns, F.col("delete_ts").isNotNull().alias("deleted"), F.lit(False).alias("waits"))
+    return state.unionByName(quarantine.held(t.spark, path).select(*columns, (F.col("op") == "d").alias("deleted"), F.lit(True).alias("waits")))
+
+
 def _upsert(t: Tables) -> DataFrame:
     """Suppliers and customers share an account table: plain upsert by key."""
     accounts = t.customer.select("c_custkey", "c_name", "c_acctbal").toDF("k", "name", "bal")
@@ -185,6 +203,7 @@ QUERIES = {
     "cdc_latest": lambda t: cdc.latest_changes(change_log(t.events), ["id"], ["lsn"]),
     "cdc_apply_changes": _applied,
     "out_of_order_events": _quarantine,
+    "quarantine_state": _quarantined,
     "cdc_with_retry": lambda t: cdc.with_retry(new_changes(t.events), _quarantine(t)),
     "dedup_keys": lambda t: dedup(change_log(t.events), ["id", "op"], ["lsn"]),
     "merge_upsert": _upsert,
@@ -238,6 +257,9 @@ ORACLE = {
     "cdc_apply_changes": _STATE.format(_LATEST.format(CHANGE_LOG)),
     "out_of_order_events": _OOO,
     "cdc_with_retry": f"select * from {NEW_CHANGES} union all {_OOO}",
+    "quarantine_state": f"""select id, day, lsn, state, amount, op = 'd' as deleted, not based as waits from (
+    select *, row_number() over (partition by id, day order by lsn desc) as rn, bool_or(op in ('c', 'r')) over (partition by id, day) as based
+    from (select *, cast(event_ts as date) as day from {CHANGE_LOG})) where not based or rn = 1""",
     "dedup_keys": f"""select * exclude (rn) from (select *, row_number() over (partition by id, op order by lsn) as rn
   from {CHANGE_LOG}) where rn = 1""",
     "merge_upsert": """with incoming as (select s_suppkey as k, s_name as name, s_acctbal as bal from supplier
@@ -274,3 +296,4 @@ for _name, _columns in {
     "incremental_bounds": ["start_version"],
 }.items():
     QUERIES[_name], ORACLE[_name] = ints_as_text(QUERIES[_name], ORACLE[_name], *_columns)
+QUERIES["quarantine_state"], ORACLE["quarantine_state"] = days_as_timestamps(QUERIES["quarantine_state"], ORACLE["quarantine_state"], "day")

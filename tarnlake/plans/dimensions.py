@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from tarnlake.functions import row_hash
@@ -12,7 +14,7 @@ from tarnlake.plans.inputs import (
     base_changes, change_log, customer_changes, customer_next, days_as_timestamps, end_as_text, ints_as_text,
     new_changes, partsupp, ts,
 )
-from tarnlake.session import staged
+from tarnlake.session import staged, work_path
 from tarnlake.sources.files import null_rows
 
 TRACKED = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -127,6 +129,15 @@ def _surrogates(t: Tables) -> DataFrame:
     )
 
 
+def _stable(t: Tables) -> DataFrame:
+    """Numbers of three loads of customers, the third a repetition of the first: keys keep theirs, new ones get the next."""
+    path = work_path(t.spark, "customer-keys")
+    loads = [t.customer.filter(F.col("c_nationkey") < 12), _next(t), t.customer.filter(F.col("c_nationkey") < 12)]
+    return reduce(DataFrame.unionByName, [
+        surrogate.assign_stable(rows.select("c_custkey", "c_name"), "sk_custkey", ["c_custkey"], path).withColumn("load_id", F.lit(i))
+        for i, rows in enumerate(loads)])
+
+
 def _hash_changed(t: Tables) -> DataFrame:
     old = t.customer.select("c_custkey", row_hash(TRACKED).alias("old_hash"))
     new = _next(t).select("c_custkey", row_hash(TRACKED).alias("new_hash"))
@@ -227,6 +238,7 @@ QUERIES = {
     ),
     "dim_first_load": first_load,
     "surrogate_keys": _surrogates,
+    "surrogate_stable": _stable,
     "row_hash_changed": _hash_changed,
     "evolve_columns": _evolved,
     "conform_schema": lambda t: maintain.conform(
@@ -328,6 +340,12 @@ ORACLE = {
   timestamp '{LOAD_TS}' as record_start_date, {_OPEN} as record_end_date from {_SK}""",
     "surrogate_keys": f"""select c_custkey, c_name, (select count(*) from customer)
   + row_number() over (order by c_custkey) as sk_custkey from {_FRESH}""",
+    "surrogate_stable": f"""with one as (select c_custkey, c_name from customer where c_nationkey < 12), two as (select c_custkey, c_name from {CUSTOMER_NEXT}),
+  numbers as (select c_custkey, row_number() over (order by c_custkey) as sk_custkey from one
+    union all select c_custkey, (select count(*) from one) + row_number() over (order by c_custkey) from two
+      where c_custkey not in (select c_custkey from one))
+  select l.*, sk_custkey from (select *, 0 as load_id from one union all select *, 1 from two union all select *, 2 from one) l
+    join numbers using (c_custkey)""",
     "row_hash_changed": f"select c_custkey from {_KEYS_CHANGED}",
     "evolve_columns": """select c_custkey, c_name, case when c_acctbal > 5000 then 'gold' else 'plain' end as c_tier,
   c_nationkey, c_acctbal from customer""",

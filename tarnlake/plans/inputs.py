@@ -56,7 +56,7 @@ class Tables:
         """
         key = (self.spark.sparkContext.applicationId, self.dir, self.state, name)
         if key not in _LAYERS:
-            path = work_path(self.spark, name)
+            path = work_path(self.spark, name, keep=True)       # outlives a staging block it may be asked for in
             write_table(build(), path, even=False)
             _LAYERS[key] = path
         return self._read(_LAYERS[key])

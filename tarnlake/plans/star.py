@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnlake.functions import exact_sum, row_hash
 from tarnlake.operators import scd2, surrogate
-from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply
+from tarnlake.operators.merge import Insert, Update, all_columns, merge_apply, one_per_key
 from tarnlake.plans.inputs import (
     LINE_EXT, LINE_NUMBERED, LOAD_TS, PARTSUPP, Tables, line_ext, ts,
 )
@@ -151,10 +151,11 @@ def fact(t: Tables) -> DataFrame:
 
 
 def upsert_session(fact: DataFrame, rows: DataFrame, session_id: str, stage: bool = False) -> DataFrame:
-    """Write a session's rows: a rerun of the session replaces what it wrote before.
+    """Write a session's rows (one per order and line, else it raises): a rerun of the session replaces what it wrote before.
 
     `stage` them when they come out of joins rather than a table.
     """
+    one_per_key(rows, ["l_orderkey", "l_linenumber"])
     tracked = [c for c in rows.columns if c not in ("l_orderkey", "l_linenumber")]
     source = rows.withColumn("record_track_hash", row_hash(tracked)).withColumn("session_id", F.lit(session_id))
     changed = F.col("source.record_track_hash") != F.col("target.record_track_hash")

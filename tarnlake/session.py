@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -61,14 +62,21 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
-_SCOPES: list[list[str]] = []
+class _Scopes(threading.local):
+    """The `staging` blocks a thread is in."""
 
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
 
-def work_path(spark: SparkSession, label: str) -> str:
-    """Fresh path below the shared folder. It belongs to the innermost `staging` block, if there is one."""
+
+_SCOPES = _Scopes()
+
+
+def work_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """Fresh path below the shared folder. It belongs to the thread's innermost `staging` block, if there is one and unless it is to `keep`."""
     path = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if _SCOPES.open and not keep:
+        _SCOPES.open[-1].append(path)
     return path
 
 
@@ -86,11 +94,11 @@ def staging(spark: SparkSession) -> Iterator[None]:
     the shared folder is cleaned.
     """
     mine: list[str] = []
-    _SCOPES.append(mine)
+    _SCOPES.open.append(mine)
     try:
         yield
     finally:
-        _SCOPES.remove(mine)
+        _SCOPES.open.remove(mine)
         for path in mine:
             remove(spark, path)
 

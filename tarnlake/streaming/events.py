@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tarnlake.operators import cdc
 from tarnlake.operators.latest import latest_by
 from tarnlake.session import remove
+from tarnlake.sinks import files as sinks
 from tarnlake.sources import snapshots
 
 TRIGGER = "15 seconds"
@@ -42,20 +43,19 @@ def start(
 
 
 def append_once(path: str, app: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer that leaves one copy of a batch however often it is replayed.
-
-    A batch owns the directory of its application and batch id; a replay overwrites
-    that directory and no other.
-    """
+    """Batch writer that leaves one copy of a batch however often it is replayed."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/app={app}/batch_id={batch_id}")
+        sinks.append_batch(batch, path, app, batch_id)
 
     return write
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Change log written by `append_once`; `app` and `batch_id` come from the directories."""
-    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+    """Change log written by `append_once`, with `app` and `batch_id`: the batches that were finished."""
+    log = sinks.read_batches(spark, path)
+    if log is None:
+        raise ValueError(f"no batch has been finished in {path}")
+    return log
 
 
 def append_json(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -67,11 +67,10 @@ def append_json(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def console(stream: DataFrame, checkpoint: str, every: str = TRIGGER) -> StreamingQuery:
-    return (
-        stream.writeStream.format("console").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
-    )
+def console(stream: DataFrame, checkpoint: str, every: str | None = TRIGGER) -> StreamingQuery:
+    """Print each micro-batch; `every=None` prints what is there and stops."""
+    writer = stream.writeStream.format("console").outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)).start()
 
 
 def _order(sequence_by: str | Sequence[str]) -> list[str]:

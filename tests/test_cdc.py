@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.operators import cdc
 from tarnlake.operators.latest import latest_by
+from tarnlake.streaming import quarantine
 
 CHANGES = "id int, name string, bal double, op string, lsn long, event_ts timestamp_ntz"
 STATE = "id int, name string, bal double, lsn long, event_ts timestamp_ntz, delete_ts timestamp_ntz"
@@ -101,3 +102,55 @@ def test_envelope_with_schema_part(spark):
     assert out["event_ts"] == datetime(2023, 11, 14, 22, 13, 20, 123000)
     assert "before__id" in flat.columns and "source__txId" in flat.columns
     assert cdc.flatten(cdc.parse_events(raw, "id int, name string"), ".").select(F.col("`after.id`")).first()[0] == 7
+
+
+def brute_quarantine(events):
+    """State by the ordered log of the keys that were ever inserted, and the events of the others."""
+    based = {e[0] for e in events if e[3] in "cr" and e[0] is not None}
+    last, rest = {}, []
+    for e in sorted(events, key=lambda e: e[4]):
+        if e[0] in based:
+            last[e[0]] = e
+        else:
+            rest.append(e[4])
+    return {k: (e[4], e[3] == "d") for k, e in last.items()}, sorted(rest)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_events_wait_over_batches_until_their_row_comes(spark, tmp_path, seed):
+    rnd, path = random.Random(seed), str(tmp_path / "q")
+    events = [event(rnd.choice([None, *range(12)]), "n", 1.0, rnd.choice("cuuuudddr"), n) for n in range(60)]
+    dealt = [[], [], []]
+    for e in events:
+        dealt[rnd.randrange(3)].append(e)
+    write, seen = quarantine.upsert(path, ["id"], "lsn", lambda: T0), []
+    for number, batch in enumerate(dealt):
+        seen += batch
+        write(spark.createDataFrame(batch, CHANGES), number)
+        state, rest = brute_quarantine(seen)
+        assert {r["id"]: (r["lsn"], r["delete_ts"] is not None) for r in quarantine.current(spark, path).collect()} == state
+        assert sorted(r["lsn"] for r in quarantine.held(spark, path).collect()) == rest
+    write(spark.createDataFrame(dealt[2], CHANGES), 2)                       # met again
+    assert quarantine.current(spark, path).count() == len(state) and quarantine.held(spark, path).count() == len(rest)
+
+
+def test_a_writer_that_dies_between_quarantine_and_state_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "q")
+    write = quarantine.upsert(path, ["id"], "lsn", lambda: T0)
+    write(spark.createDataFrame([event(1, "a", 1.0, "c", 1), event(2, "b", 1.0, "u", 2)], CHANGES), 0)
+    real = quarantine.snapshots.write
+
+    def dies(df, where, *args, **kwargs):
+        if where.endswith("/state"):
+            raise RuntimeError("lost")
+        return real(df, where, *args, **kwargs)
+
+    batch = spark.createDataFrame([event(2, "b", 1.0, "c", 3), event(3, "x", 1.0, "d", 4)], CHANGES)
+    monkeypatch.setattr(quarantine.snapshots, "write", dies)
+    with pytest.raises(RuntimeError):
+        write(batch, 1)
+    monkeypatch.undo()
+    assert [r["lsn"] for r in quarantine.held(spark, path).collect()] == [2]
+    write(batch, 1)
+    assert sorted((r["id"], r["lsn"]) for r in quarantine.current(spark, path).collect()) == [(1, 1), (2, 3)]
+    assert [r["lsn"] for r in quarantine.held(spark, path).collect()] == [4]

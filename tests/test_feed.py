@@ -1,5 +1,6 @@
 """Change feed, bounds and incremental aggregates."""
 
+import os
 import random
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnlake.operators import changefeed, incremental
+from tarnlake.sinks import files as sinks
 
 T1 = datetime(2024, 1, 1)
 ROW = "id int, product int, day int, qty decimal(15,2)"
@@ -98,3 +100,30 @@ def test_since_last(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "v long")
     assert incremental.since_last(df, "v", df.filter("v < 3"), "v").count() == 2
     assert incremental.since_last(df, "v", df.limit(0), "v").count() == 3
+
+
+def test_only_touched_partitions_are_written_again(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    old = [(i, i % 4, i % 5, Decimal(i)) for i in range(60)]
+    # day 0: a change; day 1: a row more; day 2: all rows gone; day 3 untouched; day 4: a row changed to what it was
+    new = [(i, p, d, q + 1 if (d, p) == (0, 0) else q) for i, p, d, q in old if d != 2] + [(99, 1, 1, Decimal(7)), (98, 3, 7, Decimal(2))]
+
+    def sums(rows):
+        out = {}
+        for _, p, d, q in rows:
+            out[p, d] = out.get((p, d), 0) + q
+        return out
+
+    stored = [(p, d, q, T1) for (p, d), q in sums(old).items()]
+    sinks.write_partitions(spark.createDataFrame(stored, "product int, day int, sold_qty decimal(25,2), record_commit_timestamp timestamp_ntz"), path, ["day"])
+    before = {d: sorted(os.listdir(f"{path}/day={d}")) for d in range(5)}
+    later = F.lit("2024-02-01").cast("timestamp_ntz")
+    feed = feed_of(spark, old, new).withColumn("_commit_timestamp", later)
+    base = spark.createDataFrame(new, ROW)
+    touched = incremental.overwrite_affected(spark, path, base, feed, ["product"], "day", "qty")
+    assert touched == [0, 1, 2, 7]
+    after = {(r["product"], r["day"]): r["sold_qty"] for r in spark.read.parquet(path).collect()}
+    assert after == sums(new)
+    assert not os.path.exists(f"{path}/day=2")
+    assert all(sorted(os.listdir(f"{path}/day={d}")) == before[d] for d in (3, 4)) and sorted(os.listdir(f"{path}/day=0")) != before[0]
+    assert incremental.overwrite_affected(spark, path, base, feed.limit(0), ["product"], "day", "qty") == []

@@ -1,7 +1,9 @@
+from functools import reduce
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tarnlake.operators import quality as dq
+from tarnlake.operators import profile, quality as dq
 from tarnlake.plans.quality import CONFIG
 
 
@@ -85,3 +87,27 @@ def test_results_are_tagged_and_appended(spark, df, tmp_path):
         tagged = dq.tag_results(results, "dag", run, F.lit("2024-01-01").cast("timestamp_ntz"))
         tagged.write.mode("append").partitionBy("dag_id", "run_id").json(str(tmp_path / "audit"))
     assert spark.read.json(str(tmp_path / "audit")).select("run_id").distinct().count() == 2
+
+
+def test_profiles_of_parts_add_up(spark):
+    """Merged measures are the profile of all rows: exactly for counts, bounds and moments, within the stated error for distinct values."""
+    df = spark.range(20_000).select(
+        (F.col("id") % 7).cast("int").alias("part"), F.when(F.col("id") % 10 > 0, F.col("id") % 3000).alias("many"),
+        F.concat(F.lit("v"), F.least(F.col("id") % 11, F.lit(3))).alias("few"), (F.col("id") * 0.5 - 9).alias("x"),
+        F.lit(None).cast("string").alias("none"), F.struct("id").alias("nested"))
+    parts = [profile.measure(df.filter(F.col("part") == p), by=["part"]) for p in range(7)]
+    stored = reduce(DataFrame.unionByName, parts)
+    assert stored.count() == 7
+    got = {r["column_name"]: r for r in profile.merged(stored).collect()}
+    want = {r["column_name"]: r for r in dq.profile(df.drop("part", "nested"), exact=True).collect()}
+    assert set(got) == set(want) == {"many", "few", "x", "none"}
+    for name, w in want.items():
+        g = got[name]
+        assert (g["rows"], g["nulls"], g["min_value"], g["max_value"]) == (w["rows"], w["nulls"], w["min_value"], w["max_value"])
+        assert abs(g["distinct_values"] - w["distinct_values"]) <= 3 * 1.04 / 64 * w["distinct_values"] + 0.5
+        for measure in ("mean", "std_dev"):
+            assert g[measure] == pytest.approx(w[measure], rel=1e-9) if w[measure] is not None else g[measure] is None
+    counts = {r["few"]: r["count"] for r in df.groupBy("few").count().collect()}
+    top = got["few"]["top_values"]
+    assert sorted(top) == sorted(f"{v}: {n}" for v, n in counts.items()) and top[0] == "v3: 14544" and top[-1] == "v2: 1818"
+    assert profile.merged(profile.measure(df.limit(0))).first()["rows"] in (0, None)

@@ -1,8 +1,10 @@
 """Scans, sinks, snapshots, table definition and maintenance."""
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +178,59 @@ def test_bounds_come_from_the_commit_list(spark, tmp_path):
     assert not increments.advance(t, dim, only, datetime(2024, 2, 1))
     snapshots.write(people(spark), dim, "load", datetime(2024, 1, 6), note="1")
     assert not increments.advance(t, dim, only, datetime(2024, 1, 4))
+
+
+def row_groups_read(path, column, low, high):
+    """Row groups whose bounds let a filter on the column in, of all; from the footers."""
+    hit = total = 0
+    for name in os.listdir(path):
+        if name.endswith(".parquet"):
+            meta = pq.ParquetFile(f"{path}/{name}").metadata
+            at = meta.schema.names.index(column)
+            for g in range(meta.num_row_groups):
+                stats = meta.row_group(g).column(at).statistics
+                total += 1
+                hit += stats.min <= high and stats.max >= low
+    return hit, total
+
+
+def test_clustering_by_several_columns_skips_by_each(spark, tmp_path):
+    rnd = F.pmod(F.xxhash64("id"), F.lit(10_000))
+    df = spark.range(20_000).select("id", rnd.alias("a"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10_000)).alias("b"), F.lit(1).alias("same"))
+    both, one = str(tmp_path / "both"), str(tmp_path / "one")
+    maintain.clustered_by_all(df, "a", "b", partitions=64).write.parquet(both)
+    maintain.clustered(df, "a", partitions=64).write.parquet(one)
+    assert spark.read.parquet(both).columns == df.columns and sorted(spark.read.parquet(both).collect()) == sorted(df.collect())
+    by_a, by_b = row_groups_read(both, "a", 2000, 2100), row_groups_read(both, "b", 2000, 2100)
+    assert by_a[1] > 40
+    assert by_a[0] < by_a[1] / 3 and by_b[0] < by_b[1] / 3
+    assert row_groups_read(one, "b", 2000, 2100)[0] > 2 * by_b[0]
+
+
+def test_clustering_of_skewed_text_dates_and_nulls(spark, tmp_path):
+    rows = [(i, None if i % 9 == 0 else "hot" if i % 3 else f"k{i:05d}", date(2024, 1, 1 + i % 28), None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, k string, d date, n int")
+    out = maintain.clustered_by_all(df, "k", "d", "n", partitions=16)
+    assert sorted(out.collect(), key=str) == sorted(df.collect(), key=str)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 600                                      # one frequent value is spread over several files
+    assert maintain.clustered_by_all(df.limit(0), "k", "d").count() == 0
+
+
+def test_layers_outlive_the_block_they_were_first_asked_for_in(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    with session.staging(spark):
+        built = t.layer("outlives-staging", lambda: t.nation)
+        gone = session.staged(t.nation, "goes")
+        assert built.count() == gone.count() == 25
+    assert t.layer("outlives-staging", lambda: t.nation.limit(0)).count() == 25
+    with pytest.raises(Exception, match="not exist|NOT_FOUND|NOT_EXIST"):
+        gone.count()
+
+
+def test_staging_blocks_of_other_threads_are_their_own(spark):
+    with session.staging(spark):
+        with ThreadPoolExecutor(1) as pool:
+            path = pool.submit(session.work_path, spark, "elsewhere").result()
+        spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3

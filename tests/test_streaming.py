@@ -1,8 +1,10 @@
 """Streams: replays, several batches, folding, sinks."""
 
 import os
+import time
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tarnlake.operators import cdc
@@ -101,3 +103,36 @@ def test_a_state_read_during_a_fold_is_complete(spark, tmp_path, monkeypatch):
     assert not [f for f in os.listdir(f"{state}/delta") if f.startswith("batch_id=")]
     got = streams.current_state(spark, state, ["id"], ["lsn", "part"])
     assert sorted((r["id"], r["state"]) for r in got.collect()) == [(1, "c"), (2, "b"), (3, "a")]
+
+
+def test_readers_take_finished_batches_only(spark, tmp_path):
+    path = str(tmp_path / "log")
+    with pytest.raises(ValueError, match="no batch"):
+        streams.read_log(spark, path)
+    write = streams.append_once(path, "a")
+    write(spark.createDataFrame([(1, "x")], "id int, v string"), 0)
+    write(spark.createDataFrame([(2, "y", 5)], "id int, v string, more int"), 1)
+    streams.append_once(path, "b")(spark.createDataFrame([(3, "z")], "id int, v string"), 0)
+    # a batch that was being written when its writer died: all its files are there, but not its line in the manifest
+    spark.createDataFrame([(9, "lost")], "id int, v string").write.parquet(f"{path}/app=a/batch_id=2")
+    got = sorted((r["id"], r["more"], r["app"], r["batch_id"]) for r in streams.read_log(spark, path).collect())
+    assert got == [(1, None, "a", 0), (2, 5, "a", 1), (3, None, "b", 0)]
+    write(spark.createDataFrame([(4, "w")], "id int, v string"), 2)
+    assert sorted(r["id"] for r in streams.read_log(spark, path).collect()) == [1, 2, 3, 4]
+
+
+def test_console_and_processing_time(spark, sf_dir, tmp_path):
+    landing = str(tmp_path / "landing")
+    n = land(spark, sf_dir, landing).events.count()
+    shown = streams.console(streams.read_files(spark, landing), str(tmp_path / "c1"), every=None)
+    streams.drain(shown)
+    assert sum(p["numInputRows"] for p in shown.recentProgress) == n
+    counted = []
+    running = streams.start(streams.read_files(spark, landing, max_files=2), lambda batch, i: counted.append(batch.count()), str(tmp_path / "c2"), every="1 second")
+    deadline = time.time() + 60
+    while sum(counted) < n and time.time() < deadline:
+        time.sleep(0.5)
+    running.stop()
+    assert sum(counted) == n and len(counted) == 3
+    with pytest.raises(TimeoutError):
+        streams.drain(streams.start(streams.read_files(spark, landing), lambda batch, i: None, str(tmp_path / "c3"), every="1 second"), timeout=3)
