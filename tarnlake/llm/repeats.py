@@ -66,18 +66,21 @@ def anchors(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]
     return widened(width - span) if width > span else (least, place)
 
 
-def _runs(w: tokens.Words, hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, suffixes, anchor, lengthened prefix) of the stretches of neighbouring suffixes of a document that share both."""
+def _runs(w: tokens.Words, hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
+    """(first word, suffixes, anchor) of the stretches of neighbouring suffixes of a document with one anchor; within them, the stretches
+    that share a lengthened prefix: its hash, their suffixes, and where each stretch's own begin."""
     at = np.flatnonzero(w.positions_left() >= min_words)
     if not len(at):
-        return at, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return at, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64), at, np.zeros(1, np.int64)
     span = min(SPAN, min_words - PREFIX)
     anchor, place = (x[at] for x in anchors(hashes, min_words))
     begin = at + (place - at) % span
     longer = tokens.gram_hashes(hashes, min_words + 1 - span)[begin]
-    fresh = (anchor[1:] != anchor[:-1]) | (begin[1:] != begin[:-1]) | (np.diff(at) != 1)
-    first = np.flatnonzero(np.concatenate(([True], fresh)))
-    return at[first], np.diff(np.append(first, len(at))), anchor[first], longer[first]
+    opens = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (np.diff(at) != 1)))
+    cut = opens | np.concatenate(([True], begin[1:] != begin[:-1]))
+    first, pieces = np.flatnonzero(opens), np.flatnonzero(cut)
+    return (at[first], np.diff(np.append(first, len(at))), anchor[first], longer[pieces], np.diff(np.append(pieces, len(at))),
+            np.searchsorted(pieces, np.append(first, len(at))))
 
 
 def _segmenter(min_words: int):
@@ -85,13 +88,17 @@ def _segmenter(min_words: int):
         for batch in batches:
             for part in tokens.chunks(batch):
                 w = tokens.words(part.column(2))
-                start, n, anchor, longer = _runs(w, tokens.word_hashes(w), min_words)
+                start, n, anchor, longer, size, own = _runs(w, tokens.word_hashes(w), min_words)
                 doc = np.searchsorted(w.first, start, "right") - 1
                 rows = pa.array(doc)
+                # 32 bits of the lengthened prefix will do beside the anchor: where two agree by chance their groups are one
+                pieces = pa.StructArray.from_arrays(
+                    [pa.array((longer >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(size.astype(np.int32))], ["longer", "n"])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(longer.view(np.int64)), part.column(0).take(rows), part.column(1).take(rows),
-                     pa.array((start - w.first[doc]).astype(np.int32)), pa.array(n.astype(np.int32))],
-                    ["anchor", "longer", "row_id", "doc_key", "start", "n"])
+                    [pa.array(anchor.view(np.int64)), part.column(0).take(rows), part.column(1).take(rows),
+                     pa.array((start - w.first[doc]).astype(np.int32)), pa.array(n.astype(np.int32)),
+                     pa.ListArray.from_arrays(pa.array(own.astype(np.int32)), pieces)],
+                    ["anchor", "row_id", "doc_key", "start", "n", "pieces"])
     return run
 
 
@@ -283,12 +290,35 @@ def _live(runs: DataFrame, prefix: Sequence[str], min_words: int, group_words: i
     return staged(groups.filter("low < high").select(*prefix, (F.col("words") > group_words).alias("large")), "repeats-live")
 
 
+def _followers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Suffixes sorted by prefix and id: those whose id is larger than the first of their prefix. Rows without row_id only say what the first is."""
+    h1 = h2 = low = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
+        opens = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        first = np.flatnonzero(opens)
+        least = ids[first]
+        if (a[0], b[0]) == (h1, h2):                             # the prefix goes on from the batch before
+            least[0] = low
+        h1, h2, low = a[-1], b[-1], least[-1]
+        later = (ids > np.repeat(least, np.diff(np.append(first, len(ids))))) & (ids != NO_ID)
+        later &= batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        at = pa.array(np.flatnonzero(later))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(2).take(at), batch.column(3).take(at), batch.column(4).take(at), pa.array(np.ones(len(at), np.int32))],
+            ["row_id", "doc_key", "start", "n"])
+
+
 def repeated(texts: DataFrame, min_words: int, group_words: int) -> DataFrame:
     """(row_id, doc_key, start, n): n suffixes from word `start` on begin with a passage that starts in a document of smaller id."""
-    run = "anchor long, longer long, row_id long, doc_key long, start int, n int"
+    run = "anchor long, row_id long, doc_key long, start int, n int, pieces array<struct<longer int, n int>>"
     runs = staged(arrow_map(texts, _segmenter(min_words), run), "repeats-runs")
     wanted = runs.join(_live(runs, ["anchor"], min_words, group_words), "anchor")
-    crowded = wanted.filter("large").drop("large")
+    before = F.expr("aggregate(slice(pieces, 1, at), 0, (sum, piece) -> sum + piece.n)")
+    crowded = wanted.filter("large").select("anchor", *_ROW, "start", "pieces", F.posexplode("pieces").alias("at", "piece")).select(
+        "anchor", *_ROW, (F.col("start") + before).alias("start"), "piece.n", "piece.longer")
     lengthened = crowded.join(_live(crowded, ["anchor", "longer"], min_words, group_words), ["anchor", "longer"])
 
     fitting = wanted.filter("NOT large").select(*_ROW, "start", "n", F.col("anchor").alias("prefix")).unionAll(
@@ -302,12 +332,13 @@ def repeated(texts: DataFrame, min_words: int, group_words: int) -> DataFrame:
     suffix = "h1 long, h2 long, row_id long, doc_key long, start int"
     suffixes = arrow_map(_met(texts, _listed(full, "start", "n", "prefix")), _unroller(min_words), suffix)
     least = suffixes.groupBy("h1", "h2").agg(F.min("doc_key").alias("low"), F.max("doc_key").alias("high")).filter("low < high")
-    # The salt has equal suffixes meet their smallest id in several tasks.
-    spread = least.select("h1", "h2", "low", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    by_prefix = (
-        suffixes.withColumn("salt", F.expr(f"cast(pmod(row_id, {SALTS}) AS int)")).join(spread, ["h1", "h2", "salt"])
-        .filter((F.col("doc_key") > F.col("low")) & (F.col("doc_key") != int(NO_ID)))
-        .select("row_id", "doc_key", "start", F.lit(1).alias("n")))
+    # Equal suffixes are spread over several tasks by a salt; a row in each tells the smallest id there is.
+    heads = least.select(
+        "h1", "h2", F.lit(None).cast("long").alias("row_id"), F.col("low").alias("doc_key"), F.lit(0).alias("start"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    spread = suffixes.withColumn("salt", F.expr(f"cast(pmod(row_id, {SALTS}) AS int)")).unionByName(heads)
+    by_prefix = arrow_map(
+        spread.repartition("h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", "doc_key").drop("salt"), _followers, mark)
     return by_tree.unionAll(by_prefix)
 
 
