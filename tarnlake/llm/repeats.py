@@ -36,7 +36,7 @@ PREFIX = 16
 SPAN = 18                     # places of the anchor that share a lengthened prefix
 GROUP_WORDS = 1 << 15
 BUFFER_BYTES = 1 << 21
-SALTS = 8
+SALTS = 32
 NO_ID = np.iinfo(np.int64).max
 _ROW = ["row_id", "doc_key"]
 
@@ -336,7 +336,7 @@ def repeated(texts: DataFrame, min_words: int, group_words: int) -> DataFrame:
     heads = least.select(
         "h1", "h2", F.lit(None).cast("long").alias("row_id"), F.col("low").alias("doc_key"), F.lit(0).alias("start"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    spread = suffixes.withColumn("salt", F.expr(f"cast(pmod(row_id, {SALTS}) AS int)")).unionByName(heads)
+    spread = suffixes.withColumn("salt", F.expr(f"cast(pmod(xxhash64(row_id, start), {SALTS}) AS int)")).unionByName(heads)
     by_prefix = arrow_map(
         spread.repartition("h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", "doc_key").drop("salt"), _followers, mark)
     return by_tree.unionAll(by_prefix)
