@@ -208,15 +208,18 @@ FROM m GROUP BY doc_id
 
 
 TOOLS = {
-    "search": {"query": ("string", True), "limit": ("integer", False)},
+    "search": {"query": ("string", True), "limit": ("integer", False),
+               "filter": ({"lang": (["en", "de"], True), "tags": (("array", "string"), False)}, False)},
     "sum": {"terms": ("array", True)},
     "fetch": {"page": ("integer", True)},
 }
 # Tool messages that the conversations imply, as text that both engines evaluate: an assistant's turn makes a call that needs the
-# result of its call before, the user's next turn carries the result. Lengths decide tool and faults.
+# results of its two calls before, the user's next turn carries the result. Lengths decide tool and faults. In every fifth conversation two
+# calls need each other and a third one of them; in every fourth a call comes with the id of the one before.
 _TOOL = "CASE n % 4 WHEN 0 THEN 'search' WHEN 1 THEN 'sum' WHEN 2 THEN 'fetch' ELSE 'lookup' END"
 _ARGUMENTS = """CASE WHEN n % 13 = 0 THEN concat('{"page": ', n, ',')
-  WHEN n % 4 = 0 THEN concat('{"query": "q', n, '", "limit": ', CASE WHEN n % 7 = 0 THEN '"many"' ELSE cast(n % 20 AS varchar(9)) END, ' }')
+  WHEN n % 4 = 0 THEN concat('{"query": "q', n, '", "limit": ', CASE WHEN n % 7 = 0 THEN '"many"' ELSE cast(n % 20 AS varchar(9)) END,
+    ', "filter": {"tags": ["t", ', CASE WHEN n % 9 = 0 THEN '5' ELSE '"u"' END, '], "lang": "', CASE WHEN n % 5 = 0 THEN 'xx' ELSE 'de' END, '"} }')
   WHEN n % 4 = 1 THEN concat('{ "terms": [', n, ', 2.5], "b": {"z": null, "a": true}', ' }')
   ELSE concat('{"page":', CASE WHEN n % 11 = 0 THEN 'null' ELSE cast(n AS varchar(9)) END, '}') END"""
 
@@ -231,12 +234,21 @@ def _tool_messages(conversations: DataFrame) -> DataFrame:
     calls = sized.filter("role = 'assistant'").select(
         "conv_id", "turn", F.lit("tool_call").alias("role"), nothing.alias("text"), F.concat(F.lit("call-"), "turn").alias("call_id"),
         F.expr(_TOOL).alias("tool"), F.expr(_ARGUMENTS).alias("arguments"),
-        F.array(F.concat(F.lit("call-"), (F.col("turn") - 2).cast("string"))).alias("needs"))
+        F.array(*(F.concat(F.lit("call-"), (F.col("turn") - back).cast("string")) for back in (2, 4))).alias("needs"))
+    loops = sized.filter("turn = 0 AND conv_id % 5 = 2").select(
+        "conv_id", "turn", F.lit("tool_call").alias("role"), nothing.alias("text"), F.explode(F.array(*(
+            F.struct(F.lit(own).alias("call_id"), F.lit("fetch").alias("tool"), F.lit('{"page":1}').alias("arguments"),
+                     F.array(F.lit(need)).alias("needs"))
+            for own, need in (("loop-a", "loop-b"), ("loop-b", "loop-a"), ("loop-c", "loop-a"))))).alias("call")).select(
+        "conv_id", "turn", "role", "text", "call.*")
+    again = sized.filter("role = 'assistant' AND turn >= 3 AND conv_id % 4 = 1").select(
+        "conv_id", "turn", F.lit("tool_call").alias("role"), nothing.alias("text"), F.concat(F.lit("call-"), F.col("turn") - 2).alias("call_id"),
+        F.lit("fetch").alias("tool"), F.lit('{"page":2}').alias("arguments"), F.array().cast("array<string>").alias("needs"))
     results = sized.filter("role = 'user' AND n % 5 <> 0").select(
         "conv_id", "turn", F.lit("tool_result").alias("role"), F.concat(F.lit("result of "), F.col("n").cast("string")).alias("text"),
         F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("call_id"), nothing.alias("tool"),
         nothing.alias("arguments"), F.array().cast("array<string>").alias("needs"))
-    return plain.unionAll(calls).unionAll(results)
+    return plain.unionAll(calls).unionAll(loops).unionAll(again).unionAll(results)
 
 
 def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,10 +271,13 @@ placed AS (
   FROM placed p JOIN calls c ON c.conv_id = p.conv_id AND c.turn = p.turn + 2),
 checked AS (
   SELECT c.*, CASE WHEN tool = 'lookup' THEN 'unknown tool' WHEN n % 13 = 0 THEN 'no JSON object'
-    WHEN tool = 'search' AND n % 7 = 0 THEN 'type of limit' WHEN tool = 'sum' THEN 'unknown field b'
+    WHEN tool = 'search' THEN concat_ws(';', CASE WHEN n % 9 = 0 THEN 'type of filter.tags' END,
+      CASE WHEN n % 7 = 0 THEN 'type of limit' END, CASE WHEN n % 5 = 0 THEN 'value of filter.lang' END)
+    WHEN tool = 'sum' THEN 'unknown field b'
     WHEN tool = 'fetch' AND n % 11 = 0 THEN 'missing page' ELSE '' END AS errors,
     CASE WHEN n % 13 = 0 THEN to_json(a)::varchar ELSE
-      CASE n % 4 WHEN 0 THEN '{{"limit":' || CASE WHEN n % 7 = 0 THEN '"many"' ELSE (n % 20)::varchar END || ',"query":"q' || n || '"}}'
+      CASE n % 4 WHEN 0 THEN '{{"filter":{{"lang":"' || CASE WHEN n % 5 = 0 THEN 'xx' ELSE 'de' END || '","tags":["t",'
+        || CASE WHEN n % 9 = 0 THEN '5' ELSE '"u"' END || ']}},"limit":' || CASE WHEN n % 7 = 0 THEN '"many"' ELSE (n % 20)::varchar END || ',"query":"q' || n || '"}}'
       WHEN 1 THEN '{{"b":{{"a":true,"z":null}},"terms":[' || n || ',2.5]}}' ELSE a END END AS canon
   FROM calls c)
 SELECT conv_id, turn::bigint AS slot, 0::bigint AS level, turn::bigint AS turn, role, NULL::varchar AS call_id, 'ok' AS status, '' AS errors,
@@ -274,6 +289,15 @@ SELECT c.conv_id, p.slot::bigint, p.level::bigint, c.turn::bigint, 'tool_call',
   c.errors, '{{"arguments":' || canon || ',"call_id":"' || c.call_id || '","role":"tool_call","tool":"' || tool || '"}}'
 FROM checked c JOIN placed p ON p.conv_id = c.conv_id AND p.turn = c.turn
 UNION ALL
+SELECT conv_id, turn::bigint, 0::bigint, turn::bigint, 'tool_call', id, 'cycle', '',
+  '{{"arguments":{{"page":1}},"call_id":"' || id || '","role":"tool_call","tool":"fetch"}}'
+FROM s, (VALUES ('loop-a'), ('loop-b'), ('loop-c')) l(id) WHERE turn = 0 AND conv_id % 5 = 2
+UNION ALL
+SELECT s.conv_id, greatest(s.turn, coalesce(p.slot, s.turn))::bigint, coalesce(p.level, 0)::bigint, s.turn::bigint, 'tool_call', 'call-' || (s.turn - 2),
+  CASE WHEN p.turn IS NULL THEN 'no result' ELSE 'duplicate id' END, '',
+  '{{"arguments":{{"page":2}},"call_id":"call-' || (s.turn - 2) || '","role":"tool_call","tool":"fetch"}}'
+FROM s LEFT JOIN placed p ON p.conv_id = s.conv_id AND p.turn = s.turn - 2 WHERE s.role = 'assistant' AND s.turn >= 3 AND s.conv_id % 4 = 1
+UNION ALL
 SELECT r.conv_id, greatest(r.turn, coalesce(p.slot, r.turn))::bigint, coalesce(p.level, 0)::bigint, r.turn::bigint, 'tool_result', r.call_id,
   CASE WHEN p.turn IS NULL THEN 'no call' ELSE 'ok' END, '',
   '{{"call_id":"' || r.call_id || '","role":"tool_result","text":"' || t || '"}}'

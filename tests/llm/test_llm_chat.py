@@ -1,7 +1,9 @@
 import json
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarnlake.llm import chat
 
@@ -121,6 +123,52 @@ def test_a_cycle_beside_many_rounds(spark):
     assert out == brute_places(calls) and len(out) == n
 
 
+def test_many_successive_calls_with_two_needs(spark):
+    """Hundreds of calls that each need the two before, in and against the order of turns: a few rounds, not hundreds."""
+    n = 400
+    calls = {f"c{k}": (k, None, [f"c{j}" for j in (k - 1, k - 2) if j >= 0]) for k in range(n)}
+    back = {f"d{k}": (n - k, k if k % 7 == 0 else None, [f"d{j}" for j in (k - 1, k - 2) if j >= 0]) for k in range(n)}
+    rows = [(v, c, t, r, needs) for v, part in ((1, calls), (2, back)) for c, (t, r, needs) in part.items()]
+    schema = "conv_id long, call_id string, turn long, result_turn long, needs array<string>"
+    start = time.time()
+    out = chat.place(spark.createDataFrame(rows, schema)).collect()
+    assert time.time() - start < 30
+    assert {r["call_id"]: (r["slot"], r["level"]) for r in out} == brute_places(calls) | brute_places(back)
+
+
+@pytest.mark.parametrize("per_slice", [3, 17])
+def test_slices_change_nothing(spark, per_slice):
+    rng = random.Random(per_slice)
+    calls = {f"c{k}": (rng.choice([5, k, 200 - k]), rng.choice([None, rng.randrange(200)]),
+                       [f"c{rng.randrange(max(1, k - 6), k + 1)}" for _ in range(rng.choice([0, 1, 1, 2]))] if k > 1 else []) for k in range(60)}
+    calls |= {f"t{k}": (7, None, [f"t{k - 1}"] if k else []) for k in range(40)}              # many at one turn
+    rows = [(9, c, t, r, needs) for c, (t, r, needs) in calls.items()]
+    schema = "conv_id long, call_id string, turn long, result_turn long, needs array<string>"
+    out = chat.place(spark.createDataFrame(rows, schema), per_slice).collect()
+    assert {r["call_id"]: (r["slot"], r["level"]) for r in out} == brute_places(calls)
+
+
+NESTED = {"f": {
+    "user.name": ("string", True), "it's": ("integer", False), "mode": (["on", "off"], True), "ids": (("array", "integer"), False),
+    "where": ({"city": ("string", True), "at": ({"lat": ("number", True)}, False)}, False)}}
+
+
+@pytest.mark.parametrize("arguments, errors", [
+    ('{"user.name": "x", "mode": "on"}', []),
+    ('{"user": {"name": "x"}, "mode": "on"}', ["missing user.name", "unknown field user"]),
+    ('{"user.name": "x", "it\'s": "3", "mode": "maybe"}', ["type of it's", "value of mode"]),
+    ('{"user.name": "x", "mode": 1, "ids": [1, "2"]}', ["type of ids", "type of mode"]),
+    ('{"user.name": "x", "mode": "off", "ids": []}', []),
+    ('{"user.name": "x", "mode": "off", "ids": [1, 2], "where": {"city": "b", "at": {"lat": 1.5}}}', []),
+    ('{"user.name": "x", "mode": "off", "where": {"at": {"lat": "n", "lon": 2}, "zip": 1}}',
+     ["missing where.city", "type of where.at.lat", "unknown field where.at.lon", "unknown field where.zip"]),
+    ('{"user.name": "x", "mode": "off", "where": [1]}', ["type of where"]),
+])
+def test_nested_schemas_items_and_enumerations(spark, arguments, errors):
+    row = spark.createDataFrame([("f", arguments)], "tool string, arguments string")
+    assert row.select(chat.argument_errors(NESTED, F.col("tool"), F.col("arguments")).alias("e")).first()["e"] == errors
+
+
 def test_json_is_canonical(spark):
     text = 'quote " slash \\ / tab \t line \n umlaut ü 日本 \u0001'
     rows = [message(1, 0, "user", text), message(1, 1, "tool_call", call_id="a", tool="search",
