@@ -142,7 +142,7 @@ def mix(docs: DataFrame, domain: Column, weights: Mapping[tuple, int], budget_to
         share = Fraction(str(budget_share))
         budget = F.expr(f"cast(tokens AS decimal(28,0)) * {share.numerator}L div {share.denominator}L")
     leaf = staged(plan(entries, weights, budget, seed, max_epochs, rows_per_slice), "mixing-plan").select(
-        *(F.col(c).alias(f"__{c}") for c in LEVELS), "full", "rest", "at", "bound")
+        *(F.col(c).alias(f"__{c}") for c in (*LEVELS, "full", "rest", "at", "bound")))
     own = [c for c in docs.columns if c not in ("domain", "n_tokens", "copies")]
     keyed = docs.select(
         *(F.col(f"`{c}`") for c in own), domain.alias("domain"),
@@ -150,9 +150,9 @@ def mix(docs: DataFrame, domain: Column, weights: Mapping[tuple, int], budget_to
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("__source"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("__text_key"))
     joined = keyed.join(leaf, [f"__{c}" for c in LEVELS])
-    place = F.struct(position(seed, F.col("full") + 1, F.col("doc_id")).alias("hash"), F.col("doc_id"), F.col("__text_key").alias("text_key"))
-    chosen = (F.col("rest") > 0) & F.when(F.col("at").isNull(), place["hash"] < F.col("bound")).otherwise(place < F.col("at"))
-    copies = F.col("full") + F.when(chosen, 1).otherwise(0)
+    place = F.struct(position(seed, F.col("__full") + 1, F.col("doc_id")).alias("hash"), F.col("doc_id"), F.col("__text_key").alias("text_key"))
+    chosen = (F.col("__rest") > 0) & F.when(F.col("__at").isNull(), place["hash"] < F.col("__bound")).otherwise(place < F.col("__at"))
+    copies = F.col("__full") + F.when(chosen, 1).otherwise(0)
     return joined.withColumn("__copies", copies).filter("__copies > 0").select(
         *(F.col(f"`{c}`") for c in own), "domain", n_tokens(F.col("text")).alias("n_tokens"),
         F.col("__copies").cast("long").alias("copies"))

@@ -3,7 +3,8 @@ import random
 import pytest
 
 COLUMNS = ("doc_id long, text string, lang string, source string, n_chars long, n_words long, fp long, key string, "
-           "start int, runs string, words string, copies long, n_dropped long, item_id long")
+           "start int, runs string, words string, copies long, n_dropped long, item_id long, full long, rest long, at string, bound long, "
+           "hash long, prefix long, label int, term int, score double, rank int, block int, hit int, pos int, bits long")
 
 
 def _passage(seed: int, n: int) -> str:
@@ -26,7 +27,9 @@ def edge_rows():
         (-5, f"x {PASSAGE} y"), (17, "nul \x00 and \x1c unit   hard blank 日本語 text"), (18, "z" * 50_000),
     ]
     texts += [(100 + i, f"{common}\nline {i % 3}\r\n{_passage(50 + i, 12)}") for i in range(12)]
-    return [(i, t, ["en", "de", None][k % 3], ["src0", None, "src1"][k % 3], 0, -1, -1, "k", -1, "r", "w", -1, -1, -1)
+    texts += [(200, f"{PASSAGE} once more")] * 300
+    return [(i, t, ["en", "de", None][k % 3], ["src0", None, "src1"][k % 3], 0, -1, -1, "k", -1, "r", "w", -1, -1, -1,
+             -1, -1, "a", -1, -1, -1, -1, -1, -1.0, -1, -1, -1, -1, -1)
             for k, (i, t) in enumerate(texts)]
 
 

@@ -43,7 +43,8 @@ def test_stages_are_those_of_brute_force(spark, sf_dir, edge_docs, source):
     assert by_id(out) == sorted(rows, key=str) and rows
 
     after = brute_lines([(k, r[1]) for k, r in enumerate(rows)], 10)
-    cut = {k: text for k, text, _, _ in after}
+    # a document of common lines only stays as it is
+    cut = {k: text if text.split() or not rows[k][1] else rows[k][1] for k, text, _, _ in after}
     out = staged(stages["line_dedup"](spark, out, sf_dir), "test")
     rows = [(r[0], cut[k], r[2], r[3], len(cut[k])) for k, r in enumerate(rows)]
     assert by_id(out) == sorted(rows, key=str)
