@@ -1,13 +1,14 @@
 """Line dedup by levelled sorted runs of line hashes.
 
 The index of all lines seen is a set of runs in the shared folder: tables of (h1, h2, n_docs), each
-sorted by hash. A batch of documents is merged against the runs (an equi-join on the hash, which
-Spark carries out as a merge join on large runs), and then adds its own counts as a run of level 0. When a level holds
+sorted by hash. A new batch of documents is first merged against the keys the runs hold often enough (an anti-join on the
+hash, which Spark carries out as a merge join on large runs); what is left of it adds its own counts as a run of level 0. When a level holds
 `fanout` runs they are summed into one run of the next level, so a line is rewritten as often as
 there are levels, and a look-up reads few runs however many batches came before.
 
 A line's key is the line without blanks at both ends, A-Z in lower case. Keys are compared by two
-64-bit hashes. Everything here is DataFrame code.
+64-bit hashes, taken once: they are stored per document, batch by batch, and both the index and the drop read them from there. Lines whose
+keys do not count have none and meet no join. Everything here is DataFrame code.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from tarnlake.llm.common import row_key, staged, work_path
 
@@ -42,22 +44,22 @@ def key_hash(key: Column, min_chars: int = 1) -> Column:
     return F.when(F.char_length(key) >= min_chars, pair)
 
 
-def line_hashes(docs: DataFrame, min_chars: int = 1) -> DataFrame:
-    """One row per line: (doc_id, text_key, pos, h1, h2). Lines whose keys do not count have null hashes."""
+def hashed(docs: DataFrame, min_chars: int = 1) -> DataFrame:
+    """One row per document: (doc_id, text_key, lines), the hashes of its lines in order, null where a key does not count."""
     keyed = F.transform(split_lines(F.col("text")), lambda line: key_hash(line_key(line), min_chars))
-    return docs.select(*row_key(), F.posexplode(keyed).alias("pos", "h")).select(
-        "doc_id", "text_key", "pos", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
+    return docs.select(*row_key(), keyed.alias("lines"))
 
 
-def document_counts(docs: DataFrame, min_chars: int = 1, by: Sequence[str] = ()) -> DataFrame:
-    """(h1, h2, n_docs): documents (rows) that hold each key, counted once per document, and apart for each value of the columns `by`.
+def document_counts(hashes: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(h1, h2, n_docs): documents (rows) that hold each key, counted once per document, without the keys in `known`.
 
     Distinct per document needs no shuffle, and counts are combined before theirs, so a line that
     is in every document costs one row per task.
     """
-    keyed = F.array_distinct(F.transform(split_lines(F.col("text")), lambda line: key_hash(line_key(line), min_chars)))
-    lines = docs.select(*by, F.explode(keyed).alias("h")).filter("h IS NOT NULL").select(*by, "h.h1", "h.h2")
-    return lines.groupBy(*by, "h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
+    lines = hashes.select(F.explode(F.array_distinct("lines")).alias("h")).filter("h IS NOT NULL").select("h.h1", "h.h2")
+    if known is not None:
+        lines = lines.join(known, ["h1", "h2"], "left_anti")
+    return lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 class LineRuns:
@@ -73,17 +75,14 @@ class LineRuns:
 
     def add(self, batch: DataFrame) -> None:
         """Add the counts of a batch as a run, and compact levels that are full."""
-        self._push(0, document_counts(batch, self.min_chars))
-
-    def add_cut(self, docs: DataFrame, n: int) -> None:
-        """Add `docs` as `n` batches cut by a hash of the row key. The rows are read once, however many batches there are."""
-        path = work_path(self.spark, "line-batches")
-        batch = F.pmod(F.xxhash64(*row_key()), F.lit(n)).cast("int")
-        counts = document_counts(docs.select("text", batch.alias("batch")), self.min_chars, ["batch"])
-        counts.write.partitionBy("batch").parquet(path)
-        cut = self.spark.read.schema(f"{RUN_SCHEMA}, batch int").parquet(path)
-        for i in range(n):
-            self._push(0, cut.filter(F.col("batch") == i).drop("batch"))
+        self._push(0, document_counts(hashed(batch, self.min_chars)))
+
+    def add_hashed(self, batch: DataFrame, enough: int) -> None:
+        """Add a batch given by its hashes: keys that `enough` documents hold already are dropped from it, the others counted.
+
+        Counts of such keys stand still from then on, so that a line of very many documents is looked up and not summed.
+        """
+        self._push(0, document_counts(batch, self.at_least(enough) if self.runs else None))
 
     def _push(self, level: int, counts: DataFrame) -> None:
         while len(self.levels) <= level:
@@ -127,30 +126,34 @@ class LineRuns:
         return self.spark.read.schema(result.schema).parquet(path)
 
 
-def drop_lines(docs: DataFrame, dropped: DataFrame, min_chars: int = 1, spare_whole: bool = False) -> DataFrame:
+def drop_lines(docs: DataFrame, dropped: DataFrame, min_chars: int = 1, spare_whole: bool = False, hashes: DataFrame | None = None) -> DataFrame:
     """`docs` with all its columns, `text` without the lines whose key is in `dropped` (h1, h2; distinct), and two
     columns more: `n_lines` before and `n_dropped`.
 
     Only hashes are joined, never texts: the lines to drop come back as one bit per line, 64 lines to
-    a word. Null texts stay null when they lose nothing (their one line is empty). Rows that
+    a word; `hashes` are those of the documents (see `hashed`) where they are stored already. Null texts stay null when they lose nothing (their one line is empty). Rows that
     repeat an id and a text are one key and treated alike; a null id is a key like any other. Extra columns pass
     through; one called `n_lines` or `n_dropped` is replaced. Joining on row keys leaves a row in one piece, so a
     document must fit in memory, as it does when it is read. With `spare_whole` a text that would be left without a word
     loses nothing.
     """
-    word = F.floor(F.col("pos") / 64).cast("int").alias("word")
-    bit = F.expr("CASE WHEN hit IS NOT NULL THEN shiftleft(1L, pos % 64) ELSE 0L END")
-    hits = line_hashes(docs, min_chars).join(dropped.withColumn("hit", F.lit(1)), ["h1", "h2"], "left")
-    words = hits.groupBy("doc_id", "text_key", word).agg(F.bit_or(bit).alias("bits"))
+    hashes = hashed(docs, min_chars) if hashes is None else hashes
+    lines = hashes.select("doc_id", "text_key", F.posexplode("lines").alias("pos", "h")).filter("h IS NOT NULL")
+    hits = lines.select("doc_id", "text_key", "pos", "h.h1", "h.h2").join(dropped, ["h1", "h2"])
+    words = hits.groupBy("doc_id", "text_key", F.expr("cast(pos div 64 AS int)").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
+    # words without a line to drop are missing: up to the last one they are put in
+    filled = F.aggregate(
+        "words", F.array().cast("array<bigint>"),
+        lambda out, w: F.concat(out, F.array_repeat(F.lit(0).cast("long"), w["word"] - F.size(out)), F.array(w["bits"])))
     marks = (
         words.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
-        .filter(F.exists("words", lambda w: w["bits"] != 0))
-        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("words.bits").alias("__bits"))
+        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), filled.alias("__bits"))
     )
     keyed = docs.drop("n_lines", "n_dropped").withColumn("__own", row_key()[1])
     joined = keyed.join(marks, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left")
     left = """filter(split(coalesce(text, ''), '\\n', -1),
-        (line, i) -> (shiftright(element_at(__bits, cast(i div 64 + 1 as int)), i % 64) & 1L) = 0)"""
+        (line, i) -> (shiftright(coalesce(try_element_at(__bits, cast(i div 64 + 1 as int)), 0L), i % 64) & 1L) = 0)"""
     kept = F.array_join(F.expr(left), "\n")
     if spare_whole:
         solid = F.exists(F.expr(left), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
@@ -164,40 +167,20 @@ def drop_lines(docs: DataFrame, dropped: DataFrame, min_chars: int = 1, spare_wh
     )
 
 
-def _is_scan(docs: DataFrame) -> bool:
-    """Whether the rows are those of files, with no more done than choosing columns."""
-    plan = docs._jdf.queryExecution().analyzed()
-    while plan.nodeName() == "Project":
-        items = plan.projectList()
-        if any(items.apply(i).getClass().getSimpleName() != "AttributeReference" for i in range(items.size())):
-            return False
-        plan = plan.children().head()
-    return plan.nodeName() == "LogicalRelation"
-
-
-def batches(docs: DataFrame, n: int) -> list[DataFrame]:
-    """Cut a scan of files into at most `n` batches by file; anything else is one batch."""
-    files = sorted(docs.inputFiles()) if n > 1 and _is_scan(docs) else []
-    if len(files) < 2:
-        return [docs]
-    size = -(-len(files) // n)
-    groups = [files[i:i + size] for i in range(0, len(files), size)]
-    return [docs.sparkSession.read.schema(docs.schema).parquet(*group) for group in groups]
-
-
 def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batches: int = 8,
                       spare_whole: bool = False) -> DataFrame:
     """Index `docs` (a table) in `n_batches` batches, then drop the lines that at least `min_docs` of its documents hold.
 
-    Batches are groups of files where there are files for all of them, else they are cut by a hash of the row key.
-    The count is over all documents, so lines can be dropped only when all batches are in: one join with the summed runs takes the
-    place of the anti-join of each batch, which `LineRuns.drop_known` makes. `spare_whole`: as in `drop_lines`.
+    Lines are hashed once and stored, in batches by a hash of the row key. Each batch is anti-joined with the keys that the runs before
+    it hold often enough, and adds its own. As the count is over all documents, the lines of earlier batches can be dropped only when all
+    batches are in: one join with the keys that are common by then. `spare_whole`: as in `drop_lines`.
     """
-    runs = LineRuns(docs.sparkSession, min_chars=min_chars)
-    parts = batches(docs, n_batches)
-    if len(parts) < n_batches:
-        runs.add_cut(docs.select("doc_id", "text"), n_batches)
-    else:
-        for batch in parts:
-            runs.add(batch.select("doc_id", "text"))
-    return drop_lines(docs, runs.at_least(min_docs), min_chars, spare_whole)
+    spark, path = docs.sparkSession, work_path(docs.sparkSession, "line-hashes")
+    rows = hashed(docs.select("doc_id", "text"), min_chars)
+    batch = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(n_batches)).cast("int")
+    rows.withColumn("batch", batch).write.partitionBy("batch").parquet(path)
+    schema = StructType([*rows.schema.fields]).add("batch", IntegerType())
+    stored, runs = spark.read.schema(schema).parquet(path), LineRuns(spark, min_chars=min_chars)
+    for i in range(n_batches):
+        runs.add_hashed(stored.filter(F.col("batch") == i), min_docs)
+    return drop_lines(docs, runs.at_least(min_docs), min_chars, spare_whole, stored.drop("batch"))

@@ -34,15 +34,30 @@ def test_edge_rows(edge_docs, texts, min_docs, min_chars, n_batches):
     assert "source" in out.columns and out.columns.count("n_dropped") == 1
 
 
-def test_batches_hold_what_was_asked_for(edge_docs, texts):
-    """Files are read by themselves only where the rows are those of the files."""
-    assert len(lines.batches(edge_docs, 3)) > 1 and len(lines.batches(edge_docs.select("text", "doc_id"), 3)) > 1
-    few = edge_docs.filter("doc_id < 105")
-    other = edge_docs.withColumn("text", F.upper("text"))
-    assert len(lines.batches(few, 3)) == len(lines.batches(other, 3)) == 1
-    assert result(lines.drop_common_lines(few, 4, 1, 3)) == brute([r for r in texts if r[0] is not None and r[0] < 105], 4)
-    parts = lines.batches(edge_docs.select("doc_id", "text"), 3)
-    assert sorted((tuple(r) for p in parts for r in p.collect()), key=str) == sorted(texts, key=str)
+@pytest.mark.parametrize("kind", ["json", "orc"])
+def test_inputs_that_are_no_parquet(spark, edge_docs, texts, tmp_path, kind):
+    path = str(tmp_path / "other")
+    edge_docs.select("doc_id", "text").repartition(16).write.format(kind).save(path)
+    docs = spark.read.format(kind).schema("doc_id long, text string").load(path)
+    assert result(lines.drop_common_lines(docs, 10, 1, 3)) == brute(texts, 10)
+    assert result(lines.drop_common_lines(docs.filter("doc_id < 105"), 4, 1, 3)) == brute([r for r in texts if r[0] is not None and r[0] < 105], 4)
+
+
+def test_keys_that_are_common_already_are_dropped_from_later_batches(spark, monkeypatch):
+    """What earlier batches hold often enough is anti-joined away: later runs have no row for it."""
+    rows = [(i, f"every document has this\nonly {i}") for i in range(400)]
+    docs, seen = spark.createDataFrame(rows, "doc_id long, text string"), []
+    count = lines.document_counts
+
+    def counted(batch, known=None):
+        out = count(batch, known)
+        seen.append((0 if known is None else known.count(), out.filter("n_docs > 1").count(), out.count()))
+        return out
+
+    monkeypatch.setattr(lines, "document_counts", counted)
+    out = lines.drop_common_lines(docs, 10, 1, 4)
+    assert result(out) == brute(rows, 10)
+    assert [s[:2] for s in seen] == [(0, 1), (1, 0), (1, 0), (1, 0)] and sum(s[2] for s in seen) == 401
 
 
 def test_many_lines_in_one_text(spark):
