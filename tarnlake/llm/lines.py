@@ -26,9 +26,13 @@ _SEED = "line"
 RUN_SCHEMA = "h1 long, h2 long, n_docs long"
 
 
-def line_key(line: Column) -> Column:
-    """Key under which lines count as equal."""
-    bare = F.btrim(line, F.lit(BLANKS))
+def line_keys(text: Column) -> Column:
+    """Keys of a text's lines, under which lines count as equal. Each step has an array of its own, so that none is evaluated twice."""
+    return F.transform(F.transform(split_lines(text), lambda line: F.btrim(line, F.lit(BLANKS))), _lowered)
+
+
+def _lowered(bare: Column) -> Column:
+    """A-Z in lower case."""
     ascii_only = F.octet_length(bare) == F.char_length(bare)       # then lower() changes A-Z alone, and faster
     return F.when(ascii_only, F.lower(bare)).otherwise(F.translate(bare, _UPPER, _LOWER))
 
@@ -46,7 +50,7 @@ def key_hash(key: Column, min_chars: int = 1) -> Column:
 
 def hashed(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     """One row per document: (doc_id, text_key, lines), the hashes of its lines in order, null where a key does not count."""
-    keyed = F.transform(split_lines(F.col("text")), lambda line: key_hash(line_key(line), min_chars))
+    keyed = F.transform(line_keys(F.col("text")), lambda key: key_hash(key, min_chars))
     return docs.select(*row_key(), keyed.alias("lines"))
 
 
