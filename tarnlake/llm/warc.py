@@ -27,6 +27,7 @@ from tarnlake.llm.common import arrow_map, staged, work_path
 
 ARCHIVE_BYTES = 1 << 28       # an archive is closed once it is this large
 RANGE_BYTES = 1 << 23         # most bytes fetched by one read, unless one record is larger
+TASK_BYTES = 1 << 27          # archive bytes a task reads at most, roughly
 GAP_BYTES = 1 << 16           # unwanted bytes worth reading over
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,12 +50,19 @@ def _safe(value: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", value)
 
 
+def _response_id(page_id: str, own: str) -> str:
+    """Record id of the response for a page's payload: it follows from both, so that revisits can name it wherever they are written."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{_urn(page_id)} sha1:{own}')}>"
+
+
 def record(page_id: str | None, url: str | None, payload: bytes, refers_to: str | None, is_response: bool) -> tuple[bytes, str]:
-    """One compressed record, and the digest of its payload. A revisit keeps the HTTP head, which tells the payload's size."""
+    """One compressed record, and the digest of its payload. A revisit keeps the HTTP head, which tells the payload's size, and names the
+    response's record and its page."""
     own = digest(payload)
+    known = is_response and page_id is not None
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + payload if is_response else http
-    head = ["WARC/1.1", f"WARC-Type: {'response' if is_response else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>",
+    head = ["WARC/1.1", f"WARC-Type: {'response' if is_response else 'revisit'}", f"WARC-Record-ID: {_response_id(page_id, own) if known else f'<urn:uuid:{uuid.uuid4()}>'}",
             f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{own}", "Content-Type: application/http; msgtype=response",
             f"Content-Length: {len(block)}"]
     if page_id is not None:
@@ -64,7 +72,7 @@ def record(page_id: str | None, url: str | None, payload: bytes, refers_to: str
     if not is_response:
         head.append(f"WARC-Profile: {REVISIT_PROFILE}")
         if refers_to is not None:
-            head.append(f"WARC-Refers-To: {_urn(refers_to)}")
+            head += [f"WARC-Refers-To: {_response_id(refers_to, own)}", f"WARC-Refers-To-Page: {_urn(refers_to)}"]
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     raw = "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
     return packer.compress(raw) + packer.flush(), own
@@ -138,7 +146,7 @@ def parse(member: bytes) -> dict:
         return fields[name].removeprefix("<urn:page:").removesuffix(">") if name in fields else None
 
     return {"page_id": page("WARC-Page-ID"), "url": fields.get("WARC-Target-URI"), "payload_bytes": size, "payload_digest": own,
-            "record_type": kind, "refers_to": page("WARC-Refers-To"), "payload": payload if kind == "response" else None}
+            "record_type": kind, "refers_to": page("WARC-Refers-To-Page"), "payload": payload if kind == "response" else None}
 
 
 def ranges(rows: Iterator[tuple[str, int, int]], range_bytes: int, gap_bytes: int) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
@@ -181,12 +189,17 @@ def read_records(folder: str, chosen: DataFrame, with_payload: bool = True, rang
                  gap_bytes: int = GAP_BYTES) -> DataFrame:
     """The records of the chosen index rows: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
 
-    Ids are text. Index rows are dealt out by archive and stretch of `range_bytes`, so the work spreads
-    evenly however few archives there are. A revisit's payload is null; that of the page it refers to is the same.
+    Ids are text. Index rows are dealt out by archive and stretch of at most `range_bytes`, so the work spreads
+    evenly however few archives there are, and over as many tasks as the archives' bytes ask for, not the index's: their sum is looked up when this
+    is called. A revisit's payload is null; that of the page it refers to is the same.
     """
+    total = chosen.agg(F.sum("length")).first()[0] or 0
+    wide = 4 * chosen.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-total // TASK_BYTES), min(wide, total >> 20))
+    stretch = max(1, min(range_bytes, total // (4 * tasks)))
     places = (
         chosen.select("archive", "offset", "length")
-        .repartition(F.col("archive"), F.expr(f"offset div {range_bytes}L"))
+        .repartition(tasks, F.col("archive"), F.expr(f"offset div {stretch}L"))
         .sortWithinPartitions("archive", "offset"))
     kinds = {pa.string(): "string", pa.int64(): "long", pa.binary(): "binary"}
     schema = ", ".join(f"{n} {kinds[t]}" for n, t in _READ if with_payload or n != "payload")

@@ -1,7 +1,10 @@
 import hashlib
+import os
+import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarnlake.llm import warc
 
@@ -76,6 +79,34 @@ def test_digest_is_base32_sha1():
     assert warc.digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
 
 
+def test_revisits_name_the_record_of_their_response(pages):
+    folder, index = warc.write_archives(pages)
+    members = []
+    for name in os.listdir(folder):
+        data = open(f"{folder}/{name}", "rb").read()
+        while data:
+            unpacker = zlib.decompressobj(31)
+            members.append(unpacker.decompress(data).partition(b"\r\n\r\n")[0].decode())
+            data = unpacker.unused_data
+    fields = [dict(line.split(": ", 1) for line in m.split("\r\n")[1:]) for m in members]
+    responses = {f["WARC-Record-ID"]: f for f in fields if f["WARC-Type"] == "response"}
+    revisits = [f for f in fields if "WARC-Refers-To" in f]
+    assert len(revisits) >= 3
+    for f in revisits:
+        named = responses[f["WARC-Refers-To"]]
+        assert named["WARC-Payload-Digest"] == f["WARC-Payload-Digest"] and named["WARC-Page-ID"] == f["WARC-Refers-To-Page"]
+
+
+def test_archives_are_read_by_several_tasks(spark):
+    rng = random.Random(1)
+    rows = [(i, f"http://a/{i}", "".join(rng.choice("abcdefghijklmnop") for _ in range(40_000))) for i in range(150)]
+    folder, index = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+    assert index.select("archive").distinct().count() == 1
+    read = warc.read_records(folder, index)
+    assert read.rdd.getNumPartitions() > 1 and read.select(F.spark_partition_id()).distinct().count() > 1
+    assert {(r["page_id"], bytes(r["payload"]).decode()) for r in read.collect()} == {(str(i), h) for i, _, h in rows}
+
+
 def test_no_rows(spark):
     folder, index = warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"))
     assert index.count() == 0 and warc.read_records(folder, index).count() == 0
