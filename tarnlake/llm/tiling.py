@@ -4,28 +4,34 @@ A document is contaminated by a benchmark item when tiles cover enough of the it
 runs of at least `min_match` words, marked longest first and never overlapping, wherever they stand, so a passage whose
 parts were moved about is still covered. Words are runs of letters, digits and bytes above ASCII; A-Z are lower-cased.
 
-The benchmark is the query set, taken in blocks of bounded size. For each block every document is
-read once: its word runs of the seed length are looked up among those of the items, a document and an item
-that share seeds are a candidate pair, and a pair whose shared seeds cover too little of the item
-is given up, since tiles cannot cover more. Remaining pairs are tiled by running Karp-Rabin matching.
-Nothing is shuffled but the few hits.
+Documents and items meet by a join of seeds, the runs of `min_match` words (a shorter item is one seed):
+
+1. the items' seeds set the bits of a filter of fixed size; documents are read once, and of their runs only those the filter passes
+   are stored, each once per document. No item goes through the driver, and the benchmark's size changes the number of rows, not of readings;
+2. counting those rows tells how frequent each seed is. An item is looked for by its rarest seeds alone, as many as it takes that a
+   document without any of them cannot reach the coverage: the other seeds cover too little of the item. Seeds that stand everywhere are thus never joined,
+   and an item of which too much is in no document at all is given up;
+3. documents that share such a seed with an item are the candidate pairs. Only their texts are shuffled; a pair whose shared seeds cover too little is given
+   up, the others are tiled by running Karp-Rabin matching.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tarnlake.llm import tokens
-from tarnlake.llm.common import arrow_map, row_key, staged
+from tarnlake.llm.common import arrow_map, row_key, ship, staged
 
 MIN_MATCH = 5
 COVERAGE = 0.8
-BLOCK_WORDS = 1 << 20          # words of benchmark text held by a task at a time
-_BITMAP = 1 << 22
+_ITEM_WORDS = 1 << 20          # words of items a task keeps at hand
+FILTER_BITS = 25               # the filter has 2^25 bits, 4 MB
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 SEPARATOR = np.ones(256, dtype=bool)
@@ -39,63 +45,78 @@ def _words(texts: pa.Array) -> tuple[tokens.Words, np.ndarray]:
     return w, tokens.word_hashes(w)
 
 
-class Block:
-    """Seeds of some items: for each seed length its hashes, sorted, with the (item, position) they stand at."""
-
-    def __init__(self, ids: list, texts: list[str | None], min_match: int):
-        w, hashes = _words(pa.array(texts, pa.large_string()))
-        self.ids = ids
-        self.items = [hashes[lo:hi] for lo, hi in zip(w.first[:-1], w.first[1:])]
-        self.sizes = w.counts
-        self.lengths = np.minimum(self.sizes, min_match)         # an item shorter than a tile must match as a whole
-        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
-        doc, left = w.doc, w.positions_left()
-        within = np.arange(len(doc)) - w.first[:-1][doc] if len(doc) else doc
-        for length in sorted(set(self.lengths.tolist()) - {0}):
-            at = np.flatnonzero((self.lengths[doc] == length) & (left >= length))
-            grams = tokens.gram_hashes(hashes, length)[at]
-            order = np.argsort(grams, kind="stable")
-            bitmap = np.zeros(_BITMAP, dtype=bool)
-            bitmap[grams & np.uint64(_BITMAP - 1)] = True
-            self.seeds[length] = grams[order], doc[at][order], within[at][order], bitmap
-
-
-def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every position of the ranges lo..hi, and which range it belongs to."""
-    sizes = hi - lo
-    owner = np.repeat(np.arange(len(lo)), sizes)
-    return lo[owner] + np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner], owner
-
-
-def _candidates(block: Block, w: tokens.Words, hashes: np.ndarray, coverage: float) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(document, item, positions of shared seeds in the document) where the seeds cover enough of the item."""
-    left, doc = w.positions_left(), w.doc
-    for length, (grams, item, within, bitmap) in block.seeds.items():
-        own = tokens.gram_hashes(hashes, length)
-        at = np.flatnonzero(bitmap[own & np.uint64(_BITMAP - 1)] & (left >= length))
-        lo, hi = np.searchsorted(grams, own[at], "left"), np.searchsorted(grams, own[at], "right")
-        at, lo, hi = at[hi > lo], lo[hi > lo], hi[hi > lo]
-        if not len(at):
-            continue
-        # Coverage needs each seed of a document once, however often it repeats there.
-        pair = np.unique(np.stack([doc[at], lo, hi]), axis=1)
-        entry, owner = _ranges(pair[1], pair[2])
-        d, i = pair[0][owner], item[entry]
-        key = d * len(block.ids) + i
-        order = np.lexsort((within[entry], key))
-        key, place = key[order], within[entry][order]
-        gap = np.diff(place, prepend=0)
-        first = np.concatenate(([True], key[1:] != key[:-1]))
-        gain = np.where(first | (gap > length), length, gap)        # words a seed covers beyond the one before
-        starts = np.flatnonzero(first)
-        bound = np.add.reduceat(gain, starts)
-        found = key[starts]
-        good = bound >= np.ceil(coverage * block.sizes[found % len(block.ids)] - 1e-9)
-        for k in found[good].tolist():
-            d, i = divmod(k, len(block.ids))
-            entries = np.flatnonzero(item == i)
-            mine = (doc[at] == d) & np.isin(own[at], grams[entries])
-            yield d, i, at[mine]
+def _seeder(min_match: int):
+    """Seeds of each item: (item, words, length, seed, within), one row per seed and place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tokens.chunks(batch):
+                w, hashes = _words(part.column(1))
+                length = np.minimum(w.counts, min_match)           # an item shorter than a tile must match as a whole
+                doc, left = w.doc, w.positions_left()
+                for n in sorted(set(length.tolist()) - {0}):
+                    at = np.flatnonzero((length[doc] == n) & (left >= n))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(doc[at])), pa.array(w.counts[doc[at]].astype(np.int64)),
+                         pa.array(np.full(len(at), n, np.int32)), pa.array(tokens.gram_hashes(hashes, n)[at].view(np.int64)),
+                         pa.array((at - w.first[doc[at]]).astype(np.int32))], ["item", "words", "length", "seed", "within"])
+    return run
+
+
+def seed_filter(seeds: DataFrame) -> tuple[list[int], np.ndarray]:
+    """Lengths of the seeds, and a bit per value of their last bits, put together from Spark's bitmaps of 32,768 bits."""
+    bit = F.col("seed").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
+    marked = seeds.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("position"))
+    parts = marked.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")).collect()      # at most 1,024 of 4 KB
+    bits = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for r in parts:
+        at = (r["bucket"] - 1) * 4096
+        bits[at:at + 4096] = np.frombuffer(r["bits"], np.uint8)
+    return [r["length"] for r in seeds.select("length").distinct().collect()], bits
+
+
+def _prober(shared):
+    """Runs of each document that the filter passes: (doc_id, text_key, length, seed), each once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths, bits = shared.value
+        for batch in batches:
+            for part in tokens.chunks(batch):
+                w, hashes = _words(part.column(2))
+                left, doc = w.positions_left(), w.doc
+                for n in lengths:
+                    own = tokens.gram_hashes(hashes, n)
+                    low = (own & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+                    at = np.flatnonzero((bits[low >> 3] >> (low & 7).astype(np.uint8) & 1).astype(bool) & (left >= n))
+                    order = at[np.lexsort((own[at], doc[at]))]
+                    if not len(order):
+                        continue
+                    fresh = np.concatenate(([True], (own[order][1:] != own[order][:-1]) | (doc[order][1:] != doc[order][:-1])))
+                    rows = pa.array(doc[order][fresh])
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(rows), part.column(1).take(rows), pa.array(np.full(len(rows), n, np.int32)),
+                         pa.array(own[order][fresh].view(np.int64))], ["doc_id", "text_key", "length", "seed"])
+    return run
+
+
+def covered(within: np.ndarray, length: int) -> int:
+    """Words that seeds at these places cover."""
+    place = np.unique(within)
+    return int(np.minimum(np.diff(place, append=place[-1] + length), length).sum()) if len(place) else 0
+
+
+def _telling(coverage: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """The rarest seeds of one item, as many as leave too little of it without them."""
+        need, length = math.ceil(coverage * int(rows["words"].iloc[0]) - 1e-9), int(rows["length"].iloc[0])
+        seeds = rows.groupby("seed").agg(docs=("docs", "first")).reset_index().sort_values(["docs", "seed"])
+        rank = dict(zip(seeds["seed"], range(len(seeds))))
+        place, turn = rows["within"].to_numpy(), rows["seed"].map(rank).to_numpy()
+        low, high = 1, len(seeds)                                # how many are taken; all leave nothing
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (low, middle) if covered(place[turn >= middle], length) < max(need, 1) else (middle + 1, high)
+        taken = seeds[:low]
+        return pd.DataFrame({"item": rows["item"].iloc[0], "length": length, "seed": taken["seed"], "docs": taken["docs"]})
+    return run
 
 
 def tile(item: list[int], text: list[int | None], min_match: int) -> list[tuple[int, int, int]]:
@@ -160,57 +181,79 @@ def _windows(seq: list, used: list[bool], size: int) -> Iterator[tuple[int, int]
             yield k - size + 1, h
 
 
-def _tiled(block: Block, i: int, hashes: np.ndarray, at: np.ndarray) -> int:
-    """Words of item i that tiles cover, given where the document's seeds stand; other words cannot be part of a tile."""
-    length = int(block.lengths[i])
-    keep = np.unique((at[:, None] + np.arange(length)).ravel())
-    breaks = np.flatnonzero(np.diff(keep) > 1) + 1
-    text: list[int | None] = []
-    for part in np.split(hashes[keep], breaks):
-        text += [*part.tolist(), None]
-    return sum(n for _, _, n in tile(block.items[i].tolist(), text, length))
-
-
-def _searcher(shared, coverage: float):
+def _tiler(min_match: int, coverage: float):
+    """Pairs of a document and an item: the words that tiles cover, for pairs where they are enough. A document's pairs come one after the other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: Block = shared.value
+        known: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+        items: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in tokens.chunks(batch):
-                w, hashes = _words(part.column(2))
-                rows = [(d, i, _tiled(block, i, hashes, at)) for d, i, at in _candidates(block, w, hashes, coverage)]
-                rows = [(d, i, n) for d, i, n in rows if n >= coverage * block.sizes[i] - 1e-9]
-                if rows:
-                    docs = pa.array([r[0] for r in rows])
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(docs), part.column(1).take(docs), pa.array([block.ids[r[1]] for r in rows]),
-                         pa.array([r[2] for r in rows], pa.int64()),
-                         pa.array([int(block.sizes[r[1]]) for r in rows], pa.int64())],
-                        ["doc_id", "text_key", "item_id", "matched", "item_words"])
+            keep, matched, sizes = [], [], []
+            for row, (text, item) in enumerate(zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())):
+                if text != known[0]:
+                    known = text, _words(pa.array([text], pa.large_string()))[1]
+                if item not in items:
+                    if sum(map(len, items.values())) > _ITEM_WORDS:
+                        items.clear()
+                    items[item] = _words(pa.array([item], pa.large_string()))[1]
+                own, length = items[item], min(min_match, len(items[item]))
+                n = _matched(own, known[1], length, coverage)
+                if n >= coverage * len(own) - 1e-9:
+                    keep.append(row)
+                    matched.append(n)
+                    sizes.append(len(own))
+            rows = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), batch.column(3).take(rows), pa.array(matched, pa.int64()),
+                 pa.array(sizes, pa.int64())], ["doc_id", "text_key", "item_id", "matched", "item_words"])
     return run
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
-         block_words: int = BLOCK_WORDS) -> DataFrame:
+def _matched(item: np.ndarray, text: np.ndarray, length: int, coverage: float) -> int:
+    """Words of the item that tiles cover, 0 where its seeds in the text cover too few."""
+    if not length or len(text) < length:
+        return 0
+    seeds, runs = (tokens.gram_hashes(h, length)[:len(h) - length + 1] for h in (item, text))
+    if covered(np.flatnonzero(np.isin(seeds, runs)), length) < coverage * len(item) - 1e-9:
+        return 0
+    at = np.flatnonzero(np.isin(runs, seeds))
+    keep = np.unique((at[:, None] + np.arange(length)).ravel())         # other words cannot be part of a tile
+    found: list[int | None] = []
+    for part in np.split(text[keep], np.flatnonzero(np.diff(keep) > 1) + 1):
+        found += [*part.tolist(), None]
+    return sum(n for _, _, n in tile(item.tolist(), found, length))
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, text_key, item_id, matched, item_words) of every document and item it contaminates.
 
     Items of fewer than `min_match` words must be found as a whole; null or empty items, and null or empty
-    texts, match nothing. Items that repeat give repeated hits only for different ids. An empty benchmark gives no hits.
+    texts, match nothing. Items that repeat give repeated hits only for different ids; rows of documents that repeat have theirs each. An empty benchmark gives no hits. `coverage`
+    must be above 0. The seeds, the runs that pass the filter and the seeds looked for are written when this is called.
     """
+    if not 0 < coverage <= 1:
+        raise ValueError("coverage must be above 0 and at most 1")
     spark = docs.sparkSession
-    items = staged(benchmark.select("item_id", "text").filter("text IS NOT NULL").distinct(), "tiling-items")
-    total = items.agg(F.sum(F.regexp_count("text", F.lit(r"\S+")))).first()[0] or 0
-    blocks = max(1, -(-int(total) // block_words))
+    items = staged(benchmark.select("item_id", F.col("text").cast("string").alias("item_text")).filter("item_text IS NOT NULL").distinct().withColumn(
+        "item", F.xxhash64("item_text")), "tiling-items")
+    texts = items.groupBy("item").agg(F.min("item_text").alias("text"))
+    seeds = staged(arrow_map(texts, _seeder(min_match), "item long, words long, length int, seed long, within int"), "tiling-seeds")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    shared = spark.sparkContext.broadcast(seed_filter(seeds))    # of fixed size
     rows = docs.select("doc_id", row_key()[1], "text")
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, " + HIT_SCHEMA.format(
-        item=benchmark.schema["item_id"].dataType.simpleString())
-    found = spark.createDataFrame([], schema)
-    for b in range(blocks):      # a stated query set, one block of bounded size after the other
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        if part:
-            block = Block([r["item_id"] for r in part], [r["text"] for r in part], min_match)
-            shared = spark.sparkContext.broadcast(block)
-            found = found.unionAll(arrow_map(rows, _searcher(shared, coverage), schema))
-    return found
+    runs = staged(arrow_map(rows, _prober(shared), f"doc_id {kind}, text_key long, length int, seed long"), "tiling-runs")
+    shared.destroy()
+    ship(spark)
+    key = ["length", "seed"]
+    counted = seeds.join(staged(runs.groupBy(*key).agg(F.count(F.lit(1)).alias("docs")), "tiling-counts"), key, "left").fillna(0, ["docs"])
+    telling = staged(counted.groupBy("item").applyInPandas(
+        _telling(coverage), "item long, length int, seed long, docs long").filter("docs > 0"), "tiling-telling")
+    pairs = runs.join(telling.select(*key, "item"), key).select("doc_id", "text_key", "item").distinct()
+    wanted = staged(pairs.join(items, "item").select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "item_id", "item_text"), "tiling-pairs")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
+    met = rows.join(wanted, same).select("doc_id", "text_key", "text", "item_id", "item_text").sortWithinPartitions("doc_id", "text_key")
+    schema = f"doc_id {kind}, " + HIT_SCHEMA.format(item=benchmark.schema["item_id"].dataType.simpleString())
+    return arrow_map(met, _tiler(min_match, coverage), schema)
 
 
 def verdicts(docs: DataFrame, found: DataFrame) -> DataFrame:

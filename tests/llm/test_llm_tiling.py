@@ -1,8 +1,11 @@
+import os
 import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tarnlake import session
 from tarnlake.llm import tiling
 
 
@@ -73,12 +76,13 @@ def cases():
     return docs + [(39, docs[-1][1]), (None, items[2][1])], items
 
 
-@pytest.mark.parametrize("block_words, coverage", [(1 << 20, 0.8), (60, 0.8), (1 << 20, 0.4)])
-def test_hits_are_those_of_brute_force(spark, cases, block_words, coverage):
+@pytest.mark.parametrize("filter_bits, coverage", [(25, 0.8), (15, 0.8), (25, 0.4), (25, 1.0)])
+def test_hits_are_those_of_brute_force(spark, cases, filter_bits, coverage, monkeypatch):
+    monkeypatch.setattr(tiling, "FILTER_BITS", filter_bits)
     docs, items = cases
     left = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, item_id string")
     right = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int")
-    found = tiling.hits(left, right, 5, coverage, block_words)
+    found = tiling.hits(left, right, 5, coverage)
     want = brute_hits(docs, items, 5, coverage)
     assert {(r["doc_id"], r["item_id"], r["matched"], r["item_words"]) for r in found.collect()} == want
     rows = tiling.verdicts(left, found).collect()
@@ -104,3 +108,32 @@ def test_no_rows(spark, edge_docs, no_docs):
     assert tiling.verdicts(edge_docs, tiling.hits(edge_docs, nothing)).filter("contaminated").count() == 0
     some = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert tiling.hits(no_docs, some).count() == 0
+
+
+def test_frequent_seeds_are_not_joined(spark):
+    """Every document and item begins alike; pairs come from the rare seeds, so there are as many as hits."""
+    rng = random.Random(3)
+    head = "this line stands in front of every text there is"
+    items = [(i, f"{head} " + " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(30))) for i in range(30)]
+    docs = [(d, f"{head} " + (items[d % 30][1] if d < 60 else " ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(30)))) for d in range(600)]
+    found = tiling.hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(d, d % 30) for d in range(60)]
+    made = [n for n in os.listdir(session.shared_root(spark)) if n.startswith("tiling-pairs")]
+    newest = max(made, key=lambda n: os.path.getmtime(f"{session.shared_root(spark)}/{n}"))
+    assert spark.read.parquet(f"{session.shared_root(spark)}/{newest}").count() == 60
+
+
+def test_the_corpus_is_read_once_whatever_the_benchmark(spark, edge_docs):
+    items = spark.range(3000).select("id", F.concat_ws(" ", *(F.xxhash64("id", F.lit(k)) for k in range(9)))).toDF("item_id", "text")
+    reads, arrow_map = [], tiling.arrow_map
+
+    def counted(df, f, schema):
+        reads.append("text_key" in df.columns and "item_text" not in df.columns)
+        return arrow_map(df, f, schema)
+
+    tiling.arrow_map = counted
+    try:
+        assert tiling.hits(edge_docs, items).count() == 0
+    finally:
+        tiling.arrow_map = arrow_map
+    assert sum(reads) == 1
