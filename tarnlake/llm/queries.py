@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarnlake.llm import chat, codes, langid, lines, mixing, pii, repeats, rules, search, simhash, tiling, toxicity, warc
-from tarnlake.llm.common import table
+from tarnlake.llm.common import staged, table
 
 
 def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,13 +47,21 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+POLICY = "v1"
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger of the quality rules over all documents, with the verdict of policy v1."""
-    entries = rules.ledger(rules.measure(table(spark, sf_dir, "documents")))
-    return entries.select(
+    """Ledger of the quality rules over all documents, with the verdict of policy v1; for documents that one rule alone fails, that
+    rule and how many documents would come back without it, as the ablation of the policy tells."""
+    policy = rules.POLICIES[POLICY]
+    entries = staged(rules.ledger(rules.measure(table(spark, sf_dir, "documents"))), "rule-ledger")
+    costs = rules.ablations(entries, policy).select(F.col("rule").alias("lone_rule"), F.col("n_failed_alone").alias("n_alone"))
+    bits = F.col("fail_bits").bitwiseAND(F.lit(rules.policy_mask(policy)).cast("long"))
+    lone = reduce(lambda rest, rule: F.when(bits == rules.policy_mask([rule]), rule).otherwise(rest), policy, F.lit(""))
+    return entries.withColumn("lone_rule", lone).join(costs, "lone_rule", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (~rules.passes(rules.BASE)).alias("base_failed"), rules.passes(rules.POLICIES["v1"]).alias("kept"),
-        "n_lines", "fail_bits")
+        (~rules.passes(rules.BASE)).alias("base_failed"), rules.passes(policy).alias("kept"),
+        "n_lines", "fail_bits", F.lit(POLICY).alias("policy"), "lone_rule", F.coalesce("n_alone", F.lit(0)).cast("long").alias("n_alone"))
 
 
 OP4_SQL = r"""
@@ -78,9 +88,10 @@ b AS (
 SELECT doc_id, cast(n_words AS bigint) AS n_words, cast(word_chars AS bigint) AS word_chars, cast(n_symbols AS bigint) AS n_symbols,
   cast(n_dup_lines AS bigint) AS n_dup_lines, cast(n_repeat_words AS bigint) AS n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, bits = 0 AS kept,
-  cast(n_lines AS bigint) AS n_lines, cast(bits AS bigint) AS fail_bits
-FROM b
-"""
+  cast(n_lines AS bigint) AS n_lines, cast(bits AS bigint) AS fail_bits, 'v1' AS policy, coalesce(rule, '') AS lone_rule,
+  CASE WHEN rule IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY bits) END AS n_alone
+FROM b LEFT JOIN (VALUES @RULES@) r(rule, bit) ON bits = bit
+""".replace("@RULES@", ", ".join(f"('{rule}', {1 << i})" for i, rule in enumerate(rules.RULES)))
 
 
 # One large crawl, a few curated sources, the rest plain web.
