@@ -16,7 +16,6 @@ from tarnlake.session import staged, work_path
 __all__ = ["WORD", "arrow_map", "row_key", "staged", "table", "work_path"]
 
 WORD = r"[^\x20\x09-\x0D]+"
-_BATCH_ROWS = "512"
 _PACKAGE = Path(__file__).resolve().parent.parent
 _SHIPPED: set[str] = set()
 
@@ -39,9 +38,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """`mapInArrow` with batches of few rows, so that long texts do not fill a worker's memory."""
+    """`mapInArrow` with this package's code at hand. The session settings (`session.tune`) keep batches small, as rows may hold long texts."""
     ship(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _BATCH_ROWS)
     return df.mapInArrow(f, schema)
 
 
