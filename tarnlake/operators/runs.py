@@ -18,8 +18,8 @@ from tarnlake.session import staged
 
 ROWS_PER_TASK = 1 << 23
 _OVERSAMPLE = 4               # slices are planned this much smaller, for cuts that are approximate
-_CUTS = 1024                  # places at which the order of a large key can be cut
-SLICE, _HOT, _EDGE = "__slice", "__hot", "__edge"
+_CUTS = 1024                  # places at which the order of a large key, or of a slice that is still too large, can be cut
+SLICE, _HOT, _EDGE, _ALONG = "__slice", "__hot", "__edge", "__along"
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -31,32 +31,52 @@ def split(df: DataFrame, keys: Sequence[str], along: Column, rows_per_task: int
 
     `along` is the order as an integer (a sequence number, epoch microseconds). A key, NULL or not,
     of more than `rows_per_task` rows is cut at quantiles of its order, into as many slices as its row count asks
-    for, so bursts make no large slice; only rows of equal order stay together. `unsplit` removes the marks. The
+    for, so bursts make no large slice. Where that takes more than `_CUTS` places, slices that are still too large are cut again, and
+    so on; only rows of equal order stay together. `unsplit` removes the marks. The
     sizes of the keys are counted and stored when this is called.
     """
     keys = list(keys)
-    rows = df.select(*keys, along.cast("long").alias("__along"))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_task)
-    large = staged(sizes, "large-keys")
-    if large.isEmpty():
+    placed = df.withColumn(_ALONG, along.cast("long"))
+    large = _large(placed, keys, rows_per_task)
+    if large is None:
         return df
+    parts, marked = [], placed.withColumn(_HOT, F.lit(None).cast("boolean"))
+    while large is not None:
+        part = f"{SLICE}{len(parts)}"
+        cuts = _cuts(marked, [*keys, *parts], large, rows_per_task)
+        same = _same("r", "l", [*keys, *parts])
+        number = F.expr(f"size(filter(l.__cuts, c -> c < r.{_ALONG}))").cast("long")
+        marked = marked.alias("r").join(cuts.alias("l"), same, "left").select(
+            *[F.col(f"r.`{c}`") for c in marked.columns if c != _HOT], F.coalesce(number, F.lit(0)).alias(part),
+            (F.coalesce(F.col(f"r.{_HOT}"), F.lit(False)) | F.col("l.__cuts").isNotNull()).alias(_HOT))
+        parts.append(part)
+        if len(parts) * 10 > 50:                                   # 10 bits a step: more than any table has rows
+            break
+        large = _large(marked.filter(_HOT), [*keys, *parts], rows_per_task, spread=True)
+    slot = reduce(lambda a, b: a * _CUTS + b, [F.col(p) for p in parts])
+    return marked.select(*[F.col(f"`{c}`") for c in df.columns], slot.alias(SLICE), F.col(_HOT))
+
+
+def _large(placed: DataFrame, keys: list[str], rows_per_task: int, spread: bool = False) -> DataFrame | None:
+    """Keys of more than `rows_per_task` rows, if there are any; with `spread` only those whose rows differ in order, as others cannot be cut."""
+    sizes = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(_ALONG).alias("__low"), F.max(_ALONG).alias("__high"))
+    sizes = sizes.filter(F.col("__n") > rows_per_task)
+    large = staged((sizes.filter("__low < __high") if spread else sizes).drop("__low", "__high"), "large-keys")
+    return None if large.isEmpty() else large
+
+
+def _cuts(placed: DataFrame, keys: list[str], large: DataFrame, rows_per_task: int) -> DataFrame:
+    """Where to cut each of the large keys: the highest order of each slice but the last, at most `_CUTS` - 1 of them."""
     places = F.array(*(F.lit(i / _CUTS) for i in range(1, _CUTS)))
-    cuts = (
-        rows.alias("r").join(large.alias("l"), _same("r", "l", keys))
+    found = (
+        placed.alias("r").join(large.alias("l"), _same("r", "l", keys))
         .groupBy(*[F.col(f"r.`{k}`").alias(k) for k in keys])
-        .agg(F.max("l.__n").alias("__n"), F.percentile_approx("r.__along", places, 100 * _CUTS).alias("__all"))
+        .agg(F.max("l.__n").alias("__n"), F.percentile_approx(f"r.{_ALONG}", places, 100 * _CUTS).alias("__all"))
     )
     pieces = F.least(F.lit(_CUTS), F.ceil(F.col("__n") * _OVERSAMPLE / rows_per_task)).cast("int")
     wanted = F.transform(F.sequence(F.lit(1), F.greatest(pieces - 1, F.lit(1))),
                          lambda i: F.element_at("__all", (i * F.lit(_CUTS) / pieces).cast("int")))
-    large = staged(cuts.select(*keys, F.array_distinct(wanted).alias("__cuts")), "large-key-cuts")
-    marked = df.withColumn("__along", along.cast("long")).alias("r").join(large.alias("l"), _same("r", "l", keys), "left")
-    number = F.expr("size(filter(l.__cuts, c -> c < r.__along))").cast("long")
-    return marked.select(
-        *[F.col(f"r.`{c}`") for c in df.columns],
-        F.when(F.col("l.__cuts").isNotNull(), F.coalesce(number, F.lit(0))).otherwise(F.lit(0)).alias(SLICE),
-        F.col("l.__cuts").isNotNull().alias(_HOT),
-    )
+    return staged(found.select(*keys, F.array_distinct(wanted).alias("__cuts")), "large-key-cuts")
 
 
 def unsplit(df: DataFrame) -> DataFrame:

@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime settings every query of this package expects.
 #  - UTC, so timestamps mean the same in every engine the results are compared with;
 #  - AQE splits skewed join partitions even where that costs one more exchange;
+#  - Python workers get few rows at a time, as rows may hold long texts;
 #  - a task writes a few folders side by side, so that rows that lie in folders by kind need no sort.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 

@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake.operators import asof, scd2, surrogate
+from tarnlake.operators import asof, runs, scd2, surrogate
 from tarnlake.operators.cdc import latest_changes
 from tarnlake.operators.runs import carry_forward, numbered, split, unsplit
 
@@ -383,3 +383,18 @@ def test_stable_surrogate_keys(spark, tmp_path):
     # keys appended by a load that died before its line in the manifest count for nothing
     spark.createDataFrame([(50, "q", 99)], "a int, b string, sk long").write.parquet(f"{path}/app=keys/batch_id=2")
     assert {r[3] for r in numbers([(50, "q", 0)])} == {5}
+
+
+def test_slices_that_are_still_too_large_are_cut_again(spark, monkeypatch):
+    """More slices than there are cuts in one step, and rows of one order that no cut can part."""
+    monkeypatch.setattr(runs, "_CUTS", 4)
+    log = spark.range(4000).select(F.when(F.col("id") < 3600, 0).otherwise(F.col("id")).alias("k"),
+                                   F.when(F.col("id") % 10 == 0, 77).otherwise(F.col("id")).alias("at"), "id")
+    cut = split(log, ["k"], F.col("at"), 60)
+    sizes = cut.filter("k = 0").groupBy("__slice").agg(F.count("id").alias("n"), F.min("at").alias("low"), F.max("at").alias("high"))
+    rows = sorted((r["__slice"], r["low"], r["high"], r["n"]) for r in sizes.collect())
+    assert all(a[2] < b[1] for a, b in zip(rows, rows[1:]))
+    assert all(n <= 60 for _, low, high, n in rows if not low <= 77 <= high) and len(rows) > 30
+    assert all(n < 500 for _, low, high, n in rows if low <= 77 <= high)         # 361 rows are of order 77
+    rows = random_log(random.Random(4), 300, hot=0.8)
+    assert spark_history(spark.createDataFrame(rows, LOG), 3) == brute_history(rows)
