@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tarnlake.session import staged, work_path
+from tarnlake.session import staged, tune, work_path
 
 __all__ = ["WORD", "arrow_map", "row_key", "staged", "table", "work_path"]
 
@@ -38,8 +38,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """`mapInArrow` with this package's code at hand. The session settings (`session.tune`) keep batches small, as rows may hold long texts."""
-    ship(df.sparkSession)
+    """`mapInArrow` with this package's code at hand.
+
+    Rows may hold long texts, so batches must be small: Spark takes their size from the session when the plan is run, so a session that was
+    not set up by `session.tune` is set up here.
+    """
+    ship(tune(df.sparkSession))
     return df.mapInArrow(f, schema)
 
 
