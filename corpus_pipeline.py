@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tarnlake.llm import lines, mixing, rules, simhash, tiling
 from tarnlake.llm.common import table, work_path
 from tarnlake.llm.queries import MIX, MIX_DOMAIN, MIX_WEIGHTS
-from tarnlake.session import staging, tune
+from tarnlake.session import remove, staging, tune
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -59,11 +59,14 @@ ORACLE_SQL = None      # fingerprints and tiles are beyond SQL; the tests hold t
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents; each stage's rows are written and read again."""
-    docs = table(tune(spark), sf_dir, "documents")
+    """All stages over the table documents; each stage's rows are written and read again, and go when those of the next are written."""
+    docs, before = table(tune(spark), sf_dir, "documents"), None
     for name, stage in STAGES:
         path = work_path(spark, f"pipeline-{name}")
         with staging(spark):                     # what a stage stored for itself goes when its rows are written
             stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 def date_dim(days: DataFrame, column: str) -> DataFrame:
     """Calendar attributes of distinct days."""
-    d = F.col(column)
+    d = F.col(column)                 # fixed values: the names of the attributes, which readers of the dimension rely on
     return days.select(
         d.alias("sk_datekey"),
         F.year(d).alias("year"),
