@@ -39,6 +39,12 @@ def assign(df: DataFrame, name: str, order: Sequence[str] | None = None, after:
     return placed.join(starts, _PART).select(*df.columns, position.cast("long").alias(name))
 
 
+def assign_missing(df: DataFrame, name: str, order: Sequence[str], after: DataFrame) -> DataFrame:
+    """Number the rows that have no number yet, after the largest of `after`, in the order of the columns; the others keep theirs."""
+    fresh = assign(df.filter(F.col(name).isNull()).drop(name), name, order, after)
+    return df.filter(F.col(name).isNotNull()).unionByName(fresh)
+
+
 def assign_stable(df: DataFrame, name: str, keys: Sequence[str], path: str, app: str = "keys") -> DataFrame:
     """Number rows by their natural key from a map kept below `path`: a key keeps its number over all loads.
 

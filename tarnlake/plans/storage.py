@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from tarnlake.functions.wire import path_safe
 from tarnlake.operators import maintain
+from tarnlake.operators.incremental import lookback_window
 from tarnlake.plans.inputs import CHANGE_TS, LOAD_TS, Tables, customer_next, money_plus
-from tarnlake.session import work_path
+from tarnlake.session import job_parameter, job_parameters, staged, work_path
 from tarnlake.sinks import files as sinks
 from tarnlake.sources import files, snapshots
 
@@ -130,6 +135,76 @@ def _part_dim(t: Tables) -> DataFrame:
     return files.sql_table(t.spark, path)
 
 
+# The priorities of orders and the days each may take.
+_PRIORITIES = [("1-URGENT", 1), ("2-HIGH", 3), ("3-MEDIUM", 7), ("4-NOT SPECIFIED", None), ("5-LOW", 30)]
+
+
+def _inline(t: Tables) -> DataFrame:
+    """Orders per priority beside a small table written in the program."""
+    allowed = files.inline(t.spark, _PRIORITIES, "priority string, days int")
+    return t.orders.join(allowed, F.col("o_orderpriority") == F.col("priority"), "left").groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.count("days").alias("n_limited"))
+
+
+@contextmanager
+def _database(t: Tables) -> Iterator[str]:
+    """A database of its own below the shared folder. Results that read its tables must be written before the block ends."""
+    name = f"tarn_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {name} LOCATION '{work_path(t.spark, name)}'")
+    try:
+        yield name
+    finally:
+        t.spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _listed(t: Tables) -> DataFrame:
+    """Three tables saved to the catalog, listed from there and counted by name."""
+    names = ["customer", "orders", "supplier"]
+    with _database(t) as database:
+        for name in names:
+            sinks.save_as(getattr(t, name), f"{database}.{name}")
+        listed = files.tables(t.spark, database).filter(~F.col("isTemporary")).select(F.col("tableName").alias("table_name"))
+        counts = reduce(DataFrame.unionByName, [files.row_count(t.spark.table(f"{database}.{n}"), n) for n in names])
+        return staged(listed.join(counts, "table_name"), "listing")
+
+
+_COUNTED_COLUMNS = ["o_orderkey", "o_custkey", "order_day"]
+
+
+def _analyzed(t: Tables) -> DataFrame:
+    """Catalog statistics of orders."""
+    with _database(t) as database:
+        sinks.save_as(t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_day")), f"{database}.orders")
+        maintain.analyze(t.spark, f"{database}.orders", _COUNTED_COLUMNS)
+        return maintain.statistics(t.spark, f"{database}.orders", _COUNTED_COLUMNS)
+
+
+def run_window(t: Tables) -> DataFrame:
+    """What a run told its table, column and window by session settings reads: late data of three days before the window too."""
+    def given(name: str, default: str) -> str:
+        return job_parameter(t.spark, name, default)
+
+    return lookback_window(getattr(t, given("table", "events")), given("column", "ts"),
+                           datetime.fromisoformat(given("from_timestamp", "1970-01-01")), datetime.fromisoformat(given("to_timestamp", "9999-12-31")))
+
+
+def _told(t: Tables) -> DataFrame:
+    """The run told nothing, over all events, and the run told to take the orders of the first half of 1996."""
+    events = run_window(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("events").alias("table_name"), "n_rows")
+    with job_parameters(t.spark, table="orders", column="o_orderdate", from_timestamp="1996-01-01", to_timestamp="1996-07-01"):
+        orders = run_window(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("orders").alias("table_name"), "n_rows")
+    return events.unionByName(orders)
+
+
+def _run_folders(t: Tables) -> DataFrame:
+    """Events by daily run, the run's id in a form that can name a folder; written to such folders and read back."""
+    path = work_path(t.spark, "runs")
+    day = F.date_format(F.date_trunc("day", F.col("ts").cast("timestamp")), "yyyy-MM-dd'T'HH:mm:ss")
+    runs = t.events.select("event_id", path_safe(F.concat(F.lit("scheduled__"), day, F.lit("+00:00"))).alias("run_id"))
+    sinks.write_partitions(runs, path, ["run_id"])
+    return files.read_table(t.spark, path).groupBy(F.col("run_id").cast("string").alias("run_id")).agg(F.count(F.lit(1)).alias("n_events"))
+
+
 QUERIES = {
     "src_delimited_roundtrip": _inferred,
     "src_delimited_schema": _typed,
@@ -149,9 +224,27 @@ QUERIES = {
     "cluster_by_range": _clustered,
     "cluster_by_all": _clustered_by_all,
     "model_part_dim": _part_dim,
+    "src_inline_rows": _inline,
+    "src_catalog_listing": _listed,
+    "table_statistics": _analyzed,
+    "job_parameters": _told,
+    "path_safe_runs": _run_folders,
 }
 
 ORACLE = {
+    "src_inline_rows": f"""select o_orderpriority, count(*) as n_orders, count(d) as n_limited from orders left join (values
+    {', '.join(f"('{p}', {'null' if d is None else d})" for p, d in _PRIORITIES)}) a(p, d) on p = o_orderpriority group by 1""",
+    "src_catalog_listing": "\nunion all ".join(
+        f"select '{n}' as table_name, count(*) as row_count from {n}" for n in ("customer", "orders", "supplier")),
+    "table_statistics": "\nunion all ".join(
+        f"""select '{n}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_nulls,
+    cast(min({c}) as varchar) as min_value, cast(max({c}) as varchar) as max_value from orders"""
+        for n, c in (("o_orderkey", "o_orderkey"), ("o_custkey", "o_custkey"), ("order_day", "cast(o_orderdate as date)"))),
+    "job_parameters": """select 'events' as table_name, count(*) as n_rows from events
+  union all select 'orders', count(*) from orders
+    where o_orderdate >= timestamp '1995-12-29 00:00:00' and o_orderdate < timestamp '1996-07-01 00:00:00'""",
+    "path_safe_runs": """select 'scheduled__' || strftime(date_trunc('day', ts), '%Y-%m-%dT%H-%M-%S') || 'Z' as run_id, count(*) as n_events
+  from events group by 1""",
     "sink_json_partitions": "select c_custkey, c_name, c_acctbal, c_mktsegment from customer",
     "compact_table": """select 'before' as state, count(*) as n_rows, false as fewer_files from events
   union all select 'after', count(*), true from events""",

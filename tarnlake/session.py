@@ -47,6 +47,22 @@ def job_parameter(spark: SparkSession, name: str, default: str | None = None) ->
     return spark.conf.get(f"spark.app.{name}", default)
 
 
+@contextmanager
+def job_parameters(spark: SparkSession, **given: str) -> Iterator[None]:
+    """Job parameters for the block; what was set before is set again when it ends."""
+    before = {name: job_parameter(spark, name) for name in given}
+    for name, value in given.items():
+        spark.conf.set(f"spark.app.{name}", value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(f"spark.app.{name}")
+            else:
+                spark.conf.set(f"spark.app.{name}", value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the one named by the cluster.
 

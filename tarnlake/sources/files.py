@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -56,6 +57,11 @@ def head(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     return (df.orderBy(*order) if order else df).limit(n)
 
 
+def inline(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A few rows written in the program, with a DDL schema."""
+    return spark.createDataFrame([tuple(r) for r in rows], schema)
+
+
 def tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Catalog listing."""
     return spark.sql(f"SHOW TABLES{f' IN {database}' if database else ''}")

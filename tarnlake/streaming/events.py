@@ -13,6 +13,7 @@ from tarnlake.operators.latest import latest_by
 from tarnlake.session import remove
 from tarnlake.sinks import files as sinks
 from tarnlake.sources import snapshots
+from tarnlake.sources.files import head
 
 TRIGGER = "15 seconds"
 
@@ -27,9 +28,14 @@ def read_topic(spark: SparkSession, servers: str, topic: str, options: Mapping[s
     return spark.readStream.format("kafka").options(**given).load().select("value")
 
 
-def read_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same stream from JSON lines `{"value": "..."}` landing in a folder, `max_files` per micro-batch if given."""
-    reader = spark.readStream.format("json").schema("value string")
+def read_files(
+    spark: SparkSession, path: str, max_files: int | None = None, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The same stream from JSON lines `{"value": "..."}` landing in a folder, `max_files` per micro-batch if given.
+
+    `options` pass through (`recursiveFileLookup`, `pathGlobFilter`, `maxFileAge`, ...).
+    """
+    reader = spark.readStream.format("json").schema("value string").options(**(options or {}))
     return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).load(path)
 
 
@@ -67,10 +73,28 @@ def append_json(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def console(stream: DataFrame, checkpoint: str, every: str | None = TRIGGER) -> StreamingQuery:
-    """Print each micro-batch; `every=None` prints what is there and stops."""
-    writer = stream.writeStream.format("console").outputMode("append").option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)).start()
+def shown(
+    n: int = 20, order: str | Sequence[str] = (), then: Callable[[DataFrame, int], None] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Batch writer that prints the first rows of each micro-batch and hands them to `then`.
+
+    At most `n` rows come to the driver; Spark's own console format fetches the whole batch before it cuts it.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = head(batch, n, *_order(order))
+        print(f"batch {batch_id}")
+        first.show(n, truncate=False)
+        if then is not None:
+            then(first, batch_id)
+
+    return write
+
+
+def console(
+    stream: DataFrame, checkpoint: str, every: str | None = TRIGGER, n: int = 20, order: str | Sequence[str] = ()
+) -> StreamingQuery:
+    """Print the first rows of each micro-batch; `every=None` prints what is there and stops."""
+    return start(stream, shown(n, order), checkpoint, every)
 
 
 def _order(sequence_by: str | Sequence[str]) -> list[str]:
@@ -156,3 +180,8 @@ def drain(query: StreamingQuery, timeout: int | None = None) -> None:
     elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("stream did not finish in time")
+
+
+def catch_up(query: StreamingQuery) -> None:
+    """Wait until a running stream has taken all that has landed; the stream goes on. What makes it fail is raised here."""
+    query.processAllAvailable()

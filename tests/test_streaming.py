@@ -136,3 +136,52 @@ def test_console_and_processing_time(spark, sf_dir, tmp_path):
     assert sum(counted) == n and len(counted) == 3
     with pytest.raises(TimeoutError):
         streams.drain(streams.start(streams.read_files(spark, landing), lambda batch, i: None, str(tmp_path / "c3"), every="1 second"), timeout=3)
+
+
+def test_console_prints_the_first_rows_of_each_batch(spark, sf_dir, tmp_path, capsys):
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    land(spark, sf_dir, landing, files=3)
+    rows = flat(spark, landing).select("source__lsn", "op")
+    streams.drain(streams.console(rows, checkpoint, every=None, n=2, order="source__lsn"))
+    printed = capsys.readouterr().out
+    assert printed.count("batch ") == 2                      # two files per batch
+    assert sum(line.startswith("|") for line in printed.splitlines()) == 2 * (1 + 2)
+
+
+def test_shown_hands_over_no_more_than_it_prints(spark, capsys):
+    got = []
+    write = streams.shown(3, "n", then=lambda first, i: got.append((i, [r["n"] for r in first.collect()])))
+    write(spark.range(100).selectExpr("99 - id as n"), 7)
+    write(spark.range(0).selectExpr("id as n"), 8)
+    assert got == [(7, [0, 1, 2]), (8, [])]
+    assert capsys.readouterr().out.count("batch ") == 2
+
+
+def test_a_running_stream_takes_what_lands_and_raises_its_errors(spark, sf_dir, tmp_path):
+    landing, log, checkpoint = (str(tmp_path / n) for n in ("landing", "log", "checkpoint"))
+    n = land(spark, sf_dir, landing, files=1).events.count()
+    query = streams.start(flat(spark, landing), streams.append_once(log, "a"), checkpoint, every="100 milliseconds")
+    try:
+        streams.catch_up(query)
+        assert query.isActive and streams.read_log(spark, log).count() == n
+        land(spark, sf_dir, landing, files=1)
+        streams.catch_up(query)
+        assert streams.read_log(spark, log).count() == 2 * n
+    finally:
+        query.stop()
+
+    def fail(batch, batch_id):
+        raise RuntimeError("cannot write")
+
+    broken = streams.start(flat(spark, landing), fail, str(tmp_path / "other"), every="100 milliseconds")
+    with pytest.raises(Exception, match="cannot write"):
+        streams.catch_up(broken)
+
+
+def test_source_options_pass_through(spark, sf_dir, tmp_path):
+    landing, log, checkpoint = (str(tmp_path / n) for n in ("landing", "log", "checkpoint"))
+    n = land(spark, sf_dir, f"{landing}/a/b", files=2).events.count()
+    (tmp_path / "landing" / "notes.csv").write_text("not an event\n")
+    found = streams.read_files(spark, landing, options={"recursiveFileLookup": "true", "pathGlobFilter": "*.txt"})
+    streams.drain(streams.start(found, streams.append_once(log, "a"), checkpoint, every=None))
+    assert streams.read_log(spark, log).count() == n
