@@ -76,12 +76,14 @@ def append_json(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 def shown(
     n: int = 20, order: str | Sequence[str] = (), then: Callable[[DataFrame, int], None] | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Batch writer that prints the first rows of each micro-batch and hands them to `then`.
+    """Batch writer that prints the first rows of each micro-batch, in an order or as they lie, and hands them to `then`.
 
-    At most `n` rows come to the driver; Spark's own console format fetches the whole batch before it cuts it.
+    The whole batch is read, so the progress of the stream counts all its rows, but a task keeps `n` of them and at most `n` come to
+    the driver; Spark's own console format fetches the whole batch before it cuts it.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        first = head(batch, n, *_order(order))
+        by = [*_order(order), "__at"]
+        first = head(batch.withColumn("__at", F.monotonically_increasing_id()), n, *by).drop("__at")
         print(f"batch {batch_id}")
         first.show(n, truncate=False)
         if then is not None:
