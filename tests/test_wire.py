@@ -69,3 +69,14 @@ def test_hash_tells_nulls_apart(spark):
 def test_path_safe(spark):
     df = spark.createDataFrame([("manual__2025-01-01T10:20:30+00:00",)], "r string")
     assert df.select(path_safe(F.col("r"))).first()[0] == "manual__2025-01-01T10-20-30Z"
+
+
+def test_eight_bytes_need_no_wide_arithmetic(spark, monkeypatch):
+    """Values that fit a long are decoded without the arithmetic on limbs, which is interpreted row by row."""
+    monkeypatch.setattr("tarnlake.functions.wire._wide", lambda digits, negative: F.raise_error(F.lit("wide")).cast("string"))
+    values = [0, 1, -1, 127, -128, 25500, -25500, 2**55, -2**55, 10**13, -10**13]
+    df = spark.createDataFrame([(wire(n, 8), str(n)) for n in values] + [(wire(n), str(n)) for n in values], "t string, want string")
+    out = df.select(decode_decimal(F.col("t"), 0, "decimal(38,0)").cast("string").alias("got"), "want").collect()
+    assert [r.got for r in out] == [r.want for r in out]
+    ends = spark.createDataFrame([(wire(n, 8), str(n)) for n in (2**63 - 1, -2**63)], "t string, want string")
+    assert ends.filter(decode_decimal(F.col("t"), 0, "decimal(38,0)").cast("string") != F.col("want")).isEmpty()
