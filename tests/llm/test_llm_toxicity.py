@@ -144,3 +144,31 @@ def test_thresholds_by_language(spark):
     assert set(got.thresholds) == {"abcde", "vwxyz"}
     hit = got.scores(pa.array([r[1] for r in rows[:400]])) >= 0.5
     assert np.mean(hit == [r[2] == 1 for r in rows[:400]]) > 0.95
+
+
+def test_every_labelled_row_is_learnt_from(spark):
+    """Long texts too: label 1 has no others here."""
+    rows = [(i, t + " filler" * (10_000 if y else 0), y) for i, t, y in planted(100, seed=4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    got = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "label"), NO_LANGUAGES)
+    assert got.net is not None
+    assert (got.scores(pa.array([t for _, t, _ in rows])) >= 0.5).tolist() == [y == 1 for _, _, y in rows]
+
+
+def test_shards_learn_together(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 1500)
+    df = spark.createDataFrame(planted(3200), "doc_id long, text string, label int")
+    got = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "label"), NO_LANGUAGES)
+    rows = planted(400, seed=1)
+    hit = got.scores(pa.array([t for _, t, _ in rows])) >= 0.5
+    assert np.mean(hit == [y == 1 for _, _, y in rows]) > 0.9
+
+
+def test_peaks_in_pieces_are_the_same(monkeypatch):
+    net = toxicity.Net.fresh()
+    rows, first = toxicity.buckets(pa.array([t for _, t, _ in planted(30)] + ["", "a"]))
+    pools, where = net.peaks(rows, first)
+    assert np.allclose(net.odds(pools), net.forward(rows, first), atol=1e-4)
+    monkeypatch.setattr(toxicity, "_LONG", 37)
+    again, there = net.peaks(rows, first)
+    assert np.allclose(pools, again, atol=1e-5) and (where[pools > 0] == there[pools > 0]).mean() > 0.99
