@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.operators import scd2
 from tarnlake.operators.quality import complete, write_audit_publish
-from tarnlake.plans import erp, star
+from tarnlake.plans import erp, publish, star
 from tarnlake.plans.inputs import Tables, line_numbered
 from tarnlake.session import staged
 
@@ -48,3 +48,30 @@ def test_fact_derives_line_columns_after_the_joins(spark, sf_dir):
 def test_a_stored_stage_is_not_written_again(spark):
     table = staged(spark.range(3), "stage")
     assert write_audit_publish(table, [complete("id")], lambda df: df, stored=True) is table
+
+
+def test_a_bridge_builds_the_dimensions_it_joins(spark, sf_dir, monkeypatch):
+    built = []
+    layer = Tables.layer
+    monkeypatch.setattr(Tables, "layer", lambda t, name, build: built.append(name) or layer(t, name, build))
+    publish._part_supp(Tables(spark, sf_dir))
+    assert {"published_part", "published_supplier"} <= set(built)
+    assert not {"dim_order", "dim_customer", "published_order", "published_customer"} & set(built)
+    assert not {"stage_part", "stage_part_supp", "warehouse_part_supp"} & set(built)          # stored already
+
+
+def _versions(spark, rows):
+    return staged(spark.createDataFrame(rows, "sk long, v int, record_active_flag boolean, record_end_date string"), "versions")
+
+
+def test_publish_moves_closed_keys_only(no_broadcast):
+    held = _versions(no_broadcast, [(1, 1, True, "9"), (2, 2, True, "9"), (4, 4, False, "3"), (None, 5, True, "9")])
+    stage = _versions(no_broadcast, [(1, 1, True, "9"), (2, 20, False, "8"), (3, 3, True, "9"), (4, 4, False, "7"), (5, 6, True, "9"), (None, 7, True, "9")])
+    got = scd2.publish(stage, held, "sk")
+    assert sorted(got.collect(), key=lambda r: r["v"]) == sorted(
+        _versions(no_broadcast, [(1, 1, True, "9"), (2, 2, False, "8"), (4, 4, False, "3"), (None, 5, True, "9"),
+                                 (3, 3, True, "9"), (5, 6, True, "9"), (None, 7, True, "9")]).collect(), key=lambda r: r["v"])
+    assert "LeftAnti" not in _plan(got)                # rows of the stage met what they hit, whole, to be told new
+    assert sorted(r["v"] for r in scd2.publish(stage, held.limit(0), "sk").collect()) == [1, 3, 4, 6, 7, 20]
+    with pytest.raises(ValueError):
+        scd2.publish(stage.unionByName(stage), held, "sk")
