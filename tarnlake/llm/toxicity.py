@@ -48,22 +48,57 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
 
-def buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Embedding rows of every word, (words, 1 + stems), and the bounds of the documents. Row 0 is no word."""
+@dataclass
+class Vocabulary:
+    """Words of documents: the distinct ones, by a hash of 64 bits, with their embedding rows (distinct, 1 + stems), which of them
+    each word is, and the bounds of the documents. Row 0 is no word."""
+
+    distinct: np.ndarray
+    rows: np.ndarray
+    ids: np.ndarray
+    first: np.ndarray
+
+    @staticmethod
+    def joined(parts: list["Vocabulary"]) -> "Vocabulary":
+        """That of the documents of all parts, one after the other."""
+        same, distinct = pd.factorize(np.concatenate([p.distinct for p in parts]))
+        many = np.cumsum([0] + [len(p.distinct) for p in parts])
+        ids = np.concatenate([same[at:to].astype(np.int32)[p.ids] for p, at, to in zip(parts, many, many[1:])])
+        sizes = np.concatenate([np.diff(p.first) for p in parts])
+        return Vocabulary(distinct, np.concatenate([p.rows for p in parts])[_places(same, len(distinct))], ids, np.concatenate(([0], np.cumsum(sizes))))
+
+
+def _places(ids: np.ndarray, many: int) -> np.ndarray:
+    """Where each of `many` ids occurs first."""
+    out = np.empty(many, np.int64)
+    out[ids[::-1]] = np.arange(len(ids))[::-1]
+    return out
+
+
+def vocabulary(texts: pa.Array) -> Vocabulary:
+    """Words of texts. Words recur, so what follows from a word is worked out once for all its places."""
     found = tokens.words(texts, _BLANK)
-    w = tokens.Words(_LOWER[found.data], found.bounds, found.starts, found.ends, found.first)
-    whole = tokens.word_hashes(w)
-    rows = np.empty((len(whole), 1 + len(STEMS)), np.int32)
-    rows[:, 0] = whole % np.uint64(BUCKETS - 1) + np.uint64(1)
-    length, run = w.ends - w.starts, np.zeros(len(whole), np.uint64)
+    data = _LOWER[found.data]
+    ids, distinct = pd.factorize(tokens.word_hashes(tokens.Words(data, found.bounds, found.starts, found.ends, found.first)))
+    at = _places(ids, len(distinct))
+    starts, length = found.starts[at], (found.ends - found.starts)[at]
+    rows = np.empty((len(distinct), 1 + len(STEMS)), np.int32)
+    rows[:, 0] = distinct % np.uint64(BUCKETS - 1) + np.uint64(1)
+    run = np.zeros(len(distinct), np.uint64)
     for size in range(1, max(STEMS) + 1):
         held = length >= size
-        letter = np.where(held, w.data[np.minimum(w.starts + size - 1, max(len(w.data) - 1, 0))] if len(w.data) else 0, 0)
+        letter = np.where(held, data[np.minimum(starts + size - 1, max(len(data) - 1, 0))] if len(data) else 0, 0)
         run = run * np.uint64(257) + letter.astype(np.uint64) + np.uint64(1)
         if size in STEMS:
             stem = tokens.mix(run * np.uint64(16) + np.uint64(size)) % np.uint64(BUCKETS - 1) + np.uint64(1)
             rows[:, 1 + STEMS.index(size)] = np.where(held, stem, 0)
-    return rows, w.first
+    return Vocabulary(distinct, rows, ids.astype(np.int32), found.first)
+
+
+def buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Embedding rows of every word, (words, 1 + stems), and the bounds of the documents."""
+    found = vocabulary(texts)
+    return found.rows[found.ids], found.first
 
 
 @dataclass
@@ -86,19 +121,20 @@ class Net:
 
     def words(self, rows: np.ndarray) -> np.ndarray:
         """Embeddings of words."""
-        word = self.embedding[rows[:, 0]]
+        word = self.embedding.take(rows[:, 0], axis=0)
         for c in range(1, rows.shape[1]):
-            word += self.embedding[rows[:, c]]
+            word += self.embedding.take(rows[:, c], axis=0)
         return word
 
-    def lay(self, rows: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def lay(self, rows: np.ndarray, first: np.ndarray, ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words' embeddings side by side, each document followed by the empty places the widest filter reaches into; where
-        words stand; bounds of the documents' stretches."""
+        words stand; bounds of the documents' stretches. With `ids` these are the words, as places in `rows`."""
         docs, reach, size = len(first) - 1, max(WIDTHS) - 1, np.diff(first)
-        place = np.arange(len(rows)) + np.repeat(np.arange(docs) * reach, size)
-        laid = np.zeros((len(rows) + docs * reach, DIMENSION), np.float32)
-        if len(rows):
-            laid[place] = self.words(rows)
+        many = len(rows) if ids is None else len(ids)
+        place = np.arange(many) + np.repeat(np.arange(docs) * reach, size)
+        laid = np.zeros((many + docs * reach, DIMENSION), np.float32)
+        if many:
+            laid[place] = self.words(rows) if ids is None else self.words(rows).take(ids, axis=0)
         begins = first[:-1] + np.arange(docs) * reach
         return laid, place, begins[:, None] + size[:, None] * np.arange(STRETCHES + 1) // STRETCHES
 
@@ -107,49 +143,56 @@ class Net:
         out = laid @ self.filters[k][0]
         for j in range(1, WIDTHS[k]):
             out[:-j] += laid[j:] @ self.filters[k][j]
-        return out + self.bias[k * FILTERS:(k + 1) * FILTERS]
+        out += self.bias[k * FILTERS:(k + 1) * FILTERS]
+        return out
 
     def odds(self, pools: np.ndarray) -> np.ndarray:
         """Log-odds from pools (documents, stretches, filters)."""
         seen = np.concatenate([pools.max(axis=1), pools.mean(axis=1)], axis=1)
         return seen.astype(np.float64) @ self.out[:-1].astype(np.float64) + float(self.out[-1])
 
-    def forward(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def forward(self, rows: np.ndarray, first: np.ndarray, ids: np.ndarray | None = None) -> np.ndarray:
         """Log-odds of each document; one without words has empty pools."""
-        laid, _, cuts = self.lay(rows, first)
+        laid, _, cuts = self.lay(rows, first, ids)
         low, high = cuts[:, :-1].ravel(), cuts[:, 1:].ravel()
         full = np.flatnonzero(high > low)
         pools = np.zeros((len(low), len(WIDTHS) * FILTERS), np.float32)
         if len(full):
             bounds = np.stack([low[full], high[full]], axis=1).ravel()
             for k in range(len(WIDTHS)):
-                pools[full, k * FILTERS:(k + 1) * FILTERS] = np.maximum(np.maximum.reduceat(self.values(laid, k), bounds, axis=0)[::2], 0)
+                pools[full, k * FILTERS:(k + 1) * FILTERS] = np.maximum(_largest(self.values(laid, k), bounds)[::2], 0)
         return self.odds(pools.reshape(len(first) - 1, STRETCHES, -1))
 
-    def peaks(self, rows: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pools (documents, stretches, filters) and the words at which they begin, a piece of about `_LONG` words at a time."""
+    def peaks(self, rows: np.ndarray, first: np.ndarray, ids: np.ndarray | None = None, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pools (documents, stretches, filters) and the words at which they begin, a piece of about `_LONG` words at a time. With `ids`
+        these are the words, as places in `rows`; `known` are the embeddings of `rows`, if there is room for them."""
+        ids = np.arange(len(rows)) if ids is None else ids
         docs, size = len(first) - 1, np.diff(first)
         cuts = first[:-1, None] + size[:, None] * np.arange(STRETCHES + 1) // STRETCHES
         low, high, ends = cuts[:, :-1].ravel(), cuts[:, 1:].ravel(), np.repeat(first[1:], STRETCHES)
         pools, where = np.zeros((len(low), len(WIDTHS) * FILTERS), np.float32), np.zeros((len(low), len(WIDTHS) * FILTERS), np.int64)
         pools[high > low] = -np.inf
-        for at in range(0, len(rows), _LONG):
-            to = min(at + _LONG, len(rows))
+        for at in range(0, len(ids), _LONG):
+            to = min(at + _LONG, len(ids))
             some = np.flatnonzero((low < to) & (high > at) & (high > low))
             begin, end = np.maximum(low[some], at), np.minimum(high[some], to)
             word = np.zeros((to - at + max(WIDTHS) - 1, DIMENSION), np.float32)
-            reach = min(to + max(WIDTHS) - 1, len(rows))
-            word[:reach - at] = self.words(rows[at:reach])
+            reach = min(to + max(WIDTHS) - 1, len(ids))
+            word[:reach - at] = self.words(rows[ids[at:reach]]) if known is None else known.take(ids[at:reach], axis=0)
+            stretch = np.repeat(np.arange(len(some)), end - begin)
             left = np.repeat(ends[some], end - begin) - np.arange(at, to)           # words of the document from each on
             for k, width in enumerate(WIDTHS):
                 span = slice(k * FILTERS, (k + 1) * FILTERS)
                 value = word[:to - at] @ self.filters[k][0]
                 for j in range(1, width):
-                    value += (word[j:to - at + j] * (left > j)[:, None]) @ self.filters[k][j]
+                    more = word[j:to - at + j] @ self.filters[k][j]
+                    more[left <= j] = 0
+                    value += more
                 value += self.bias[span]
-                best = np.maximum.reduceat(value, begin - at, axis=0)
-                places = np.where(value == np.repeat(best, end - begin, axis=0), np.arange(at, to)[:, None], to)
-                place = np.minimum.reduceat(places, begin - at, axis=0)
+                best = _largest(value, begin - at)
+                there, f = np.divmod(np.flatnonzero(value == best.take(stretch, axis=0)), FILTERS)
+                place = np.empty(best.shape, np.int64)
+                place[stretch[there[::-1]], f[::-1]] = there[::-1] + at             # the first of equal ones is set last
                 better = best > pools[some, span]
                 where[some, span] = np.where(better, place, where[some, span])
                 pools[some, span] = np.where(better, best, pools[some, span])
@@ -171,6 +214,11 @@ class Net:
         return self.odds(pools)
 
 
+def _largest(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Largest values of each column in the runs of rows that begin there."""
+    return np.maximum.reduceat(np.ascontiguousarray(values.T), begins, axis=1).T
+
+
 class _Trainer:
     """Adam on filters and output, Adagrad on the embeddings a batch touches."""
 
@@ -184,9 +232,11 @@ class _Trainer:
         """All that is learnt but embeddings."""
         return [*self.dense, *self.m, *self.v]
 
-    def learn(self, rows: np.ndarray, first: np.ndarray, label: np.ndarray, weight: np.ndarray) -> None:
+    def learn(self, rows: np.ndarray, first: np.ndarray, label: np.ndarray, weight: np.ndarray, ids: np.ndarray | None = None) -> None:
         net, docs = self.net, len(first) - 1
-        pools, where = net.peaks(rows, first)
+        ids = np.arange(len(rows)) if ids is None else ids
+        known = net.words(rows) if len(rows) <= _LONG else None
+        pools, where = net.peaks(rows, first, ids, known)
         error = (1 / (1 + np.exp(-net.odds(pools))) - label) * weight / docs
         many = pools.shape[2]
         seen = np.concatenate([pools.max(axis=1), pools.mean(axis=1)], axis=1)
@@ -202,16 +252,15 @@ class _Trainer:
                 for j in range(width):
                     hit = np.flatnonzero((slope[:, f] != 0) & (at[:, f] + j < ends))      # beyond a document there is nothing to learn
                     words, own = at[hit, f] + j, slope[hit, f]
-                    filters[j, :, f] = own @ net.words(rows[words])
+                    filters[j, :, f] = own @ (net.words(rows[ids[words]]) if known is None else known.take(ids[words], axis=0))
                     hits.append(words)
                     slopes.append(own[:, None] * net.filters[k][j, :, f])
             back_filters.append(filters)
         self._dense([*back_filters, back.sum(axis=(0, 1)), back_out])
         hit, slope = np.concatenate(hits), np.concatenate(slopes)
-        order = np.argsort(hit, kind="stable")
-        words, begin = np.unique(hit[order], return_index=True)
+        words, begin, order = _grouped(hit)
         if len(words):
-            self._embeddings(rows[words], np.add.reduceat(slope[order], begin))
+            self._embeddings(rows[ids[words]], np.add.reduceat(slope.take(order, axis=0), begin))
 
     def _dense(self, slopes: list[np.ndarray]) -> None:
         self.steps += 1
@@ -225,25 +274,37 @@ class _Trainer:
         hit = np.flatnonzero(np.abs(slope).any(axis=1))
         if not len(hit):
             return
-        flat, slopes = rows[hit].ravel(), np.repeat(slope[hit], rows.shape[1], axis=0)
-        order = np.argsort(flat, kind="stable")
-        used, begin = np.unique(flat[order], return_index=True)
-        total = np.add.reduceat(slopes[order], begin, axis=0)
+        used, begin, order = _grouped(rows[hit].ravel())
+        total = np.add.reduceat(slope.take(hit[order // rows.shape[1]], axis=0), begin, axis=0)
         keep = used > 0
         used, total = used[keep], total[keep]
         self.seen[used] += (total * total).mean(axis=1)
         self.net.embedding[used] -= _STEP * total / np.sqrt(self.seen[used])[:, None]
 
 
-def _study(trainer: _Trainer, rows: np.ndarray, first: np.ndarray, label: np.ndarray, weight: np.ndarray, passes: int, rng: np.random.Generator) -> None:
+def _grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, ascending; where each begins in the order that sorts them; that order, which keeps equal ones as they come.
+
+    Value and place are sorted as one number, which is quicker than to sort places by value.
+    """
+    bits = int(len(values)).bit_length()
+    both = np.sort((values.astype(np.int64) << bits) + np.arange(len(values)))
+    found = both >> bits
+    begin = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))) if len(found) else np.zeros(0, np.int64)
+    return found[begin], begin, both & ((1 << bits) - 1)
+
+
+def _study(trainer: _Trainer, docs: Vocabulary, label: np.ndarray, weight: np.ndarray, passes: int, rng: np.random.Generator) -> None:
     """Learn from documents a number of times, in a new order each time."""
+    first = docs.first
     for _ in range(passes):
         order = rng.permutation(len(label))
         for at in range(0, len(order), _BATCH):
             some = order[at:at + _BATCH]
             size = (first[1:] - first[:-1])[some]
             take = np.repeat(first[some] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-            trainer.learn(rows[take], np.concatenate(([0], np.cumsum(size))), label[some], weight[some])
+            ids, own = pd.factorize(docs.ids[take])
+            trainer.learn(docs.rows[own], np.concatenate(([0], np.cumsum(size))), label[some], weight[some], ids)
 
 
 def threshold(odds: np.ndarray, label: np.ndarray, many: np.ndarray | None = None) -> float:
@@ -277,9 +338,10 @@ class Model:
         return [self.language(data[a:b]) for a, b in zip(bounds, bounds[1:])]
 
     def odds(self, texts: pa.Array) -> np.ndarray:
-        rows, first = buckets(texts)
-        return self.net.forward(rows, first) if len(rows) <= _LONG else np.concatenate(
-            [self.net.long(rows[a:b]) if b - a > _LONG else self.net.forward(rows[a:b], np.array([0, b - a])) for a, b in zip(first, first[1:])])
+        found = vocabulary(texts)
+        rows, ids, first = found.rows, found.ids, found.first
+        return self.net.forward(rows, first, ids) if len(ids) <= _LONG else np.concatenate(
+            [self.net.long(rows[ids[a:b]]) if b - a > _LONG else self.net.forward(rows[ids[a:b]], np.array([0, b - a])) for a, b in zip(first, first[1:])])
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Scores from 0 to 1; those of at least 0.5 are predicted to be of label 1."""
@@ -330,13 +392,12 @@ def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([{"block": rows["block"].iloc[0], "means": means.astype(np.float32).tobytes()}])
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows (shard, text, label), which lie by shard, as the features of a shard at a time."""
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Vocabulary, np.ndarray]]:
+    """Rows (shard, text, label), which lie by shard, as the words and labels of a shard at a time."""
     held: list = []
 
     def whole():
-        sizes = np.concatenate([np.diff(first) for _, first, _ in held])
-        return np.concatenate([rows for rows, _, _ in held]), np.concatenate(([0], np.cumsum(sizes))), np.concatenate([label for _, _, label in held])
+        return Vocabulary.joined([found for found, _ in held]), np.concatenate([label for _, label in held])
 
     last, words = None, 0
     for batch in batches:
@@ -347,9 +408,9 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
                 if held and (shard[a] != last or words > _HELD):
                     yield last, *whole()
                     held, words = [], 0
-                rows, first = buckets(part.column(1).slice(a, b - a))
-                held.append((rows, first, part.column(2).slice(a, b - a).to_numpy().astype(np.float64)))
-                last, words = shard[a], words + len(rows)
+                found = vocabulary(part.column(1).slice(a, b - a))
+                held.append((found, part.column(2).slice(a, b - a).to_numpy().astype(np.float64)))
+                last, words = shard[a], words + len(found.ids)
     if held:
         yield last, *whole()
 
@@ -357,9 +418,9 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
 def _learner(shared, weights: tuple[float, float], passes: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = _Sum(shared.value)
-        for shard, rows, first, label in _shards(batches):
+        for shard, docs, label in _shards(batches):
             trainer = deepcopy(shared.value)
-            _study(trainer, rows, first, label, np.where(label > 0, weights[1], weights[0]), passes, np.random.default_rng([42, turn, int(shard)]))
+            _study(trainer, docs, label, np.where(label > 0, weights[1], weights[0]), passes, np.random.default_rng([42, turn, int(shard)]))
             total.add(trainer)
         if total.shards:
             yield total.blocks()

@@ -172,3 +172,29 @@ def test_peaks_in_pieces_are_the_same(monkeypatch):
     monkeypatch.setattr(toxicity, "_LONG", 37)
     again, there = net.peaks(rows, first)
     assert np.allclose(pools, again, atol=1e-5) and (where[pools > 0] == there[pools > 0]).mean() > 0.99
+
+
+def test_a_word_is_embedded_once_for_all_its_places(monkeypatch):
+    """In scoring and in learning, whatever parts the texts come in; nothing else changes."""
+    texts = [t for _, t, _ in planted(60)] * 5
+    parts = [toxicity.vocabulary(pa.array(some)) for some in (texts[:70], [""], texts[70:])]
+    docs = toxicity.Vocabulary.joined(parts)
+    rows, first = toxicity.buckets(pa.array(texts[:70] + [""] + texts[70:]))
+    assert (docs.rows[docs.ids] == rows).all() and (docs.first == first).all() and len(set(docs.distinct)) == len(docs.rows)
+    net, asked, words = toxicity.Net.fresh(), [], toxicity.Net.words
+    want = net.forward(rows, first)
+    monkeypatch.setattr(toxicity.Net, "words", lambda net, rows: asked.append(len(rows)) or words(net, rows))
+    assert (net.forward(docs.rows, docs.first, docs.ids) == want).all() and sum(asked) == len(docs.rows)
+    label, plain = np.arange(len(first) - 1) % 5 == 0, toxicity._Trainer(toxicity.Net.fresh())
+    plain.learn(rows, first, label.astype(float), np.ones(len(label)))
+    trainer, asked[:] = toxicity._Trainer(toxicity.Net.fresh()), []
+    trainer.learn(docs.rows, docs.first, label.astype(float), np.ones(len(label)), docs.ids)
+    assert sum(asked) == len(docs.rows) and (trainer.net.embedding == plain.net.embedding).all()
+
+
+def test_grouping_keeps_the_order_of_equal_values():
+    values = np.random.default_rng(0).integers(0, 50, 1000).astype(np.int32)
+    found, begin, order = toxicity._grouped(values)
+    assert (order == np.argsort(values, kind="stable")).all()
+    assert (found == np.unique(values)).all() and (begin == np.unique(values[order], return_index=True)[1]).all()
+    assert [len(x) for x in toxicity._grouped(values[:0])] == [0, 0, 0]
