@@ -64,7 +64,7 @@ def _recomputed(t: Tables) -> DataFrame:
 
 
 def _from_deltas(t: Tables) -> DataFrame:
-    return _out(incremental.apply_deltas(_current(t), _feed(t), KEYS, "qty"))
+    return _out(incremental.apply_deltas(_current(t), _feed(t), KEYS, "qty", stored=True))
 
 
 QUERIES = {

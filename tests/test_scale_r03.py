@@ -1,11 +1,13 @@
 """Lines are moved once for their numbers and what follows from them."""
 
+from itertools import product
+
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake.operators import scd2
+from tarnlake.operators import merge, scd2
 from tarnlake.operators.quality import complete, write_audit_publish
-from tarnlake.plans import erp, publish, star
+from tarnlake.plans import erp, publish, sales, star
 from tarnlake.plans.inputs import Tables, line_numbered
 from tarnlake.session import staged
 
@@ -75,3 +77,55 @@ def test_publish_moves_closed_keys_only(no_broadcast):
     assert sorted(r["v"] for r in scd2.publish(stage, held.limit(0), "sk").collect()) == [1, 3, 4, 6, 7, 20]
     with pytest.raises(ValueError):
         scd2.publish(stage.unionByName(stage), held, "sk")
+
+
+# --- many changes meet their target in one join ---------------------------------------
+
+def _rows(spark, rows, ddl="k long, j long, v long, gone boolean"):
+    return spark.createDataFrame(rows, ddl)
+
+
+def test_one_join_merges_as_two_do(spark):
+    """Keys that are null or repeat in the target among them, and conditions that are null."""
+    matching = [
+        [merge.Delete(when=F.col("source.gone")), merge.Update({"v": F.col("source.v")}, when=F.col("source.v") > F.col("target.v"))],
+        [merge.Update({"v": F.col("source.v") + F.col("target.v")})], []]
+    inserting = [
+        [merge.Insert({"k": F.col("source.k"), "j": F.col("source.j"), "v": F.col("source.v")}, when=F.col("source.v") > 50),
+         merge.Insert({"k": F.col("source.k"), "v": F.lit(-1)}, when=~F.col("source.gone"))],
+        [merge.Insert({"k": F.col("source.k")})], []]
+    target = _rows(spark, [(1, 1, 10, None), (1, 1, 99, True), (2, 1, 20, None), (None, 1, 30, None), (3, None, 40, None), (4, 4, None, False)])
+    source = _rows(spark, [(1, 1, 50, False), (2, 1, 5, True), (None, 1, 60, False), (3, None, 61, None), (4, 4, 7, None), (5, 5, 70, True),
+                           (6, 6, 8, False), (7, 7, None, None), (None, None, 9, False)])
+
+    def run(matched, not_matched, together):
+        got = merge.merge_apply(target, source, ["k", "j"], matched, not_matched, unique_source=True, together=together)
+        return got.columns, sorted(map(str, got.collect()))
+
+    for clauses in product(matching, inserting):
+        assert run(*clauses, True) == run(*clauses, False)
+
+
+def test_one_join_is_for_sources_with_a_row_per_key(spark):
+    with pytest.raises(ValueError):
+        merge.merge_apply(_rows(spark, []), _rows(spark, []), ["k"], together=True)
+
+
+def test_batches_to_broadcast_are_not_sizeable(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.range(100_000).selectExpr("id % 10000 k", "id v")                # 10,000 keys, 24 bytes a row
+    try:
+        for limit, want in {"-1": True, "0": True, "40000": True, "40k": True, "80k": False, "80000b": False, "1MB": False}.items():
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            assert merge.sizeable(rows, ["k"]) == want, limit
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40000")
+        assert not merge.sizeable(rows.filter("k < 5000"), ["k"])                # rows of a key count once
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("module, name, moves", [(sales, "incr_daily_agg_deltas", 3)])
+def test_target_and_changes_are_moved_once(no_broadcast, sf_dir, module, name, moves):
+    """Beside the changes without a key, which are looked for by themselves."""
+    plan = _plan(module.QUERIES[name](Tables(no_broadcast, sf_dir)))
+    assert "FullOuter" in plan and "LeftAnti" not in plan and plan.count("Exchange hashpartitioning") <= moves
