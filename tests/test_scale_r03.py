@@ -124,7 +124,7 @@ def test_batches_to_broadcast_are_not_sizeable(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("module, name, moves", [(erp, "erp_raw_sale_order_line", 3), (sales, "incr_daily_agg_deltas", 3)])
+@pytest.mark.parametrize("module, name, moves", [(erp, "erp_raw_sale_order_line", 3), (sales, "incr_daily_agg_deltas", 3), (star, "fact_upsert_session", 2)])
 def test_target_and_changes_are_moved_once(no_broadcast, sf_dir, module, name, moves):
     """Beside the changes without a key, which are looked for by themselves."""
     plan = _plan(module.QUERIES[name](Tables(no_broadcast, sf_dir)))
