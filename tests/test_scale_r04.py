@@ -6,11 +6,13 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake.operators import scd2
+from tarnlake.operators import asof, incremental, scd2
 from tarnlake.plans import publish
 from tarnlake.plans.inputs import Tables
 from tarnlake.session import shared_root, staged, staging
 
+LIMIT = "spark.sql.autoBroadcastJoinThreshold"
+
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -25,6 +27,13 @@ def _shuffle_files(spark):
     return {f for f in files if "shuffle_" in f}
 
 
+@pytest.fixture
+def limit(spark):
+    before = spark.conf.get(LIMIT)
+    yield lambda size: spark.conf.set(LIMIT, size)
+    spark.conf.set(LIMIT, before)
+
+
 # --- publish_line_item_fact ---------------------------------------------------------------
 
 def test_shuffle_files_go_when_the_rows_are_staged(spark):
@@ -95,3 +104,40 @@ def test_the_published_fact_is_the_same_in_slices(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(publish, "LINES_AT_ONCE", 2000)
     sliced = publish._line_item(t)
     assert sliced.exceptAll(whole).isEmpty() and whole.exceptAll(sliced).isEmpty()
+
+
+# --- erp_incr_daily_sales -----------------------------------------------------------------
+
+def test_versions_of_many_keys_are_not_broadcast_for_their_small_file(spark, limit):
+    versions = staged(spark.range(20_000).selectExpr(
+        "id k", "timestamp_ntz '2024-01-01 00:00:00' s", "timestamp_ntz '9999-12-31 00:00:00' e", "'x' v", "'y' w"), "versions")
+    events = staged(spark.range(100_000).selectExpr("if(id % 7 = 0, null, id % 30000) k", "timestamp_ntz '2024-03-01 00:00:00' t"), "events")
+    limit("120000")
+
+    def join(of):
+        return asof.interval_join(events, of, ["k"], "t", "s", "e", ["v"])
+
+    assert versions._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 120_000      # 20,000 rows, 5 columns
+    assert "BroadcastHashJoin" not in _plan(join(versions)) and "SortMergeJoin" in _plan(join(versions))
+    assert "BroadcastHashJoin" in _plan(join(staged(versions.filter("k < 1000"), "few-versions")))
+    got = join(versions).groupBy("v").count().collect()
+    met = sum(1 for i in range(100_000) if i % 7 and i % 30_000 < 20_000)
+    assert {r["v"]: r["count"] for r in got} == {"x": met, None: 100_000 - met}
+
+
+def test_sums_of_many_touched_keys_meet_the_aggregate_once(spark, limit):
+    at = "timestamp_ntz '2024-01-0{} 00:00:00'"
+    current = spark.sql(f"""select k, q.sold_qty, {at.format(1)} record_commit_timestamp
+        from values (1, 5), (2, 7), (3, 9), (null, 4) as q(k, sold_qty)""").selectExpr("k", "cast(sold_qty as long) sold_qty", "record_commit_timestamp")
+    base = spark.sql("select * from values (1, 5), (2, 3), (2, 5), (4, 1), (null, 6) as b(k, qty)")
+    feed = staged(spark.sql(f"select k, {at.format(2)} _commit_timestamp from values (1), (2), (3), (4), (6), (null) as f(k)"), "feed")
+
+    def run(stored):
+        return incremental.recompute_affected(current, base, feed, ["k"], "qty", stored=stored)
+
+    limit("-1")
+    apart, together = run(False), run(True)
+    assert "FullOuter" in _plan(together) and "FullOuter" not in _plan(apart)
+    assert _rows(together) == _rows(apart) and together.schema == apart.schema
+    limit("10MB")
+    assert "FullOuter" not in _plan(run(True))
